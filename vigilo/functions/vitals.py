@@ -97,34 +97,6 @@ def default_source(col="source") -> Column:
     return F.when(s.isNull() | (s == ""), F.lit("smartwatch")).otherwise(s)
 
 
-def alert_record(signal: str, value_col: str, rule: Column, level: Column, pid: Column) -> Column:
-    """The 13-field alert record for one signal of one measurement."""
-    return F.struct(
-        F.concat(F.coalesce(F.col("mesure_id"), F.lit("None")), F.lit("_" + signal)).alias("alerte_id"),
-        pid.alias("patient_id"),
-        F.col("mesure_id").alias("mesure_id"),
-        F.col("timestamp").alias("timestamp"),
-        F.col("date").alias("date"),
-        F.col("heure").alias("heure"),
-        F.lit(signal).alias("signal"),
-        F.bround(_d(value_col), 2).alias("valeur_mesuree"),
-        rule["unite"].alias("unite"),
-        rule["seuil_warning_min"].alias("seuil_warn_min"),
-        rule["seuil_warning_max"].alias("seuil_warn_max"),
-        level.alias("niveau_alerte"),
-        default_source().alias("source"),
-    )
-
-
-def worst_level(alerts: Column) -> Column:
-    """CRITIQUE if any alert is critical, WARNING if any alert, else NORMAL."""
-    return (
-        F.when(F.exists(alerts, lambda a: a["niveau_alerte"] == CRITIQUE), F.lit(CRITIQUE))
-        .when(F.size(alerts) > 0, F.lit(WARNING))
-        .otherwise(F.lit(NORMAL))
-    )
-
-
 def severity_rank(level: Column) -> Column:
     """Sort rank CRITIQUE 0 < WARNING 1 < NORMAL/other 2 (intended dashboard order)."""
     return F.when(level == CRITIQUE, 0).when(level == WARNING, 1).otherwise(2)

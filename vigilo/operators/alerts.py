@@ -1,11 +1,19 @@
 """Threshold alerts.
 
-The threshold table is folded into ONE map value by an uncorrelated scalar
-subquery (``DataFrame.scalar()``): Spark evaluates it once per query (once
-per micro-batch in a stream) and substitutes the value into the projection.
-Its size is bounded by construction (filtered to the seven monitored signal
-names, one rule each), so classification is a narrow per-row expression —
-no join, no shuffle, no Python.
+The threshold table is folded into ONE row by an uncorrelated scalar
+subquery (``DataFrame.scalar()``): a struct with one rule per monitored
+signal. Spark runs it once per query (once per micro-batch in a stream; all
+references share one execution) and reads fields of the constant struct, so
+classification is a narrow per-row expression — no join, no shuffle, no
+Python. The rule row has a proven size: seven signal names, one rule each.
+
+Two shapes:
+
+* ``alerts`` (one event per abnormal signal) unpivots the seven vitals into
+  (signal, value) rows (an ``Expand``), picks the rule by signal, classifies
+  and keeps abnormal rows — each event is built only for rows that survive.
+* ``with_alerts`` (one row per measurement) keeps the measurement wide and
+  adds a compact array of its abnormal signals, their count and worst level.
 """
 
 from __future__ import annotations
@@ -20,24 +28,31 @@ from vigilo.functions.vitals import (
     SIGNAL_COLUMNS,
     SIGNAL_NAMES,
     WARNING,
-    alert_record,
     classify,
+    default_source,
 )
 
 RULE_FIELDS = ["seuil_warning_min", "seuil_warning_max", "seuil_critique_min",
                "seuil_critique_max", "unite"]
+MESSAGE_KEYS = ["mesure_id", "patient_id", "timestamp", "date", "heure", "source"]
 
 
-def rules_map(thresholds: DataFrame) -> Column:
-    """``map<signal, struct<bounds…, unite>>`` of at most seven entries, as a scalar subquery."""
-    per_signal = (thresholds.filter(F.col("signal").isin(SIGNAL_NAMES))
-                  .groupBy("signal").agg(F.min(F.struct(*RULE_FIELDS)).alias("rule")))
-    return per_signal.select(
-        F.map_from_entries(F.collect_list(F.struct("signal", "rule"))).alias("rules")).scalar()
+def rules_row(thresholds: DataFrame) -> Column:
+    """``struct<signal: struct<bounds…, unite>>`` — one rule per monitored signal
+    (the greatest row if a signal is listed twice; null if absent) — as a scalar
+    subquery."""
+    sig = F.col("signal")
+    rule = F.struct(*RULE_FIELDS)
+    return thresholds.agg(F.struct(*[
+        F.max(F.when(sig == s, rule)).alias(s) for s in SIGNAL_NAMES]).alias("rules")).scalar()
 
 
-def rule_for(rules: Column, signal: str) -> Column:
-    return F.try_element_at(rules, F.lit(signal))
+def rule_by_name(rules: Column, signal: Column) -> Column:
+    """The rule of a signal given as a column (long form)."""
+    out = F.when(signal == SIGNAL_NAMES[0], rules[SIGNAL_NAMES[0]])
+    for s in SIGNAL_NAMES[1:]:
+        out = out.when(signal == s, rules[s])
+    return out
 
 
 def is_valid(messages: DataFrame) -> Column:
@@ -51,21 +66,28 @@ def with_patient_key(messages: DataFrame) -> DataFrame:
             .withColumn("patient_id", normalise_patient_id(F.col("patient_id_brut"))))
 
 
+def compact_alert(signal: str, value: Column, rule: Column, level: Column) -> Column:
+    """Alert as carried inside a patient update (signal, rounded value, unit,
+    warning bounds, level); the measurement fields live on the update row."""
+    return F.struct(
+        F.lit(signal).alias("signal"),
+        F.bround(value.cast("double"), 2).alias("valeur_mesuree"),
+        rule["unite"].alias("unite"),
+        rule["seuil_warning_min"].alias("seuil_warn_min"),
+        rule["seuil_warning_max"].alias("seuil_warn_max"),
+        level.alias("niveau_alerte"),
+    )
+
+
 def with_alerts(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Messages (normalised id) plus ``alertes`` (abnormal signals in signal order,
-    P4 + F4 + F5), ``nb_alertes`` (A7) and ``niveau_max`` (A8).
-
-    Rules and levels are resolved in plain projections first (a subquery may
-    not sit inside a lambda); the array is then built without any lambda.
-    """
-    rules = rules_map(thresholds)
+    F4 + F5), ``nb_alertes`` (A7) and ``niveau_max`` (A8). No lambda, no generator."""
+    rules = rules_row(thresholds)
     m = with_patient_key(messages)
     base = m.columns
-    m = m.select("*", *[rule_for(rules, s).alias(f"_r_{s}") for s in SIGNAL_NAMES])
-    m = m.select("*", *[classify(c, F.col(f"_r_{s}")).alias(f"_l_{s}") for s, c in SIGNAL_COLUMNS])
+    m = m.select("*", *[classify(c, rules[s]).alias(f"_l_{s}") for s, c in SIGNAL_COLUMNS])
     lvl = {s: F.col(f"_l_{s}") for s in SIGNAL_NAMES}
-    recs = [F.when(lvl[s] != NORMAL,
-                   alert_record(s, c, F.col(f"_r_{s}"), lvl[s], F.col("patient_id")))
+    recs = [F.when(lvl[s] != NORMAL, compact_alert(s, F.col(c), rules[s], lvl[s]))
             for s, c in SIGNAL_COLUMNS]
     n = F.lit(0)
     any_crit = F.lit(False)
@@ -77,26 +99,39 @@ def with_alerts(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
                     n.alias("nb_alertes"), worst.alias("niveau_max"))
 
 
-def vitals_long(messages: DataFrame) -> DataFrame:
-    """One row per (measurement, signal) with the value as double."""
-    pairs = F.array(*[F.struct(F.lit(s).alias("signal"), F.col(c).cast("double").alias("valeur"))
-                      for s, c in SIGNAL_COLUMNS])
-    return messages.select("mesure_id", F.inline(pairs))
+def vitals_long(messages: DataFrame, ids: list[str] | None = None) -> DataFrame:
+    """One row per (measurement, signal) with the value as double (P3): an unpivot."""
+    ids = ids or ["mesure_id"]
+    return messages.unpivot(ids, [F.col(c).cast("double").alias(s) for s, c in SIGNAL_COLUMNS],
+                            "signal", "valeur")
 
 
 def classify_levels(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Level of every (measurement, signal) pair (X15 applied to P3)."""
-    rules = rules_map(thresholds)
-    pairs = F.array(*[
-        F.struct(F.lit(s).alias("signal"), F.col(c).cast("double").alias("valeur"),
-                 classify(c, rule_for(rules, s)).alias("niveau"))
-        for s, c in SIGNAL_COLUMNS])
-    return with_patient_key(messages).select("mesure_id", "patient_id", F.inline(pairs))
+    rules = rules_row(thresholds)
+    long = vitals_long(with_patient_key(messages), ["mesure_id", "patient_id"])
+    return (long.withColumn("_r", rule_by_name(rules, F.col("signal")))
+            .withColumn("niveau", classify(F.col("valeur"), F.col("_r"))).drop("_r"))
 
 
 def alerts(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Alert events, one per abnormal signal (K4): the array exploded in place."""
-    return with_alerts(messages, thresholds).select(F.inline("alertes"))
+    """Alert events, one per abnormal signal (K4)."""
+    rules = rules_row(thresholds)
+    long = vitals_long(with_patient_key(messages), MESSAGE_KEYS)
+    rule = rule_by_name(rules, F.col("signal"))
+    lv = (long.withColumn("_r", rule)
+          .withColumn("niveau_alerte", classify(F.col("valeur"), F.col("_r")))
+          .filter(F.col("niveau_alerte") != NORMAL))
+    return lv.select(
+        F.concat(F.coalesce(F.col("mesure_id"), F.lit("None")), F.lit("_"), F.col("signal")).alias("alerte_id"),
+        "patient_id", "mesure_id", "timestamp", "date", "heure", "signal",
+        F.bround(F.col("valeur"), 2).alias("valeur_mesuree"),
+        F.col("_r.unite").alias("unite"),
+        F.col("_r.seuil_warning_min").alias("seuil_warn_min"),
+        F.col("_r.seuil_warning_max").alias("seuil_warn_max"),
+        "niveau_alerte",
+        default_source().alias("source"),
+    )
 
 
 def to_history(alert_events: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

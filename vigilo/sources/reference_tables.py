@@ -8,6 +8,7 @@ single-row scalar subquery.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigilo import schemas
 
@@ -65,14 +66,22 @@ CENTRE_ROWS = [
 DEFAULT_GOVERNORATE = "Tunis"
 
 
+def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small literal table evaluated in the JVM (an inline array of structs over a
+    one-row range): no Python worker, no driver-side RDD."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def thresholds(spark: SparkSession) -> DataFrame:
     """Alert thresholds (S7): 7 rows, FLOAT bounds."""
-    return spark.createDataFrame(THRESHOLD_ROWS, schemas.THRESHOLDS)
+    return literal_table(spark, THRESHOLD_ROWS, schemas.THRESHOLDS)
 
 
 def centres(spark: SparkSession) -> DataFrame:
     """Health centres (S8): 28 rows, FLOAT coordinates."""
-    return spark.createDataFrame(CENTRE_ROWS, schemas.CENTRES)
+    return literal_table(spark, CENTRE_ROWS, schemas.CENTRES)
 
 
 def _sql_lit(v) -> str:

@@ -44,14 +44,10 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: DataFra
     try:
         valid = msgs.filter(al.is_valid(msgs))
         rejects = msgs.filter(~al.is_valid(msgs))
-        updates = profiles.patient_updates(al.with_alerts(valid, thresholds), patients).persist()
-        try:
-            hist = al.to_history(updates.select(F.inline("alertes")))
-            _write_partition(hist, out, "alertes", batch_id)
-            _write_partition(updates, out, "patient_updates", batch_id)
-            _write_partition(rejects, out, "rejets", batch_id)
-        finally:
-            updates.unpersist()
+        _write_partition(al.to_history(al.alerts(valid, thresholds)), out, "alertes", batch_id)
+        _write_partition(profiles.patient_updates(al.with_alerts(valid, thresholds), patients),
+                         out, "patient_updates", batch_id)
+        _write_partition(rejects, out, "rejets", batch_id)
     finally:
         msgs.unpersist()
 
