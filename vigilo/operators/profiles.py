@@ -30,10 +30,14 @@ def profile_lookup(patients: DataFrame) -> DataFrame:
                     *[F.col(f"_p.{c}").alias(c) for c in PROFILE_FIELDS]))
 
 
-def patient_updates(with_alerts: DataFrame, patients: DataFrame) -> DataFrame:
+def patient_updates(with_alerts: DataFrame, patients: DataFrame | None = None,
+                    profile: DataFrame | None = None) -> DataFrame:
     """Per measurement: profile (or fallbacks when the patient is unknown),
-    current vitals, alert count, worst level and the alert list (J5 + P5)."""
-    prof = profile_lookup(patients).withColumnRenamed("patient_id", "_pid")
+    current vitals, alert count, worst level and the alert list (J5 + P5).
+    Pass ``patients`` (raw table) or an already prepared ``profile`` lookup."""
+    if profile is None:
+        profile = profile_lookup(patients)
+    prof = profile.withColumnRenamed("patient_id", "_pid")
     j = with_alerts.join(prof, with_alerts["patient_id"] == prof["_pid"], "left")
     matched = F.col("_profil").isNotNull()
     pick = lambda c, default: F.when(matched, F.col(c)).otherwise(default)

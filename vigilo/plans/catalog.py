@@ -18,6 +18,7 @@ from vigilo import schemas
 from vigilo.operators import alerts as al
 from vigilo.operators import enrich, kpis, monitor, profiles, quality
 from vigilo.session import fresh_path
+from vigilo.sources import files
 from vigilo.sources import reference_tables as ref
 from vigilo.sources import stream as st
 from vigilo.sources import testdata as td
@@ -109,6 +110,21 @@ def stream_latest_state(spark, sf) -> DataFrame:
     return profiles.flat_updates(upd)
 
 
+def enriched_text_roundtrip(spark, sf) -> DataFrame:
+    """Enriched table stored as ``;``-separated text without header (K1) and read
+    back with the declared 36-column schema (S5)."""
+    path = fresh_path(spark, "enriched-text")
+    files.write_table(_enriched(spark, sf), path, fmt="text")
+    return files.scan_enriched(spark, path, fmt="text")
+
+
+def stream_batch_counts(spark, sf) -> DataFrame:
+    """Measurements per micro-batch (A13), summed over the run."""
+    out = _run_alert_stream(spark, sf)
+    return pipeline.read_output(spark, out, "comptages").agg(
+        F.sum("nb_mesures").cast("long").alias("nb_mesures"), F.count(F.lit(1)).alias("nb_lots"))
+
+
 def alert_history(spark, sf) -> DataFrame:
     """Alert history written as table partition ``batch_id=0`` and read back (K6)."""
     out = fresh_path(spark, "alert-history")
@@ -131,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "derived_flags": lambda s, sf: enrich.with_derived(
         enrich.join_signals_sensors(td.signals(s, sf), td.sensors(s, sf))),
     "etl_enriched": _enriched,
+    "enriched_text_roundtrip": enriched_text_roundtrip,
     # KPIs
     "kpi1_daily_vitals": lambda s, sf: kpis.kpi1_daily_vitals(_stats(s, sf)),
     "kpi2_hypertension": lambda s, sf: kpis.kpi2_hypertension(_stats(s, sf)),
@@ -161,10 +178,12 @@ QUERIES: dict[str, Query] = {
     "latest_patient_state": lambda s, sf: profiles.flat_updates(_latest_updates(s, sf)),
     "patients_by_severity": lambda s, sf: monitor.patients_by_severity(_latest_updates(s, sf)),
     "recent_alerts": lambda s, sf: monitor.recent_alerts(_alert_events(s, sf)),
+    "alert_log": lambda s, sf: monitor.recent_alerts(_alert_events(s, sf), monitor.LOG_LINES),
     "recent_alerts_replay": lambda s, sf: monitor.recent_alerts_replay(
         _alert_events(s, sf), _latest_updates(s, sf)),
     # streaming
     "stream_alerts": stream_alerts,
     "stream_patient_updates": stream_patient_updates,
     "stream_latest_state": stream_latest_state,
+    "stream_batch_counts": stream_batch_counts,
 }

@@ -13,11 +13,18 @@ from vigilo import schemas
 from vigilo.operators.quality import drop_header_rows
 
 
+# Null marker of stored text tables (Hive's text default), so '' and null stay distinct.
+TEXT_NULL = "\\N"
+
+
 def read_delimited(spark: SparkSession, path: str, schema, sep: str = ";",
-                   header: bool = True) -> DataFrame:
+                   header: bool = True, null_value: str | None = None) -> DataFrame:
     """Typed delimited text. Unparsable fields become null (permissive mode)."""
-    return (spark.read.schema(schema).option("sep", sep).option("header", header)
-            .option("mode", "PERMISSIVE").option("encoding", "UTF-8").csv(path))
+    r = (spark.read.schema(schema).option("sep", sep).option("header", header)
+         .option("mode", "PERMISSIVE").option("encoding", "UTF-8"))
+    if null_value is not None:
+        r = r.option("nullValue", null_value)
+    return r.csv(path)
 
 
 def scan_patients(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -41,7 +48,7 @@ def scan_enriched(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     """The enriched measurement table (S5): Parquet, or ``;`` text without header."""
     if fmt == "parquet":
         return spark.read.schema(schemas.ENRICHED).parquet(path)
-    return read_delimited(spark, path, schemas.ENRICHED, ";", False)
+    return read_delimited(spark, path, schemas.ENRICHED, ";", False, null_value=TEXT_NULL)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -49,4 +56,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if fmt == "parquet":
         df.write.mode(mode).parquet(path)
     else:
-        df.write.mode(mode).option("sep", ";").option("header", False).csv(path)
+        (df.write.mode(mode).option("sep", ";").option("header", False)
+         .option("nullValue", TEXT_NULL).csv(path))
+
+
+def load_optional(spark: SparkSession, path: str | None, schema, reader=None) -> DataFrame:
+    """A dimension that may be missing (profiles, centres: T7): an empty DataFrame of
+    the right schema when the path does not exist or cannot be read."""
+    if path:
+        try:
+            df = reader(spark, path) if reader else spark.read.schema(schema).parquet(path)
+            df.schema  # resolve now so a missing path fails here
+            return df
+        except Exception as e:  # noqa: BLE001 - a missing dimension is tolerated by design
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+    return spark.createDataFrame([], schema)

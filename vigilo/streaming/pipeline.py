@@ -16,6 +16,7 @@ the reader resolves the latest row per patient across batches.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,21 +38,38 @@ def _trigger(writer, trigger: str | None):
 
 
 def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: DataFrame,
-                  patients: DataFrame) -> None:
-    """Handle one micro-batch of wire records (``value`` column) or decoded messages."""
+                  patients: DataFrame | None = None, profile: DataFrame | None = None) -> None:
+    """Handle one micro-batch of wire records (``value`` column) or decoded messages.
+
+    ``profile`` is the prepared one-row-per-patient lookup (see ``prepare_profile``);
+    when only ``patients`` is given it is derived here.
+    """
+    if profile is None:
+        profile = profiles.profile_lookup(patients)
     msgs = decode_messages(batch) if "value" in batch.columns else batch
     msgs = msgs.persist()
     try:
         valid = msgs.filter(al.is_valid(msgs))
         rejects = msgs.filter(~al.is_valid(msgs))
         _write_partition(al.to_history(al.alerts(valid, thresholds)), out, "alertes", batch_id)
-        _write_partition(profiles.patient_updates(al.with_alerts(valid, thresholds), patients),
+        _write_partition(profiles.patient_updates(al.with_alerts(valid, thresholds), profile=profile),
                          out, "patient_updates", batch_id)
         _write_partition(rejects, out, "rejets", batch_id)
+        _write_partition(msgs.agg(F.count(F.lit(1)).alias("nb_mesures"))
+                         .select(F.lit(batch_id).cast("long").alias("lot"), "nb_mesures"),
+                         out, "comptages", batch_id)
     finally:
         msgs.unpersist()
 
 
+def prepare_profile(patients: DataFrame) -> DataFrame:
+    """The profile lookup, computed once when the stream starts and kept on the
+    executors (memory, spilling to disk): dimensions are read once, as a static
+    side of every micro-batch. A lost executor recomputes its blocks from the
+    patient table."""
+    return profiles.profile_lookup(patients).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _write_partition(df: DataFrame, out: str, table: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{out}/{table}/batch_id={batch_id}")
 
@@ -59,8 +77,9 @@ def _write_partition(df: DataFrame, out: str, table: str, batch_id: int) -> None
 def alert_stream(records: DataFrame, out: str, checkpoint: str, thresholds: DataFrame,
                  patients: DataFrame, trigger: str | None = BATCH_INTERVAL) -> StreamingQuery:
     """Start the alert job on a stream of wire records (or decoded messages)."""
+    profile = prepare_profile(patients)
     w = (records.writeStream
-         .foreachBatch(lambda b, i: process_batch(b, i, out, thresholds, patients))
+         .foreachBatch(lambda b, i: process_batch(b, i, out, thresholds, profile=profile))
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
