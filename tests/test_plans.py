@@ -70,3 +70,32 @@ def test_kpis_single_aggregation_and_no_self_join(spark):
 def test_rule_row_is_one_row(spark):
     r = spark.range(1).select(al.rules_row(ref.thresholds(spark)).alias("r")).first()["r"]
     assert len(r) == 7 and r["glycemie"]["seuil_warning_min"] == r["glycemie"]["seuil_warning_min"]
+
+
+def test_literal_rules_equal_table_rules(spark):
+    msgs = catalog.messages(spark, SMALL_SF)
+    a = al.alerts(msgs, ref.thresholds(spark))
+    b = al.alerts(msgs, ref.THRESHOLD_ROWS)
+    assert a.count() > 0 and _rows(a) == _rows(b)
+    wa = al.with_alerts(msgs, ref.thresholds(spark)).select("mesure_id", "nb_alertes", "niveau_max")
+    wb = al.with_alerts(msgs, ref.THRESHOLD_ROWS).select("mesure_id", "nb_alertes", "niveau_max")
+    assert _rows(wa) == _rows(wb)
+
+
+def test_literal_rules_missing_and_duplicate_signal(spark):
+    rows = [r for r in ref.THRESHOLD_ROWS if r[0] != "spo2"]
+    rows.append(("glycemie", 0.6, 1.2, 0.4, 2.6, "g/L", "dup"))
+    msgs = catalog.messages(spark, SMALL_SF)
+    tdf = spark.createDataFrame(rows, "signal string, seuil_warning_min float, seuil_warning_max float, "
+                                "seuil_critique_min float, seuil_critique_max float, unite string, description string")
+    a = al.classify_levels(msgs, tdf)
+    b = al.classify_levels(msgs, rows)
+    assert _rows(a) == _rows(b)
+    assert a.filter("signal = 'spo2' AND niveau <> 'NORMAL'").count() == 0
+
+
+def test_row_counts_from_stats_equal_explicit_counts(spark):
+    st = catalog._stats(spark, SMALL_SF)
+    a = kpis.table_row_counts(st)
+    b = kpis.table_row_counts(st, catalog._enriched(spark, SMALL_SF))
+    assert _rows(a) == _rows(b)

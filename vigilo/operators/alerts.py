@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions.ids import normalise_patient_id
+from vigilo.schemas import THRESHOLDS
 from vigilo.functions.vitals import (
     CRITIQUE,
     NORMAL,
@@ -32,6 +33,9 @@ from vigilo.functions.vitals import (
     default_source,
 )
 
+# A thresholds table (DataFrame) or literal threshold rows (``reference_tables.THRESHOLD_ROWS``).
+Thresholds = "DataFrame | Sequence[tuple]"
+
 RULE_FIELDS = ["seuil_warning_min", "seuil_warning_max", "seuil_critique_min",
                "seuil_critique_max", "unite"]
 MESSAGE_KEYS = ["mesure_id", "patient_id", "timestamp", "date", "heure", "source"]
@@ -40,13 +44,44 @@ MESSAGE_KEYS = ["mesure_id", "patient_id", "timestamp", "date", "heure", "source
 def rules_row(thresholds: DataFrame) -> Column:
     """``struct<signal: struct<bounds…, unite>>`` — one rule per monitored signal
     (the greatest row if a signal is listed twice; null if absent) — as a scalar
-    subquery."""
+    subquery over a thresholds table."""
     sig = F.col("signal")
     rule = F.struct(*RULE_FIELDS)
     return thresholds.agg(F.struct(*[
         F.max(F.when(sig == s, rule)).alias(s) for s in SIGNAL_NAMES]).alias("rules")).scalar()
 
 
+def rules_literal(rows) -> Column:
+    """The same struct built from literal threshold rows (``signal, wmin, wmax, cmin,
+    cmax, unite, …``); Catalyst folds every bound into a constant."""
+    best: dict[str, tuple] = {}
+    for r in rows:
+        if r[0] in SIGNAL_NAMES:
+            rule = tuple(r[1:6])
+            best[r[0]] = max(best.get(r[0], rule), rule, key=_rule_order)
+    types = {f.name: f.dataType for f in THRESHOLDS.fields}
+
+    def one(s):
+        if s not in best:
+            return F.lit(None).cast(_RULE_TYPE).alias(s)
+        return F.struct(*[F.lit(v).cast(types[f]).alias(f) for v, f in zip(best[s], RULE_FIELDS)]).alias(s)
+
+    return F.struct(*[one(s) for s in SIGNAL_NAMES])
+
+
+def _rule_order(rule: tuple):
+    return tuple((v is not None, v) for v in rule)
+
+
+_RULE_TYPE = "struct<seuil_warning_min:float,seuil_warning_max:float,seuil_critique_min:float," \
+             "seuil_critique_max:float,unite:string>"
+
+
+def rules_of(thresholds) -> Column:
+    """Rules from a thresholds DataFrame (scalar subquery) or from literal rows."""
+    return rules_row(thresholds) if isinstance(thresholds, DataFrame) else rules_literal(thresholds)
+
+
 def rule_by_name(rules: Column, signal: Column) -> Column:
     """The rule of a signal given as a column (long form)."""
     out = F.when(signal == SIGNAL_NAMES[0], rules[SIGNAL_NAMES[0]])
@@ -79,10 +114,10 @@ def compact_alert(signal: str, value: Column, rule: Column, level: Column) -> Co
     )
 
 
-def with_alerts(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
+def with_alerts(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
     """Messages (normalised id) plus ``alertes`` (abnormal signals in signal order,
     F4 + F5), ``nb_alertes`` (A7) and ``niveau_max`` (A8). No lambda, no generator."""
-    rules = rules_row(thresholds)
+    rules = rules_of(thresholds)
     m = with_patient_key(messages)
     base = m.columns
     m = m.select("*", *[classify(c, rules[s]).alias(f"_l_{s}") for s, c in SIGNAL_COLUMNS])
@@ -106,17 +141,17 @@ def vitals_long(messages: DataFrame, ids: list[str] | None = None) -> DataFrame:
                             "signal", "valeur")
 
 
-def classify_levels(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
+def classify_levels(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
     """Level of every (measurement, signal) pair (X15 applied to P3)."""
-    rules = rules_row(thresholds)
+    rules = rules_of(thresholds)
     long = vitals_long(with_patient_key(messages), ["mesure_id", "patient_id"])
     return (long.withColumn("_r", rule_by_name(rules, F.col("signal")))
             .withColumn("niveau", classify(F.col("valeur"), F.col("_r"))).drop("_r"))
 
 
-def alerts(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
+def alerts(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
     """Alert events, one per abnormal signal (K4)."""
-    rules = rules_row(thresholds)
+    rules = rules_of(thresholds)
     long = vitals_long(with_patient_key(messages), MESSAGE_KEYS)
     rule = rule_by_name(rules, F.col("signal"))
     lv = (long.withColumn("_r", rule)

@@ -209,14 +209,25 @@ def all_kpis(stats: DataFrame) -> DataFrame:
     return project(stats, cols)
 
 
-def table_row_counts(enriched_df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Row count per table, labelled, as a union of five counts."""
+def table_row_counts(stats: DataFrame, enriched_df: DataFrame | None = None) -> DataFrame:
+    """Row count per table, labelled, as a union of five counts.
+
+    Every enriched row falls in exactly one KPI group, so without an explicit
+    ``enriched_df`` its count is the sum of ``nb_mesures`` over the shared
+    aggregation; the four KPI counts prune to the same grouping, so all five
+    branches reuse one shuffle.
+    """
     def cnt(label: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
             F.lit(label).alias("table_name"), "nb_lignes")
 
+    if enriched_df is not None:
+        first = cnt("mesures_patients", enriched_df)
+    else:
+        first = stats.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("nb_lignes")).select(
+            F.lit("mesures_patients").alias("table_name"), "nb_lignes")
     parts = [
-        cnt("mesures_patients", enriched_df),
+        first,
         cnt("kpi1_moyennes_vitaux", kpi1_daily_vitals(stats)),
         cnt("kpi2_hypertension", kpi2_hypertension(stats)),
         cnt("kpi3_stabilite_cardiaque", kpi3_cardiac_stability(stats)),

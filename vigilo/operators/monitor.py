@@ -33,13 +33,13 @@ def latest_messages(messages: DataFrame) -> DataFrame:
             .select(*[F.col(f"_m.{c}").alias(c) for c in fields]))
 
 
-def latest_patient_state(messages: DataFrame, thresholds: DataFrame, patients: DataFrame) -> DataFrame:
+def latest_patient_state(messages: DataFrame, thresholds: al.Thresholds, patients: DataFrame) -> DataFrame:
     """Latest patient update per patient (A11), with its alert list."""
     last = latest_messages(messages)
     return profiles.patient_updates(al.with_alerts(last, thresholds), patients)
 
 
-def monitor_counters(messages: DataFrame, thresholds: DataFrame) -> DataFrame:
+def monitor_counters(messages: DataFrame, thresholds: al.Thresholds) -> DataFrame:
     """Total / critical / warning alerts and patients monitored (A9, A10), one pass."""
     valid = messages.filter(al.is_valid(messages))
     wa = al.with_alerts(valid, thresholds)

@@ -63,16 +63,16 @@ def _enriched(spark, sf) -> DataFrame:
 
 
 def _updates(spark, sf) -> DataFrame:
-    wa = al.with_alerts(_valid_messages(spark, sf), ref.thresholds(spark))
+    wa = al.with_alerts(_valid_messages(spark, sf), ref.THRESHOLD_ROWS)
     return profiles.patient_updates(wa, td.patients(spark, sf))
 
 
 def _latest_updates(spark, sf) -> DataFrame:
-    return monitor.latest_patient_state(messages(spark, sf), ref.thresholds(spark), td.patients(spark, sf))
+    return monitor.latest_patient_state(messages(spark, sf), ref.THRESHOLD_ROWS, td.patients(spark, sf))
 
 
 def _alert_events(spark, sf) -> DataFrame:
-    return al.alerts(_valid_messages(spark, sf), ref.thresholds(spark))
+    return al.alerts(_valid_messages(spark, sf), ref.THRESHOLD_ROWS)
 
 
 # ------------------------------------------------------------------ streaming
@@ -83,7 +83,7 @@ def _run_alert_stream(spark, sf) -> str:
                             spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema,
                             max_files_per_trigger=1)
     wire = st.encode_messages(td.events_as_observations(events))
-    q = pipeline.alert_stream(wire, out, f"{out}/_checkpoint", ref.thresholds(spark),
+    q = pipeline.alert_stream(wire, out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
                               td.patients(spark, sf), trigger="availableNow")
     q.awaitTermination()
     return out
@@ -106,7 +106,7 @@ def stream_latest_state(spark, sf) -> DataFrame:
     wire = st.encode_messages(td.events_as_observations(events))
     pipeline.latest_state_stream(wire, out, f"{out}/_checkpoint", trigger="availableNow").awaitTermination()
     last = pipeline.read_latest_messages(spark, out)
-    upd = profiles.patient_updates(al.with_alerts(last, ref.thresholds(spark)), td.patients(spark, sf))
+    upd = profiles.patient_updates(al.with_alerts(last, ref.THRESHOLD_ROWS), td.patients(spark, sf))
     return profiles.flat_updates(upd)
 
 
@@ -154,12 +154,12 @@ QUERIES: dict[str, Query] = {
     "kpi3_cardiac_stability": lambda s, sf: kpis.kpi3_cardiac_stability(_stats(s, sf)),
     "kpi4_oxygenation": lambda s, sf: kpis.kpi4_oxygenation(_stats(s, sf)),
     "dashboard_view": lambda s, sf: kpis.dashboard_view(_stats(s, sf)),
-    "table_row_counts": lambda s, sf: kpis.table_row_counts(_enriched(s, sf), _stats(s, sf)),
+    "table_row_counts": lambda s, sf: kpis.table_row_counts(_stats(s, sf)),
     # alerts
     "normalise_patient_id": lambda s, sf: al.with_patient_key(messages(s, sf)).select(
         "mesure_id", "patient_id_brut", "patient_id"),
     "vitals_long": lambda s, sf: al.vitals_long(messages(s, sf)),
-    "classify_level": lambda s, sf: al.classify_levels(messages(s, sf), ref.thresholds(s)),
+    "classify_level": lambda s, sf: al.classify_levels(messages(s, sf), ref.THRESHOLD_ROWS),
     "alerts_batch": _alert_events,
     "patient_updates": lambda s, sf: profiles.flat_updates(_updates(s, sf)),
     "nearest_centre": lambda s, sf: profiles.nearest_centre(td.patients(s, sf), ref.centres(s)),
@@ -174,7 +174,7 @@ QUERIES: dict[str, Query] = {
         al.to_history(_alert_events(s, sf))),
     "alert_stats_by_signal": lambda s, sf: al.alert_stats_by_signal(al.to_history(_alert_events(s, sf))),
     # live state
-    "monitor_counters": lambda s, sf: monitor.monitor_counters(messages(s, sf), ref.thresholds(s)),
+    "monitor_counters": lambda s, sf: monitor.monitor_counters(messages(s, sf), ref.THRESHOLD_ROWS),
     "latest_patient_state": lambda s, sf: profiles.flat_updates(_latest_updates(s, sf)),
     "patients_by_severity": lambda s, sf: monitor.patients_by_severity(_latest_updates(s, sf)),
     "recent_alerts": lambda s, sf: monitor.recent_alerts(_alert_events(s, sf)),

@@ -37,7 +37,7 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: DataFrame,
+def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thresholds,
                   patients: DataFrame | None = None, profile: DataFrame | None = None) -> None:
     """Handle one micro-batch of wire records (``value`` column) or decoded messages.
 
@@ -74,7 +74,7 @@ def _write_partition(df: DataFrame, out: str, table: str, batch_id: int) -> None
     df.write.mode("overwrite").parquet(f"{out}/{table}/batch_id={batch_id}")
 
 
-def alert_stream(records: DataFrame, out: str, checkpoint: str, thresholds: DataFrame,
+def alert_stream(records: DataFrame, out: str, checkpoint: str, thresholds: al.Thresholds,
                  patients: DataFrame, trigger: str | None = BATCH_INTERVAL) -> StreamingQuery:
     """Start the alert job on a stream of wire records (or decoded messages)."""
     profile = prepare_profile(patients)
