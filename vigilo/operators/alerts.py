@@ -114,23 +114,30 @@ def compact_alert(signal: str, value: Column, rule: Column, level: Column) -> Co
     )
 
 
+COMPACT_ALERTS = ("array<struct<signal:string,valeur_mesuree:double,unite:string,seuil_warn_min:float,"
+                  "seuil_warn_max:float,niveau_alerte:string>>")
+
+
 def with_alerts(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
     """Messages (normalised id) plus ``alertes`` (abnormal signals in signal order,
-    F4 + F5), ``nb_alertes`` (A7) and ``niveau_max`` (A8). No lambda, no generator."""
+    F4 + F5), ``nb_alertes`` (A7) and ``niveau_max`` (A8). No lambda, no generator:
+    the projection stays inside whole-stage codegen."""
     rules = rules_of(thresholds)
     m = with_patient_key(messages)
     base = m.columns
     m = m.select("*", *[classify(c, rules[s]).alias(f"_l_{s}") for s, c in SIGNAL_COLUMNS])
     lvl = {s: F.col(f"_l_{s}") for s in SIGNAL_NAMES}
-    recs = [F.when(lvl[s] != NORMAL, compact_alert(s, F.col(c), rules[s], lvl[s]))
-            for s, c in SIGNAL_COLUMNS]
+    # concat of one-element / empty arrays keeps signal order and stays in codegen
+    # (array_compact would be a lambda, which falls back to interpreted evaluation).
+    recs = [F.when(lvl[s] != NORMAL, F.array(compact_alert(s, F.col(c), rules[s], lvl[s])))
+            .otherwise(F.array().cast(COMPACT_ALERTS)) for s, c in SIGNAL_COLUMNS]
     n = F.lit(0)
     any_crit = F.lit(False)
     for s in SIGNAL_NAMES:
         n = n + F.when(lvl[s] != NORMAL, 1).otherwise(0)
         any_crit = any_crit | (lvl[s] == CRITIQUE)
     worst = F.when(any_crit, CRITIQUE).when(n > 0, WARNING).otherwise(NORMAL)
-    return m.select(*base, F.array_compact(F.array(*recs)).alias("alertes"),
+    return m.select(*base, F.concat(*recs).alias("alertes"),
                     n.alias("nb_alertes"), worst.alias("niveau_max"))
 
 

@@ -43,11 +43,14 @@ def monitor_counters(messages: DataFrame, thresholds: al.Thresholds) -> DataFram
     """Total / critical / warning alerts and patients monitored (A9, A10), one pass."""
     valid = messages.filter(al.is_valid(messages))
     wa = al.with_alerts(valid, thresholds)
-    n_level = lambda lvl: F.size(F.filter("alertes", lambda a: a["niveau_alerte"] == lvl))
+    levels = F.col("alertes.niveau_alerte")
+    # alerts are WARNING or CRITIQUE: removing one level counts the other (no lambda)
+    n_crit = F.size(F.array_remove(levels, WARNING))
+    n_warn = F.size(F.array_remove(levels, CRITIQUE))
     return wa.agg(
         F.coalesce(F.sum("nb_alertes"), F.lit(0)).cast("long").alias("alertes_total"),
-        F.coalesce(F.sum(n_level(CRITIQUE)), F.lit(0)).cast("long").alias("alertes_critiques"),
-        F.coalesce(F.sum(n_level(WARNING)), F.lit(0)).cast("long").alias("alertes_warning"),
+        F.coalesce(F.sum(n_crit), F.lit(0)).cast("long").alias("alertes_critiques"),
+        F.coalesce(F.sum(n_warn), F.lit(0)).cast("long").alias("alertes_warning"),
         F.countDistinct("patient_id").alias("patients_surveilles"),
     )
 

@@ -68,8 +68,7 @@ def patient_updates(with_alerts: DataFrame, patients: DataFrame | None = None,
 
 def flat_updates(updates: DataFrame) -> DataFrame:
     """Updates with the alert list rendered as the comma-joined signal names."""
-    return (updates.withColumn("signaux_alertes",
-                               F.array_join(F.transform("alertes", lambda a: a["signal"]), ","))
+    return (updates.withColumn("signaux_alertes", F.array_join(F.col("alertes.signal"), ","))
             .drop("alertes"))
 
 
@@ -118,9 +117,11 @@ def nearest_centre(patients: DataFrame, centres: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- views
 
 def level_of(alerts: Column, *signals: str) -> Column:
-    """Level of the first alert on one of ``signals``, NORMAL if none."""
-    m = F.filter(alerts, lambda a: a["signal"].isin(*signals))
-    return F.coalesce(F.get(m, 0)["niveau_alerte"], F.lit(NORMAL))
+    """Level of the first alert on one of ``signals``, NORMAL if none.
+    Alerts are in signal order and a signal alerts at most once per measurement."""
+    names = alerts["signal"]
+    found = [F.get(alerts, F.array_position(names, s) - 1)["niveau_alerte"] for s in signals]
+    return F.coalesce(*found, F.lit(NORMAL))
 
 
 def _alert_text(a: Column) -> Column:

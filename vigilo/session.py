@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -20,6 +19,13 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
+    # A fused stage whose generated method exceeds the JVM's 8000-byte JIT limit
+    # would run interpreted; above this size Spark splits back to per-operator code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming state (one row per patient) lives off-heap in RocksDB, not in the
+    # executor heap, so it can reach millions of keys.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -60,13 +66,3 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     root = shared_dir(spark)
     return f"{root}/vigilo/{label}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem checks."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p), exist_ok=True)
