@@ -99,3 +99,45 @@ def test_row_counts_from_stats_equal_explicit_counts(spark):
     a = kpis.table_row_counts(st)
     b = kpis.table_row_counts(st, catalog._enriched(spark, SMALL_SF))
     assert _rows(a) == _rows(b)
+
+
+def test_hot_patient_holding_a_third_of_rows(spark):
+    """One patient gets every third measurement: both KPI plans still agree, and the
+    aggregate-first plan pre-aggregates map-side before its only fact shuffle."""
+    s = td.signals(spark, SMALL_SF)
+    hot = s.withColumn("patient_id", F.when(F.col("mesure_id").substr(-1, 1).isin("0", "3", "6"),
+                                            F.lit("PAT0001")).otherwise(F.col("patient_id")))
+    c, p = td.sensors(spark, SMALL_SF), td.patients(spark, SMALL_SF)
+    first = kpis.all_kpis(kpis.patient_day_stats(enrich.enriched(hot, c, p)))
+    agg_first = kpis.all_kpis(kpis.patient_day_stats_from_sources(hot, c, p))
+    assert _rows(first) == _rows(agg_first)
+    n_hot = agg_first.filter("patient_id = 'PAT0001'").agg(F.sum("nb_mesures")).first()[0]
+    assert n_hot > 0.25 * first.agg(F.sum("nb_mesures")).first()[0]
+    plan = agg_first._jdf.queryExecution().executedPlan().toString()
+    # partial aggregation sits below the exchange keyed on (patient, day)
+    part = plan.index("partial_count")
+    exch = plan.index("Exchange hashpartitioning(patient_id")
+    assert exch < part
+
+
+def test_stored_enriched_scan_prunes_and_pushes_down(spark, workdir):
+    from vigilo.sources import files
+    path = f"{workdir}/enriched"
+    files.write_table(catalog._enriched(spark, SMALL_SF), path)
+    q = (files.scan_enriched(spark, path).filter(F.col("date_mesure") == "2024-01-05")
+         .select("patient_id", "spo2"))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(date_mesure), EqualTo(date_mesure,2024-01-05)]" in plan
+    assert "ReadSchema: struct<patient_id:string,date_mesure:string,spo2:float>" in plan
+
+
+def test_presentation_orders(spark):
+    st = catalog._stats(spark, SMALL_SF)
+    k2 = kpis.kpi2_hypertension(st).orderBy(*kpis.presentation_order("kpi2")).collect()
+    rates = [r["taux_hypertension_pct"] for r in k2]
+    assert rates == sorted(rates, reverse=True)
+    summary = al.alert_summary_patient_day(al.to_history(al.alerts(catalog.messages(spark, SMALL_SF),
+                                                                   ref.THRESHOLD_ROWS)))
+    rows = summary.orderBy(*al.summary_order()).collect()
+    keys = [(r["date_alerte"], r["nb_critiques"]) for r in rows]
+    assert keys == sorted(keys, key=lambda k: (k[0], k[1]), reverse=True)

@@ -77,15 +77,22 @@ def _alert_events(spark, sf) -> DataFrame:
 
 # ------------------------------------------------------------------ streaming
 
-def _run_alert_stream(spark, sf) -> str:
-    out = fresh_path(spark, "alert-stream")
+def _wire_stream(spark, sf) -> DataFrame:
+    """The events table replayed as a stream of wire records (one file per trigger)."""
     events = st.file_stream(spark, f"{sf.rstrip('/')}/events*.parquet",
                             spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema,
                             max_files_per_trigger=1)
-    wire = st.encode_messages(td.events_as_observations(events))
-    q = pipeline.alert_stream(wire, out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
-                              td.patients(spark, sf), trigger="availableNow")
-    q.awaitTermination()
+    return st.encode_messages(td.events_as_observations(events))
+
+
+def _run_alert_stream(spark, sf) -> str:
+    out = fresh_path(spark, "alert-stream")
+    profile = pipeline.prepare_profile(td.patients(spark, sf))
+    try:
+        pipeline.alert_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
+                              profile=profile, trigger="availableNow").awaitTermination()
+    finally:
+        profile.unpersist()
     return out
 
 
@@ -100,16 +107,29 @@ def stream_patient_updates(spark, sf) -> DataFrame:
 
 def stream_latest_state(spark, sf) -> DataFrame:
     out = fresh_path(spark, "latest-stream")
-    events = st.file_stream(spark, f"{sf.rstrip('/')}/events*.parquet",
-                            spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema,
-                            max_files_per_trigger=1)
-    wire = st.encode_messages(td.events_as_observations(events))
-    pipeline.latest_state_stream(wire, out, f"{out}/_checkpoint", trigger="availableNow").awaitTermination()
+    pipeline.latest_state_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint",
+                                 trigger="availableNow").awaitTermination()
     last = pipeline.read_latest_messages(spark, out)
     upd = profiles.patient_updates(al.with_alerts(last, ref.THRESHOLD_ROWS), td.patients(spark, sf))
     return profiles.flat_updates(upd)
 
 
+def stream_monitor_counters(spark, sf) -> DataFrame:
+    out = fresh_path(spark, "counters-stream")
+    pipeline.counters_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
+                             trigger="availableNow").awaitTermination()
+    return pipeline.read_counters(spark, out)
+
+
+def dashboard_from_stored(spark, sf) -> DataFrame:
+    """The two-step shape: the ETL writes the enriched table (Parquet, shared
+    folder), the KPI job reads it back and groups by the five keys. The written
+    table also cuts the lineage between the two jobs."""
+    path = fresh_path(spark, "enriched")
+    files.write_table(_enriched(spark, sf), path)
+    return kpis.dashboard_view(kpis.patient_day_stats(files.scan_enriched(spark, path)))
+
+
 def enriched_text_roundtrip(spark, sf) -> DataFrame:
     """Enriched table stored as ``;``-separated text without header (K1) and read
     back with the declared 36-column schema (S5)."""
@@ -154,6 +174,7 @@ QUERIES: dict[str, Query] = {
     "kpi3_cardiac_stability": lambda s, sf: kpis.kpi3_cardiac_stability(_stats(s, sf)),
     "kpi4_oxygenation": lambda s, sf: kpis.kpi4_oxygenation(_stats(s, sf)),
     "dashboard_view": lambda s, sf: kpis.dashboard_view(_stats(s, sf)),
+    "dashboard_from_stored": dashboard_from_stored,
     "table_row_counts": lambda s, sf: kpis.table_row_counts(_stats(s, sf)),
     # alerts
     "normalise_patient_id": lambda s, sf: al.with_patient_key(messages(s, sf)).select(
@@ -186,4 +207,5 @@ QUERIES: dict[str, Query] = {
     "stream_patient_updates": stream_patient_updates,
     "stream_latest_state": stream_latest_state,
     "stream_batch_counts": stream_batch_counts,
+    "stream_monitor_counters": stream_monitor_counters,
 }

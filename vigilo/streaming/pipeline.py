@@ -75,9 +75,13 @@ def _write_partition(df: DataFrame, out: str, table: str, batch_id: int) -> None
 
 
 def alert_stream(records: DataFrame, out: str, checkpoint: str, thresholds: al.Thresholds,
-                 patients: DataFrame, trigger: str | None = BATCH_INTERVAL) -> StreamingQuery:
-    """Start the alert job on a stream of wire records (or decoded messages)."""
-    profile = prepare_profile(patients)
+                 patients: DataFrame | None = None, trigger: str | None = BATCH_INTERVAL,
+                 profile: DataFrame | None = None) -> StreamingQuery:
+    """Start the alert job on a stream of wire records (or decoded messages).
+    Pass ``patients`` (prepared here) or a ``profile`` from ``prepare_profile``
+    (the caller then unpersists it when the query ends)."""
+    if profile is None:
+        profile = prepare_profile(patients)
     w = (records.writeStream
          .foreachBatch(lambda b, i: process_batch(b, i, out, thresholds, profile=profile))
          .option("checkpointLocation", checkpoint))
@@ -113,3 +117,38 @@ def read_latest_messages(spark: SparkSession, out: str) -> DataFrame:
     return (rows.groupBy("patient_key")
             .agg(F.max_by(F.struct(*fields), F.struct("timestamp", "mesure_id")).alias("m"))
             .select("m.*"))
+
+
+def counters_stream(records: DataFrame, out: str, checkpoint: str, thresholds: al.Thresholds,
+                    trigger: str | None = BATCH_INTERVAL) -> StreamingQuery:
+    """Live counters (A9, A10): cumulative alert counts per patient in update mode.
+    State is one row per patient; the reader sums the latest row of each patient,
+    which also counts the patients monitored exactly (a streaming distinct count
+    is not available, a per-key state is)."""
+    msgs = decode_messages(records) if "value" in records.columns else records
+    wa = al.with_alerts(msgs.filter(al.is_valid(msgs)), thresholds)
+    levels = F.col("alertes.niveau_alerte")
+    state = wa.groupBy("patient_id").agg(
+        F.sum("nb_alertes").cast("long").alias("alertes_total"),
+        F.sum(F.size(F.array_remove(levels, "WARNING"))).cast("long").alias("alertes_critiques"),
+        F.sum(F.size(F.array_remove(levels, "CRITIQUE"))).cast("long").alias("alertes_warning"))
+
+    def sink(b: DataFrame, i: int) -> None:
+        _write_partition(b, out, "compteurs", i)
+
+    w = (state.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
+def read_counters(spark: SparkSession, out: str) -> DataFrame:
+    """Totals over the latest cumulative row of every patient."""
+    rows = spark.read.parquet(f"{out}/compteurs")
+    last = (rows.groupBy("patient_id")
+            .agg(F.max_by(F.struct("alertes_total", "alertes_critiques", "alertes_warning"),
+                          F.col("batch_id")).alias("c")))
+    return last.agg(
+        F.coalesce(F.sum("c.alertes_total"), F.lit(0)).cast("long").alias("alertes_total"),
+        F.coalesce(F.sum("c.alertes_critiques"), F.lit(0)).cast("long").alias("alertes_critiques"),
+        F.coalesce(F.sum("c.alertes_warning"), F.lit(0)).cast("long").alias("alertes_warning"),
+        F.count("patient_id").alias("patients_surveilles"))
