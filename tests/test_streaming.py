@@ -110,3 +110,28 @@ def test_latest_state_stream_matches_batch(spark, workdir):
     msgs = obs.select(*[f.name for f in schemas.MESSAGE.fields])
     batch = {r["mesure_id"] for r in monitor.latest_messages(msgs).collect()}
     assert streamed == batch and len(batch) == 12
+
+
+def test_observation_csv_as_stream_source(spark, workdir):
+    """The observation CSV replayed as a file stream (S14) through encode → decode."""
+    import shutil
+    os.makedirs(os.path.join(workdir, "csv"))
+    shutil.copy(sample("nouvelles_observations.csv"), os.path.join(workdir, "csv", "obs.csv"))
+    obs = file_stream(spark, os.path.join(workdir, "csv"), schemas.OBSERVATIONS, fmt="csv",
+                      max_files_per_trigger=1, header=True, sep=",")
+    out = os.path.join(workdir, "out")
+    patients = files.scan_patients(spark, sample("Table_Patients.csv"))
+    pipeline.alert_stream(encode_messages(obs), out, os.path.join(workdir, "ck"), ref.THRESHOLD_ROWS,
+                          patients, trigger="availableNow").awaitTermination()
+    assert pipeline.read_output(spark, out, "alertes").count() == 285
+    assert pipeline.read_output(spark, out, "comptages").agg(F.sum("nb_mesures")).first()[0] == 180
+
+
+def test_counters_stream(spark, workdir):
+    _split_sample(spark, workdir)
+    out = os.path.join(workdir, "out")
+    pipeline.counters_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
+                             ref.THRESHOLD_ROWS, trigger="availableNow").awaitTermination()
+    c = pipeline.read_counters(spark, out).first()
+    assert (c["alertes_total"], c["patients_surveilles"]) == (285, 12)
+    assert c["alertes_critiques"] + c["alertes_warning"] == 285
