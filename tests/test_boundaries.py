@@ -155,3 +155,16 @@ def test_encode_defaults_for_absent_columns(spark):
     assert [r["mesure_id"] for r in rows] == ["RT_00000", "RT_00001"]
     assert rows[0]["frequence_cardiaque_bpm"] == 75 and rows[1]["frequence_cardiaque_bpm"] is None
     assert rows[0]["spo2_pct"] == 0.0 and rows[0]["capteur_id"] == "" and rows[0]["source"] == "smartwatch"
+
+
+def test_missing_dimension_gives_empty_typed_frame(spark, tmp_path):
+    from vigilo.sources import files
+    df = files.load_optional(spark, str(tmp_path / "absent"), schemas.PATIENTS)
+    assert df.count() == 0 and df.schema == schemas.PATIENTS
+    msgs = spark.createDataFrame([message(0)], schemas.MESSAGE)
+    u = profiles.patient_updates(al.with_alerts(msgs, ref.THRESHOLD_ROWS), df).first()
+    assert u["nom"] == "PAT0001" and u["ville"] == "Inconnue"
+    nc = profiles.nearest_centre(spark.createDataFrame([("A", "n", 70, "F", "Sfax", "x", "d", "1", "d")],
+                                                       schemas.PATIENTS),
+                                 files.load_optional(spark, str(tmp_path / "none"), schemas.CENTRES))
+    assert nc.first()["centre_id"] is None

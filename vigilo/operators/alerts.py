@@ -18,6 +18,9 @@ Two shapes:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import Union
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +37,7 @@ from vigilo.functions.vitals import (
 )
 
 # A thresholds table (DataFrame) or literal threshold rows (``reference_tables.THRESHOLD_ROWS``).
-Thresholds = "DataFrame | Sequence[tuple]"
+Thresholds = Union[DataFrame, Sequence[tuple]]
 
 RULE_FIELDS = ["seuil_warning_min", "seuil_warning_max", "seuil_critique_min",
                "seuil_critique_max", "unite"]
@@ -118,7 +121,7 @@ COMPACT_ALERTS = ("array<struct<signal:string,valeur_mesuree:double,unite:string
                   "seuil_warn_max:float,niveau_alerte:string>>")
 
 
-def with_alerts(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
+def with_alerts(messages: DataFrame, thresholds: Thresholds) -> DataFrame:
     """Messages (normalised id) plus ``alertes`` (abnormal signals in signal order,
     F4 + F5), ``nb_alertes`` (A7) and ``niveau_max`` (A8). No lambda, no generator:
     the projection stays inside whole-stage codegen."""
@@ -148,7 +151,7 @@ def vitals_long(messages: DataFrame, ids: list[str] | None = None) -> DataFrame:
                             "signal", "valeur")
 
 
-def classify_levels(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
+def classify_levels(messages: DataFrame, thresholds: Thresholds) -> DataFrame:
     """Level of every (measurement, signal) pair (X15 applied to P3)."""
     rules = rules_of(thresholds)
     long = vitals_long(with_patient_key(messages), ["mesure_id", "patient_id"])
@@ -156,7 +159,7 @@ def classify_levels(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
             .withColumn("niveau", classify(F.col("valeur"), F.col("_r"))).drop("_r"))
 
 
-def alerts(messages: DataFrame, thresholds: "Thresholds") -> DataFrame:
+def alerts(messages: DataFrame, thresholds: Thresholds) -> DataFrame:
     """Alert events, one per abnormal signal (K4)."""
     rules = rules_of(thresholds)
     long = vitals_long(with_patient_key(messages), MESSAGE_KEYS)
