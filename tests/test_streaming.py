@@ -135,3 +135,20 @@ def test_counters_stream(spark, workdir):
     c = pipeline.read_counters(spark, out).first()
     assert (c["alertes_total"], c["patients_surveilles"]) == (285, 12)
     assert c["alertes_critiques"] + c["alertes_warning"] == 285
+
+
+def test_replayed_measurements_deduplicated_within_watermark(spark, workdir):
+    parts = _wire_parts(spark, parts=1)
+    _write_part(workdir, 0, parts[0])
+    _write_part(workdir, 1, parts[0])          # the same 180 measurements delivered again
+    patients = files.scan_patients(spark, sample("Table_Patients.csv"))
+    out = os.path.join(workdir, "out")
+    pipeline.alert_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
+                          ref.THRESHOLD_ROWS, patients, trigger="availableNow",
+                          dedup_within="1 hour").awaitTermination()
+    alerts = pipeline.read_output(spark, out, "alertes")
+    assert alerts.count() == 285 and alerts.select("alerte_id").distinct().count() == 285
+    out2 = os.path.join(workdir, "out2")
+    pipeline.alert_stream(_wire_stream(spark, workdir), out2, os.path.join(workdir, "ck2"),
+                          ref.THRESHOLD_ROWS, patients, trigger="availableNow").awaitTermination()
+    assert pipeline.read_output(spark, out2, "alertes").count() == 570   # at-least-once without dedup

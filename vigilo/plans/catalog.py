@@ -85,12 +85,13 @@ def _wire_stream(spark, sf) -> DataFrame:
     return st.encode_messages(td.events_as_observations(events))
 
 
-def _run_alert_stream(spark, sf) -> str:
+def _run_alert_stream(spark, sf, dedup_within: str | None = None) -> str:
     out = fresh_path(spark, "alert-stream")
     profile = pipeline.prepare_profile(td.patients(spark, sf))
     try:
         pipeline.alert_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
-                              profile=profile, trigger="availableNow").awaitTermination()
+                              profile=profile, trigger="availableNow",
+                              dedup_within=dedup_within).awaitTermination()
     finally:
         profile.unpersist()
     return out
@@ -100,6 +101,11 @@ def stream_alerts(spark, sf) -> DataFrame:
     return pipeline.read_output(spark, _run_alert_stream(spark, sf), "alertes")
 
 
+def stream_alerts_dedup(spark, sf) -> DataFrame:
+    """Alert stream with replayed measurements dropped within a 1-hour watermark."""
+    return pipeline.read_output(spark, _run_alert_stream(spark, sf, dedup_within="1 hour"), "alertes")
+
+
 def stream_patient_updates(spark, sf) -> DataFrame:
     out = _run_alert_stream(spark, sf)
     return profiles.flat_updates(pipeline.read_output(spark, out, "patient_updates"))
@@ -204,6 +210,7 @@ QUERIES: dict[str, Query] = {
         _alert_events(s, sf), _latest_updates(s, sf)),
     # streaming
     "stream_alerts": stream_alerts,
+    "stream_alerts_dedup": stream_alerts_dedup,
     "stream_patient_updates": stream_patient_updates,
     "stream_latest_state": stream_latest_state,
     "stream_batch_counts": stream_batch_counts,

@@ -74,14 +74,29 @@ def _write_partition(df: DataFrame, out: str, table: str, batch_id: int) -> None
     df.write.mode("overwrite").parquet(f"{out}/{table}/batch_id={batch_id}")
 
 
+def dedup_replays(msgs: DataFrame, delay: str) -> DataFrame:
+    """Drop a measurement delivered again (same ``mesure_id``) within ``delay`` of
+    event time (T10). State is bounded by the watermark; a message whose
+    timestamp does not parse has no event time and is not deduplicated."""
+    evt = F.try_to_timestamp(F.col("timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    return (msgs.withColumn("_heure_evt", evt)
+            .withWatermark("_heure_evt", delay)
+            .dropDuplicatesWithinWatermark(["mesure_id"])
+            .drop("_heure_evt"))
+
+
 def alert_stream(records: DataFrame, out: str, checkpoint: str, thresholds: al.Thresholds,
                  patients: DataFrame | None = None, trigger: str | None = BATCH_INTERVAL,
-                 profile: DataFrame | None = None) -> StreamingQuery:
+                 profile: DataFrame | None = None, dedup_within: str | None = None) -> StreamingQuery:
     """Start the alert job on a stream of wire records (or decoded messages).
     Pass ``patients`` (prepared here) or a ``profile`` from ``prepare_profile``
-    (the caller then unpersists it when the query ends)."""
+    (the caller then unpersists it when the query ends). ``dedup_within`` (e.g.
+    ``"1 hour"``) drops replayed measurements within that event-time delay."""
     if profile is None:
         profile = prepare_profile(patients)
+    if dedup_within:
+        msgs = decode_messages(records) if "value" in records.columns else records
+        records = dedup_replays(msgs, dedup_within)
     w = (records.writeStream
          .foreachBatch(lambda b, i: process_batch(b, i, out, thresholds, profile=profile))
          .option("checkpointLocation", checkpoint))
