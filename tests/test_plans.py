@@ -141,3 +141,35 @@ def test_presentation_orders(spark):
     rows = summary.orderBy(*al.summary_order()).collect()
     keys = [(r["date_alerte"], r["nb_critiques"]) for r in rows]
     assert keys == sorted(keys, key=lambda k: (k[0], k[1]), reverse=True)
+
+
+def test_aqe_splits_a_hot_patient_in_the_patient_join(spark):
+    """Without broadcast (as at cluster scale), the patient join is a sort-merge
+    join; a patient holding a third of the measurements is split by AQE into
+    several tasks and the result is unchanged."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sf = "/root/testdata/sf0.01"
+        s = td.signals(spark, sf)
+        hot = s.withColumn("patient_id", F.when(F.col("mesure_id").substr(-1, 1).isin("0", "3", "6"),
+                                                F.lit("PAT0001")).otherwise(F.col("patient_id")))
+        e = enrich.enriched(hot, td.sensors(spark, sf), td.patients(spark, sf))
+        rows = e.collect()
+        plan = e._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        assert len(rows) == enrich.enriched(s, td.sensors(spark, sf), td.patients(spark, sf)).count()
+        assert sum(r["patient_id"] == "PAT0001" for r in rows) > len(rows) / 4
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
