@@ -37,6 +37,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    if master.startswith("local"):
+        # local mode runs every executor inside the driver JVM (default heap 1 GB)
+        conf["spark.driver.memory"] = "12g"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
