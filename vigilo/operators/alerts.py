@@ -125,8 +125,14 @@ def with_alerts(messages: DataFrame, thresholds: Thresholds) -> DataFrame:
     """Messages (normalised id) plus ``alertes`` (abnormal signals in signal order,
     F4 + F5), ``nb_alertes`` (A7) and ``niveau_max`` (A8). No lambda, no generator:
     the projection stays inside whole-stage codegen."""
+    return add_alerts(with_patient_key(messages), thresholds)
+
+
+def add_alerts(m: DataFrame, thresholds: Thresholds) -> DataFrame:
+    """``alertes``, ``nb_alertes`` and ``niveau_max`` computed from the seven vital
+    columns of any frame that carries them (e.g. messages already joined to a
+    profile)."""
     rules = rules_of(thresholds)
-    m = with_patient_key(messages)
     base = m.columns
     m = m.select("*", *[classify(c, rules[s]).alias(f"_l_{s}") for s, c in SIGNAL_COLUMNS])
     lvl = {s: F.col(f"_l_{s}") for s in SIGNAL_NAMES}

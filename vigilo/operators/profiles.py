@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vigilo.functions.render import fixed, initials, js_number, signal_label
 from vigilo.functions.vitals import CRITIQUE, NORMAL, WARNING
+from vigilo.operators import alerts as al
 from vigilo.operators import quality
 from vigilo.sources.reference_tables import DEFAULT_GOVERNORATE
 
@@ -30,15 +31,28 @@ def profile_lookup(patients: DataFrame) -> DataFrame:
                     *[F.col(f"_p.{c}").alias(c) for c in PROFILE_FIELDS]))
 
 
+def updates_from_messages(messages: DataFrame, thresholds, patients: DataFrame | None = None,
+                          profile: DataFrame | None = None) -> DataFrame:
+    """Patient updates straight from messages: the profile join runs on the raw
+    message fields (normalised id), and the alerts are computed after it, so a
+    shuffled join never moves the alert arrays."""
+    keyed = al.with_patient_key(messages)
+    return patient_updates(keyed, patients, profile, thresholds=thresholds)
+
+
 def patient_updates(with_alerts: DataFrame, patients: DataFrame | None = None,
-                    profile: DataFrame | None = None) -> DataFrame:
+                    profile: DataFrame | None = None, thresholds=None) -> DataFrame:
     """Per measurement: profile (or fallbacks when the patient is unknown),
     current vitals, alert count, worst level and the alert list (J5 + P5).
-    Pass ``patients`` (raw table) or an already prepared ``profile`` lookup."""
+    Pass ``patients`` (raw table) or an already prepared ``profile`` lookup.
+    With ``thresholds`` the input is keyed messages and alerts are added after
+    the join."""
     if profile is None:
         profile = profile_lookup(patients)
     prof = profile.withColumnRenamed("patient_id", "_pid")
     j = with_alerts.join(prof, with_alerts["patient_id"] == prof["_pid"], "left")
+    if thresholds is not None:
+        j = al.add_alerts(j, thresholds)
     matched = F.col("_profil").isNotNull()
     pick = lambda c, default: F.when(matched, F.col(c)).otherwise(default)
     txt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))

@@ -63,8 +63,8 @@ def _enriched(spark, sf) -> DataFrame:
 
 
 def _updates(spark, sf) -> DataFrame:
-    wa = al.with_alerts(_valid_messages(spark, sf), ref.THRESHOLD_ROWS)
-    return profiles.patient_updates(wa, td.patients(spark, sf))
+    return profiles.updates_from_messages(_valid_messages(spark, sf), ref.THRESHOLD_ROWS,
+                                          td.patients(spark, sf))
 
 
 def _latest_updates(spark, sf) -> DataFrame:

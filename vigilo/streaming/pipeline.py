@@ -52,7 +52,7 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thre
         valid = msgs.filter(al.is_valid(msgs))
         rejects = msgs.filter(~al.is_valid(msgs))
         _write_partition(al.to_history(al.alerts(valid, thresholds)), out, "alertes", batch_id)
-        _write_partition(profiles.patient_updates(al.with_alerts(valid, thresholds), profile=profile),
+        _write_partition(profiles.updates_from_messages(valid, thresholds, profile=profile),
                          out, "patient_updates", batch_id)
         _write_partition(rejects, out, "rejets", batch_id)
         _write_partition(msgs.agg(F.count(F.lit(1)).alias("nb_mesures"))
