@@ -35,8 +35,7 @@ def latest_messages(messages: DataFrame) -> DataFrame:
 
 def latest_patient_state(messages: DataFrame, thresholds: al.Thresholds, patients: DataFrame) -> DataFrame:
     """Latest patient update per patient (A11), with its alert list."""
-    last = latest_messages(messages)
-    return profiles.patient_updates(al.with_alerts(last, thresholds), patients)
+    return profiles.updates_from_messages(latest_messages(messages), thresholds, patients)
 
 
 def monitor_counters(messages: DataFrame, thresholds: al.Thresholds) -> DataFrame:

@@ -40,17 +40,18 @@ def updates_from_messages(messages: DataFrame, thresholds, patients: DataFrame |
     return patient_updates(keyed, patients, profile, thresholds=thresholds)
 
 
-def patient_updates(with_alerts: DataFrame, patients: DataFrame | None = None,
+def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
                     profile: DataFrame | None = None, thresholds=None) -> DataFrame:
     """Per measurement: profile (or fallbacks when the patient is unknown),
     current vitals, alert count, worst level and the alert list (J5 + P5).
-    Pass ``patients`` (raw table) or an already prepared ``profile`` lookup.
-    With ``thresholds`` the input is keyed messages and alerts are added after
-    the join."""
+
+    ``measurements`` is the output of ``alerts.with_alerts``, or — with
+    ``thresholds`` — keyed messages whose alerts are added after the join.
+    Pass ``patients`` (raw table) or an already prepared ``profile`` lookup."""
     if profile is None:
         profile = profile_lookup(patients)
     prof = profile.withColumnRenamed("patient_id", "_pid")
-    j = with_alerts.join(prof, with_alerts["patient_id"] == prof["_pid"], "left")
+    j = measurements.join(prof, measurements["patient_id"] == prof["_pid"], "left")
     if thresholds is not None:
         j = al.add_alerts(j, thresholds)
     matched = F.col("_profil").isNotNull()
