@@ -17,14 +17,19 @@ TOPIC = "mesures-patients"
 
 
 def kafka_values(spark: SparkSession, bootstrap: str, topic: str = TOPIC,
-                 starting_offsets: str = "latest") -> DataFrame:
+                 starting_offsets: str = "latest", min_partitions: int | None = None) -> DataFrame:
     """Raw Kafka records (``key``, ``value`` binary) as a stream.
-    Needs the spark-sql-kafka connector on the classpath at submit time."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .load())
+    Needs the spark-sql-kafka connector on the classpath at submit time.
+    ``min_partitions`` splits large topic partitions into several Spark tasks
+    (a one-partition topic otherwise runs each micro-batch in one task) without
+    a shuffle."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap)
+         .option("subscribe", topic)
+         .option("startingOffsets", starting_offsets))
+    if min_partitions:
+        r = r.option("minPartitions", min_partitions)
+    return r.load()
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",

@@ -29,7 +29,7 @@ from vigilo.streaming import pipeline
 def source(spark: SparkSession, a) -> DataFrame:
     """Wire records from Kafka, or replayed files (JSON wire records / CSV observations)."""
     if a.bootstrap:
-        return stream.kafka_values(spark, a.bootstrap, a.topic, a.starting_offsets)
+        return stream.kafka_values(spark, a.bootstrap, a.topic, a.starting_offsets, a.min_partitions)
     if a.source_format == "csv":
         obs = stream.file_stream(spark, a.source_dir, schemas.OBSERVATIONS, fmt="csv",
                                  max_files_per_trigger=a.max_files, header=True, sep=",")
@@ -64,6 +64,7 @@ def parse(argv: list[str] | None = None):
     src.add_argument("--source-dir", help="folder of replayed files")
     ap.add_argument("--topic", default=stream.TOPIC)
     ap.add_argument("--starting-offsets", default="latest")
+    ap.add_argument("--min-partitions", type=int, help="Spark tasks per micro-batch at least")
     ap.add_argument("--source-format", default="json", choices=["json", "csv"])
     ap.add_argument("--max-files", type=int, default=1)
     ap.add_argument("--patients")
