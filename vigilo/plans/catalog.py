@@ -79,8 +79,7 @@ def _alert_events(spark, sf) -> DataFrame:
 
 def _wire_stream(spark, sf) -> DataFrame:
     """The events table replayed as a stream of wire records (one file per trigger)."""
-    events = st.file_stream(spark, f"{sf.rstrip('/')}/events*.parquet",
-                            spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema,
+    events = st.file_stream(spark, f"{sf.rstrip('/')}/events*.parquet", td.SOURCE_SCHEMAS["events"],
                             max_files_per_trigger=1)
     return st.encode_messages(td.events_as_observations(events))
 

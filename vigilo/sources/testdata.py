@@ -139,8 +139,17 @@ def _select_sql(exprs) -> str:
 
 # ---------------------------------------------------------------- Spark side
 
+# Declared schemas of the driver tables (the columns the adapter reads): no
+# footer inference when a query is defined.
+SOURCE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "supplier": "s_suppkey bigint",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(SOURCE_SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
