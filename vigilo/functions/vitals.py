@@ -26,6 +26,23 @@ SIGNAL_COLUMNS = [
 ]
 SIGNAL_NAMES = [s for s, _ in SIGNAL_COLUMNS]
 
+# ---------------------------------------------------------------------------
+# Batch clinical limits of the derived flags (inclusive where
+# written >=, strict otherwise), the reference heart rate and the battery floor.
+# ---------------------------------------------------------------------------
+HYPERTENSION_SYSTOLIC_MIN = 140      # flag if systolic >= 140
+HYPERTENSION_DIASTOLIC_MIN = 90      # ... or diastolic >= 90
+TACHYCARDIA_ABOVE = 100              # heart rate > 100
+BRADYCARDIA_BELOW = 60               # heart rate < 60
+HYPOXIA_BELOW = 94.0                 # SpO2 < 94.0
+CRITICAL_HYPOXIA_BELOW = 90.0        # SpO2 < 90.0
+FEVER_ABOVE = 37.8                   # temperature > 37.8
+HYPOGLYCAEMIA_BELOW = 0.70           # glycaemia < 0.70
+HYPERGLYCAEMIA_ABOVE = 1.10          # glycaemia > 1.10
+OXYGENATION_ZERO, OXYGENATION_SPAN = 90.0, 10.0   # index = (SpO2 - 90) / 10
+REFERENCE_HEART_RATE = 75.0          # deviation = |heart rate - 75| / 75
+LOW_BATTERY_BELOW = 20               # battery < 20 (sensor filter keeps >= 20)
+
 # The seven vitals that must be present for a batch measurement to be kept.
 REQUIRED_VITALS = [
     "frequence_cardiaque_bpm", "spo2_pct", "temperature_C", "tension_systolique_mmHg",
@@ -54,17 +71,17 @@ def derived_map(sys="tension_systolique_mmHg", dia="tension_diastolique_mmHg",
     sys_, dia_, fc_ = _c(sys), _c(dia), _c(fc)
     return {
         "pression_pulsee": sys_ - dia_,
-        "flag_hypertension": flag((sys_ >= 140) | (dia_ >= 90)),
-        "flag_tachycardie": flag(fc_ > 100),
-        "flag_bradycardie": flag(fc_ < 60),
-        "flag_hypoxie": flag(_d(spo2) < 94.0),
-        "flag_hypoxie_critique": flag(_d(spo2) < 90.0),
-        "flag_fievre": flag(_d(temp) > 37.8),
-        "flag_hypoglycemie": flag(_d(gly) < 0.70),
-        "flag_hyperglycemie": flag(_d(gly) > 1.10),
-        "indice_oxygenation": ((_d(spo2) - 90.0) / 10.0).cast("float"),
-        "ecart_fc_normale": (F.abs(_d(fc_) - 75.0) / 75.0).cast("float"),
-        "flag_batterie_critique": flag(_c(battery) < 20),
+        "flag_hypertension": flag((sys_ >= HYPERTENSION_SYSTOLIC_MIN) | (dia_ >= HYPERTENSION_DIASTOLIC_MIN)),
+        "flag_tachycardie": flag(fc_ > TACHYCARDIA_ABOVE),
+        "flag_bradycardie": flag(fc_ < BRADYCARDIA_BELOW),
+        "flag_hypoxie": flag(_d(spo2) < HYPOXIA_BELOW),
+        "flag_hypoxie_critique": flag(_d(spo2) < CRITICAL_HYPOXIA_BELOW),
+        "flag_fievre": flag(_d(temp) > FEVER_ABOVE),
+        "flag_hypoglycemie": flag(_d(gly) < HYPOGLYCAEMIA_BELOW),
+        "flag_hyperglycemie": flag(_d(gly) > HYPERGLYCAEMIA_ABOVE),
+        "indice_oxygenation": ((_d(spo2) - OXYGENATION_ZERO) / OXYGENATION_SPAN).cast("float"),
+        "ecart_fc_normale": (F.abs(_d(fc_) - REFERENCE_HEART_RATE) / REFERENCE_HEART_RATE).cast("float"),
+        "flag_batterie_critique": flag(_c(battery) < LOW_BATTERY_BELOW),
     }
 
 

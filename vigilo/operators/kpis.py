@@ -33,6 +33,31 @@ from vigilo.operators import enrich, quality
 
 GROUP_KEYS = ["patient_id", "nom", "age", "maladie_chronique", "date_mesure"]
 
+# ---------------------------------------------------------------------------
+# Fixed values of the KPI rules.
+# WHO blood-pressure grades on the day's average pressures, first match wins
+# (systolic OR diastolic at or above the pair):
+OMS_GRADES = [
+    (180, 110, "HTA grade 3 (sévère)"),
+    (160, 100, "HTA grade 2 (modérée)"),
+    (140, 90, "HTA grade 1 (légère)"),
+    (130, 85, "Pré-hypertension"),
+]
+OMS_NORMAL = "Normale"
+# Cardiac stability: score = max(0, 100 - 5·rate·100 per tachycardia and per
+# bradycardia rate, - 20 if mean deviation > 0.3); status by episode share.
+SCORE_START, EPISODE_WEIGHT, PERCENT = 100.0, 5.0, 100.0
+DEVIATION_LIMIT, DEVIATION_PENALTY = 0.3, 20.0
+UNSTABLE_ABOVE, WATCH_ABOVE = 0.5, 0.2
+CARDIAC_LABELS = ("Instable", "Attention", "Stable")
+# Oxygenation level: CRITIQUE if mean SpO2 < 90 or any critical episode;
+# ATTENTION if mean SpO2 < 94 or hypoxia share > 0.3; else NORMAL.
+O2_CRITICAL_MEAN, O2_WATCH_MEAN, O2_WATCH_SHARE = 90.0, 94.0, 0.3
+O2_LABELS = ("CRITIQUE", "ATTENTION", "NORMAL")
+# Respiratory distress: hypoxia with respiration above 20.
+DISTRESS_RESPIRATION_ABOVE = 20
+# ---------------------------------------------------------------------------
+
 # Stats columns that scale with the multiplicity of a patient row.
 _ADDITIVE = ["n", "s_hta", "s_tachy", "s_brady", "s_hypox", "s_hypox_crit", "s_detresse"]
 
@@ -66,7 +91,8 @@ def _stats_aggs() -> list[Column]:
         F.avg(d("ecart_fc_normale")).alias("avg_ecart"),
         F.sum("flag_hypoxie").alias("s_hypox"),
         F.sum("flag_hypoxie_critique").alias("s_hypox_crit"),
-        F.sum(F.when((F.col("flag_hypoxie") == 1) & (F.col("frequence_respiratoire") > 20), 1)
+        F.sum(F.when((F.col("flag_hypoxie") == 1)
+                     & (F.col("frequence_respiratoire") > DISTRESS_RESPIRATION_ABOVE), 1)
               .otherwise(0)).alias("s_detresse"),
         F.avg(d("indice_oxygenation")).alias("avg_indice"),
     ]
@@ -94,28 +120,27 @@ def patient_day_stats_from_sources(signals: DataFrame, sensors: DataFrame,
 def _kpi_columns(st: DataFrame) -> dict[str, Column]:
     n = F.col("n")
     dbl = lambda c: F.col(c).cast("double")
-    rate = lambda s: dbl(s) * 100.0 / n
+    rate = lambda s: dbl(s) * PERCENT / n
     avg_sys, avg_dia = F.col("avg_sys"), F.col("avg_dia")
-    oms = (
-        F.when((avg_sys >= 180) | (avg_dia >= 110), "HTA grade 3 (sévère)")
-        .when((avg_sys >= 160) | (avg_dia >= 100), "HTA grade 2 (modérée)")
-        .when((avg_sys >= 140) | (avg_dia >= 90), "HTA grade 1 (légère)")
-        .when((avg_sys >= 130) | (avg_dia >= 85), "Pré-hypertension")
-        .otherwise("Normale")
-    )
+    oms = None
+    for sys_min, dia_min, label in OMS_GRADES:
+        cond = (avg_sys >= sys_min) | (avg_dia >= dia_min)
+        oms = F.when(cond, label) if oms is None else oms.when(cond, label)
+    oms = oms.otherwise(OMS_NORMAL)
     score = F.round(F.greatest(
         F.lit(0.0),
-        F.lit(100.0)
-        - (dbl("s_tachy") * 5.0 / n) * 100.0
-        - (dbl("s_brady") * 5.0 / n) * 100.0
-        - F.when(F.col("avg_ecart") > 0.3, 20.0).otherwise(0.0)), 2)
+        F.lit(SCORE_START)
+        - (dbl("s_tachy") * EPISODE_WEIGHT / n) * PERCENT
+        - (dbl("s_brady") * EPISODE_WEIGHT / n) * PERCENT
+        - F.when(F.col("avg_ecart") > DEVIATION_LIMIT, DEVIATION_PENALTY).otherwise(0.0)), 2)
     unstable = (dbl("s_tachy") + dbl("s_brady")) * 1.0 / n
-    statut = (F.when(unstable > 0.5, "Instable").when(unstable > 0.2, "Attention")
-              .otherwise("Stable"))
+    statut = (F.when(unstable > UNSTABLE_ABOVE, CARDIAC_LABELS[0])
+              .when(unstable > WATCH_ABOVE, CARDIAC_LABELS[1]).otherwise(CARDIAC_LABELS[2]))
     niveau_o2 = (
-        F.when((F.col("avg_spo2") < 90.0) | (F.col("s_hypox_crit") > 0), "CRITIQUE")
-        .when((F.col("avg_spo2") < 94.0) | (dbl("s_hypox") * 1.0 / n > 0.3), "ATTENTION")
-        .otherwise("NORMAL")
+        F.when((F.col("avg_spo2") < O2_CRITICAL_MEAN) | (F.col("s_hypox_crit") > 0), O2_LABELS[0])
+        .when((F.col("avg_spo2") < O2_WATCH_MEAN) | (dbl("s_hypox") * 1.0 / n > O2_WATCH_SHARE),
+              O2_LABELS[1])
+        .otherwise(O2_LABELS[2])
     )
     r2 = lambda c: F.round(F.col(c), 2)
     return {

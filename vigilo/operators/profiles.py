@@ -20,6 +20,16 @@ from vigilo.sources.reference_tables import DEFAULT_GOVERNORATE
 PROFILE_FIELDS = ["nom", "age", "sexe", "ville", "maladie_chronique", "medecin_referent",
                   "numero_urgence", "date_inscription"]
 
+# Clinical note per level, and the fallbacks of an unknown patient.
+NOTE = {
+    CRITIQUE: "Intervention urgente recommandée.",
+    WARNING: "Surveillance renforcée conseillée.",
+    NORMAL: "État stable — suivi routinier.",
+}
+UNKNOWN = "?"
+UNKNOWN_CITY = "Inconnue"
+MISSING_VALUE = "None"
+
 
 def profile_lookup(patients: DataFrame) -> DataFrame:
     """One profile per patient id (deterministic pick among duplicates), with a
@@ -56,19 +66,19 @@ def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
         j = al.add_alerts(j, thresholds)
     matched = F.col("_profil").isNotNull()
     pick = lambda c, default: F.when(matched, F.col(c)).otherwise(default)
-    txt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("None"))
+    txt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING_VALUE))
     return j.select(
         F.col("patient_id"),
         F.col("mesure_id"),
         pick("nom", F.col("patient_id")).alias("nom"),
         F.when(matched, F.col("age")).alias("age"),
-        F.when(matched, F.col("age").cast("string")).otherwise(F.lit("?")).alias("age_affiche"),
-        pick("sexe", F.lit("?")).alias("sexe"),
-        pick("ville", F.lit("Inconnue")).alias("ville"),
-        pick("maladie_chronique", F.lit("?")).alias("maladie"),
-        pick("medecin_referent", F.lit("?")).alias("medecin"),
-        pick("numero_urgence", F.lit("?")).alias("urgence"),
-        pick("date_inscription", F.lit("?")).alias("inscription"),
+        F.when(matched, F.col("age").cast("string")).otherwise(F.lit(UNKNOWN)).alias("age_affiche"),
+        pick("sexe", F.lit(UNKNOWN)).alias("sexe"),
+        pick("ville", F.lit(UNKNOWN_CITY)).alias("ville"),
+        pick("maladie_chronique", F.lit(UNKNOWN)).alias("maladie"),
+        pick("medecin_referent", F.lit(UNKNOWN)).alias("medecin"),
+        pick("numero_urgence", F.lit(UNKNOWN)).alias("urgence"),
+        pick("date_inscription", F.lit(UNKNOWN)).alias("inscription"),
         F.col("timestamp"),
         F.col("frequence_cardiaque_bpm").alias("fc"),
         F.col("spo2_pct").alias("spo2"),
@@ -166,13 +176,6 @@ def patient_cards(latest_updates: DataFrame) -> DataFrame:
     )
 
 
-NOTE = {
-    CRITIQUE: "Intervention urgente recommandée.",
-    WARNING: "Surveillance renforcée conseillée.",
-    NORMAL: "État stable — suivi routinier.",
-}
-
-
 def patient_dossier(latest_updates: DataFrame) -> DataFrame:
     """Dossier per patient: profile block, current vitals with levels, active
     alerts with reference thresholds, clinical note and intervention flag
@@ -182,8 +185,8 @@ def patient_dossier(latest_updates: DataFrame) -> DataFrame:
     nom = F.when(F.col("nom").isNull() | (F.col("nom") == ""), F.col("patient_id")).otherwise(F.col("nom"))
     seuils = F.array_join(F.transform(a, lambda x: F.concat(
         signal_label(x["signal"]), F.lit(": warning ["),
-        F.coalesce(js_number(x["seuil_warn_min"]), F.lit("?")), F.lit(" – "),
-        F.coalesce(js_number(x["seuil_warn_max"]), F.lit("?")), F.lit("] "),
+        F.coalesce(js_number(x["seuil_warn_min"]), F.lit(UNKNOWN)), F.lit(" – "),
+        F.coalesce(js_number(x["seuil_warn_max"]), F.lit(UNKNOWN)), F.lit("] "),
         F.coalesce(x["unite"], F.lit("")))), " | ")
     return latest_updates.select(
         "patient_id",
@@ -192,7 +195,7 @@ def patient_dossier(latest_updates: DataFrame) -> DataFrame:
         niveau.alias("niveau"),
         F.col("age_affiche"), F.col("sexe"), F.col("inscription"),
         F.col("maladie"), F.col("medecin"), F.col("urgence"),
-        F.when(F.col("ville").isNull() | (F.col("ville") == ""), F.lit("Inconnue"))
+        F.when(F.col("ville").isNull() | (F.col("ville") == ""), F.lit(UNKNOWN_CITY))
         .otherwise(F.col("ville")).alias("localisation"),
         F.col("timestamp").alias("derniere_mesure"),
         fixed(F.col("temperature"), 1).alias("temperature_affichee"),

@@ -9,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilo.functions.vitals import REQUIRED_VITALS
+from vigilo.functions.vitals import LOW_BATTERY_BELOW, REQUIRED_VITALS
+
+# The sensor status kept and the signal quality rejected.
+ACTIVE_STATUS = "Actif"
+BAD_QUALITY = "mauvais"
 
 
 def drop_header_rows(df: DataFrame, key: str) -> DataFrame:
@@ -20,12 +24,13 @@ def drop_header_rows(df: DataFrame, key: str) -> DataFrame:
 
 def sensors_ok(sensors: DataFrame) -> DataFrame:
     """Active sensors with at least 20 % battery (F1). Null status or battery drops."""
-    return sensors.filter((F.col("statut_capteur") == "Actif") & (F.col("batterie_pct") >= 20))
+    return sensors.filter((F.col("statut_capteur") == ACTIVE_STATUS)
+                          & (F.col("batterie_pct") >= LOW_BATTERY_BELOW))
 
 
 def signals_ok(signals: DataFrame) -> DataFrame:
     """Signal quality not ``mauvais`` (null quality drops) and all seven vitals present."""
-    cond = F.col("qualite_signal") != "mauvais"
+    cond = F.col("qualite_signal") != BAD_QUALITY
     for c in REQUIRED_VITALS:
         cond = cond & F.col(c).isNotNull()
     return signals.filter(cond)

@@ -62,7 +62,7 @@ CENTRE_ROWS = [
     ("C028", "Hôpital Régional Tataouine", "Tataouine", "Tataouine", "Hôpital", "75-860-244", 32.921, 10.451),
 ]
 
-# Fallback governorate when no governorate matches a patient's city.
+# Fixed value: fallback governorate when no governorate matches a patient's city.
 DEFAULT_GOVERNORATE = "Tunis"
 
 
