@@ -10,7 +10,7 @@ from vigilo import schemas
 from vigilo.functions.ids import normalise_patient_id
 from vigilo.plans import batch_job
 from vigilo.sources import files
-from vigilo.streaming import app, pipeline
+from vigilo.streaming import app, jobs
 
 
 def test_batch_job_on_sample(spark, workdir):
@@ -43,9 +43,9 @@ def test_streaming_app_replays_observation_files(spark, workdir):
                    os.path.join(workdir, "ck"), "--trigger", "availableNow"])
     for q in app.start(spark, a):
         q.awaitTermination()
-    assert pipeline.read_output(spark, f"{out}/alertes_job", "alertes").count() == 285
-    upd = pipeline.read_output(spark, f"{out}/alertes_job", "patient_updates")
+    assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == 285
+    upd = jobs.read_output(spark, f"{out}/alertes_job", "patient_updates")
     assert upd.filter("ville = 'Inconnue'").count() == 0
-    assert pipeline.read_latest_messages(spark, f"{out}/etat").count() == 12
-    c = pipeline.read_counters(spark, f"{out}/compteurs_job").first()
+    assert jobs.read_latest_messages(spark, f"{out}/etat").count() == 12
+    c = jobs.read_counters(spark, f"{out}/compteurs_job").first()
     assert (c["alertes_total"], c["patients_surveilles"]) == (285, 12)

@@ -12,7 +12,7 @@ from vigilo.operators import monitor
 from vigilo.sources import files
 from vigilo.sources import reference_tables as ref
 from vigilo.sources.stream import encode_messages, file_stream
-from vigilo.streaming import pipeline
+from vigilo.streaming import jobs
 
 
 def _wire_parts(spark, parts=3):
@@ -47,18 +47,18 @@ def test_stream_equals_batch(spark, workdir):
     _split_sample(spark, workdir)
     patients = files.scan_patients(spark, sample("Table_Patients.csv"))
     out = os.path.join(workdir, "out")
-    q = pipeline.alert_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
+    q = jobs.alert_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
                               ref.thresholds(spark), patients, trigger="availableNow")
     q.awaitTermination()
-    streamed = pipeline.read_output(spark, out, "alertes")
+    streamed = jobs.read_output(spark, out, "alertes")
     assert streamed.count() == 285
     assert streamed.exceptAll(_batch_alerts(spark)).count() == 0
     assert _batch_alerts(spark).exceptAll(streamed).count() == 0
-    upd = pipeline.read_output(spark, out, "patient_updates")
+    upd = jobs.read_output(spark, out, "patient_updates")
     assert upd.count() == 180
     assert {r["niveau_max"]: r["count"] for r in upd.groupBy("niveau_max").count().collect()} == \
         {"NORMAL": 60, "WARNING": 82, "CRITIQUE": 38}
-    assert pipeline.read_output(spark, out, "rejets").count() == 0
+    assert jobs.read_output(spark, out, "rejets").count() == 0
 
 
 def test_restart_no_loss_no_duplicate(spark, workdir):
@@ -66,15 +66,15 @@ def test_restart_no_loss_no_duplicate(spark, workdir):
     _write_part(workdir, 0, parts[0])       # only the first file exists for the first run
     patients = files.scan_patients(spark, sample("Table_Patients.csv"))
     out, ck = os.path.join(workdir, "out"), os.path.join(workdir, "ck")
-    pipeline.alert_stream(_wire_stream(spark, workdir), out, ck, ref.thresholds(spark), patients,
+    jobs.alert_stream(_wire_stream(spark, workdir), out, ck, ref.thresholds(spark), patients,
                           trigger="availableNow").awaitTermination()
-    first = pipeline.read_output(spark, out, "alertes").count()
+    first = jobs.read_output(spark, out, "alertes").count()
     assert 0 < first < 285
     for i in (1, 2):
         _write_part(workdir, i, parts[i])
-    pipeline.alert_stream(_wire_stream(spark, workdir), out, ck, ref.thresholds(spark), patients,
+    jobs.alert_stream(_wire_stream(spark, workdir), out, ck, ref.thresholds(spark), patients,
                           trigger="availableNow").awaitTermination()
-    alerts = pipeline.read_output(spark, out, "alertes")
+    alerts = jobs.read_output(spark, out, "alertes")
     assert alerts.count() == 285
     assert alerts.select("alerte_id").distinct().count() == 285
 
@@ -85,17 +85,17 @@ def test_batch_replay_is_idempotent(spark, workdir):
     patients = files.scan_patients(spark, sample("Table_Patients.csv"))
     out = os.path.join(workdir, "out")
     for _ in range(2):   # the same batch id delivered twice
-        pipeline.process_batch(wire, 7, out, ref.thresholds(spark), patients)
-    assert pipeline.read_output(spark, out, "alertes").count() == 285
+        jobs.process_batch(wire, 7, out, ref.thresholds(spark), patients)
+    assert jobs.read_output(spark, out, "alertes").count() == 285
 
 
 def test_malformed_records_are_rejected(spark, workdir):
     raw = spark.createDataFrame([("k", "{not json"), ("k", '{"mesure_id":"M1","patient_id":"P002",'
                                  '"frequence_cardiaque_bpm":150}')], "key string, value string")
     out = os.path.join(workdir, "out")
-    pipeline.process_batch(raw, 0, out, ref.thresholds(spark), spark.createDataFrame([], schemas.PATIENTS))
-    assert pipeline.read_output(spark, out, "rejets").count() == 1
-    a = pipeline.read_output(spark, out, "alertes").collect()
+    jobs.process_batch(raw, 0, out, ref.thresholds(spark), spark.createDataFrame([], schemas.PATIENTS))
+    assert jobs.read_output(spark, out, "rejets").count() == 1
+    a = jobs.read_output(spark, out, "alertes").collect()
     assert [(r["alerte_id"], r["niveau_alerte"], r["patient_id"]) for r in a] == \
         [("M1_frequence_cardiaque", "CRITIQUE", "PAT0002")]
 
@@ -103,9 +103,9 @@ def test_malformed_records_are_rejected(spark, workdir):
 def test_latest_state_stream_matches_batch(spark, workdir):
     _split_sample(spark, workdir)
     out = os.path.join(workdir, "out")
-    pipeline.latest_state_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
+    jobs.latest_state_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
                                  trigger="availableNow").awaitTermination()
-    streamed = {r["mesure_id"] for r in pipeline.read_latest_messages(spark, out).collect()}
+    streamed = {r["mesure_id"] for r in jobs.read_latest_messages(spark, out).collect()}
     obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
     msgs = obs.select(*[f.name for f in schemas.MESSAGE.fields])
     batch = {r["mesure_id"] for r in monitor.latest_messages(msgs).collect()}
@@ -121,18 +121,18 @@ def test_observation_csv_as_stream_source(spark, workdir):
                       max_files_per_trigger=1, header=True, sep=",")
     out = os.path.join(workdir, "out")
     patients = files.scan_patients(spark, sample("Table_Patients.csv"))
-    pipeline.alert_stream(encode_messages(obs), out, os.path.join(workdir, "ck"), ref.THRESHOLD_ROWS,
+    jobs.alert_stream(encode_messages(obs), out, os.path.join(workdir, "ck"), ref.THRESHOLD_ROWS,
                           patients, trigger="availableNow").awaitTermination()
-    assert pipeline.read_output(spark, out, "alertes").count() == 285
-    assert pipeline.read_output(spark, out, "comptages").agg(F.sum("nb_mesures")).first()[0] == 180
+    assert jobs.read_output(spark, out, "alertes").count() == 285
+    assert jobs.read_output(spark, out, "comptages").agg(F.sum("nb_mesures")).first()[0] == 180
 
 
 def test_counters_stream(spark, workdir):
     _split_sample(spark, workdir)
     out = os.path.join(workdir, "out")
-    pipeline.counters_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
+    jobs.counters_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
                              ref.THRESHOLD_ROWS, trigger="availableNow").awaitTermination()
-    c = pipeline.read_counters(spark, out).first()
+    c = jobs.read_counters(spark, out).first()
     assert (c["alertes_total"], c["patients_surveilles"]) == (285, 12)
     assert c["alertes_critiques"] + c["alertes_warning"] == 285
 
@@ -143,12 +143,12 @@ def test_replayed_measurements_deduplicated_within_watermark(spark, workdir):
     _write_part(workdir, 1, parts[0])          # the same 180 measurements delivered again
     patients = files.scan_patients(spark, sample("Table_Patients.csv"))
     out = os.path.join(workdir, "out")
-    pipeline.alert_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
+    jobs.alert_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
                           ref.THRESHOLD_ROWS, patients, trigger="availableNow",
                           dedup_within="1 hour").awaitTermination()
-    alerts = pipeline.read_output(spark, out, "alertes")
+    alerts = jobs.read_output(spark, out, "alertes")
     assert alerts.count() == 285 and alerts.select("alerte_id").distinct().count() == 285
     out2 = os.path.join(workdir, "out2")
-    pipeline.alert_stream(_wire_stream(spark, workdir), out2, os.path.join(workdir, "ck2"),
+    jobs.alert_stream(_wire_stream(spark, workdir), out2, os.path.join(workdir, "ck2"),
                           ref.THRESHOLD_ROWS, patients, trigger="availableNow").awaitTermination()
-    assert pipeline.read_output(spark, out2, "alertes").count() == 570   # at-least-once without dedup
+    assert jobs.read_output(spark, out2, "alertes").count() == 570   # at-least-once without dedup

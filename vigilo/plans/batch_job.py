@@ -37,7 +37,7 @@ KPI_TABLES = {
 
 def run(spark: SparkSession, patients: DataFrame, signals: DataFrame, sensors: DataFrame,
         out: str, fmt: str = "parquet") -> dict[str, str]:
-    """Run the pipeline; returns table name → path."""
+    """Run the batch job; returns table name → path."""
     out = out.rstrip("/")
     paths = {"mesures_patients": f"{out}/mesures_patients"}
     files.write_table(enrich.enriched(signals, sensors, patients), paths["mesures_patients"])

@@ -22,7 +22,7 @@ from vigilo.sources import files
 from vigilo.sources import reference_tables as ref
 from vigilo.sources import stream as st
 from vigilo.sources import testdata as td
-from vigilo.streaming import pipeline
+from vigilo.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,9 +86,9 @@ def _wire_stream(spark, sf) -> DataFrame:
 
 def _run_alert_stream(spark, sf, dedup_within: str | None = None) -> str:
     out = fresh_path(spark, "alert-stream")
-    profile = pipeline.prepare_profile(td.patients(spark, sf))
+    profile = jobs.prepare_profile(td.patients(spark, sf))
     try:
-        pipeline.alert_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
+        jobs.alert_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
                               profile=profile, trigger="availableNow",
                               dedup_within=dedup_within).awaitTermination()
     finally:
@@ -97,33 +97,33 @@ def _run_alert_stream(spark, sf, dedup_within: str | None = None) -> str:
 
 
 def stream_alerts(spark, sf) -> DataFrame:
-    return pipeline.read_output(spark, _run_alert_stream(spark, sf), "alertes")
+    return jobs.read_output(spark, _run_alert_stream(spark, sf), "alertes")
 
 
 def stream_alerts_dedup(spark, sf) -> DataFrame:
     """Alert stream with replayed measurements dropped within a 1-hour watermark."""
-    return pipeline.read_output(spark, _run_alert_stream(spark, sf, dedup_within="1 hour"), "alertes")
+    return jobs.read_output(spark, _run_alert_stream(spark, sf, dedup_within="1 hour"), "alertes")
 
 
 def stream_patient_updates(spark, sf) -> DataFrame:
     out = _run_alert_stream(spark, sf)
-    return profiles.flat_updates(pipeline.read_output(spark, out, "patient_updates"))
+    return profiles.flat_updates(jobs.read_output(spark, out, "patient_updates"))
 
 
 def stream_latest_state(spark, sf) -> DataFrame:
     out = fresh_path(spark, "latest-stream")
-    pipeline.latest_state_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint",
+    jobs.latest_state_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint",
                                  trigger="availableNow").awaitTermination()
-    last = pipeline.read_latest_messages(spark, out)
+    last = jobs.read_latest_messages(spark, out)
     upd = profiles.patient_updates(al.with_alerts(last, ref.THRESHOLD_ROWS), td.patients(spark, sf))
     return profiles.flat_updates(upd)
 
 
 def stream_monitor_counters(spark, sf) -> DataFrame:
     out = fresh_path(spark, "counters-stream")
-    pipeline.counters_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
+    jobs.counters_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
                              trigger="availableNow").awaitTermination()
-    return pipeline.read_counters(spark, out)
+    return jobs.read_counters(spark, out)
 
 
 def dashboard_from_stored(spark, sf) -> DataFrame:
@@ -146,7 +146,7 @@ def enriched_text_roundtrip(spark, sf) -> DataFrame:
 def stream_batch_counts(spark, sf) -> DataFrame:
     """Measurements per micro-batch (A13), summed over the run."""
     out = _run_alert_stream(spark, sf)
-    return pipeline.read_output(spark, out, "comptages").agg(
+    return jobs.read_output(spark, out, "comptages").agg(
         F.sum("nb_mesures").cast("long").alias("nb_mesures"), F.count(F.lit(1)).alias("nb_lots"))
 
 
@@ -155,7 +155,7 @@ def alert_history(spark, sf) -> DataFrame:
     out = fresh_path(spark, "alert-history")
     hist = al.to_history(_alert_events(spark, sf))
     hist.write.mode("overwrite").parquet(f"{out}/alertes/batch_id=0")
-    return pipeline.read_output(spark, out, "alertes")
+    return jobs.read_output(spark, out, "alertes")
 
 
 # ------------------------------------------------------------------ registry

@@ -23,7 +23,7 @@ from vigilo import schemas
 from vigilo.session import shared_dir
 from vigilo.sources import files, stream
 from vigilo.sources.reference_tables import THRESHOLD_ROWS
-from vigilo.streaming import pipeline
+from vigilo.streaming import jobs
 
 
 def source(spark: SparkSession, a) -> DataFrame:
@@ -48,11 +48,11 @@ def patients_table(spark: SparkSession, path: str | None) -> DataFrame:
 def start(spark: SparkSession, a) -> list:
     ck = (a.checkpoint or f"{shared_dir(spark)}/vigilo-stream").rstrip("/")
     trigger = a.trigger
-    q_alerts = pipeline.alert_stream(source(spark, a), f"{a.out}/alertes_job", f"{ck}/alertes",
+    q_alerts = jobs.alert_stream(source(spark, a), f"{a.out}/alertes_job", f"{ck}/alertes",
                                      THRESHOLD_ROWS, patients_table(spark, a.patients), trigger=trigger,
                                      dedup_within=a.dedup_within)
-    q_state = pipeline.latest_state_stream(source(spark, a), f"{a.out}/etat", f"{ck}/etat", trigger=trigger)
-    q_count = pipeline.counters_stream(source(spark, a), f"{a.out}/compteurs_job", f"{ck}/compteurs",
+    q_state = jobs.latest_state_stream(source(spark, a), f"{a.out}/etat", f"{ck}/etat", trigger=trigger)
+    q_count = jobs.counters_stream(source(spark, a), f"{a.out}/compteurs_job", f"{ck}/compteurs",
                                        THRESHOLD_ROWS, trigger=trigger)
     return [q_alerts, q_state, q_count]
 
@@ -70,7 +70,7 @@ def parse(argv: list[str] | None = None):
     ap.add_argument("--patients")
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint")
-    ap.add_argument("--trigger", default=pipeline.BATCH_INTERVAL,
+    ap.add_argument("--trigger", default=jobs.BATCH_INTERVAL,
                     help="processing-time interval, or availableNow")
     ap.add_argument("--dedup-within", help="event-time delay for dropping replayed measurements")
     return ap.parse_args(argv)
