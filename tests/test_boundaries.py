@@ -168,3 +168,12 @@ def test_missing_dimension_gives_empty_typed_frame(spark, tmp_path):
                                                        schemas.PATIENTS),
                                  files.load_optional(spark, str(tmp_path / "none"), schemas.CENTRES))
     assert nc.first()["centre_id"] is None
+
+
+def test_nearest_centre_literal_equals_table(spark):
+    cities = ["", None, "Kef", "Grand Tunis", "Paris", "gabès", "Sfax", "ARIANA", "ben arous", "x"]
+    p = spark.createDataFrame([(str(i), "n", 70, "F", v, "x", "d", "1", "d") for i, v in enumerate(cities)],
+                              schemas.PATIENTS)
+    a = profiles.nearest_centre(p, ref.centres(spark)).orderBy("patient_id").collect()
+    b = profiles.nearest_centre(p, ref.CENTRE_ROWS).orderBy("patient_id").collect()
+    assert a == b

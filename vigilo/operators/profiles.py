@@ -15,8 +15,11 @@ from vigilo.functions.render import fixed, initials, js_number, signal_label
 from vigilo.functions.vitals import CRITIQUE, NORMAL, WARNING
 from vigilo.operators import alerts as al
 from vigilo.operators import quality
+from vigilo.schemas import CENTRES
 from vigilo.sources.reference_tables import DEFAULT_GOVERNORATE
 
+_CENTRE_FIELDS = [f for f in CENTRES.fields if f.name != "gouvernorat"]
+
 PROFILE_FIELDS = ["nom", "age", "sexe", "ville", "maladie_chronique", "medecin_referent",
                   "numero_urgence", "date_inscription"]
 
@@ -123,12 +126,42 @@ def nearest_centre_of(city: Column, govs: Column) -> Column:
     return F.coalesce(hit, fallback)
 
 
-def nearest_centre(patients: DataFrame, centres: DataFrame) -> DataFrame:
-    """Nearest health centre per patient: a narrow per-row expression, no join."""
+def nearest_centre_literal(city: Column, rows) -> Column:
+    """``nearest_centre_of`` for literal centre rows: the governorates become a
+    CASE chain in load order (constants, no lambda, stays in codegen)."""
+    first: dict[str, tuple] = {}
+    for r in sorted(rows, key=lambda r: r[0]):          # lowest centre id first
+        first.setdefault(r[3], r)
+    govs = sorted(first.values(), key=lambda r: r[0])   # governorate load order
+
+    def value(r):
+        centre = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in
+                            zip((r[0], r[1], r[2], r[4], r[5], r[6], r[7]), _CENTRE_FIELDS)])
+        return F.struct(F.lit(r[0]).alias("ordre"), F.lit(r[3].lower()).alias("g"),
+                        F.lit(r[3]).alias("gouvernorat"), centre.alias("centre"))
+
+    c = F.lower(F.coalesce(city, F.lit("")))
+    out = None
+    for r in govs:
+        g = F.lit(r[3].lower())
+        cond = g.contains(c) | c.contains(g)
+        out = F.when(cond, value(r)) if out is None else out.when(cond, value(r))
+    fallback = [r for r in govs if r[3] == DEFAULT_GOVERNORATE]
+    if out is None:
+        return F.lit(None)
+    return out.otherwise(value(fallback[0]) if fallback else F.lit(None))
+
+
+def nearest_centre(patients: DataFrame, centres) -> DataFrame:
+    """Nearest health centre per patient: a narrow per-row expression, no join.
+    ``centres`` is a DataFrame (scalar-subquery list) or literal centre rows."""
     p = quality.drop_header_rows(patients, "patient_id")
-    # The list is projected as a column first: a subquery may not sit in a lambda.
-    p = p.select("patient_id", "ville", governorate_list(centres).alias("_govs"))
-    hit = nearest_centre_of(F.col("ville"), F.col("_govs"))
+    if isinstance(centres, DataFrame):
+        # The list is projected as a column first: a subquery may not sit in a lambda.
+        p = p.select("patient_id", "ville", governorate_list(centres).alias("_govs"))
+        hit = nearest_centre_of(F.col("ville"), F.col("_govs"))
+    else:
+        hit = nearest_centre_literal(F.col("ville"), centres)
     return p.select(
         "patient_id", "ville",
         hit["gouvernorat"].alias("gouvernorat"),

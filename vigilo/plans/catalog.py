@@ -188,7 +188,7 @@ QUERIES: dict[str, Query] = {
     "classify_level": lambda s, sf: al.classify_levels(messages(s, sf), ref.THRESHOLD_ROWS),
     "alerts_batch": _alert_events,
     "patient_updates": lambda s, sf: profiles.flat_updates(_updates(s, sf)),
-    "nearest_centre": lambda s, sf: profiles.nearest_centre(td.patients(s, sf), ref.centres(s)),
+    "nearest_centre": lambda s, sf: profiles.nearest_centre(td.patients(s, sf), ref.CENTRE_ROWS),
     "patient_cards": lambda s, sf: profiles.patient_cards(_latest_updates(s, sf)),
     "patient_dossier": lambda s, sf: profiles.patient_dossier(_latest_updates(s, sf)),
     # wire format
