@@ -152,3 +152,12 @@ def test_replayed_measurements_deduplicated_within_watermark(spark, workdir):
     jobs.alert_stream(_wire_stream(spark, workdir), out2, os.path.join(workdir, "ck2"),
                           ref.THRESHOLD_ROWS, patients, trigger="availableNow").awaitTermination()
     assert jobs.read_output(spark, out2, "alertes").count() == 570   # at-least-once without dedup
+
+
+def test_shared_dir_is_stable_root(spark):
+    from vigilo.session import shared_dir
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    d = shared_dir(spark)
+    assert d == shared_dir(spark)
+    if root:
+        assert d == root.rstrip("/")

@@ -51,17 +51,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared working folder.
 
-    Read ``spark.checkpoint.dir`` from the session (the cluster names it).
-    Only when it is unset (local tests) is a private folder created and set.
+    The configured ``spark.checkpoint.dir`` (stable across application restarts,
+    so stream checkpoints below it survive a restart); else the context's
+    checkpoint folder; only when neither is set (local tests) is a private
+    folder created and set.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="vigilo-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return (spark.sparkContext.getCheckpointDir() or d).rstrip("/")
+        spark.sparkContext.setCheckpointDir(d)
+    return d.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
