@@ -161,3 +161,17 @@ def test_shared_dir_is_stable_root(spark):
     assert d == shared_dir(spark)
     if root:
         assert d == root.rstrip("/")
+
+
+def test_history_is_partitioned_by_day(spark, workdir):
+    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    out = os.path.join(workdir, "out")
+    jobs.process_batch(encode_messages(obs), 3, out, ref.THRESHOLD_ROWS,
+                       files.scan_patients(spark, sample("Table_Patients.csv")))
+    assert os.path.isdir(os.path.join(out, "alertes", "batch_id=3", "date_alerte=2025-01-15"))
+    hist = jobs.read_output(spark, out, "alertes")
+    assert dict(hist.dtypes)["date_alerte"] == "string"
+    day = hist.filter(F.col("date_alerte") == "2025-01-15")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_alerte" in plan
+    assert day.count() == 285

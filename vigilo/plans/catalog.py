@@ -151,10 +151,11 @@ def stream_batch_counts(spark, sf) -> DataFrame:
 
 
 def alert_history(spark, sf) -> DataFrame:
-    """Alert history written as table partition ``batch_id=0`` and read back (K6)."""
+    """Alert history written as batch ``0`` of the history table (partitioned by
+    day inside the batch) and read back (K6)."""
     out = fresh_path(spark, "alert-history")
     hist = al.to_history(_alert_events(spark, sf))
-    hist.write.mode("overwrite").parquet(f"{out}/alertes/batch_id=0")
+    jobs.write_alert_history(hist, out, 0)
     return jobs.read_output(spark, out, "alertes")
 
 

@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql.types import LongType, StructField, StructType
+
+from vigilo import schemas
 from vigilo.functions.ids import normalise_patient_id
 from vigilo.operators import alerts as al
 from vigilo.operators import profiles
@@ -77,8 +80,23 @@ def prepare_profile(patients: DataFrame) -> DataFrame:
     return profiles.profile_lookup(patients).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+# Tables partitioned by a column inside each batch folder (a day's alerts are
+# read without touching other days), with the declared schema used to read them
+# back so that partition values keep their string type.
+DATE_PARTITIONED = {"alertes": ("date_alerte", schemas.ALERT_HISTORY)}
+
+
 def _write_partition(df: DataFrame, out: str, table: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{out}/{table}/batch_id={batch_id}")
+    """Overwrite ``<out>/<table>/batch_id=<id>`` (idempotent on replay)."""
+    w = df.write.mode("overwrite")
+    if table in DATE_PARTITIONED:
+        w = w.partitionBy(DATE_PARTITIONED[table][0])
+    w.parquet(f"{out}/{table}/batch_id={batch_id}")
+
+
+def write_alert_history(history: DataFrame, out: str, batch_id: int) -> None:
+    """Persist alert history rows as batch ``batch_id`` of ``<out>/alertes`` (K6)."""
+    _write_partition(history, out, "alertes", batch_id)
 
 
 def dedup_replays(msgs: DataFrame, delay: str) -> DataFrame:
@@ -129,6 +147,11 @@ def latest_state_stream(records: DataFrame, out: str, checkpoint: str,
 
 def read_output(spark: SparkSession, out: str, table: str) -> DataFrame:
     """A table written by the stream, without the ``batch_id`` partition column."""
+    if table in DATE_PARTITIONED:
+        schema = DATE_PARTITIONED[table][1]
+        full = StructType(schema.fields + [StructField("batch_id", LongType(), True)])
+        # partition values come back last; restore the declared column order
+        return spark.read.schema(full).parquet(f"{out}/{table}").select(*schema.fieldNames())
     return spark.read.parquet(f"{out}/{table}").drop("batch_id")
 
 
