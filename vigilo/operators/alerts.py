@@ -128,13 +128,28 @@ def with_alerts(messages: DataFrame, thresholds: Thresholds) -> DataFrame:
     return add_alerts(with_patient_key(messages), thresholds)
 
 
+def level_columns(thresholds: Thresholds) -> list[Column]:
+    """One level column ``_l_<signal>`` per monitored signal."""
+    rules = rules_of(thresholds)
+    return [classify(c, rules[s]).alias(f"_l_{s}") for s, c in SIGNAL_COLUMNS]
+
+
+def level_counts() -> dict[str, Column]:
+    """Per-row counts over the ``_l_*`` columns: abnormal, critical, warning."""
+    lvl = [F.col(f"_l_{s}") for s in SIGNAL_NAMES]
+    count = lambda cond: sum((F.when(cond(x), 1).otherwise(0) for x in lvl), F.lit(0))
+    return {"nb_alertes": count(lambda x: x != NORMAL),
+            "nb_critiques": count(lambda x: x == CRITIQUE),
+            "nb_warnings": count(lambda x: x == WARNING)}
+
+
 def add_alerts(m: DataFrame, thresholds: Thresholds) -> DataFrame:
     """``alertes``, ``nb_alertes`` and ``niveau_max`` computed from the seven vital
     columns of any frame that carries them (e.g. messages already joined to a
     profile)."""
     rules = rules_of(thresholds)
     base = m.columns
-    m = m.select("*", *[classify(c, rules[s]).alias(f"_l_{s}") for s, c in SIGNAL_COLUMNS])
+    m = m.select("*", *level_columns(thresholds))
     lvl = {s: F.col(f"_l_{s}") for s in SIGNAL_NAMES}
     # concat of one-element / empty arrays keeps signal order and stays in codegen
     # (array_compact would be a lambda, which falls back to interpreted evaluation).

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.functions.ids import normalise_patient_id
-from vigilo.functions.vitals import CRITIQUE, SIGNAL_NAMES, WARNING, severity_rank
+from vigilo.functions.vitals import SIGNAL_NAMES, severity_rank
 from vigilo.operators import alerts as al
 from vigilo.operators import profiles
 
@@ -39,17 +39,16 @@ def latest_patient_state(messages: DataFrame, thresholds: al.Thresholds, patient
 
 
 def monitor_counters(messages: DataFrame, thresholds: al.Thresholds) -> DataFrame:
-    """Total / critical / warning alerts and patients monitored (A9, A10), one pass."""
+    """Total / critical / warning alerts and patients monitored (A9, A10), one pass
+    over the seven level columns (no alert records are built)."""
     valid = messages.filter(al.is_valid(messages))
-    wa = al.with_alerts(valid, thresholds)
-    levels = F.col("alertes.niveau_alerte")
-    # alerts are WARNING or CRITIQUE: removing one level counts the other (no lambda)
-    n_crit = F.size(F.array_remove(levels, WARNING))
-    n_warn = F.size(F.array_remove(levels, CRITIQUE))
-    return wa.agg(
-        F.coalesce(F.sum("nb_alertes"), F.lit(0)).cast("long").alias("alertes_total"),
-        F.coalesce(F.sum(n_crit), F.lit(0)).cast("long").alias("alertes_critiques"),
-        F.coalesce(F.sum(n_warn), F.lit(0)).cast("long").alias("alertes_warning"),
+    lv = al.with_patient_key(valid).select("patient_id", *al.level_columns(thresholds))
+    c = al.level_counts()
+    total = lambda col: F.coalesce(F.sum(col), F.lit(0)).cast("long")
+    return lv.agg(
+        total(c["nb_alertes"]).alias("alertes_total"),
+        total(c["nb_critiques"]).alias("alertes_critiques"),
+        total(c["nb_warnings"]).alias("alertes_warning"),
         F.countDistinct("patient_id").alias("patients_surveilles"),
     )
 

@@ -171,12 +171,13 @@ def counters_stream(records: DataFrame, out: str, checkpoint: str, thresholds: a
     which also counts the patients monitored exactly (a streaming distinct count
     is not available, a per-key state is)."""
     msgs = decode_messages(records) if "value" in records.columns else records
-    wa = al.with_alerts(msgs.filter(al.is_valid(msgs)), thresholds)
-    levels = F.col("alertes.niveau_alerte")
-    state = wa.groupBy("patient_id").agg(
-        F.sum("nb_alertes").cast("long").alias("alertes_total"),
-        F.sum(F.size(F.array_remove(levels, "WARNING"))).cast("long").alias("alertes_critiques"),
-        F.sum(F.size(F.array_remove(levels, "CRITIQUE"))).cast("long").alias("alertes_warning"))
+    lv = al.with_patient_key(msgs.filter(al.is_valid(msgs))).select(
+        "patient_id", *al.level_columns(thresholds))
+    c = al.level_counts()
+    state = lv.groupBy("patient_id").agg(
+        F.sum(c["nb_alertes"]).cast("long").alias("alertes_total"),
+        F.sum(c["nb_critiques"]).cast("long").alias("alertes_critiques"),
+        F.sum(c["nb_warnings"]).cast("long").alias("alertes_warning"))
 
     def sink(b: DataFrame, i: int) -> None:
         _write_partition(b, out, "compteurs", i)
