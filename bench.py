@@ -40,18 +40,24 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "5"))
     keys = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
-    out = {}
+    out, failed = {}, {}
     for k in keys:
-        run_once(spark, k, sf)
-        out[k] = round(statistics.median(run_once(spark, k, sf) for _ in range(reps)), 4)
+        try:
+            run_once(spark, k, sf)
+            out[k] = round(statistics.median(run_once(spark, k, sf) for _ in range(reps)), 4)
+        except Exception as e:  # noqa: BLE001 - report the failure, keep measuring the rest
+            failed[k] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
     m = re.search(r"sf([0-9.]+)", sf)
-    print(json.dumps({
+    result = {
         "metric": "sum_of_median_query_seconds",
         "value": round(sum(out.values()), 4),
         "unit": "sec",
         "queries": out,
         "sf": float(m.group(1)) if m else sf,
-    }))
+    }
+    if failed:
+        result["failed"] = failed
+    print(json.dumps(result))
     spark.stop()
 
 
