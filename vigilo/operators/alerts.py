@@ -54,22 +54,28 @@ def rules_row(thresholds: DataFrame) -> Column:
         F.max(F.when(sig == s, rule)).alias(s) for s in SIGNAL_NAMES]).alias("rules")).scalar()
 
 
-def rules_literal(rows) -> Column:
-    """The same struct built from literal threshold rows (``signal, wmin, wmax, cmin,
-    cmax, unite, …``); Catalyst folds every bound into a constant."""
+def _best_rules(rows) -> dict[str, tuple]:
+    """One rule per monitored signal from literal rows (the greatest if listed twice)."""
     best: dict[str, tuple] = {}
     for r in rows:
         if r[0] in SIGNAL_NAMES:
             rule = tuple(r[1:6])
             best[r[0]] = max(best.get(r[0], rule), rule, key=_rule_order)
+    return best
+
+
+def _literal_rule(rule: tuple | None) -> Column:
+    if rule is None:
+        return F.lit(None).cast(_RULE_TYPE)
     types = {f.name: f.dataType for f in THRESHOLDS.fields}
+    return F.struct(*[F.lit(v).cast(types[f]).alias(f) for v, f in zip(rule, RULE_FIELDS)])
 
-    def one(s):
-        if s not in best:
-            return F.lit(None).cast(_RULE_TYPE).alias(s)
-        return F.struct(*[F.lit(v).cast(types[f]).alias(f) for v, f in zip(best[s], RULE_FIELDS)]).alias(s)
 
-    return F.struct(*[one(s) for s in SIGNAL_NAMES])
+def rules_literal(rows) -> Column:
+    """The same struct built from literal threshold rows (``signal, wmin, wmax, cmin,
+    cmax, unite, …``); Catalyst folds every bound into a constant."""
+    best = _best_rules(rows)
+    return F.struct(*[_literal_rule(best.get(s)).alias(s) for s in SIGNAL_NAMES])
 
 
 def _rule_order(rule: tuple):
@@ -80,12 +86,19 @@ _RULE_TYPE = "struct<seuil_warning_min:float,seuil_warning_max:float,seuil_criti
              "seuil_critique_max:float,unite:string>"
 
 
-def rules_of(thresholds) -> Column:
-    """Rules from a thresholds DataFrame (scalar subquery) or from literal rows."""
-    return rules_row(thresholds) if isinstance(thresholds, DataFrame) else rules_literal(thresholds)
+def rules_of(thresholds) -> dict[str, Column]:
+    """The rule of each monitored signal, as one small expression per signal: a field
+    of the one-row scalar subquery (thresholds DataFrame) or a literal struct
+    (threshold rows). Per-signal expressions keep plans small: every reference to a
+    rule carries that rule only, not the whole rule set."""
+    if isinstance(thresholds, DataFrame):
+        row = rules_row(thresholds)
+        return {s: row[s] for s in SIGNAL_NAMES}
+    best = _best_rules(thresholds)
+    return {s: _literal_rule(best.get(s)) for s in SIGNAL_NAMES}
 
 
-def rule_by_name(rules: Column, signal: Column) -> Column:
+def rule_by_name(rules: dict[str, Column], signal: Column) -> Column:
     """The rule of a signal given as a column (long form)."""
     out = F.when(signal == SIGNAL_NAMES[0], rules[SIGNAL_NAMES[0]])
     for s in SIGNAL_NAMES[1:]:
