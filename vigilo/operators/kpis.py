@@ -251,13 +251,10 @@ def table_row_counts(stats: DataFrame, enriched_df: DataFrame | None = None) ->
     else:
         first = stats.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("nb_lignes")).select(
             F.lit("mesures_patients").alias("table_name"), "nb_lignes")
-    parts = [
-        first,
-        cnt("kpi1_moyennes_vitaux", kpi1_daily_vitals(stats)),
-        cnt("kpi2_hypertension", kpi2_hypertension(stats)),
-        cnt("kpi3_stabilite_cardiaque", kpi3_cardiac_stability(stats)),
-        cnt("kpi4_oxygenation", kpi4_oxygenation(stats)),
-    ]
+    # each KPI table is a projection of ``stats`` (one row per group)
+    groups = stats.select(*GROUP_KEYS)
+    parts = [first] + [cnt(label, groups) for label in (
+        "kpi1_moyennes_vitaux", "kpi2_hypertension", "kpi3_stabilite_cardiaque", "kpi4_oxygenation")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

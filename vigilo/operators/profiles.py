@@ -162,13 +162,15 @@ def nearest_centre(patients: DataFrame, centres) -> DataFrame:
         hit = nearest_centre_of(F.col("ville"), F.col("_govs"))
     else:
         hit = nearest_centre_literal(F.col("ville"), centres)
-    return p.select(
+    # the match is computed once, then its fields are read
+    m = p.select("patient_id", "ville", hit.alias("_hit"))
+    return m.select(
         "patient_id", "ville",
-        hit["gouvernorat"].alias("gouvernorat"),
-        hit["centre"]["centre_id"].alias("centre_id"),
-        hit["centre"]["nom_centre"].alias("nom_centre"),
-        hit["centre"]["type_centre"].alias("type_centre"),
-        hit["centre"]["telephone"].alias("telephone"),
+        F.col("_hit.gouvernorat").alias("gouvernorat"),
+        F.col("_hit.centre.centre_id").alias("centre_id"),
+        F.col("_hit.centre.nom_centre").alias("nom_centre"),
+        F.col("_hit.centre.type_centre").alias("type_centre"),
+        F.col("_hit.centre.telephone").alias("telephone"),
     )
 
 
