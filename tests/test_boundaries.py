@@ -177,3 +177,17 @@ def test_nearest_centre_literal_equals_table(spark):
     a = profiles.nearest_centre(p, ref.centres(spark)).orderBy("patient_id").collect()
     b = profiles.nearest_centre(p, ref.CENTRE_ROWS).orderBy("patient_id").collect()
     assert a == b
+
+
+def test_decode_python_producer_format(spark):
+    """Messages as a Python producer writes them (spaces, \\u escapes, ints for floats)."""
+    import json
+    msg = {"mesure_id": "RT_00001", "patient_id": "P001", "timestamp": "2025-01-15T08:00:00",
+           "date": "2025-01-15", "heure": "08:00:00", "temperature_C": 36.5,
+           "tension_systolique_mmHg": 109, "tension_diastolique_mmHg": 68, "frequence_cardiaque_bpm": 83,
+           "spo2_pct": 98.7, "frequence_respiratoire_rpm": 17, "glycemie_g_L": 0.75, "poids_kg": 78,
+           "score_douleur_0_10": 0, "capteur_id": "CAPé01", "source": "smartwatch"}
+    raw = spark.createDataFrame([("P001", json.dumps(msg).encode("utf-8"))], "key string, value binary")
+    r = decode_messages(raw).first()
+    assert r["capteur_id"] == "CAPé01" and r["poids_kg"] == 78.0 and r["tension_systolique_mmHg"] == 109
+    assert r["spo2_pct"] == pytest.approx(98.7) and r["source"] == "smartwatch"
