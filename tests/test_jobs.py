@@ -49,3 +49,31 @@ def test_streaming_app_replays_observation_files(spark, workdir):
     assert jobs.read_latest_messages(spark, f"{out}/etat").count() == 12
     c = jobs.read_counters(spark, f"{out}/compteurs_job").first()
     assert (c["alertes_total"], c["patients_surveilles"]) == (285, 12)
+
+
+def test_original_sql_runs_on_registered_views(spark):
+    from vigilo.operators import alerts as al
+    from vigilo.plans import views
+    from vigilo.sources import reference_tables as ref
+    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    signals = obs.select(
+        *[F.regexp_replace("capteur_id", "^CAP", "CAPT").alias(c) if c == "capteur_id"
+          else normalise_patient_id(F.col(c)).alias(c) if c == "patient_id" else F.col(c)
+          for c in [f.name for f in schemas.SIGNALS.fields]])
+    msgs = obs.select(*[f.name for f in schemas.MESSAGE.fields])
+    history = al.to_history(al.alerts(msgs, ref.THRESHOLD_ROWS))
+    names = views.register(spark, files.scan_patients(spark, sample("Table_Patients.csv")), signals,
+                           files.scan_sensors(spark, sample("Table_Capteurs.csv")), history)
+    assert "vue_dashboard_patient" in names and "vue_alertes_resume" in names
+    # the row-count check, written as in the original SQL
+    counts = {r[0]: r[1] for r in spark.sql("""
+        SELECT 'mesures_patients' AS table_name, COUNT(*) AS nb_lignes FROM mesures_patients
+        UNION ALL SELECT 'kpi1_moyennes_vitaux', COUNT(*) FROM kpi1_moyennes_vitaux
+        UNION ALL SELECT 'kpi4_oxygenation', COUNT(*) FROM kpi4_oxygenation""").collect()}
+    assert counts == {"mesures_patients": 90, "kpi1_moyennes_vitaux": 12, "kpi4_oxygenation": 12}
+    crit = [r[0] for r in spark.sql("SELECT patient_id FROM vue_dashboard_patient "
+                                    "WHERE niveau_oxygenation = 'CRITIQUE' ORDER BY patient_id").collect()]
+    assert crit == ["PAT0005", "PAT0009"]
+    assert spark.sql("SELECT SUM(total_alertes) FROM vue_alertes_resume").first()[0] == 285
+    assert spark.sql("SELECT COUNT(*) FROM seuils_alerte").first()[0] == 7
+    assert spark.sql("SELECT COUNT(DISTINCT gouvernorat) FROM centres_sante").first()[0] == 22
