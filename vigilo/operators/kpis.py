@@ -7,10 +7,10 @@ four-way self join, one shuffle).
 
 Two plans produce the same table:
 
-* ``patient_day_kpis(enriched)`` — the reference shape: group the stored
+* ``patient_day_stats(enriched)`` — the reference shape: group the stored
   36-column enriched table by (patient, name, age, disease, date). Partial
   aggregation runs map-side, so a hot patient costs one partial row per task.
-* ``patient_day_kpis_from_sources(signals, sensors, patients)`` — aggregate
+* ``patient_day_stats_from_sources(signals, sensors, patients)`` — aggregate
   first: measurements are reduced to (patient, date) partial states before
   any shuffle, and only those aggregates meet the patient table. A patient
   row that occurs ``m`` times multiplies counts and sums by ``m`` and leaves
