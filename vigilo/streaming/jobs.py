@@ -1,17 +1,20 @@
 """Structured Streaming jobs (T1–T10, K4–K6, A11 streaming).
 
 ``alert_stream``: decode each micro-batch, classify, enrich with the profile
-and write three outputs — alert history, patient updates, rejected
-messages. Each output of batch ``N`` goes to its own ``batch_id=N``
-partition in overwrite mode, so a batch replayed after a failure (executor
-lost, driver restart from the checkpoint) replaces its own files: no loss, no
-duplicate. Nothing is collected to the driver; the batch is persisted once
-and the four writes run as concurrent jobs over it.
-
-``latest_state_stream``: stateful ``max_by`` per patient in update mode; the
-state holds one row per patient (bounded by the patient count, not by the
-event count). Changed rows of each batch are appended per ``batch_id``, and
-the reader resolves the latest row per patient across batches.
+and write four outputs — alert history (partitioned by day), patient
+updates, rejected messages, the batch's measurement count. Each output of
+batch ``N`` goes to its own ``batch_id=N`` folder in overwrite mode, so a
+batch replayed after a failure (executor lost, driver restart from the
+checkpoint) replaces its own files: no loss, no duplicate. Nothing is
+collected to the driver; the batch is persisted once and the four writes run
+as concurrent jobs over it. Optionally, replayed measurements are dropped
+within an event-time watermark.
+
+``latest_state_stream`` / ``counters_stream``: stateful aggregations per
+patient in update mode; the state holds one row per patient (bounded by the
+patient count, not by the event count). Changed rows of each batch are
+written per ``batch_id``, and the readers resolve the latest row per patient
+across batches.
 """
 
 from __future__ import annotations
@@ -22,7 +25,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-
 from pyspark.sql.types import LongType, StructField, StructType
 
 from vigilo import schemas
