@@ -1,11 +1,17 @@
 """Threshold alerts.
 
-The threshold table is folded into ONE row by an uncorrelated scalar
-subquery (``DataFrame.scalar()``): a struct with one rule per monitored
-signal. Spark runs it once per query (once per micro-batch in a stream; all
-references share one execution) and reads fields of the constant struct, so
-classification is a narrow per-row expression — no join, no shuffle, no
-Python. The rule row has a proven size: seven signal names, one rule each.
+Rules come from either source, one rule per monitored signal (a proven
+size: seven):
+
+* a thresholds *table* is folded into ONE row by an uncorrelated scalar
+  subquery (``DataFrame.scalar()``); Spark runs it once per query (once per
+  micro-batch in a stream; all references share one execution) and reads
+  fields of the constant struct;
+* the fixed literal threshold rows become small literal structs that
+  Catalyst folds into constants.
+
+Either way classification is a narrow per-row expression — no join, no
+shuffle, no Python.
 
 Two shapes:
 
