@@ -77,3 +77,34 @@ def test_original_sql_runs_on_registered_views(spark):
     assert spark.sql("SELECT SUM(total_alertes) FROM vue_alertes_resume").first()[0] == 285
     assert spark.sql("SELECT COUNT(*) FROM seuils_alerte").first()[0] == 7
     assert spark.sql("SELECT COUNT(DISTINCT gouvernorat) FROM centres_sante").first()[0] == 22
+
+
+def test_batch_job_recomputes_only_given_days(spark, workdir):
+    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    base = obs.select(
+        *[F.regexp_replace("capteur_id", "^CAP", "CAPT").alias(c) if c == "capteur_id"
+          else normalise_patient_id(F.col(c)).alias(c) if c == "patient_id" else F.col(c)
+          for c in [f.name for f in schemas.SIGNALS.fields]])
+    odd = F.col("mesure_id").substr(-1, 1).isin("1", "3", "5", "7", "9")
+    two_days = base.withColumn("date", F.when(odd, F.lit("2025-01-16")).otherwise(F.col("date")))
+    changed = two_days.filter(~(F.col("date") == "2025-01-16") | F.col("mesure_id").substr(-1, 1).isin("1", "3"))
+    patients = files.scan_patients(spark, sample("Table_Patients.csv"))
+    sensors = files.scan_sensors(spark, sample("Table_Capteurs.csv"))
+
+    def view(out):
+        return {(r["patient_id"], r["date_mesure"]): r.asDict()
+                for r in spark.read.parquet(f"{out}/vue_dashboard_patient").collect()}
+
+    inc, ref_out = os.path.join(workdir, "inc"), os.path.join(workdir, "ref")
+    batch_job.run(spark, patients, two_days, sensors, inc)
+    before = view(inc)
+    batch_job.run(spark, patients, changed, sensors, inc, days=["2025-01-16"])
+    after = view(inc)
+    batch_job.run(spark, patients, changed, sensors, ref_out)
+    rebuilt = view(ref_out)
+    day1 = lambda v: {k: x for k, x in v.items() if str(k[1]) == "2025-01-15"}
+    assert day1(after) == day1(before) and day1(after)
+    assert after == rebuilt
+    counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{inc}/comptages").collect()}
+    ref_counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{ref_out}/comptages").collect()}
+    assert counts == ref_counts

@@ -13,8 +13,9 @@ signals, sensors). Outputs (Parquet, or `;` text with ``--format text``):
 The enriched table is written once and read back (the lineage is cut there,
 as between the two original jobs); the shared patient-day aggregation is
 written once as well, and every KPI table and the view are projections of it.
-Each write is a single committed Spark job, so a lost executor only reruns
-its tasks.
+Tables are partitioned by day; ``--days`` recomputes only those days and
+replaces only their partitions. Each write is a single committed Spark job,
+so a lost executor only reruns its tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigilo.operators import enrich, kpis
 from vigilo.sources import files
@@ -36,24 +38,42 @@ KPI_TABLES = {
 
 
 def run(spark: SparkSession, patients: DataFrame, signals: DataFrame, sensors: DataFrame,
-        out: str, fmt: str = "parquet") -> dict[str, str]:
-    """Run the batch job; returns table name → path."""
+        out: str, fmt: str = "parquet", days: list[str] | None = None) -> dict[str, str]:
+    """Run the batch job; returns table name → path.
+
+    Tables are partitioned by day (``date_mesure``). KPI groups are patient-days,
+    so a day's rows depend only on that day's measurements: with ``days`` only
+    those days are recomputed and only their partitions are replaced (the
+    measurement filter reaches the scan); without, everything is rebuilt.
+    """
     out = out.rstrip("/")
+    day = "date_mesure"
+    incremental = days is not None
+    if incremental:
+        signals = signals.filter(F.col("date").isin(list(days)))
+
     paths = {"mesures_patients": f"{out}/mesures_patients"}
-    files.write_table(enrich.enriched(signals, sensors, patients), paths["mesures_patients"])
+    files.write_table(enrich.enriched(signals, sensors, patients), paths["mesures_patients"],
+                      partition_by=day, only_present_partitions=incremental)
     stored = files.scan_enriched(spark, paths["mesures_patients"])
+    if incremental:
+        stored = stored.filter(F.col(day).isin(list(days)))          # partition pruning
 
     stats_path = f"{out}/_patient_day_stats"
-    files.write_table(kpis.patient_day_stats(stored), stats_path)
-    stats = spark.read.parquet(stats_path)
+    new_stats = kpis.patient_day_stats(stored)
+    files.write_table(new_stats, stats_path, partition_by=day, only_present_partitions=incremental)
+    all_stats = files.read_table(spark, stats_path, new_stats.schema)
+    stats = all_stats.filter(F.col(day).isin(list(days))) if incremental else all_stats
 
     for name, build in KPI_TABLES.items():
         paths[name] = f"{out}/{name}"
-        files.write_table(build(stats), paths[name], fmt=fmt)
+        files.write_table(build(stats), paths[name], fmt=fmt, partition_by=day,
+                          only_present_partitions=incremental)
     paths["comptages"] = f"{out}/comptages"
-    files.write_table(kpis.table_row_counts(stats), paths["comptages"], fmt=fmt)
+    files.write_table(kpis.table_row_counts(all_stats), paths["comptages"], fmt=fmt)
     if fmt != "parquet":
-        files.write_table(stored, f"{out}/mesures_patients_texte", fmt=fmt)
+        files.write_table(stored, f"{out}/mesures_patients_texte", fmt=fmt, partition_by=day,
+                          only_present_partitions=incremental)
     return paths
 
 
@@ -64,10 +84,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sensors", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet", choices=["parquet", "text"])
+    ap.add_argument("--days", help="comma-separated yyyy-MM-dd days to recompute (default: all)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("vigilo-batch").getOrCreate()
+    days = [d.strip() for d in a.days.split(",")] if a.days else None
     paths = run(spark, files.scan_patients(spark, a.patients), files.scan_signals(spark, a.signals),
-                files.scan_sensors(spark, a.sensors), a.out, a.format)
+                files.scan_sensors(spark, a.sensors), a.out, a.format, days)
     for name, path in paths.items():
         print(f"{name}\t{path}")
 

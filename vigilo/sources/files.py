@@ -45,19 +45,37 @@ def scan_observations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_enriched(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The enriched measurement table (S5): Parquet, or ``;`` text without header."""
+    """The enriched measurement table (S5): Parquet (possibly partitioned by day),
+    or ``;`` text without header."""
     if fmt == "parquet":
-        return spark.read.schema(schemas.ENRICHED).parquet(path)
+        return read_table(spark, path, schemas.ENRICHED)
     return read_delimited(spark, path, schemas.ENRICHED, ";", False, null_value=TEXT_NULL)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Persist a result (K1, K2). ``fmt='text'`` writes ``;``-separated rows with no header."""
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet table read with its declared schema: partition values keep their
+    declared type (no inference) and columns come back in declared order."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+                partition_by: str | None = None, only_present_partitions: bool = False) -> None:
+    """Persist a result (K1, K2). ``fmt='text'`` writes ``;``-separated rows with no header.
+
+    ``partition_by`` lays the table out in one folder per value (a day), so a
+    reader filtering on it prunes the other folders. With
+    ``only_present_partitions`` an overwrite replaces just the partitions present
+    in ``df`` (dynamic overwrite): recomputing one day leaves the others intact.
+    """
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+        if only_present_partitions:
+            w = w.option("partitionOverwriteMode", "dynamic")
     if fmt == "parquet":
-        df.write.mode(mode).parquet(path)
+        w.parquet(path)
     else:
-        (df.write.mode(mode).option("sep", ";").option("header", False)
-         .option("nullValue", TEXT_NULL).csv(path))
+        w.option("sep", ";").option("header", False).option("nullValue", TEXT_NULL).csv(path)
 
 
 def load_optional(spark: SparkSession, path: str | None, schema, reader=None) -> DataFrame:
