@@ -175,3 +175,33 @@ def test_history_is_partitioned_by_day(spark, workdir):
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_alerte" in plan
     assert day.count() == 285
+
+
+def test_processing_time_trigger(spark, workdir):
+    """The default 5-second processing-time trigger (T1), driven to completion."""
+    _split_sample(spark, workdir)
+    out = os.path.join(workdir, "out")
+    q = jobs.alert_stream(_wire_stream(spark, workdir), out, os.path.join(workdir, "ck"),
+                          ref.THRESHOLD_ROWS, files.scan_patients(spark, sample("Table_Patients.csv")))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert jobs.read_output(spark, out, "alertes").count() == 285
+    assert jobs.read_output(spark, out, "comptages").count() == 3          # one batch per file
+
+
+def test_stateful_counters_restart_from_checkpoint(spark, workdir):
+    parts = _wire_parts(spark)
+    _write_part(workdir, 0, parts[0])
+    out, ck = os.path.join(workdir, "out"), os.path.join(workdir, "ck")
+    jobs.counters_stream(_wire_stream(spark, workdir), out, ck, ref.THRESHOLD_ROWS,
+                         trigger="availableNow").awaitTermination()
+    first = jobs.read_counters(spark, out).first()["alertes_total"]
+    assert 0 < first < 285
+    for i in (1, 2):
+        _write_part(workdir, i, parts[i])
+    jobs.counters_stream(_wire_stream(spark, workdir), out, ck, ref.THRESHOLD_ROWS,
+                         trigger="availableNow").awaitTermination()
+    c = jobs.read_counters(spark, out).first()
+    assert (c["alertes_total"], c["patients_surveilles"]) == (285, 12)   # state restored, not recounted
