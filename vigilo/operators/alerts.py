@@ -118,9 +118,11 @@ def is_valid(messages: DataFrame) -> Column:
 
 
 def with_patient_key(messages: DataFrame) -> DataFrame:
-    """Keep the raw id as ``patient_id_brut``; ``patient_id`` becomes the normalised one."""
-    return (messages.withColumnRenamed("patient_id", "patient_id_brut")
-            .withColumn("patient_id", normalise_patient_id(F.col("patient_id_brut"))))
+    """Keep the raw id as ``patient_id_brut``; ``patient_id`` becomes the normalised one
+    (appended last)."""
+    others = [F.col(c) if c != "patient_id" else F.col(c).alias("patient_id_brut")
+              for c in messages.columns]
+    return messages.select(*others, normalise_patient_id(F.col("patient_id")).alias("patient_id"))
 
 
 def compact_alert(signal: str, value: Column, rule: Column, level: Column) -> Column:
