@@ -108,3 +108,20 @@ def test_batch_job_recomputes_only_given_days(spark, workdir):
     counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{inc}/comptages").collect()}
     ref_counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{ref_out}/comptages").collect()}
     assert counts == ref_counts
+
+
+def test_streaming_app_with_thresholds_table(spark, workdir):
+    from vigilo.sources import reference_tables as ref
+    src = os.path.join(workdir, "src")
+    os.makedirs(src)
+    shutil.copy(sample("nouvelles_observations.csv"), os.path.join(src, "obs.csv"))
+    th = os.path.join(workdir, "seuils")
+    ref.thresholds(spark).write.option("header", False).csv(th)      # comma text, no header
+    out = os.path.join(workdir, "out")
+    a = app.parse(["--source-dir", src, "--source-format", "csv", "--thresholds", th,
+                   "--out", out, "--checkpoint", os.path.join(workdir, "ck"), "--trigger", "availableNow"])
+    for q in app.start(spark, a):
+        q.awaitTermination()
+    assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == 285
+    upd = jobs.read_output(spark, f"{out}/alertes_job", "patient_updates")
+    assert upd.filter("ville = 'Inconnue'").count() == 180            # no profile table given

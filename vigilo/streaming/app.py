@@ -45,15 +45,26 @@ def patients_table(spark: SparkSession, path: str | None) -> DataFrame:
     return files.load_optional(spark, path, schemas.PATIENTS)
 
 
+def thresholds_table(spark: SparkSession, path: str | None):
+    """Thresholds from a table (Parquet, or comma-separated text without header as
+    the original table is stored); the built-in fixed rows when no path is given."""
+    if not path:
+        return THRESHOLD_ROWS
+    if path.endswith(".parquet"):
+        return files.read_table(spark, path, schemas.THRESHOLDS)
+    return files.read_delimited(spark, path, schemas.THRESHOLDS, sep=",", header=False)
+
+
 def start(spark: SparkSession, a) -> list:
     ck = (a.checkpoint or f"{shared_dir(spark)}/vigilo-stream").rstrip("/")
     trigger = a.trigger
+    rules = thresholds_table(spark, a.thresholds)
     q_alerts = jobs.alert_stream(source(spark, a), f"{a.out}/alertes_job", f"{ck}/alertes",
-                                     THRESHOLD_ROWS, patients_table(spark, a.patients), trigger=trigger,
-                                     dedup_within=a.dedup_within)
+                                 rules, patients_table(spark, a.patients), trigger=trigger,
+                                 dedup_within=a.dedup_within)
     q_state = jobs.latest_state_stream(source(spark, a), f"{a.out}/etat", f"{ck}/etat", trigger=trigger)
     q_count = jobs.counters_stream(source(spark, a), f"{a.out}/compteurs_job", f"{ck}/compteurs",
-                                       THRESHOLD_ROWS, trigger=trigger)
+                                   rules, trigger=trigger)
     return [q_alerts, q_state, q_count]
 
 
@@ -68,6 +79,7 @@ def parse(argv: list[str] | None = None):
     ap.add_argument("--source-format", default="json", choices=["json", "csv"])
     ap.add_argument("--max-files", type=int, default=1)
     ap.add_argument("--patients")
+    ap.add_argument("--thresholds", help="thresholds table (default: the built-in fixed rows)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint")
     ap.add_argument("--trigger", default=jobs.BATCH_INTERVAL,
