@@ -16,7 +16,8 @@ from vigilo.functions.vitals import SIGNAL_COLUMNS
 from vigilo.operators import alerts as al
 from vigilo.sources import reference_tables as ref
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=8, deadline=None, derandomize=True,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def py_normalise(pid):
