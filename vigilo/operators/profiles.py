@@ -45,26 +45,28 @@ def profile_lookup(patients: DataFrame) -> DataFrame:
 
 
 def updates_from_messages(messages: DataFrame, thresholds, patients: DataFrame | None = None,
-                          profile: DataFrame | None = None) -> DataFrame:
+                          profile: DataFrame | None = None, salt_buckets: int | None = None) -> DataFrame:
     """Patient updates straight from messages: the profile join runs on the raw
     message fields (normalised id), and the alerts are computed after it, so a
     shuffled join never moves the alert arrays."""
     keyed = al.with_patient_key(messages)
-    return patient_updates(keyed, patients, profile, thresholds=thresholds)
+    return patient_updates(keyed, patients, profile, thresholds=thresholds, salt_buckets=salt_buckets)
 
 
 def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
-                    profile: DataFrame | None = None, thresholds=None) -> DataFrame:
+                    profile: DataFrame | None = None, thresholds=None,
+                    salt_buckets: int | None = None) -> DataFrame:
     """Per measurement: profile (or fallbacks when the patient is unknown),
     current vitals, alert count, worst level and the alert list (J5 + P5).
 
     ``measurements`` is the output of ``alerts.with_alerts``, or — with
     ``thresholds`` — keyed messages whose alerts are added after the join.
-    Pass ``patients`` (raw table) or an already prepared ``profile`` lookup."""
+    Pass ``patients`` (raw table) or an already prepared ``profile`` lookup.
+    ``salt_buckets`` (default ``SALT_BUCKETS``; 1 = plain join) spreads a patient
+    that owns many measurements over several join partitions."""
     if profile is None:
         profile = profile_lookup(patients)
-    prof = profile.withColumnRenamed("patient_id", "_pid")
-    j = measurements.join(prof, measurements["patient_id"] == prof["_pid"], "left")
+    j = salted_profile_join(measurements, profile, SALT_BUCKETS if salt_buckets is None else salt_buckets)
     if thresholds is not None:
         j = al.add_alerts(j, thresholds)
     matched = F.col("_profil").isNotNull()
@@ -94,6 +96,31 @@ def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
     )
 
 
+# A patient may own a large share of all measurements. The profile side is the
+# output of the per-id aggregation, so the join needs no exchange there and
+# AQE's skew-join split cannot apply; the join is salted instead.
+SALT_BUCKETS = 8
+
+
+def salted_profile_join(measurements: DataFrame, profile: DataFrame,
+                        buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Left join of measurements with the one-per-id profile on (patient, salt).
+
+    Each measurement gets a deterministic salt from its id (stable on task
+    retry); each profile row is replicated once per salt value. A hot patient's
+    measurements then spread over ``buckets`` join partitions; the cost is
+    ``buckets`` copies of the (much smaller) profile table."""
+    if buckets <= 1:
+        prof = profile.withColumnRenamed("patient_id", "_pid")
+        return measurements.join(prof, measurements["patient_id"] == prof["_pid"], "left")
+    m = measurements.withColumn("_salt", F.pmod(F.xxhash64("mesure_id"), F.lit(buckets)))
+    prof = (profile.withColumnRenamed("patient_id", "_pid")
+            .withColumn("_salt_p", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                         F.lit(buckets - 1).cast("long")))))
+    cond = (m["patient_id"] == prof["_pid"]) & (m["_salt"] == prof["_salt_p"])
+    return m.join(prof, cond, "left").drop("_salt", "_salt_p")
+
+
 def flat_updates(updates: DataFrame) -> DataFrame:
     """Updates with the alert list rendered as the comma-joined signal names."""
     return (updates.withColumn("signaux_alertes", F.array_join(F.col("alertes.signal"), ","))

@@ -115,7 +115,8 @@ def stream_latest_state(spark, sf) -> DataFrame:
     jobs.latest_state_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint",
                                  trigger="availableNow").awaitTermination()
     last = jobs.read_latest_messages(spark, out)
-    upd = profiles.patient_updates(al.with_alerts(last, ref.THRESHOLD_ROWS), td.patients(spark, sf))
+    upd = profiles.patient_updates(al.with_alerts(last, ref.THRESHOLD_ROWS), td.patients(spark, sf),
+                                   salt_buckets=1)          # one row per patient: no skew
     return profiles.flat_updates(upd)
 
 
