@@ -60,7 +60,7 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thre
         valid = msgs.filter(al.is_valid(msgs))
         outputs = {
             "alertes": al.to_history(al.alerts(valid, thresholds)),
-            "patient_updates": profiles.updates_from_messages(valid, thresholds, profile=profile),
+            "patient_updates": batch_updates(valid, thresholds, profile),
             "rejets": msgs.filter(~al.is_valid(msgs)),
             "comptages": msgs.sparkSession.range(1).select(
                 F.lit(batch_id).cast("long").alias("lot"), F.lit(n).cast("long").alias("nb_mesures")),
@@ -74,6 +74,18 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thre
         msgs.unpersist()
 
 
+def batch_updates(valid: DataFrame, thresholds: al.Thresholds, profile: DataFrame) -> DataFrame:
+    """Patient updates of one micro-batch. The static profile is first reduced to
+    the patients present in the batch (a semi-join whose small side AQE
+    broadcasts by measured size), so each batch touches its own patients rather
+    than shuffling the whole profile table; a micro-batch is small, so the join
+    needs no salting."""
+    keyed = al.with_patient_key(valid)
+    present = keyed.select(F.col("patient_id").alias("_present")).distinct()
+    mine = profile.join(present, profile["patient_id"] == present["_present"], "left_semi")
+    return profiles.patient_updates(keyed, profile=mine, thresholds=thresholds, salt_buckets=1)
+
+
 def prepare_profile(patients: DataFrame) -> DataFrame:
     """The profile lookup, computed once when the stream starts and kept on the
     executors (memory, spilling to disk): dimensions are read once, as a static
