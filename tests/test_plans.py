@@ -176,33 +176,35 @@ def test_aqe_splits_a_hot_patient_in_the_patient_join(spark):
 
 
 def test_hot_patient_spread_in_the_profile_left_join(spark):
-    """patient_updates: the profile side comes out of an aggregation (no exchange under
-    the join, so AQE cannot split); the salted join spreads a hot patient instead."""
+    """patient_updates: the profile side comes out of an aggregation, so a join on the
+    id alone has no exchange on that side and AQE cannot split a hot patient; the
+    salted join gives both sides a shuffle and AQE splits the hot partition."""
     from vigilo.operators import profiles
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "32"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
         sf = "/root/testdata/sf0.01"
-        m = catalog.messages(spark, sf)
+        # several map tasks, as any large input has (AQE splits along map outputs)
+        m = catalog.messages(spark, sf).repartition(8)
         hot = m.withColumn("patient_id", F.when(F.col("mesure_id").substr(-1, 1).isin("0", "3", "6"),
                                                 F.lit("PAT0001")).otherwise(F.col("patient_id")))
-        u = profiles.updates_from_messages(hot, ref.THRESHOLD_ROWS, td.patients(spark, sf))
-        rows = u.collect()
-        plan = u._jdf.queryExecution().executedPlan().toString()
-        # joined on (patient, salt): the hot patient spreads over the salt buckets
-        assert "SortMergeJoin" in plan and "_salt" in plan
+        salted = profiles.updates_from_messages(hot, ref.THRESHOLD_ROWS, td.patients(spark, sf))
+        rows = salted.collect()
+        assert "SortMergeJoin(skew=true)" in salted._jdf.queryExecution().executedPlan().toString()
         assert len(rows) == m.count()
         assert sum(r["patient_id"] == "PAT0001" for r in rows) > len(rows) / 4
-        parts = (u.filter(F.col("patient_id") == "PAT0001")
-                 .select(F.spark_partition_id().alias("p")).distinct().count())
-        assert parts > 1
+        plain = profiles.updates_from_messages(hot, ref.THRESHOLD_ROWS, td.patients(spark, sf),
+                                               salt_buckets=1)
+        plain.collect()
+        assert "SortMergeJoin(skew=true)" not in plain._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             if v is None:

@@ -97,9 +97,12 @@ def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
 
 
 # A patient may own a large share of all measurements. The profile side is the
-# output of the per-id aggregation, so the join needs no exchange there and
-# AQE's skew-join split cannot apply; the join is salted instead.
-SALT_BUCKETS = 8
+# output of the per-id aggregation, so a join on the id alone needs no exchange
+# there, and AQE's skew-join split (which needs shuffle stages on both sides)
+# cannot apply. Joining on (id, salt) puts an exchange on both sides; AQE then
+# splits a hot patient's partition into as many tasks as its size requires.
+# Two salt values are enough for that, so the profile is copied only twice.
+SALT_BUCKETS = 2
 
 
 def salted_profile_join(measurements: DataFrame, profile: DataFrame,
@@ -107,9 +110,9 @@ def salted_profile_join(measurements: DataFrame, profile: DataFrame,
     """Left join of measurements with the one-per-id profile on (patient, salt).
 
     Each measurement gets a deterministic salt from its id (stable on task
-    retry); each profile row is replicated once per salt value. A hot patient's
-    measurements then spread over ``buckets`` join partitions; the cost is
-    ``buckets`` copies of the (much smaller) profile table."""
+    retry); each profile row is replicated once per salt value. The salted key
+    gives both sides a shuffle, which lets AQE split a hot patient's partition;
+    the cost is ``buckets`` copies of the (much smaller) profile table."""
     if buckets <= 1:
         prof = profile.withColumnRenamed("patient_id", "_pid")
         return measurements.join(prof, measurements["patient_id"] == prof["_pid"], "left")
