@@ -17,7 +17,7 @@ def _rows(df):
 
 def _both(spark, patients):
     s, c = td.signals(spark, SMALL_SF), td.sensors(spark, SMALL_SF)
-    first = kpis.all_kpis(kpis.patient_day_stats(enrich.enriched(s, c, patients)))
+    first = kpis.all_kpis(kpis.patient_day_stats_from_sources(s, c, patients, aggregate_first=False))
     agg_first = kpis.all_kpis(kpis.patient_day_stats_from_sources(s, c, patients))
     return first, agg_first
 

@@ -104,8 +104,16 @@ def patient_day_stats(enriched_df: DataFrame) -> DataFrame:
 
 
 def patient_day_stats_from_sources(signals: DataFrame, sensors: DataFrame,
-                                   patients: DataFrame) -> DataFrame:
-    """Aggregate-first plan of ``patient_day_stats`` (see module doc)."""
+                                   patients: DataFrame, aggregate_first: bool = True) -> DataFrame:
+    """Patient-day statistics straight from the sources.
+
+    ``aggregate_first`` (default): measurements are reduced to (patient, day)
+    states before any shuffle and only those meet the patient table — the plan for
+    dense telemetry and hot patients. ``False``: join, then group by the five keys
+    (one shuffle of raw rows, which suits sparse data: a few readings per
+    patient-day; measured in PLANS.md). Both give the same table."""
+    if not aggregate_first:
+        return patient_day_stats(enrich.enriched(signals, sensors, patients))
     per_day = (enrich.measurements_for_kpis(signals, sensors)
                .groupBy("patient_id", "date_mesure").agg(*_stats_aggs()))
     people = (quality.drop_header_rows(patients, "patient_id")
