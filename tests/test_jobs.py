@@ -125,3 +125,17 @@ def test_streaming_app_with_thresholds_table(spark, workdir):
     assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == 285
     upd = jobs.read_output(spark, f"{out}/alertes_job", "patient_updates")
     assert upd.filter("ville = 'Inconnue'").count() == 180            # no profile table given
+
+
+def test_views_with_cached_kpis(spark):
+    from vigilo.plans import views
+    from vigilo.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    names = views.register(spark, td.patients(spark, sf), td.signals(spark, sf), td.sensors(spark, sf),
+                           cache_kpis=True)
+    assert "alertes" not in names and "kpi3_stabilite_cardiaque" in names
+    n1 = spark.sql("SELECT COUNT(*) FROM kpi1_moyennes_vitaux").first()[0]
+    n4 = spark.sql("SELECT COUNT(*) FROM kpi4_oxygenation").first()[0]
+    total = spark.sql("SELECT SUM(nb_mesures) FROM vue_dashboard_patient").first()[0]
+    assert n1 == n4 > 0
+    assert total == spark.sql("SELECT COUNT(*) FROM mesures_patients").first()[0]
