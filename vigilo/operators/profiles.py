@@ -34,6 +34,15 @@ UNKNOWN_CITY = "Inconnue"
 MISSING_VALUE = "None"
 
 
+# A patient may own a large share of all measurements. The profile side is the
+# output of the per-id aggregation, so a join on the id alone needs no exchange
+# there, and AQE's skew-join split (which needs shuffle stages on both sides)
+# cannot apply. Joining on (id, salt) puts an exchange on both sides; AQE then
+# splits a hot patient's partition into as many tasks as its size requires.
+# Two salt values are enough for that, so the profile is copied only twice.
+SALT_BUCKETS = 2
+
+
 def profile_lookup(patients: DataFrame) -> DataFrame:
     """One profile per patient id (deterministic pick among duplicates), with a
     ``_profil`` marker that survives the left join only for matched ids."""
@@ -62,8 +71,8 @@ def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
     ``measurements`` is the output of ``alerts.with_alerts``, or — with
     ``thresholds`` — keyed messages whose alerts are added after the join.
     Pass ``patients`` (raw table) or an already prepared ``profile`` lookup.
-    ``salt_buckets`` (default ``SALT_BUCKETS``; 1 = plain join) spreads a patient
-    that owns many measurements over several join partitions."""
+    ``salt_buckets`` (default ``SALT_BUCKETS``; 1 = plain join) salts the join so
+    that AQE can split a patient that owns many measurements."""
     if profile is None:
         profile = profile_lookup(patients)
     j = salted_profile_join(measurements, profile, SALT_BUCKETS if salt_buckets is None else salt_buckets)
@@ -96,15 +105,6 @@ def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
     )
 
 
-# A patient may own a large share of all measurements. The profile side is the
-# output of the per-id aggregation, so a join on the id alone needs no exchange
-# there, and AQE's skew-join split (which needs shuffle stages on both sides)
-# cannot apply. Joining on (id, salt) puts an exchange on both sides; AQE then
-# splits a hot patient's partition into as many tasks as its size requires.
-# Two salt values are enough for that, so the profile is copied only twice.
-SALT_BUCKETS = 2
-
-
 def salted_profile_join(measurements: DataFrame, profile: DataFrame,
                         buckets: int = SALT_BUCKETS) -> DataFrame:
     """Left join of measurements with the one-per-id profile on (patient, salt).
