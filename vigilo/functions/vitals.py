@@ -26,6 +26,10 @@ SIGNAL_COLUMNS = [
 ]
 SIGNAL_NAMES = [s for s, _ in SIGNAL_COLUMNS]
 
+# Fixed value: the source recorded when a message carries none (and the
+# producer's constant).
+DEFAULT_SOURCE = "smartwatch"
+
 # ---------------------------------------------------------------------------
 # Batch clinical limits of the derived flags (inclusive where
 # written >=, strict otherwise), the reference heart rate and the battery floor.
@@ -111,7 +115,7 @@ def classify(value, rule: Column) -> Column:
 def default_source(col="source") -> Column:
     """Empty or null source → ``smartwatch``."""
     s = _c(col)
-    return F.when(s.isNull() | (s == ""), F.lit("smartwatch")).otherwise(s)
+    return F.when(s.isNull() | (s == ""), F.lit(DEFAULT_SOURCE)).otherwise(s)
 
 
 def severity_rank(level: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilo import schemas
+from vigilo.functions.vitals import DEFAULT_SOURCE
 from vigilo.operators import alerts as al
 from vigilo.operators import enrich, kpis, monitor, profiles, quality
 from vigilo.session import fresh_path
@@ -44,7 +45,7 @@ def _signals(spark, sf):
 def messages(spark, sf) -> DataFrame:
     """Stream messages as the producer emits them (16 fields, source constant)."""
     obs = td.observations(spark, sf)
-    return obs.select(*[F.col(f.name) if f.name != "source" else F.lit("smartwatch").alias("source")
+    return obs.select(*[F.col(f.name) if f.name != "source" else F.lit(DEFAULT_SOURCE).alias("source")
                         for f in schemas.MESSAGE.fields])
 
 

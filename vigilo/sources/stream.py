@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, IntegerType
 
 from vigilo import schemas
+from vigilo.functions.vitals import DEFAULT_SOURCE
 
 TOPIC = "mesures-patients"
 
@@ -43,7 +44,7 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return r.load(path)
 
 
-def encode_messages(observations: DataFrame, source: str = "smartwatch") -> DataFrame:
+def encode_messages(observations: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     """Observation rows → (``key`` = patient id, ``value`` = JSON message) (K3).
 
     The message carries the 16 stream fields; a field whose column is absent
