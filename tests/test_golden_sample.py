@@ -85,36 +85,6 @@ def _close(a, b, places):
     return abs(a - b) <= 0.5 * 10 ** (-places) + 1e-9
 
 
-def test_batch_kpis(spark):
-    signals, sensors, patients = _batch_inputs(spark)
-    st = kpis.patient_day_stats_from_sources(signals, sensors, patients)
-    rows = {r["patient_id"]: r for r in kpis.all_kpis(st).collect()}
-    assert len(rows) == 12
-    # (n, moy fc, moy spo2, moy sys, HTA %, OMS, score, tachy, brady, indice, hypox, crit, detresse, niveau)
-    expected = {
-        "PAT0001": (8, 78.75, 97.36, 115.75, 0, "Normale", 100, 0, 0, 0.7363, 0, 0, 0, "NORMAL"),
-        "PAT0003": (7, 119.14, 97.57, 118.29, 0, "Normale", 0, 7, 0, 0.7571, 0, 0, 0, "NORMAL"),
-        "PAT0004": (8, 81.75, 97.05, 158.25, 100, "HTA grade 1 (légère)", 100, 0, 0, 0.7050, 0, 0, 0, "NORMAL"),
-        "PAT0005": (4, 73.75, 88.83, 116.5, 0, "Normale", 100, 0, 0, -0.1175, 4, 4, 4, "CRITIQUE"),
-        "PAT0008": (9, 49.11, 97.31, 120.56, 0, "Normale", 0, 0, 9, 0.7311, 0, 0, 0, "NORMAL"),
-        "PAT0009": (9, 126.78, 88.72, 171.56, 100, "HTA grade 2 (modérée)", 0, 9, 0, -0.1278, 9, 8, 9, "CRITIQUE"),
-        "PAT0011": (7, 77.43, 98.03, 80.0, 0, "Normale", 100, 0, 0, 0.8029, 0, 0, 0, "NORMAL"),
-        "PAT0012": (8, 80.75, 92.60, 117.0, 0, "Normale", 100, 0, 0, 0.2600, 8, 0, 8, "ATTENTION"),
-    }
-    for pid, (n, fc, spo2, sys_, hta, oms, score, ta, br, ind, hx, cr, de, niv) in expected.items():
-        r = rows[pid]
-        assert r["nb_mesures"] == n
-        assert _close(r["moy_fc_bpm"], fc, 2) and _close(r["moy_spo2_pct"], spo2, 2)
-        assert _close(r["moy_systolique_mmHg"], sys_, 2)
-        assert _close(r["taux_hypertension_pct"], hta, 2) and r["classification_oms"] == oms
-        assert _close(r["score_stabilite_cardiaque"], score, 2)
-        assert (r["nb_tachycardie"], r["nb_bradycardie"]) == (ta, br)
-        assert _close(r["indice_oxygenation_moy"], ind, 4)
-        assert (r["nb_episodes_hypoxie"], r["nb_episodes_hypoxie_critique"],
-                r["nb_detresse_respiratoire"]) == (hx, cr, de)
-        assert r["niveau_oxygenation"] == niv
-
-
 def test_nearest_centre_sample(spark):
     patients = files.scan_patients(spark, sample("Table_Patients.csv"))
     nc = {r["patient_id"]: r["centre_id"] for r in
@@ -123,3 +93,43 @@ def test_nearest_centre_sample(spark):
                 4: "C006", 6: "C009", 7: "C011", 10: "C011", 11: "C011"}
     for i, c in expected.items():
         assert nc[f"PAT{i:04d}"] == c
+
+
+# The full patient-day table of the sample (FIXTURES §4.2): n, mean fc, mean fr, mean glycaemia,
+# mean temperature, mean SpO2, mean systolic, mean diastolic, hypertension %, WHO label, score,
+# tachycardia, bradycardia, oxygenation index, hypoxia, critical hypoxia, distress, level.
+GOLDEN = {
+    "PAT0001": (8, 78.75, 15.75, 0.848, 36.99, 97.36, 115.75, 72.13, 0, "Normale", 100, 0, 0, 0.7363, 0, 0, 0, "NORMAL"),
+    "PAT0002": (6, 75.67, 15.17, 0.880, 36.93, 97.55, 124.83, 79.5, 0, "Normale", 100, 0, 0, 0.7550, 0, 0, 0, "NORMAL"),
+    "PAT0003": (7, 119.14, 17.86, 0.889, 37.04, 97.57, 118.29, 73.57, 0, "Normale", 0, 7, 0, 0.7571, 0, 0, 0, "NORMAL"),
+    "PAT0004": (8, 81.75, 16.63, 0.905, 36.98, 97.05, 158.25, 99.75, 100, "HTA grade 1 (légère)", 100, 0, 0, 0.7050, 0, 0, 0, "NORMAL"),
+    "PAT0005": (4, 73.75, 28.50, 0.838, 36.30, 88.83, 116.5, 81.5, 0, "Normale", 100, 0, 0, -0.1175, 4, 4, 4, "CRITIQUE"),
+    "PAT0006": (8, 77.13, 16.88, 0.925, 36.96, 97.93, 120.25, 76.38, 0, "Normale", 100, 0, 0, 0.7925, 0, 0, 0, "NORMAL"),
+    "PAT0007": (8, 75.75, 14.75, 1.412, 36.98, 97.68, 122.0, 76.13, 0, "Normale", 100, 0, 0, 0.7675, 0, 0, 0, "NORMAL"),
+    "PAT0008": (9, 49.11, 15.44, 0.917, 36.89, 97.31, 120.56, 76.67, 0, "Normale", 0, 0, 9, 0.7311, 0, 0, 0, "NORMAL"),
+    "PAT0009": (9, 126.78, 27.33, 1.987, 39.06, 88.72, 171.56, 109.89, 100, "HTA grade 2 (modérée)", 0, 9, 0, -0.1278, 9, 8, 9, "CRITIQUE"),
+    "PAT0010": (8, 78.75, 16.00, 0.838, 36.80, 97.06, 121.0, 76.0, 0, "Normale", 100, 0, 0, 0.7062, 0, 0, 0, "NORMAL"),
+    "PAT0011": (7, 77.43, 15.71, 0.917, 36.80, 98.03, 80.0, 48.71, 0, "Normale", 100, 0, 0, 0.8029, 0, 0, 0, "NORMAL"),
+    "PAT0012": (8, 80.75, 25.25, 0.939, 38.83, 92.60, 117.0, 75.75, 0, "Normale", 100, 0, 0, 0.2600, 8, 0, 8, "ATTENTION"),
+}
+
+
+def test_full_golden_kpi_table(spark):
+    signals, sensors, patients = _batch_inputs(spark)
+    rows = {r["patient_id"]: r for r in
+            kpis.all_kpis(kpis.patient_day_stats_from_sources(signals, sensors, patients)).collect()}
+    assert set(rows) == set(GOLDEN)
+    cols = [("nb_mesures", None), ("moy_fc_bpm", 2), ("moy_fr_rpm", 2), ("moy_glycemie_gL", 3),
+            ("moy_temperature_C", 2), ("moy_spo2_pct", 2), ("moy_systolique_mmHg", 2),
+            ("moy_diastolique_mmHg", 2), ("taux_hypertension_pct", 2), ("classification_oms", None),
+            ("score_stabilite_cardiaque", 2), ("nb_tachycardie", None), ("nb_bradycardie", None),
+            ("indice_oxygenation_moy", 4), ("nb_episodes_hypoxie", None),
+            ("nb_episodes_hypoxie_critique", None), ("nb_detresse_respiratoire", None),
+            ("niveau_oxygenation", None)]
+    for pid, expected in GOLDEN.items():
+        for (col, places), want in zip(cols, expected):
+            got = rows[pid][col]
+            if places is None:
+                assert got == want, (pid, col, got, want)
+            else:
+                assert _close(got, want, places), (pid, col, got, want)
