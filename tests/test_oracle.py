@@ -30,3 +30,19 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "score_stabilite_cardiaque" in df.columns
+
+
+def test_adapter_label_distribution_matches_fixtures(spark):
+    """The label counts and unmatched-id counts recorded for this adapter (FIXTURES §5)."""
+    from pyspark.sql import functions as F
+    sf = "/root/testdata/sf0.01"
+    view = E.queries()["dashboard_view"](spark, sf)
+    counts = lambda c: {r[0]: r[1] for r in view.groupBy(c).count().collect()}
+    assert counts("classification_oms") == {
+        "HTA grade 1 (légère)": 974, "Normale": 904, "HTA grade 2 (modérée)": 647,
+        "Pré-hypertension": 462, "HTA grade 3 (sévère)": 418}
+    assert counts("statut_cardiaque") == {"Instable": 1839, "Stable": 809, "Attention": 757}
+    assert counts("niveau_oxygenation") == {"CRITIQUE": 1446, "NORMAL": 994, "ATTENTION": 965}
+    for scale, unmatched in (("0.001", 11), ("0.01", 104)):
+        u = E.queries()["patient_updates"](spark, f"/root/testdata/sf{scale}")
+        assert u.filter(F.col("ville") == "Inconnue").count() == unmatched
