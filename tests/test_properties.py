@@ -87,3 +87,48 @@ def test_classification_matches_python(spark, rows):
     wa = {x["mesure_id"]: x["nb_alertes"] for x in al.with_alerts(df, ref.THRESHOLD_ROWS).collect()}
     for i, r in enumerate(rows):
         assert wa[f"M{i}"] == sum(py_level(s, r[c]) != "NORMAL" for s, c in SIGNAL_COLUMNS)
+
+
+def py_flags(sys_, dia, fc, spo2, temp, gly, bat):
+    """Batch derived columns in plain Python: float32 values widened to double."""
+    def f(b):
+        return None if b is None else int(b)
+    return {
+        "pression_pulsee": sys_ - dia,
+        "flag_hypertension": f(sys_ >= 140 or dia >= 90),
+        "flag_tachycardie": f(fc > 100),
+        "flag_bradycardie": f(fc < 60),
+        "flag_hypoxie": f(spo2 < 94.0),
+        "flag_hypoxie_critique": f(spo2 < 90.0),
+        "flag_fievre": f(temp > 37.8),
+        "flag_hypoglycemie": f(gly < 0.70),
+        "flag_hyperglycemie": f(gly > 1.10),
+        "indice_oxygenation": float(np.float32((spo2 - 90.0) / 10.0)),
+        "ecart_fc_normale": float(np.float32(abs(fc - 75.0) / 75.0)),
+        "flag_batterie_critique": f(bat < 20),
+    }
+
+
+def f32(choices, lo, hi):
+    return st.one_of(st.sampled_from(choices), st.floats(lo, hi, allow_nan=False)).map(
+        lambda v: float(np.float32(v)))
+
+
+vitals_row = st.tuples(
+    st.integers(60, 200), st.integers(40, 120), st.integers(30, 160),
+    f32([94.0, 90.0, 93.99, 90.01], 80, 101), f32([37.8, 37.81, 37.79], 34, 41),
+    f32([0.70, 1.10, 0.69, 1.11], 0.3, 3.0), st.integers(0, 100))
+
+
+@SETTINGS
+@given(st.lists(vitals_row, min_size=1, max_size=40))
+def test_derived_flags_match_python(spark, rows):
+    from vigilo.functions.vitals import derived_columns
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, s int, d int, fc int, spo2 float, temp float, gly float, bat int")
+    got = {r["i"]: r.asDict() for r in df.select("i", *derived_columns(
+        sys="s", dia="d", fc="fc", spo2="spo2", temp="temp", gly="gly", battery="bat")).collect()}
+    for i, r in enumerate(rows):
+        want = py_flags(*r)
+        for k, v in want.items():
+            assert got[i][k] == v, (k, r, got[i][k], v)
