@@ -211,3 +211,38 @@ def test_hot_patient_spread_in_the_profile_left_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_forced_skew_split_for_join_then_group(spark):
+    """Join, then group by patient: the aggregation reuses the join partitioning, so
+    AQE splits a hot patient only with forceOptimizeSkewedJoin (recommended setting)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "12k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "12k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "32",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sf = "/root/testdata/sf0.01"
+        s = td.signals(spark, sf).repartition(8)
+        hot = s.withColumn("patient_id", F.when(F.col("mesure_id").substr(-1, 1).isin("0", "3", "6"),
+                                                F.lit("PAT0001")).otherwise(F.col("patient_id")))
+        df = kpis.all_kpis(kpis.patient_day_stats_from_sources(
+            hot, td.sensors(spark, sf), td.patients(spark, sf), aggregate_first=False))
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true) [patient_id" in plan
+        ref_rows = kpis.all_kpis(kpis.patient_day_stats_from_sources(
+            hot, td.sensors(spark, sf), td.patients(spark, sf))).collect()
+        assert sorted(map(repr, rows)) == sorted(map(repr, ref_rows))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
