@@ -46,3 +46,8 @@ def test_adapter_label_distribution_matches_fixtures(spark):
     for scale, unmatched in (("0.001", 11), ("0.01", 104)):
         u = E.queries()["patient_updates"](spark, f"/root/testdata/sf{scale}")
         assert u.filter(F.col("ville") == "Inconnue").count() == unmatched
+
+
+def test_bench_headline_keys_are_registered():
+    import bench
+    assert set(bench.HEADLINE) <= set(E.queries()) and set(bench.HEADLINE) <= set(E.oracle_sql())
