@@ -5,18 +5,74 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vigilo.llm import near_dedup
+from vigilo.llm import (embedding_dedup, mixing, near_dedup, packing, sharding, token_files, tokens,
+                        topk_search)
 from vigilo.llm.common import documents, embeddings
 
 
+def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    docs = documents(spark, sf_dir).select(
+        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
+        F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"))
+    placed = sharding.assign_shards(docs, ["doc_id", "text_crc32", "size"], shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (near_dedup.near_duplicates(documents(spark, sf_dir))
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
+def op5_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = token_files.write_tokens(documents(spark, sf_dir), tokens.tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read_tokens(folder, manifest)
+
+
+def op6_p_stable_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(embeddings(spark, sf_dir))
+
+
+def op7_exponential_key_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.plan_mix(documents(spark, sf_dir))
+            .select("doc_id", "size", "source_size", "target", "taken", "copies"))
+
+
+def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokens.tokenizer_path("word_bpe_49k.json"))
+
+
+def op10_norm_bucketed_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    f.__name__: f for f in (
+        op2_feistel_sharding, op4_minhash_near_dedup, op5_elias_fano_tokens, op6_p_stable_embedding_dedup,
+        op7_exponential_key_mixing, op9_hierarchical_packing, op10_norm_bucketed_top_k,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+#: The other queries hash with functions that DuckDB lacks, tokenise, sample or train models;
+#: tests hold them against brute force.
+ORACLE: dict[str, str] = {
+    "op10_norm_bucketed_top_k": """
+        WITH v AS (
+            SELECT vec_id, row_number() OVER () AS r,
+                   list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, p.vec_id, CAST(list_dot_product(q.e, p.e) AS BIGINT) AS score
+            FROM v q JOIN v p ON q.r <> p.r
+            WHERE q.vec_id % 100 = 0
+        ), t AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM t WHERE rank <= 10
+    """,
+}
