@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.llm import (embedding_dedup, mixing, near_dedup, packing, sharding, token_files, tokens,
-                        topk_search)
+from vigilo.llm import (embedding_dedup, langid, mixing, near_dedup, packing, secret_scan, sharding,
+                        token_files, tokens, topk_search)
 from vigilo.llm.common import documents, embeddings
 
 
+def op1_ftrl_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", langid.held_out(F.col("doc_id")))
+    learned = docs.where("not held_out").select("text", "lang", "doc_id")
+    model = langid.train(learned, draw=F.xxhash64("doc_id"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     docs = documents(spark, sf_dir).select(
@@ -22,6 +29,11 @@ def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secret_scan.scan(docs, secret_scan.train(docs, draw=F.xxhash64("doc_id")))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (near_dedup.near_duplicates(documents(spark, sf_dir))
             .select("doc_id", "n_shingles", "component_id", "kept"))
@@ -51,7 +63,7 @@ def op10_norm_bucketed_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_feistel_sharding, op4_minhash_near_dedup, op5_elias_fano_tokens, op6_p_stable_embedding_dedup,
+        op1_ftrl_language_id, op2_feistel_sharding, op3_crf_secret_scan, op4_minhash_near_dedup, op5_elias_fano_tokens, op6_p_stable_embedding_dedup,
         op7_exponential_key_mixing, op9_hierarchical_packing, op10_norm_bucketed_top_k,
     )
 }
