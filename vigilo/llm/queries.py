@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.llm import (embedding_dedup, langid, mixing, near_dedup, packing, secret_scan, sharding,
+from vigilo.llm import (embedding_dedup, langid, mixing, near_dedup, packing, quality, secret_scan, sharding,
                         token_files, tokens, topk_search)
 from vigilo.llm.common import documents, embeddings
 
@@ -53,6 +53,11 @@ def op7_exponential_key_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken", "copies"))
 
 
+def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return quality.score(docs, quality.train(docs, draw=F.xxhash64("doc_id"))).drop("text")
+
+
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokens.tokenizer_path("word_bpe_49k.json"))
 
@@ -64,7 +69,7 @@ def op10_norm_bucketed_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ftrl_language_id, op2_feistel_sharding, op3_crf_secret_scan, op4_minhash_near_dedup, op5_elias_fano_tokens, op6_p_stable_embedding_dedup,
-        op7_exponential_key_mixing, op9_hierarchical_packing, op10_norm_bucketed_top_k,
+        op7_exponential_key_mixing, op8_weak_label_quality, op9_hierarchical_packing, op10_norm_bucketed_top_k,
     )
 }
 
