@@ -25,12 +25,15 @@ from vigilo.llm.components import components
 
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-#: Members per block of the exact second pass.
-BLOCK = 256
-#: Different hub orders: more of them connect a loose group sooner, at one more pair per member.
-HUB_ORDERS = 4
+#: Buckets above this size get a second hub, in one of several orders: together the bands
+#: then connect a loose group through many hubs.
+CROWD, HUB_ORDERS = 8, 8
+#: Strays and members per unit of the exact second pass.
+STRAYS, MEMBERS = 256, 1024
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bits flipped in the node numbers to order them anew.
+_FLIPS = (mix64(np.arange(1, HUB_ORDERS + 1, dtype=np.uint64)) >> np.uint64(1)).astype(np.int64)
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -151,39 +154,34 @@ def _confirm(percent: int):
 
 
 def _across(percent: int):
-    """Links between members of different components of one bucket, block against block.
+    """Links between strays of a bucket and its members of other components.
 
     A link found makes its two components one for the rest of the task, so what comes out
-    is at most one link per member.
+    is at most one link per member and stray.
     """
-    def run(key, frame):
-        first = frame[frame.block == key[3]]
-        second = frame[frame.block == key[4]] if key[3] != key[4] else first
-        sets = [np.frombuffer(x, np.uint64) for x in second.shingles]
-        sizes = np.array([len(x) for x in sets], np.int64)
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        begin = np.cumsum(sizes) - sizes
-        root, nodes = second.root.to_numpy().copy(), second.node.to_numpy()
-        mine = dict(zip(first.node, first.root))
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        strays, members = frame[frame.stray], frame[~frame.stray]
         out = []
-        for node, shingles in zip(first.node, first.shingles):
-            a = np.frombuffer(shingles, np.uint64)
-            own = mine[node]
-            fits = (root != own) & (100 * np.minimum(sizes, len(a)) >= percent * np.maximum(sizes, len(a)))
-            if key[3] == key[4]:
-                fits &= nodes > node
-            if not fits.any():
-                continue
-            at = np.searchsorted(a, flat)
-            at[at == len(a)] = 0
-            shared = np.add.reduceat((a[at] == flat).astype(np.int64), begin)
-            for j in np.flatnonzero(fits & (100 * shared >= percent * (sizes + len(a) - shared))):
-                if root[j] == own:
+        if len(strays) and len(members):
+            sets = [np.frombuffer(x, np.uint64) for x in members.shingles]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            flat, begin = np.concatenate(sets), np.cumsum(sizes) - sizes
+            root, nodes = members.root.to_numpy().copy(), members.node.to_numpy()
+            mine = dict(zip(strays.node, strays.root))
+            for node, shingles in zip(strays.node, strays.shingles):
+                a = np.frombuffer(shingles, np.uint64)
+                fits = (root != mine[node]) & (100 * np.minimum(sizes, len(a)) >= percent * np.maximum(sizes, len(a)))
+                if not fits.any():
                     continue
-                out.append((node, nodes[j]))
-                gone = root[j]
-                root[root == gone] = own
-                mine = {k: own if v == gone else v for k, v in mine.items()}
+                at = np.searchsorted(a, flat)
+                at[at == len(a)] = 0
+                shared = np.add.reduceat((a[at] == flat).astype(np.int64), begin)
+                for j in np.flatnonzero(fits & (100 * shared >= percent * (sizes + len(a) - shared))):
+                    own, gone = mine[node], root[j]
+                    if gone != own:
+                        out.append((node, nodes[j]))
+                        root[root == gone] = own
+                        mine = {k: own if v == gone else v for k, v in mine.items()}
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
@@ -209,37 +207,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .withColumn("rid", F.monotonically_increasing_id()), "sketch")
     rows = sketched.drop("bands")
     nodes = scratch.written(rows.where("n_shingles > 0").groupBy("k1", "k2")
-                    .agg(F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.max("n_shingles").alias("n")),
-                    "nodes")
-    members = scratch.written(sketched.select("rid", F.posexplode("bands").alias("band", "key"))
-                      .join(nodes.select(F.col("node").alias("rid"), "node", "n"), "rid", "left_semi")
-                      .select("band", "key", F.col("rid").alias("node"))
-                      .join(nodes.select("node", "n"), "node"), "members")
-    order = F.xxhash64(F.pmod(F.col("band"), F.lit(HUB_ORDERS)), F.col("node"))
-    buckets = scratch.written(members.groupBy("band", "key")
-                      .agg(F.min(F.struct(order.alias("o"), "node", "n")).alias("hub"), F.count("*").alias("size"))
-                      .where("size > 1")
-                      .select("band", "key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), "size"),
-                      "buckets")
-    inside = scratch.written(members.join(buckets, ["band", "key"]), "inside")
+                            .agg(F.min("rid").alias("node"), F.min("doc_id").alias("least")), "nodes")
+    # the band number is part of a key
+    members = scratch.written(sketched.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
+                              .select(F.col("rid").alias("node"), F.col("n_shingles").alias("n"),
+                                      F.explode("bands").alias("key")), "members")
+    buckets = scratch.written(members.groupBy("key")
+                              .agg(F.count("*").alias("size"), F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"))
+                              .where("size > 1"), "buckets")
+    inside = scratch.written(members.join(buckets, "key"), "inside")
     fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-    star = scratch.written(inside.where((F.col("node") != F.col("hub")) & fits)
-                   .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-                   .distinct(), "star")
-    crowded = inside.where("size > 2").select("node").distinct()
-    wanted = star.select(F.explode(F.array("a", "b")).alias("node")).union(crowded).distinct()
+    flip = F.element_at(F.array(*[F.lit(int(x)) for x in _FLIPS]), (F.pmod("key", F.lit(HUB_ORDERS)) + 1).cast("int"))
+    flipped = F.col("node").bitwiseXOR(flip)
+    crowds = inside.where(F.col("size") > CROWD)
+    second = scratch.written(crowds.groupBy("key").agg(F.min(flipped).alias("hub"), F.min_by("n", flipped).alias("hub_n"))
+                             .withColumn("hub", F.col("hub").bitwiseXOR(flip)), "second")
+    spokes = lambda df: (df.where((F.col("node") != F.col("hub")) & fits)
+                         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
+    star = scratch.written(spokes(inside).unionByName(spokes(crowds.drop("hub", "hub_n").join(second, "key"))).distinct(),
+                           "star")
+    wanted = (star.select(F.explode(F.array("a", "b")).alias("node"))
+              .union(inside.where("size > 2").select("node")).distinct())
     where = scratch.written(nodes.join(wanted, "node", "left_semi")
-                    .join(rows.select(F.col("rid").alias("node"), "doc_id"), "node")
-                    .select("node", "doc_id", "k1", "k2"), "wanted")
-    sets = scratch.written(text.select("doc_id", "text").join(where.withColumnRenamed("doc_id", "_id"),
-                                                      F.col("doc_id").eqNullSafe(F.col("_id")))
-                   .select("node", "k1", "k2", "text")
-                   .mapInArrow(_full_sets(width), "node long, shingles binary")
-                   .dropDuplicates(["node"]), "sets")
+                            .join(rows.select(F.col("rid").alias("node"), "doc_id"), "node")
+                            .select("node", F.coalesce("doc_id", F.lit(-1)).alias("id"), "k1", "k2"), "wanted")
+    sets = _sets_of(scratch, text, where, width)
     links = scratch.written(star.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-                    .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-                    .select("a", "b", "sa", "sb")
-                    .mapInArrow(_confirm(percent), "a long, b long"), "links")
+                            .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+                            .select("a", "b", "sa", "sb")
+                            .mapInArrow(_confirm(percent), "a long, b long"), "links")
     found = components(links, scratch)
     links = links.unionByName(_rest(scratch, inside, found, sets, percent))
     found = components(links, scratch)
@@ -254,24 +250,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return scratch.finish(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def _sets_of(scratch: Scratch, text: DataFrame, where: DataFrame, width: int) -> DataFrame:
+    """The full shingle sets of the nodes in ``where``, made again from their texts.
+
+    Only texts that may be wanted are shuffled: Spark's runtime Bloom filter of the ids
+    (bounded by its own settings) drops the others at the scan. Ids are only a way to find
+    the texts: a set counts if its key is the node's.
+    """
+    conf, name = scratch.spark.conf, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = conf.get(name)
+    conf.set(name, "1b")
+    try:
+        found = text.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text").join(where.where("node >= 0"), "id")
+        return scratch.written(found.select("node", "k1", "k2", "text")
+                               .mapInArrow(_full_sets(width), "node long, shingles binary")
+                               .dropDuplicates(["node"]), "sets")
+    finally:
+        conf.set(name, before)
+
+
 def _rest(scratch: Scratch, inside: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that the stars missed: of buckets with members in several components, hub aside."""
-    left = (inside.where("size > 2 and node != hub").select("band", "key", "node")
-            .join(found, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    left = scratch.written(left, "left")
-    mixed = (left.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                             F.count("*").alias("size"))
-             .where("low != high").select("band", "key", "size"))
-    # blocks by a hash of the node: about BLOCK members in each
-    placed = (left.join(scratch.written(mixed, "mixed"), ["band", "key"])
-              .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-              .withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("band", "key", "node", "root", "block", F.least("block", "other").alias("low"),
-                      F.greatest("block", "other").alias("high")))
-    return (placed.join(sets, "node")
-            .withColumn("unit", F.xxhash64("band", "key", "low", "high"))
-            .groupBy("unit", "band", "key", "low", "high")
+    """Links that the stars missed, hubs aside: in buckets whose members lie in several
+    components, the members outside the largest one (strays) meet all others."""
+    left = scratch.written(inside.where("size > 2 and node != hub").select("key", "node")
+                           .join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "left")
+    mixed = (left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"),
+                                     F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", "node")).alias("y"))
+             .where("low != high"))
+    # buckets with the same members are looked at once
+    mixed = scratch.written(mixed.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key", "size"), "mixed")
+    left = left.join(mixed, "key")
+    main = (left.groupBy("key", "root").agg(F.count("*").alias("rows"), F.first("size").alias("size"))
+            .groupBy("key").agg(F.max(F.struct("rows", "root")).alias("main"), F.first("size").alias("size"))
+            .select("key", F.col("main.root").alias("main"),
+                    F.ceil((F.col("size") - F.col("main.rows")) / F.lit(STRAYS)).cast("int").alias("stray_blocks"),
+                    F.ceil(F.col("size") / F.lit(MEMBERS)).cast("int").alias("blocks")))
+    left = left.drop("size").join(scratch.written(main, "main"), "key")
+    dealt = lambda n: F.pmod(F.xxhash64("node", "key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    strays = (left.where("root != main").withColumn("i", dealt("stray_blocks")).withColumn("j", every("blocks"))
+              .select("key", "i", "j", "node", "root", F.lit(True).alias("stray")))
+    members = (left.withColumn("j", dealt("blocks")).withColumn("i", every("stray_blocks"))
+               .select("key", "i", "j", "node", "root", F.lit(False).alias("stray")))
+    return (strays.unionByName(members).join(sets, "node").groupBy("key", "i", "j")
             .applyInPandas(_across(percent), "a long, b long"))
 
 
