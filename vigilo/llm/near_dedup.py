@@ -187,7 +187,7 @@ def _across(percent: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    width: int = 4, percent: int = 80) -> DataFrame:
+                    width: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text_hash, n_shingles, component_id, kept``.
 
     Two rows are linked if ``100 * |A & B| >= percent * |A | B|`` for their shingle sets.

@@ -35,7 +35,7 @@ def op3_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (near_dedup.near_duplicates(documents(spark, sf_dir))
+    return (near_dedup.near_duplicates(documents(spark, sf_dir), width=4)
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
