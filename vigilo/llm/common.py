@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vigilo.session import fresh_path
+from vigilo.session import fresh_path, remove
 
 #: Text bytes handled by one numpy pass; a longer text is a pass of its own.
 CHUNK_BYTES = 1 << 20
@@ -81,8 +81,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, path: str) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove(self.spark, path)
 
 
 def unused(df: DataFrame, name: str) -> str:

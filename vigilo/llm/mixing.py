@@ -59,7 +59,7 @@ def _keyed(docs: DataFrame, names: dict[str, str], id_col: str, text_col: str, s
 def _targets(narrow: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per source: words, target, epochs and the budget of the fractional selection."""
     sums = scratch.written(narrow.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                                        F.count("*").alias("rows")), "sources")
+                                                        F.count("*").alias("rows")).coalesce(1), "sources")
     # one row per source from here on
     by_name = Window.orderBy(F.when(F.col("source") == "", 1).otherwise(0), F.col("source"))
     weights = F.array(*[F.lit(float(w)) for w in WEIGHTS])
@@ -79,7 +79,8 @@ def _targets(narrow: DataFrame, scratch: Scratch) -> DataFrame:
            .withColumn("epochs", F.when(size > 0, F.least(F.floor(F.col("target") / size), F.lit(MOST))).otherwise(0).cast("int"))
            .withColumn("budget", F.greatest(F.col("target") - F.col("epochs") * size, F.lit(0.0)))
            .withColumn("cells", F.ceil(F.col("rows") / F.lit(CELL_ROWS)).cast("long")))
-    return scratch.written(out.select("source", "source_size", "target", "epochs", "budget", "cells"), "targets")
+    return scratch.written(out.select("source", "source_size", "target", "epochs", "budget", "cells")
+                           .coalesce(1), "targets")
 
 
 def _cuts(narrow: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -96,12 +97,13 @@ def _cuts(narrow: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFrame:
     ends = (sums.withColumn("upto", upto).where("upto > budget")
             .groupBy("source").agg(F.min(F.struct("cell", (F.col("upto") - F.col("words")).alias("before"))).alias("end"))
             .select("source", F.col("end.cell").alias("cell"), F.col("end.before").alias("before")))
-    ends = scratch.written(ends, "ends")
+    ends = scratch.written(ends.coalesce(1), "ends")
     order = Window.partitionBy("source").orderBy("key", "doc_id", "hash").rowsBetween(Window.unboundedPreceding, 0)
     middle = F.col("before") + F.sum("size").over(order) - F.col("size") / 2
     last = (placed.join(ends, ["source", "cell"]).withColumn("middle", middle).where("middle <= budget")
             .groupBy("source").agg(F.max(F.struct("key", "doc_id", "hash")).alias("cut")))
-    return scratch.written(targets.join(ends.drop("before"), "source", "left").join(last, "source", "left"), "cuts")
+    return scratch.written(targets.join(ends.drop("before"), "source", "left").join(last, "source", "left")
+                           .coalesce(1), "cuts")
 
 
 def _cell(key: Column, cells: Column) -> Column:
