@@ -1,8 +1,9 @@
-"""Golden values on the reference's sample files (FIXTURES §4)."""
+"""The sample of ``sample_data`` against its plain-Python results."""
 
 from pyspark.sql import functions as F
 
-from conftest import sample
+import sample_data as sd
+from sample_data import sample
 from vigilo import schemas
 from vigilo.functions.ids import normalise_patient_id
 from vigilo.operators import alerts as al
@@ -12,124 +13,75 @@ from vigilo.sources import reference_tables as ref
 
 
 def _messages(spark):
-    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    obs = files.scan_observations(spark, sample("observations.csv"))
     return obs.select(*[f.name for f in schemas.MESSAGE.fields])
 
 
-def test_alert_totals(spark):
+def test_alerts(spark):
     m = _messages(spark)
-    assert m.count() == 180
-    a = al.alerts(m, ref.thresholds(spark))
-    assert a.count() == 285
+    assert m.count() == sd.OBSERVATIONS
+    got = {(r["mesure_id"], r["signal"], r["niveau_alerte"]) for r in al.alerts(m, ref.thresholds(spark)).collect()}
+    assert got == set(sd.alerts()) and len(got) > 100
     levels = {r["niveau_max"]: r["count"] for r in
               al.with_alerts(m, ref.thresholds(spark)).groupBy("niveau_max").count().collect()}
-    assert levels == {"NORMAL": 60, "WARNING": 82, "CRITIQUE": 38}
-
-
-def test_alerts_by_signal(spark):
-    a = al.alerts(_messages(spark), ref.thresholds(spark))
-    got = {(r["signal"], r["niveau_alerte"]): r["count"] for r in
-           a.groupBy("signal", "niveau_alerte").count().collect()}
-    expected = {
-        "frequence_cardiaque": (41, 4), "spo2": (21, 24), "temperature_C": (27, 3),
-        "tension_systolique": (35, 10), "tension_diastolique": (32, 13), "glycemie": (30, 0),
-        "frequence_respiratoire": (45, 0),
-    }
-    for sig, (w, c) in expected.items():
-        assert got.get((sig, "WARNING"), 0) == w, sig
-        assert got.get((sig, "CRITIQUE"), 0) == c, sig
+    assert levels == sd.levels()
 
 
 def test_latest_level_by_patient(spark):
     st = monitor.latest_patient_state(_messages(spark), ref.thresholds(spark),
-                                      files.scan_patients(spark, sample("Table_Patients.csv")))
-    got = {r["patient_id"]: r["niveau_max"] for r in st.collect()}
-    crit = {"PAT0009", "PAT0011"}
-    warn = {"PAT0003", "PAT0004", "PAT0005", "PAT0007", "PAT0008", "PAT0012"}
-    assert {p for p, v in got.items() if v == "CRITIQUE"} == crit
-    assert {p for p, v in got.items() if v == "WARNING"} == warn
-    assert len(got) == 12
-    # every sample patient matches a profile after normalisation
+                                      files.scan_patients(spark, sample("patients.csv")))
+    assert {r["patient_id"]: r["niveau_max"] for r in st.collect()} == sd.latest_levels()
+    # every patient matches a profile after normalisation
     assert all(r["ville"] != "Inconnue" for r in st.collect())
 
 
 def _batch_inputs(spark):
-    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    obs = files.scan_observations(spark, sample("observations.csv"))
     signals = obs.select(
         *[F.regexp_replace("capteur_id", "^CAP", "CAPT").alias(c) if c == "capteur_id"
           else normalise_patient_id(F.col(c)).alias(c) if c == "patient_id" else F.col(c)
           for c in [f.name for f in schemas.SIGNALS.fields]])
-    sensors = files.scan_sensors(spark, sample("Table_Capteurs.csv"))
-    patients = files.scan_patients(spark, sample("Table_Patients.csv"))
+    sensors = files.scan_sensors(spark, sample("sensors.csv"))
+    patients = files.scan_patients(spark, sample("patients.csv"))
     return signals, sensors, patients
 
 
-def test_batch_etl_counts(spark):
+def test_batch_etl(spark):
     signals, sensors, patients = _batch_inputs(spark)
-    assert files.scan_sensors(spark, sample("Table_Capteurs.csv")).count() == 50
-    assert patients.count() == 200
+    assert sensors.count() == sd.SENSORS and patients.count() == sd.PATIENTS
     e = enrich.enriched(signals, sensors, patients)
-    assert e.count() == 90
-    sums = e.agg(*[F.sum(c).alias(c) for c in [
-        "flag_fievre", "flag_hypoglycemie", "flag_hyperglycemie", "flag_tachycardie",
-        "flag_bradycardie", "flag_hypoxie", "flag_hypoxie_critique", "flag_hypertension",
-        "flag_batterie_critique"]]).first()
-    assert sums["flag_fievre"] == 17 and sums["flag_hypoglycemie"] == 0
-    assert sums["flag_hyperglycemie"] == 17 and sums["flag_tachycardie"] == 16
-    assert sums["flag_bradycardie"] == 9 and sums["flag_hypoxie"] == 21
-    assert sums["flag_hypoxie_critique"] == 12 and sums["flag_hypertension"] == 17
-    assert sums["flag_batterie_critique"] == 0
-
-
-def _close(a, b, places):
-    return abs(a - b) <= 0.5 * 10 ** (-places) + 1e-9
-
-
-def test_nearest_centre_sample(spark):
-    patients = files.scan_patients(spark, sample("Table_Patients.csv"))
-    nc = {r["patient_id"]: r["centre_id"] for r in
-          profiles.nearest_centre(patients, ref.centres(spark)).collect()}
-    expected = {1: "C004", 8: "C004", 2: "C008", 9: "C008", 12: "C008", 3: "C001", 5: "C001",
-                4: "C006", 6: "C009", 7: "C011", 10: "C011", 11: "C011"}
-    for i, c in expected.items():
-        assert nc[f"PAT{i:04d}"] == c
-
-
-# The full patient-day table of the sample (FIXTURES §4.2): n, mean fc, mean fr, mean glycaemia,
-# mean temperature, mean SpO2, mean systolic, mean diastolic, hypertension %, WHO label, score,
-# tachycardia, bradycardia, oxygenation index, hypoxia, critical hypoxia, distress, level.
-GOLDEN = {
-    "PAT0001": (8, 78.75, 15.75, 0.848, 36.99, 97.36, 115.75, 72.13, 0, "Normale", 100, 0, 0, 0.7363, 0, 0, 0, "NORMAL"),
-    "PAT0002": (6, 75.67, 15.17, 0.880, 36.93, 97.55, 124.83, 79.5, 0, "Normale", 100, 0, 0, 0.7550, 0, 0, 0, "NORMAL"),
-    "PAT0003": (7, 119.14, 17.86, 0.889, 37.04, 97.57, 118.29, 73.57, 0, "Normale", 0, 7, 0, 0.7571, 0, 0, 0, "NORMAL"),
-    "PAT0004": (8, 81.75, 16.63, 0.905, 36.98, 97.05, 158.25, 99.75, 100, "HTA grade 1 (légère)", 100, 0, 0, 0.7050, 0, 0, 0, "NORMAL"),
-    "PAT0005": (4, 73.75, 28.50, 0.838, 36.30, 88.83, 116.5, 81.5, 0, "Normale", 100, 0, 0, -0.1175, 4, 4, 4, "CRITIQUE"),
-    "PAT0006": (8, 77.13, 16.88, 0.925, 36.96, 97.93, 120.25, 76.38, 0, "Normale", 100, 0, 0, 0.7925, 0, 0, 0, "NORMAL"),
-    "PAT0007": (8, 75.75, 14.75, 1.412, 36.98, 97.68, 122.0, 76.13, 0, "Normale", 100, 0, 0, 0.7675, 0, 0, 0, "NORMAL"),
-    "PAT0008": (9, 49.11, 15.44, 0.917, 36.89, 97.31, 120.56, 76.67, 0, "Normale", 0, 0, 9, 0.7311, 0, 0, 0, "NORMAL"),
-    "PAT0009": (9, 126.78, 27.33, 1.987, 39.06, 88.72, 171.56, 109.89, 100, "HTA grade 2 (modérée)", 0, 9, 0, -0.1278, 9, 8, 9, "CRITIQUE"),
-    "PAT0010": (8, 78.75, 16.00, 0.838, 36.80, 97.06, 121.0, 76.0, 0, "Normale", 100, 0, 0, 0.7062, 0, 0, 0, "NORMAL"),
-    "PAT0011": (7, 77.43, 15.71, 0.917, 36.80, 98.03, 80.0, 48.71, 0, "Normale", 100, 0, 0, 0.8029, 0, 0, 0, "NORMAL"),
-    "PAT0012": (8, 80.75, 25.25, 0.939, 38.83, 92.60, 117.0, 75.75, 0, "Normale", 100, 0, 0, 0.2600, 8, 0, 8, "ATTENTION"),
-}
-
-
-def test_full_golden_kpi_table(spark):
+    assert {r[0] for r in e.select("mesure_id").collect()} == {r[0] for r in sd.kept()}
+    flags = {"flag_fievre": lambda r: r[5] > 37.8, "flag_hyperglycemie": lambda r: r[11] > 1.10,
+             "flag_hypoglycemie": lambda r: r[11] < 0.7, "flag_tachycardie": lambda r: r[8] > 100,
+             "flag_bradycardie": lambda r: r[8] < 60, "flag_hypoxie": lambda r: r[9] < 94,
+             "flag_hypoxie_critique": lambda r: r[9] < 90, "flag_hypertension": lambda r: r[6] >= 140 or r[7] >= 90,
+             "flag_batterie_critique": lambda r: False}
+    sums = e.agg(*[F.sum(c).alias(c) for c in flags]).first()
+    for flag, rule in flags.items():
+        assert sums[flag] == sum(map(rule, sd.kept())), flag
+
+
+def test_nearest_centre(spark):
+    patients = files.scan_patients(spark, sample("patients.csv"))
+    got = {r["patient_id"]: r["centre_id"] for r in profiles.nearest_centre(patients, ref.centres(spark)).collect()}
+    first = {}
+    for row in ref.CENTRE_ROWS:
+        first.setdefault(row[3].lower(), row[0])
+    for row in sd.patients():
+        city = row[4].lower()
+        want = next((c for g, c in sorted(first.items(), key=lambda x: x[1]) if city in g or g in city), first["tunis"])
+        assert got[row[0]] == want, row
+
+
+def test_kpi_table(spark):
     signals, sensors, patients = _batch_inputs(spark)
     rows = {r["patient_id"]: r for r in
             kpis.all_kpis(kpis.patient_day_stats_from_sources(signals, sensors, patients)).collect()}
-    assert set(rows) == set(GOLDEN)
-    cols = [("nb_mesures", None), ("moy_fc_bpm", 2), ("moy_fr_rpm", 2), ("moy_glycemie_gL", 3),
-            ("moy_temperature_C", 2), ("moy_spo2_pct", 2), ("moy_systolique_mmHg", 2),
-            ("moy_diastolique_mmHg", 2), ("taux_hypertension_pct", 2), ("classification_oms", None),
-            ("score_stabilite_cardiaque", 2), ("nb_tachycardie", None), ("nb_bradycardie", None),
-            ("indice_oxygenation_moy", 4), ("nb_episodes_hypoxie", None),
-            ("nb_episodes_hypoxie_critique", None), ("nb_detresse_respiratoire", None),
-            ("niveau_oxygenation", None)]
-    for pid, expected in GOLDEN.items():
-        for (col, places), want in zip(cols, expected):
-            got = rows[pid][col]
-            if places is None:
-                assert got == want, (pid, col, got, want)
+    assert set(rows) == set(sd.kpis())
+    for patient, want in sd.kpis().items():
+        for col, value in want.items():
+            got = rows[patient][col]
+            if isinstance(value, float):
+                assert abs(got - value) <= 0.0051, (patient, col, got, value)
             else:
-                assert _close(got, want, places), (pid, col, got, want)
+                assert got == value, (patient, col, got, value)

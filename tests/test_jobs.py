@@ -5,7 +5,8 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from conftest import sample
+import sample_data as sd
+from sample_data import sample
 from vigilo import schemas
 from vigilo.functions.ids import normalise_patient_id
 from vigilo.plans import batch_job
@@ -14,7 +15,7 @@ from vigilo.streaming import app, jobs
 
 
 def test_batch_job_on_sample(spark, workdir):
-    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    obs = files.scan_observations(spark, sample("observations.csv"))
     # the sample signals as the batch job expects them (sensor ids of the sensor table)
     sig_dir = os.path.join(workdir, "signals")
     (obs.select(*[F.regexp_replace("capteur_id", "^CAP", "CAPT").alias(c) if c == "capteur_id"
@@ -22,74 +23,77 @@ def test_batch_job_on_sample(spark, workdir):
                   for c in [f.name for f in schemas.SIGNALS.fields]])
      .coalesce(1).write.option("sep", ";").option("header", True).csv(sig_dir))
     out = os.path.join(workdir, "out")
-    batch_job.main(["--patients", sample("Table_Patients.csv"), "--signals", sig_dir,
-                    "--sensors", sample("Table_Capteurs.csv"), "--out", out])
+    batch_job.main(["--patients", sample("patients.csv"), "--signals", sig_dir,
+                    "--sensors", sample("sensors.csv"), "--out", out])
     counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{out}/comptages").collect()}
-    assert counts == {"mesures_patients": 90, "kpi1_moyennes_vitaux": 12, "kpi2_hypertension": 12,
-                      "kpi3_stabilite_cardiaque": 12, "kpi4_oxygenation": 12}
+    groups = len(sd.kpis())
+    assert counts == {"mesures_patients": len(sd.kept()), "kpi1_moyennes_vitaux": groups, "kpi2_hypertension": groups,
+                      "kpi3_stabilite_cardiaque": groups, "kpi4_oxygenation": groups}
     view = {r["patient_id"]: r for r in spark.read.parquet(f"{out}/vue_dashboard_patient").collect()}
-    assert view["PAT0009"]["niveau_oxygenation"] == "CRITIQUE"
-    assert view["PAT0004"]["classification_oms"] == "HTA grade 1 (légère)"
+    for patient, want in sd.kpis().items():
+        assert view[patient]["niveau_oxygenation"] == want["niveau_oxygenation"]
+        assert view[patient]["classification_oms"] == want["classification_oms"]
     assert len(spark.read.parquet(f"{out}/mesures_patients").columns) == 36
 
 
 def test_streaming_app_replays_observation_files(spark, workdir):
     src = os.path.join(workdir, "src")
     os.makedirs(src)
-    shutil.copy(sample("nouvelles_observations.csv"), os.path.join(src, "obs.csv"))
+    shutil.copy(sample("observations.csv"), os.path.join(src, "obs.csv"))
     out = os.path.join(workdir, "out")
     a = app.parse(["--source-dir", src, "--source-format", "csv", "--patients",
-                   sample("Table_Patients.csv"), "--out", out, "--checkpoint",
+                   sample("patients.csv"), "--out", out, "--checkpoint",
                    os.path.join(workdir, "ck"), "--trigger", "availableNow"])
     for q in app.start(spark, a):
         q.awaitTermination()
-    assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == 285
+    assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == len(sd.alerts())
     upd = jobs.read_output(spark, f"{out}/alertes_job", "patient_updates")
     assert upd.filter("ville = 'Inconnue'").count() == 0
-    assert jobs.read_latest_messages(spark, f"{out}/etat").count() == 12
+    assert jobs.read_latest_messages(spark, f"{out}/etat").count() == sd.monitored()
     c = jobs.read_counters(spark, f"{out}/compteurs_job").first()
-    assert (c["alertes_total"], c["patients_surveilles"]) == (285, 12)
+    assert (c["alertes_total"], c["patients_surveilles"]) == (len(sd.alerts()), sd.monitored())
 
 
 def test_original_sql_runs_on_registered_views(spark):
     from vigilo.operators import alerts as al
     from vigilo.plans import views
     from vigilo.sources import reference_tables as ref
-    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    obs = files.scan_observations(spark, sample("observations.csv"))
     signals = obs.select(
         *[F.regexp_replace("capteur_id", "^CAP", "CAPT").alias(c) if c == "capteur_id"
           else normalise_patient_id(F.col(c)).alias(c) if c == "patient_id" else F.col(c)
           for c in [f.name for f in schemas.SIGNALS.fields]])
     msgs = obs.select(*[f.name for f in schemas.MESSAGE.fields])
     history = al.to_history(al.alerts(msgs, ref.THRESHOLD_ROWS))
-    names = views.register(spark, files.scan_patients(spark, sample("Table_Patients.csv")), signals,
-                           files.scan_sensors(spark, sample("Table_Capteurs.csv")), history)
+    names = views.register(spark, files.scan_patients(spark, sample("patients.csv")), signals,
+                           files.scan_sensors(spark, sample("sensors.csv")), history)
     assert "vue_dashboard_patient" in names and "vue_alertes_resume" in names
     # the row-count check, written as in the original SQL
     counts = {r[0]: r[1] for r in spark.sql("""
         SELECT 'mesures_patients' AS table_name, COUNT(*) AS nb_lignes FROM mesures_patients
         UNION ALL SELECT 'kpi1_moyennes_vitaux', COUNT(*) FROM kpi1_moyennes_vitaux
         UNION ALL SELECT 'kpi4_oxygenation', COUNT(*) FROM kpi4_oxygenation""").collect()}
-    assert counts == {"mesures_patients": 90, "kpi1_moyennes_vitaux": 12, "kpi4_oxygenation": 12}
+    assert counts == {"mesures_patients": len(sd.kept()), "kpi1_moyennes_vitaux": len(sd.kpis()),
+                      "kpi4_oxygenation": len(sd.kpis())}
     crit = [r[0] for r in spark.sql("SELECT patient_id FROM vue_dashboard_patient "
                                     "WHERE niveau_oxygenation = 'CRITIQUE' ORDER BY patient_id").collect()]
-    assert crit == ["PAT0005", "PAT0009"]
-    assert spark.sql("SELECT SUM(total_alertes) FROM vue_alertes_resume").first()[0] == 285
+    assert crit == sorted(p for p, k in sd.kpis().items() if k["niveau_oxygenation"] == "CRITIQUE")
+    assert spark.sql("SELECT SUM(total_alertes) FROM vue_alertes_resume").first()[0] == len(sd.alerts())
     assert spark.sql("SELECT COUNT(*) FROM seuils_alerte").first()[0] == 7
     assert spark.sql("SELECT COUNT(DISTINCT gouvernorat) FROM centres_sante").first()[0] == 22
 
 
 def test_batch_job_recomputes_only_given_days(spark, workdir):
-    obs = files.scan_observations(spark, sample("nouvelles_observations.csv"))
+    obs = files.scan_observations(spark, sample("observations.csv"))
     base = obs.select(
         *[F.regexp_replace("capteur_id", "^CAP", "CAPT").alias(c) if c == "capteur_id"
           else normalise_patient_id(F.col(c)).alias(c) if c == "patient_id" else F.col(c)
           for c in [f.name for f in schemas.SIGNALS.fields]])
     odd = F.col("mesure_id").substr(-1, 1).isin("1", "3", "5", "7", "9")
-    two_days = base.withColumn("date", F.when(odd, F.lit("2025-01-16")).otherwise(F.col("date")))
-    changed = two_days.filter(~(F.col("date") == "2025-01-16") | F.col("mesure_id").substr(-1, 1).isin("1", "3"))
-    patients = files.scan_patients(spark, sample("Table_Patients.csv"))
-    sensors = files.scan_sensors(spark, sample("Table_Capteurs.csv"))
+    two_days = base.withColumn("date", F.when(odd, F.lit("2025-03-05")).otherwise(F.col("date")))
+    changed = two_days.filter(~(F.col("date") == "2025-03-05") | F.col("mesure_id").substr(-1, 1).isin("1", "3"))
+    patients = files.scan_patients(spark, sample("patients.csv"))
+    sensors = files.scan_sensors(spark, sample("sensors.csv"))
 
     def view(out):
         return {(r["patient_id"], r["date_mesure"]): r.asDict()
@@ -98,11 +102,11 @@ def test_batch_job_recomputes_only_given_days(spark, workdir):
     inc, ref_out = os.path.join(workdir, "inc"), os.path.join(workdir, "ref")
     batch_job.run(spark, patients, two_days, sensors, inc)
     before = view(inc)
-    batch_job.run(spark, patients, changed, sensors, inc, days=["2025-01-16"])
+    batch_job.run(spark, patients, changed, sensors, inc, days=["2025-03-05"])
     after = view(inc)
     batch_job.run(spark, patients, changed, sensors, ref_out)
     rebuilt = view(ref_out)
-    day1 = lambda v: {k: x for k, x in v.items() if str(k[1]) == "2025-01-15"}
+    day1 = lambda v: {k: x for k, x in v.items() if str(k[1]) == "2025-03-04"}
     assert day1(after) == day1(before) and day1(after)
     assert after == rebuilt
     counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{inc}/comptages").collect()}
@@ -114,7 +118,7 @@ def test_streaming_app_with_thresholds_table(spark, workdir):
     from vigilo.sources import reference_tables as ref
     src = os.path.join(workdir, "src")
     os.makedirs(src)
-    shutil.copy(sample("nouvelles_observations.csv"), os.path.join(src, "obs.csv"))
+    shutil.copy(sample("observations.csv"), os.path.join(src, "obs.csv"))
     th = os.path.join(workdir, "seuils")
     ref.thresholds(spark).write.option("header", False).csv(th)      # comma text, no header
     out = os.path.join(workdir, "out")
@@ -122,9 +126,9 @@ def test_streaming_app_with_thresholds_table(spark, workdir):
                    "--out", out, "--checkpoint", os.path.join(workdir, "ck"), "--trigger", "availableNow"])
     for q in app.start(spark, a):
         q.awaitTermination()
-    assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == 285
+    assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == len(sd.alerts())
     upd = jobs.read_output(spark, f"{out}/alertes_job", "patient_updates")
-    assert upd.filter("ville = 'Inconnue'").count() == 180            # no profile table given
+    assert upd.filter("ville = 'Inconnue'").count() == sd.OBSERVATIONS            # no profile table given
 
 
 def test_views_with_cached_kpis(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -51,23 +53,60 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (and so share a disk)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared working folder.
 
     The configured ``spark.checkpoint.dir`` (stable across application restarts,
     so stream checkpoints below it survive a restart); else the context's
-    checkpoint folder; only when neither is set (local tests) is a private
-    folder created and set.
+    checkpoint folder. Only in local mode (tests) is a private folder created
+    and set when there is neither; on a cluster each executor would write to
+    its own disk, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="vigilo-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+# Folders handed out by fresh_path and not yet removed, with their sessions.
+_fresh: list[tuple[SparkSession, str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unique path below the shared folder (never reused between runs)."""
-    root = shared_dir(spark)
-    return f"{root}/vigilo/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path below the shared folder (never reused between runs).
+
+    Results read back from it stay readable while the application runs; what is
+    left there is removed by ``remove_fresh`` or, at the latest, when the driver
+    ends normally."""
+    if not _fresh:
+        atexit.register(_remove_at_exit)
+    path = f"{shared_dir(spark)}/vigilo/{label}-{uuid.uuid4().hex[:12]}"
+    _fresh.append((spark, path))
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def remove_fresh(spark: SparkSession) -> None:
+    """Delete every folder that ``fresh_path`` handed out and that is no longer needed."""
+    while _fresh:
+        remove(spark, _fresh.pop()[1])
+
 
+def _remove_at_exit() -> None:
+    for spark, path in _fresh:
+        with contextlib.suppress(Exception):   # the session may be gone by now
+            remove(spark, path)

@@ -15,30 +15,41 @@ from vigilo import schemas
 from vigilo.functions.vitals import DEFAULT_SOURCE
 
 TOPIC = "mesures-patients"
+# Bounds of one micro-batch: Kafka records, and bytes of replayed files.
+MAX_OFFSETS = 20_000_000
+MAX_BYTES = 16 << 30
 
 
 def kafka_values(spark: SparkSession, bootstrap: str, topic: str = TOPIC,
-                 starting_offsets: str = "latest", min_partitions: int | None = None) -> DataFrame:
+                 starting_offsets: str = "latest", min_partitions: int | None = None,
+                 max_offsets_per_trigger: int | None = MAX_OFFSETS) -> DataFrame:
     """Raw Kafka records (``key``, ``value`` binary) as a stream.
     Needs the spark-sql-kafka connector on the classpath at submit time.
     ``min_partitions`` splits large topic partitions into several Spark tasks
     (a one-partition topic otherwise runs each micro-batch in one task) without
-    a shuffle."""
+    a shuffle. ``max_offsets_per_trigger`` bounds a micro-batch after a backlog; nothing
+    is lost, the rest comes in the next ones."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets))
     if min_partitions:
         r = r.option("minPartitions", min_partitions)
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return r.load()
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None, **options) -> DataFrame:
-    """Files arriving in a folder (or matching a glob) as a stream."""
+                max_files_per_trigger: int | None = None, max_bytes_per_trigger: int = MAX_BYTES,
+                **options) -> DataFrame:
+    """Files arriving in a folder (or matching a glob) as a stream (S14); a micro-batch
+    is bounded by bytes, or by a number of files where that is given."""
     r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     for k, v in options.items():
         r = r.option(k, v)
     return r.load(path)
@@ -92,7 +103,7 @@ def with_row_index(df: DataFrame, name: str) -> DataFrame:
     starts = (tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
               .select("_part", "_first",
                       (F.sum("_n").over(_by_part()) - F.col("_n")).alias("_start")))
-    return (tagged.join(F.broadcast(starts), "_part")
+    return (tagged.join(starts, "_part")
             .withColumn(name, F.col("_start") + F.col("_mid") - F.col("_first"))
             .drop("_part", "_mid", "_first", "_start"))
 

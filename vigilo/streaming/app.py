@@ -29,7 +29,8 @@ from vigilo.streaming import jobs
 def source(spark: SparkSession, a) -> DataFrame:
     """Wire records from Kafka, or replayed files (JSON wire records / CSV observations)."""
     if a.bootstrap:
-        return stream.kafka_values(spark, a.bootstrap, a.topic, a.starting_offsets, a.min_partitions)
+        return stream.kafka_values(spark, a.bootstrap, a.topic, a.starting_offsets, a.min_partitions,
+                                   a.max_offsets)
     if a.source_format == "csv":
         obs = stream.file_stream(spark, a.source_dir, schemas.OBSERVATIONS, fmt="csv",
                                  max_files_per_trigger=a.max_files, header=True, sep=",")
@@ -61,7 +62,7 @@ def start(spark: SparkSession, a) -> list:
     rules = thresholds_table(spark, a.thresholds)
     q_alerts = jobs.alert_stream(source(spark, a), f"{a.out}/alertes_job", f"{ck}/alertes",
                                  rules, patients_table(spark, a.patients), trigger=trigger,
-                                 dedup_within=a.dedup_within)
+                                 dedup=a.dedup)
     q_state = jobs.latest_state_stream(source(spark, a), f"{a.out}/etat", f"{ck}/etat", trigger=trigger)
     q_count = jobs.counters_stream(source(spark, a), f"{a.out}/compteurs_job", f"{ck}/compteurs",
                                    rules, trigger=trigger)
@@ -77,14 +78,15 @@ def parse(argv: list[str] | None = None):
     ap.add_argument("--starting-offsets", default="latest")
     ap.add_argument("--min-partitions", type=int, help="Spark tasks per micro-batch at least")
     ap.add_argument("--source-format", default="json", choices=["json", "csv"])
-    ap.add_argument("--max-files", type=int, default=1)
+    ap.add_argument("--max-files", type=int, help="files of a micro-batch (default: bounded by bytes)")
+    ap.add_argument("--max-offsets", type=int, default=stream.MAX_OFFSETS, help="Kafka records of a micro-batch")
     ap.add_argument("--patients")
     ap.add_argument("--thresholds", help="thresholds table (default: the built-in fixed rows)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint")
     ap.add_argument("--trigger", default=jobs.BATCH_INTERVAL,
                     help="processing-time interval, or availableNow")
-    ap.add_argument("--dedup-within", help="event-time delay for dropping replayed measurements")
+    ap.add_argument("--dedup", action="store_true", help="leave out measurements delivered again")
     return ap.parse_args(argv)
 
 

@@ -3,34 +3,40 @@
 ``alert_stream``: decode each micro-batch, classify, enrich with the profile
 and write four outputs — alert history (partitioned by day), patient
 updates, rejected messages, the batch's measurement count. Each output of
-batch ``N`` goes to its own ``batch_id=N`` folder in overwrite mode, so a
-batch replayed after a failure (executor lost, driver restart from the
-checkpoint) replaces its own files: no loss, no duplicate. Nothing is
-collected to the driver; the batch is persisted once and the four writes run
-as concurrent jobs over it. Optionally, replayed measurements are dropped
-within an event-time watermark.
+batch ``N`` of a run goes to its own ``run_id=R/batch_id=N`` folder in
+overwrite mode, so a batch replayed after a failure (executor lost, driver
+restart from the checkpoint) replaces its own files: no loss, no duplicate.
+The run id is kept next to the checkpoint; a reset checkpoint starts a new
+run, whose batches stand beside those of the runs before. Nothing is
+collected to the driver; the batch is persisted once and the writes run as
+concurrent jobs over it. Optionally, measurements delivered again are left
+out; no measurement is dropped for being late.
 
 ``latest_state_stream`` / ``counters_stream``: stateful aggregations per
 patient in update mode; the state holds one row per patient (bounded by the
 patient count, not by the event count). Changed rows of each batch are
-written per ``batch_id``, and the readers resolve the latest row per patient
-across batches.
+written per run and batch, the readers resolve the latest row per patient,
+and ``compact_state`` replaces older batches by one snapshot.
 """
 
 from __future__ import annotations
 
+import threading
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vigilo import schemas
 from vigilo.functions.ids import normalise_patient_id
 from vigilo.operators import alerts as al
 from vigilo.operators import profiles
+from vigilo.session import remove
 from vigilo.sources.stream import decode_messages
 
 BATCH_INTERVAL = "5 seconds"
@@ -44,19 +50,44 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that a checkpoint belongs to: made when the checkpoint is new,
+    then read from beside its offsets. Ids sort by the time they were made."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/vigilo_run")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        stream = fs.open(path)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    stream = fs.create(path, False)
+    try:
+        stream.writeUTF(run)
+    finally:
+        stream.close()
+    return run
+
+
 def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thresholds,
-                  patients: DataFrame | None = None, profile: DataFrame | None = None) -> None:
+                  patients: DataFrame | None = None, profile: DataFrame | None = None,
+                  run_id: str = "0", dedup: bool = False) -> None:
     """Handle one micro-batch of wire records (``value`` column) or decoded messages.
 
     ``profile`` is the prepared one-row-per-patient lookup (see ``prepare_profile``);
-    when only ``patients`` is given it is derived here.
+    when only ``patients`` is given it is derived here. With ``dedup`` measurements
+    already stored by another batch of ``out`` (of any run) are left out.
     """
     if profile is None:
         profile = profiles.profile_lookup(patients)
     msgs = decode_messages(batch) if "value" in batch.columns else batch
+    if dedup:
+        msgs = without_replays(msgs, out, run_id, batch_id)
     msgs = msgs.persist()
     try:
-        n = msgs.count()   # fills the cache once; the four outputs then read it
+        n = msgs.count()   # fills the cache once; the outputs then read it
         valid = msgs.filter(al.is_valid(msgs))
         outputs = {
             "alertes": al.to_history(al.alerts(valid, thresholds)),
@@ -65,15 +96,54 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thre
             "comptages": msgs.sparkSession.range(1).select(
                 F.lit(batch_id).cast("long").alias("lot"), F.lit(n).cast("long").alias("nb_mesures")),
         }
+        if dedup:
+            outputs[SEEN] = msgs.filter(F.col("mesure_id").isNotNull()).select("mesure_id", day_of().alias("jour"))
         # independent outputs are submitted together so they share the executors
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-            done = [pool.submit(_write_partition, df, out, name, batch_id) for name, df in outputs.items()]
+            done = [pool.submit(_write_partition, df, out, name, batch_id, run_id) for name, df in outputs.items()]
             for f in done:
                 f.result()   # re-raise a failed write: the batch is then replayed whole
     finally:
         msgs.unpersist()
 
 
+# Ids of the measurements handled so far, by day: what replays are recognised by.
+SEEN = "mesures_vues"
+_SEEN_SCHEMA = "mesure_id string, jour string, run_id string, batch_id long"
+
+
+def day_of() -> Column:
+    return F.coalesce(F.substring("timestamp", 1, 10), F.lit(""))
+
+
+def without_replays(msgs: DataFrame, out: str, run_id: str, batch_id: int) -> DataFrame:
+    """Messages without those whose measurement was handled before (T10), in this batch or in
+    another one of ``out``. One of several deliveries stays, however late it comes; messages
+    without a measurement id all stay. The ids stored by this very batch don't count, so a
+    replayed batch gives the same rows. Ids are stored by day and only days that occur in
+    the batch are read."""
+    spark = msgs.sparkSession
+    with_id = F.col("mesure_id").isNotNull()
+    day = "_jour"
+    named = msgs.withColumn(day, day_of())
+    rest = named.filter(~with_id)
+    once = named.filter(with_id).dropDuplicates(["mesure_id", day])
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{SEEN}")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        seen = (spark.read.schema(_SEEN_SCHEMA).parquet(f"{out}/{SEEN}")
+                .filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id)))
+        days = [r[0] for r in once.select(day).distinct().limit(MOST_DAYS + 1).collect()]
+        if len(days) <= MOST_DAYS:      # else the batch spans so many days that all are read
+            seen = seen.filter(F.col("jour").isin(days))
+        seen = seen.select(F.col("mesure_id").alias("_vue"), F.col("jour").alias("_vue_jour"))
+        once = once.join(seen, (F.col("mesure_id") == F.col("_vue")) & (F.col(day) == F.col("_vue_jour")), "left_anti")
+    return once.unionByName(rest).drop(day)
+
+
+#: Days of a batch that are listed to prune the stored ids.
+MOST_DAYS = 400
+
+
 def batch_updates(valid: DataFrame, thresholds: al.Thresholds, profile: DataFrame) -> DataFrame:
     """Patient updates of one micro-batch. The static profile is first reduced to
     the patients present in the batch (a semi-join whose small side AQE
@@ -100,46 +170,48 @@ def prepare_profile(patients: DataFrame) -> DataFrame:
 DATE_PARTITIONED = {"alertes": ("date_alerte", schemas.ALERT_HISTORY)}
 
 
-def _write_partition(df: DataFrame, out: str, table: str, batch_id: int) -> None:
-    """Overwrite ``<out>/<table>/batch_id=<id>`` (idempotent on replay)."""
-    w = df.write.mode("overwrite")
-    if table in DATE_PARTITIONED:
-        w = w.partitionBy(DATE_PARTITIONED[table][0])
-    w.parquet(f"{out}/{table}/batch_id={batch_id}")
+def _folder(out: str, table: str, batch_id: int, run_id: str) -> str:
+    return f"{out}/{table}/run_id={run_id}/batch_id={batch_id}"
 
 
-def write_alert_history(history: DataFrame, out: str, batch_id: int) -> None:
-    """Persist alert history rows as batch ``batch_id`` of ``<out>/alertes`` (K6)."""
-    _write_partition(history, out, "alertes", batch_id)
+def _write_partition(df: DataFrame, out: str, table: str, batch_id: int, run_id: str = "0") -> None:
+    """Overwrite the batch's folder of a table (idempotent on replay)."""
+    by = {"alertes": "date_alerte", SEEN: "jour"}.get(table)
+    if by:   # rows of a day together: files by size, not one per task and day
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(_folder(out, table, batch_id, run_id))
+    else:
+        df.write.mode("overwrite").parquet(_folder(out, table, batch_id, run_id))
 
 
-def dedup_replays(msgs: DataFrame, delay: str) -> DataFrame:
-    """Drop a measurement delivered again (same ``mesure_id``) within ``delay`` of
-    event time (T10). State is bounded by the watermark; a message whose
-    timestamp does not parse has no event time and is not deduplicated."""
-    evt = F.try_to_timestamp(F.col("timestamp"), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
-    return (msgs.withColumn("_heure_evt", evt)
-            .withWatermark("_heure_evt", delay)
-            .dropDuplicatesWithinWatermark(["mesure_id"])
-            .drop("_heure_evt"))
+def write_alert_history(history: DataFrame, out: str, batch_id: int, run_id: str = "0") -> None:
+    """Persist alert history rows as batch ``batch_id`` of ``<out>/alertes`` (K6)."""
+    _write_partition(history, out, "alertes", batch_id, run_id)
 
 
 def alert_stream(records: DataFrame, out: str, checkpoint: str, thresholds: al.Thresholds,
                  patients: DataFrame | None = None, trigger: str | None = BATCH_INTERVAL,
-                 profile: DataFrame | None = None, dedup_within: str | None = None) -> StreamingQuery:
+                 profile: DataFrame | None = None, dedup: bool = False) -> StreamingQuery:
     """Start the alert job on a stream of wire records (or decoded messages).
-    Pass ``patients`` (prepared here) or a ``profile`` from ``prepare_profile``
-    (the caller then unpersists it when the query ends). ``dedup_within`` (e.g.
-    ``"1 hour"``) drops replayed measurements within that event-time delay."""
-    if profile is None:
-        profile = prepare_profile(patients)
-    if dedup_within:
-        msgs = decode_messages(records) if "value" in records.columns else records
-        records = dedup_replays(msgs, dedup_within)
+    Pass ``patients`` (prepared here and released when the query ends) or a
+    ``profile`` from ``prepare_profile`` (released by the caller). ``dedup``
+    leaves out measurements that are delivered again."""
+    own = prepare_profile(patients) if profile is None else None
+    used = own if profile is None else profile
+    run = run_id_of(records.sparkSession, checkpoint)
     w = (records.writeStream
-         .foreachBatch(lambda b, i: process_batch(b, i, out, thresholds, profile=profile))
+         .foreachBatch(lambda b, i: process_batch(b, i, out, thresholds, profile=used, run_id=run, dedup=dedup))
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    query = _trigger(w, trigger).start()
+    if own is not None:
+        threading.Thread(target=_release_after, args=(query, own), daemon=True).start()
+    return query
+
+
+def _release_after(query: StreamingQuery, profile: DataFrame) -> None:
+    try:
+        query.awaitTermination()
+    finally:
+        profile.unpersist()
 
 
 def latest_state_stream(records: DataFrame, out: str, checkpoint: str,
@@ -151,31 +223,74 @@ def latest_state_stream(records: DataFrame, out: str, checkpoint: str,
     state = (valid.groupBy(normalise_patient_id(F.col("patient_id")).alias("patient_key"))
              .agg(F.max_by(F.struct(*fields), F.struct("timestamp", "mesure_id")).alias("m")))
 
+    run = run_id_of(records.sparkSession, checkpoint)
+
     def sink(b: DataFrame, i: int) -> None:
-        _write_partition(b.select("patient_key", "m.*"), out, "latest", i)
+        _write_partition(b.select("patient_key", "m.*"), out, "latest", i, run)
 
     w = (state.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
+_PLACE = [StructField("run_id", StringType(), True), StructField("batch_id", LongType(), True)]
+
+
 def read_output(spark: SparkSession, out: str, table: str) -> DataFrame:
-    """A table written by the stream, without the ``batch_id`` partition column."""
+    """A table written by the stream, all runs, without the run and batch columns."""
     if table in DATE_PARTITIONED:
         schema = DATE_PARTITIONED[table][1]
-        full = StructType(schema.fields + [StructField("batch_id", LongType(), True)])
+        full = StructType(schema.fields + _PLACE)
         # partition values come back last; restore the declared column order
         return spark.read.schema(full).parquet(f"{out}/{table}").select(*schema.fieldNames())
-    return spark.read.parquet(f"{out}/{table}").drop("batch_id")
+    return spark.read.parquet(f"{out}/{table}").drop("run_id", "batch_id")
+
+
+def _latest_rows(rows: DataFrame, table: str) -> DataFrame:
+    """The row that counts for each key of a state table, with its run and batch."""
+    key, order = STATE_TABLES[table]
+    fields = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*fields), F.struct(*order)).alias("m")).select(key, "m.*")
+
+
+# State tables: key, and what makes a row later than another.
+STATE_TABLES = {
+    "latest": ("patient_key", ["timestamp", "mesure_id", "run_id", "batch_id"]),
+    "compteurs": ("patient_id", ["run_id", "batch_id"]),
+}
+
+
+def _read_state(spark: SparkSession, out: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{out}/{table}").withColumn("run_id", F.col("run_id").cast("string"))
+
+
+def compact_state(spark: SparkSession, out: str, table: str) -> None:
+    """Replace all batches of a state table but the newest by one snapshot of what counts.
+
+    The snapshot is added to the second newest batch's folder first and the folders before it
+    are removed afterwards: at every moment the readers find at least one copy of each row,
+    and copies don't matter to them. Run it now and then beside the stream: it doesn't touch
+    the newest batch, which may still be written."""
+    rows = _read_state(spark, out, table)
+    # one row per folder
+    places = sorted((r[0], r[1]) for r in rows.select("run_id", "batch_id").distinct().collect())
+    if len(places) < 3:
+        return
+    run, batch = places[-2]
+    older = (F.col("run_id") < run) | ((F.col("run_id") == run) & (F.col("batch_id") < batch))
+    snapshot = _latest_rows(rows.filter(older), table).drop("run_id", "batch_id")
+    newer = rows.filter((F.col("run_id") == run) & (F.col("batch_id") == batch))
+    key = STATE_TABLES[table][0]
+    if table == "compteurs":   # a later row of the same patient wins by its place, so an older one mustn't move there
+        snapshot = snapshot.join(newer.select(key), key, "left_anti")
+    snapshot.write.mode("append").parquet(_folder(out, table, batch, run))
+    for old_run, old_batch in places[:-2]:
+        remove(spark, _folder(out, table, old_batch, old_run))
 
 
 def read_latest_messages(spark: SparkSession, out: str) -> DataFrame:
     """Latest message per patient across all batches written by ``latest_state_stream``."""
-    rows = spark.read.parquet(f"{out}/latest").drop("batch_id")
-    fields = [c for c in rows.columns if c != "patient_key"]
-    return (rows.groupBy("patient_key")
-            .agg(F.max_by(F.struct(*fields), F.struct("timestamp", "mesure_id")).alias("m"))
-            .select("m.*"))
+    return _latest_rows(_read_state(spark, out, "latest"), "latest").drop("patient_key", "run_id", "batch_id")
 
 
 def counters_stream(records: DataFrame, out: str, checkpoint: str, thresholds: al.Thresholds,
@@ -193,8 +308,10 @@ def counters_stream(records: DataFrame, out: str, checkpoint: str, thresholds: a
         F.sum(c["nb_critiques"]).cast("long").alias("alertes_critiques"),
         F.sum(c["nb_warnings"]).cast("long").alias("alertes_warning"))
 
+    run = run_id_of(records.sparkSession, checkpoint)
+
     def sink(b: DataFrame, i: int) -> None:
-        _write_partition(b, out, "compteurs", i)
+        _write_partition(b, out, "compteurs", i, run)
 
     w = (state.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
@@ -203,12 +320,7 @@ def counters_stream(records: DataFrame, out: str, checkpoint: str, thresholds: a
 
 def read_counters(spark: SparkSession, out: str) -> DataFrame:
     """Totals over the latest cumulative row of every patient."""
-    rows = spark.read.parquet(f"{out}/compteurs")
-    last = (rows.groupBy("patient_id")
-            .agg(F.max_by(F.struct("alertes_total", "alertes_critiques", "alertes_warning"),
-                          F.col("batch_id")).alias("c")))
-    return last.agg(
-        F.coalesce(F.sum("c.alertes_total"), F.lit(0)).cast("long").alias("alertes_total"),
-        F.coalesce(F.sum("c.alertes_critiques"), F.lit(0)).cast("long").alias("alertes_critiques"),
-        F.coalesce(F.sum("c.alertes_warning"), F.lit(0)).cast("long").alias("alertes_warning"),
-        F.count("patient_id").alias("patients_surveilles"))
+    last = _latest_rows(_read_state(spark, out, "compteurs"), "compteurs")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+    return last.agg(total("alertes_total"), total("alertes_critiques"), total("alertes_warning"),
+                    F.count("patient_id").alias("patients_surveilles"))
