@@ -79,10 +79,10 @@ ORACLE: dict[str, str] = {
     "op10_norm_bucketed_top_k": """
         WITH v AS (
             SELECT vec_id, row_number() OVER () AS r,
-                   list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS e
+                   [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
             FROM embeddings
             WHERE embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, p.vec_id, CAST(list_dot_product(q.e, p.e) AS BIGINT) AS score
             FROM v q JOIN v p ON q.r <> p.r
