@@ -13,10 +13,14 @@ def signal_label(signal: Column) -> Column:
 
 def js_number(x: Column) -> Column:
     """Number as a browser prints it: whole values without a fraction part,
-    others in shortest decimal form."""
+    others in shortest decimal form, in plain digits."""
     d = x.cast("double")
     whole = (d == F.floor(d)) & (F.abs(d) < 1e15)
-    return F.when(whole, d.cast("long").cast("string")).otherwise(d.cast("string"))
+    shortest = d.cast("string")      # may have an exponent: 1.23456789E7
+    plain = F.rtrim(F.lit("0"), shortest.try_cast("decimal(38,18)").cast("string"))
+    return (F.when(whole, d.cast("long").cast("string"))
+            .when(shortest.contains("E") & (F.abs(d) >= 1e-6) & (F.abs(d) < 1e15), plain)
+            .otherwise(shortest))
 
 
 def initials(name: Column) -> Column:

@@ -267,3 +267,12 @@ def table_row_counts(stats: DataFrame, enriched_df: DataFrame | None = None) ->
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def stored_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Row count of each stored table, labelled (A12, U1): a table that wasn't written shows."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(name).alias("table_name"), "nb_lignes")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -105,6 +105,12 @@ def patient_updates(measurements: DataFrame, patients: DataFrame | None = None,
     )
 
 
+def _is_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size estimate is below the session's broadcast threshold."""
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def salted_profile_join(measurements: DataFrame, profile: DataFrame,
                         buckets: int = SALT_BUCKETS) -> DataFrame:
     """Left join of measurements with the one-per-id profile on (patient, salt).
@@ -112,8 +118,9 @@ def salted_profile_join(measurements: DataFrame, profile: DataFrame,
     Each measurement gets a deterministic salt from its id (stable on task
     retry); each profile row is replicated once per salt value. The salted key
     gives both sides a shuffle, which lets AQE split a hot patient's partition;
-    the cost is ``buckets`` copies of the (much smaller) profile table."""
-    if buckets <= 1:
+    the cost is ``buckets`` copies of the (much smaller) profile table. Profiles
+    that the planner will broadcast need neither shuffle nor salt."""
+    if buckets <= 1 or _is_broadcast(profile):
         prof = profile.withColumnRenamed("patient_id", "_pid")
         return measurements.join(prof, measurements["patient_id"] == prof["_pid"], "left")
     m = measurements.withColumn("_salt", F.pmod(F.xxhash64("mesure_id"), F.lit(buckets)))

@@ -3,7 +3,9 @@
     python -m vigilo.plans.batch_job --patients P --signals S --sensors C --out DIR
 
 Inputs are the `;`-separated files with a header row (patients, vital
-signals, sensors). Outputs (Parquet, or `;` text with ``--format text``):
+signals, sensors). With ``--ingest DIR`` the signals are first kept there as
+Parquet by day; ``--signals DIR --ingested`` then reads them from there, and a
+run on some days reads those days only (text can't be skipped). Outputs (Parquet, or `;` text with ``--format text``):
 
 * ``mesures_patients``        enriched measurements (36 columns)         K1
 * ``kpi1_moyennes_vitaux`` … ``kpi4_oxygenation``                        K2
@@ -14,7 +16,8 @@ The enriched table is written once and read back (the lineage is cut there,
 as between the two original jobs); the shared patient-day aggregation is
 written once as well, and every KPI table and the view are projections of it.
 Tables are partitioned by day; ``--days`` recomputes only those days and
-replaces only their partitions. Each write is a single committed Spark job,
+replaces only their partitions (a day without rows any more loses its
+partition). Each write is a single committed Spark job,
 so a lost executor only reruns its tasks.
 """
 
@@ -28,12 +31,13 @@ from pyspark.sql import functions as F
 from vigilo.operators import enrich, kpis
 from vigilo.sources import files
 
+VIEW = "vue_dashboard_patient"
 KPI_TABLES = {
     "kpi1_moyennes_vitaux": kpis.kpi1_daily_vitals,
     "kpi2_hypertension": kpis.kpi2_hypertension,
     "kpi3_stabilite_cardiaque": kpis.kpi3_cardiac_stability,
     "kpi4_oxygenation": kpis.kpi4_oxygenation,
-    "vue_dashboard_patient": kpis.dashboard_view,
+    VIEW: kpis.dashboard_view,
 }
 
 
@@ -48,35 +52,45 @@ def run(spark: SparkSession, patients: DataFrame, signals: DataFrame, sensors: D
     """
     out = out.rstrip("/")
     day = "date_mesure"
-    incremental = days is not None
-    if incremental:
-        signals = signals.filter(F.col("date").isin(list(days)))
+    if days is not None:
+        days = list(days)
+        signals = signals.filter(F.col("date").isin(days))
+    some = lambda df: df if days is None else df.filter(F.col(day).isin(days))
 
     paths = {"mesures_patients": f"{out}/mesures_patients"}
     files.write_table(enrich.enriched(signals, sensors, patients), paths["mesures_patients"],
-                      partition_by=day, only_present_partitions=incremental)
-    stored = files.scan_enriched(spark, paths["mesures_patients"])
-    if incremental:
-        stored = stored.filter(F.col(day).isin(list(days)))          # partition pruning
+                      partition_by=day, only=days)
+    stored = some(files.scan_enriched(spark, paths["mesures_patients"]))          # partition pruning
 
     stats_path = f"{out}/_patient_day_stats"
     new_stats = kpis.patient_day_stats(stored)
-    files.write_table(new_stats, stats_path, partition_by=day, only_present_partitions=incremental)
-    all_stats = files.read_table(spark, stats_path, new_stats.schema)
-    stats = all_stats.filter(F.col(day).isin(list(days))) if incremental else all_stats
+    files.write_table(new_stats, stats_path, partition_by=day, only=days)
+    stats = some(files.read_table(spark, stats_path, new_stats.schema))
 
+    counted = {"mesures_patients": files.scan_enriched(spark, paths["mesures_patients"])}
     for name, build in KPI_TABLES.items():
         paths[name] = f"{out}/{name}"
-        files.write_table(build(stats), paths[name], fmt=fmt, partition_by=day,
-                          only_present_partitions=incremental)
+        table = build(stats)
+        files.write_table(table, paths[name], fmt=fmt, partition_by=day, only=days)
+        if name != VIEW:
+            counted[name] = read_kpi_table(spark, paths[name], table.schema, fmt)
     paths["comptages"] = f"{out}/comptages"
-    files.write_table(kpis.table_row_counts(all_stats), paths["comptages"], fmt=fmt)
+    files.write_table(kpis.stored_counts(counted), paths["comptages"], fmt=fmt)
     if fmt != "parquet":
-        files.write_table(stored, f"{out}/mesures_patients_texte", fmt=fmt, partition_by=day,
-                          only_present_partitions=incremental)
+        files.write_table(stored, f"{out}/mesures_patients_texte", fmt=fmt, partition_by=day, only=days)
     return paths
 
 
+def read_kpi_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """A KPI table as written by :func:`run`."""
+    if fmt == "parquet":
+        return files.read_table(spark, path, schema)
+    # the partition column stands in the folder names, not in the lines
+    lines = [f for f in schema.fields if f.name != "date_mesure"] + [schema["date_mesure"]]
+    return files.read_delimited(spark, path, type(schema)(lines), ";", False,
+                                null_value=files.TEXT_NULL).select(*schema.fieldNames())
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
     ap.add_argument("--patients", required=True)
@@ -85,10 +99,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet", choices=["parquet", "text"])
     ap.add_argument("--days", help="comma-separated yyyy-MM-dd days to recompute (default: all)")
+    ap.add_argument("--ingest", help="folder in which to keep the signals as Parquet by day first")
+    ap.add_argument("--ingested", action="store_true", help="--signals is such a folder")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("vigilo-batch").getOrCreate()
     days = [d.strip() for d in a.days.split(",")] if a.days else None
-    paths = run(spark, files.scan_patients(spark, a.patients), files.scan_signals(spark, a.signals),
+    if a.ingest:
+        files.ingest_signals(files.scan_signals(spark, a.signals), a.ingest, days)
+    if a.ingest or a.ingested:
+        signals = files.scan_ingested_signals(spark, a.ingest or a.signals)
+    else:
+        signals = files.scan_signals(spark, a.signals)
+    paths = run(spark, files.scan_patients(spark, a.patients), signals,
                 files.scan_sensors(spark, a.sensors), a.out, a.format, days)
     for name, path in paths.items():
         print(f"{name}\t{path}")

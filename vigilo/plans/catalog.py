@@ -18,6 +18,7 @@ from vigilo import schemas
 from vigilo.functions.vitals import DEFAULT_SOURCE
 from vigilo.operators import alerts as al
 from vigilo.operators import enrich, kpis, monitor, profiles, quality
+from vigilo.plans import batch_job
 from vigilo.session import fresh_path
 from vigilo.sources import files
 from vigilo.sources import reference_tables as ref
@@ -79,8 +80,9 @@ def _alert_events(spark, sf) -> DataFrame:
 # ------------------------------------------------------------------ streaming
 
 def _wire_stream(spark, sf) -> DataFrame:
-    """The events table replayed as a stream of wire records."""
-    events = st.file_stream(spark, f"{sf.rstrip('/')}/events.parquet", td.SOURCE_SCHEMAS["events"])
+    """The events table (a file or a folder; a stream takes a file by a pattern) replayed as
+    a stream of wire records."""
+    events = st.file_stream(spark, f"{sf.rstrip('/')}/events.parquet*", td.SOURCE_SCHEMAS["events"])
     return st.encode_messages(td.events_as_observations(events))
 
 
@@ -145,6 +147,84 @@ def enriched_text_roundtrip(spark, sf) -> DataFrame:
     return files.scan_enriched(spark, path, fmt="text")
 
 
+# ------------------------------------------------------------------ text path
+
+def _as_text(spark, df: DataFrame, sep: str = ";") -> str:
+    """A table stored as delimited text the way a user brings it: a header line in each
+    file and once more among the rows, CRLF line ends, accents, empty and missing values
+    (both an empty field, so both read back as missing)."""
+    path = fresh_path(spark, "text")
+    words = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    again = words.limit(1).select(*[F.lit(c).alias(c) for c in df.columns])
+    (words.unionByName(again).write.option("sep", sep).option("header", True).option("lineSep", "\r\n")
+     .option("encoding", "UTF-8").csv(path))
+    return path
+
+
+def text_patients(spark, sf) -> DataFrame:
+    return files.scan_patients(spark, _as_text(spark, td.patients(spark, sf)))
+
+
+def text_signals(spark, sf) -> DataFrame:
+    return files.scan_signals(spark, _as_text(spark, td.signals(spark, sf)))
+
+
+def text_sensors(spark, sf) -> DataFrame:
+    return files.scan_sensors(spark, _as_text(spark, td.sensors(spark, sf)))
+
+
+def text_observations(spark, sf) -> DataFrame:
+    return files.scan_observations(spark, _as_text(spark, td.observations(spark, sf), ","))
+
+
+def text_profiles(spark, sf) -> DataFrame:
+    """The profile lookup of the streaming job from the patients' text file."""
+    path = _as_text(spark, td.patients(spark, sf))
+    return profiles.profile_lookup(files.load_optional(spark, path, schemas.PATIENTS, reader=files.scan_patients))
+
+
+# ------------------------------------------------------------------ stored batch job
+
+def _batch_job(spark, sf) -> dict[str, str]:
+    """The batch job on measurements ingested from text, all tables stored."""
+    store = fresh_path(spark, "signals")
+    files.ingest_signals(text_signals(spark, sf), store)
+    return batch_job.run(spark, td.patients(spark, sf), files.scan_ingested_signals(spark, store),
+                         td.sensors(spark, sf), fresh_path(spark, "batch"))
+
+
+def batch_job_view(spark, sf) -> DataFrame:
+    view = kpis.dashboard_view(_stats(spark, sf)).schema
+    return files.read_table(spark, _batch_job(spark, sf)["vue_dashboard_patient"], view)
+
+
+def batch_job_counts(spark, sf) -> DataFrame:
+    """Row counts of the tables that the batch job stored."""
+    return spark.read.parquet(_batch_job(spark, sf)["comptages"])
+
+
+# ------------------------------------------------------------------ presentation orders
+
+def ranked(df: DataFrame, order: list) -> DataFrame:
+    """``df`` in a presentation order with the rank as a column. A range partitioning sorts;
+    only one count per partition is prefix-summed."""
+    return st.with_row_index(df.orderBy(*order), "position").withColumn("position", F.col("position") + 1)
+
+
+def _presented(kpi: str, table) -> Query:
+    return lambda s, sf: ranked(table(_stats(s, sf)), [*kpis.presentation_order(kpi), "patient_id", "date_mesure", "nom"])
+
+
+def presented_alert_summary(spark, sf) -> DataFrame:
+    return ranked(al.alert_summary_patient_day(al.to_history(_alert_events(spark, sf))),
+                  [*al.summary_order(), "patient_id"])
+
+
+def presented_alert_stats(spark, sf) -> DataFrame:
+    return ranked(al.alert_stats_by_signal(al.to_history(_alert_events(spark, sf))),
+                  [*al.stats_order(), "signal", "niveau_alerte", "unite"])
+
+
 def stream_batch_counts(spark, sf) -> DataFrame:
     """Measurements per micro-batch (A13), summed over the run; into how many batches a
     stream is cut depends on its files, so that number is no part of the result."""
@@ -169,6 +249,11 @@ QUERIES: dict[str, Query] = {
     "scan_patients": _patients,
     "scan_signals": _signals,
     "scan_sensors": _sensors,
+    "text_patients": text_patients,
+    "text_signals": text_signals,
+    "text_sensors": text_sensors,
+    "text_observations": text_observations,
+    "text_profiles": text_profiles,
     # filters, joins, derived columns
     "filter_sensors_ok": lambda s, sf: quality.sensors_ok(_sensors(s, sf)),
     "filter_signals_ok": lambda s, sf: quality.signals_ok(_signals(s, sf)),
@@ -185,6 +270,12 @@ QUERIES: dict[str, Query] = {
     "dashboard_view": lambda s, sf: kpis.dashboard_view(_stats(s, sf)),
     "dashboard_from_stored": dashboard_from_stored,
     "table_row_counts": lambda s, sf: kpis.table_row_counts(_stats(s, sf)),
+    "batch_job_view": batch_job_view,
+    "batch_job_counts": batch_job_counts,
+    "presented_kpi1": _presented("kpi1", kpis.kpi1_daily_vitals),
+    "presented_kpi2": _presented("kpi2", kpis.kpi2_hypertension),
+    "presented_kpi3": _presented("kpi3", kpis.kpi3_cardiac_stability),
+    "presented_kpi4": _presented("kpi4", kpis.kpi4_oxygenation),
     # alerts
     "normalise_patient_id": lambda s, sf: al.with_patient_key(messages(s, sf)).select(
         "mesure_id", "patient_id_brut", "patient_id"),
@@ -203,6 +294,8 @@ QUERIES: dict[str, Query] = {
     "alert_summary_patient_day": lambda s, sf: al.alert_summary_patient_day(
         al.to_history(_alert_events(s, sf))),
     "alert_stats_by_signal": lambda s, sf: al.alert_stats_by_signal(al.to_history(_alert_events(s, sf))),
+    "presented_alert_summary": presented_alert_summary,
+    "presented_alert_stats": presented_alert_stats,
     # live state
     "monitor_counters": lambda s, sf: monitor.monitor_counters(messages(s, sf), ref.THRESHOLD_ROWS),
     "latest_patient_state": lambda s, sf: profiles.flat_updates(_latest_updates(s, sf)),

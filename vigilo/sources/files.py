@@ -8,9 +8,11 @@ Parquet (vectorised, predicate pushdown, column pruning).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigilo import schemas
 from vigilo.operators.quality import drop_header_rows
+from vigilo.session import remove
 
 
 # Null marker of stored text tables (Hive's text default), so '' and null stay distinct.
@@ -59,25 +61,41 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: str | None = None, only_present_partitions: bool = False) -> None:
+                partition_by: str | None = None, only: list[str] | None = None) -> None:
     """Persist a result (K1, K2). ``fmt='text'`` writes ``;``-separated rows with no header.
 
     ``partition_by`` lays the table out in one folder per value (a day), so a
-    reader filtering on it prunes the other folders. With
-    ``only_present_partitions`` an overwrite replaces just the partitions present
-    in ``df`` (dynamic overwrite): recomputing one day leaves the others intact.
+    reader filtering on it prunes the other folders; rows of a day are brought
+    together first (``rebalance``: large days are split by size, small ones
+    merged), so a day has few files however many tasks write. With ``only``
+    (partition values) an overwrite replaces just those partitions: one that
+    has no rows any more is removed, the others stay as they are.
     """
-    w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(partition_by)
-        if only_present_partitions:
+        w = df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
+        if only is not None:
+            for value in only:
+                remove(df.sparkSession, f"{path}/{partition_by}={value}")
             w = w.option("partitionOverwriteMode", "dynamic")
+    else:
+        w = df.write.mode(mode)
     if fmt == "parquet":
         w.parquet(path)
     else:
         w.option("sep", ";").option("header", False).option("nullValue", TEXT_NULL).csv(path)
 
 
+def ingest_signals(signals: DataFrame, path: str, days: list[str] | None = None) -> None:
+    """Measurements (as scanned from text) kept as Parquet by day, so that a later run on some
+    days reads those days only. ``days``: replace only these."""
+    write_table(signals.filter(F.col("date").isin(days)) if days is not None else signals, path,
+                partition_by="date", only=days)
+
+
+def scan_ingested_signals(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, schemas.SIGNALS)
+
+
 def load_optional(spark: SparkSession, path: str | None, schema, reader=None) -> DataFrame:
     """A dimension that may be missing (profiles, centres: T7): an empty DataFrame of
     the right schema when the path does not exist or cannot be read."""

@@ -14,13 +14,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Value lists used by the adapter (free choices, not reference values).
-CITIES = ["Ariana", "Monastir", "Tunis", "Bizerte", "Nabeul", "Sfax", "Gabès", "Sousse",
-          "Grand Tunis", "Kef", "Paris", ""]
+from vigilo.sources.reference_tables import CENTRE_ROWS
+
+# Cities of patients: the governorates of the health centres (fixed values that the nearest
+# centre is looked up by), a longer and a shorter form of two of them, one elsewhere, none.
+CITIES = [*dict.fromkeys(row[3] for row in CENTRE_ROWS), "Grand " + CENTRE_ROWS[0][3],
+          CENTRE_ROWS[17][3].split()[-1], "Oslo", ""]
+# Free choices.
 DOCTORS = ["Dr. Amri", "Dr. Belhaj", "Dr. Chebbi", "Dr. Dridi", "Dr. Essid", "Dr. Ferchichi"]
-SENSOR_TYPES = ["Montre médicale", "Oxymètre", "Tensiomètre", "Glucomètre", "Thermomètre"]
-MAKERS = ["Omron", "Philips", "Withings", "Medtronic", "Beurer"]
-FREQUENCIES = [5, 10, 15, 30, 60]
+SENSOR_TYPES = ["Bracelet", "Patch thoracique", "Ceinture", "Bague", "Brassard"]
+MAKERS = ["Alpha", "Bêta", "Gamma", "Delta", "Epsilon"]
+FREQUENCIES = [2, 4, 8, 20, 45]
 
 
 def _q(s: str) -> str:
@@ -72,7 +76,7 @@ def patient_exprs(d: Dialect) -> list[tuple[str, str]]:
         ("nom", "c_name"),
         ("age", f"CAST(65 + {c} % 30 AS INT)"),
         ("sexe", f"CASE WHEN {c} % 2 = 0 THEN 'F' ELSE 'M' END"),
-        ("ville", _case(f"{c} % 12", CITIES)),
+        ("ville", _case(f"{c} % {len(CITIES)}", CITIES)),
         ("maladie_chronique", "c_mktsegment"),
         ("medecin_referent", _case(f"{c} % 6", DOCTORS)),
         ("numero_urgence", f"'216' || lpad(CAST(({c} * 7919) % 100000000 AS {'STRING' if d.name == 'spark' else 'VARCHAR'}), 8, '0')"),
@@ -109,7 +113,8 @@ def signal_exprs(d: Dialect, stream_ids: bool = False) -> list[tuple[str, str]]:
         ("timestamp", d.fmt_ts("ts", "timestamp")),
         ("date", d.fmt_ts("ts", "date")),
         ("heure", d.fmt_ts("ts", "heure")),
-        ("temperature_C", _tenth(f"345 + ({e} * 211) % 56")),
+        # on the wire in eighths: ties when an alert's value is rounded to two digits
+        ("temperature_C", _tenth(f"276 + ({e} * 211) % 47", 8) if stream_ids else _tenth(f"345 + ({e} * 211) % 56")),
         ("tension_systolique_mmHg", f"CAST(70 + ({e} * 6151) % 125 AS INT)"),
         ("tension_diastolique_mmHg", f"CAST(44 + ({e} * 4093) % 75 AS INT)"),
         ("frequence_cardiaque_bpm", f"CAST(38 + ({e} * 7919) % 105 AS INT)"),
@@ -121,7 +126,8 @@ def signal_exprs(d: Dialect, stream_ids: bool = False) -> list[tuple[str, str]]:
         ("activite_physique_steps", f"CAST(({e} * 97) % 12000 AS INT)"),
         ("duree_sommeil_h", _tenth(f"40 + ({e} * 7) % 60")),
         ("score_douleur_0_10", f"CASE WHEN {e} % 29 = 0 THEN NULL ELSE CAST(({e} * 3) % 11 AS INT) END"),
-        ("capteur_id", f"'CAPT' || {d.zfill(f'1 + {e} % 12', 3)}"),
+        # two sensors to three users at every scale
+        ("capteur_id", f"'CAPT' || {d.zfill('CAST(floor(user_id * 2 / 3) AS BIGINT)', 3)}"),
         ("qualite_signal", f"CASE WHEN {e} % 53 = 0 THEN NULL WHEN {e} % 9 = 0 THEN 'mauvais' "
                            f"WHEN {e} % 4 = 0 THEN 'moyen' ELSE 'bon' END"),
     ]
