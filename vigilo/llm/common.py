@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import os
 import tempfile
 import zipfile
@@ -117,6 +120,28 @@ def with_row_number(df: DataFrame, order: list[str], name: str, scratch: Scratch
     return numbered, int(total)
 
 
+def release() -> None:
+    """Gives freed memory back to the system; C libraries keep it otherwise, and a worker
+    process lives through many tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):   # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run):
+    """A function over the batches of a partition that releases memory between batches."""
+    @functools.wraps(run)
+    def released(batches):
+        try:
+            for out in run(batches):
+                yield out
+                del out
+                release()
+        finally:
+            release()
+    return released
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, in place on a fresh array."""
     x = x ^ (x >> _U64(30))

@@ -178,7 +178,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                               .withColumn("node", F.monotonically_increasing_id()), "classes")
     k, tables = shape(classes.count(), cosine)
     keyed = scratch.written(classes.select("node", "embedding")
-                            .mapInArrow(_keys(k, tables, seed), "node long, keys array<int>"), "keys")
+                            .mapInArrow(common.lean(_keys(k, tables, seed)), "node long, keys array<int>"), "keys")
     placed = keyed.select("node", F.posexplode("keys").alias("table", "key"))
     buckets = scratch.written(placed.groupBy("table", "key").agg(F.count("*").alias("members")).where("members > 1"),
                               "buckets")
@@ -194,7 +194,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     linked = scratch.written(
         inside.join(full, "node").select("unit", "table", "block", "mixed", "node", "size", "embedding", "keys")
         .repartition("unit").sortWithinPartitions("unit")
-        .mapInArrow(_links(cosine), "node long, links long, peer long"), "links")
+        .mapInArrow(common.lean(_links(cosine)), "node long, links long, peer long"), "links")
     found = components(linked.where("node != peer").select(F.col("node").alias("a"), F.col("peer").alias("b")), scratch)
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
     named = (classes.select("node", "embedding", "least", "size").join(counts, "node", "left").join(found, "node", "left")

@@ -189,7 +189,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", draw:
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row per language
     if not sizes:
         return Model()
-    found = (labelled.select("text").mapInArrow(_frequencies, "feature long, documents long")
+    found = (labelled.select("text").mapInArrow(common.lean(_frequencies), "feature long, documents long")
              .groupBy("feature").agg(F.sum("documents").alias("documents")))
     found = scratch.written(found, "frequencies").toPandas()  # at most 2**BITS + 1 rows
     total = int(found.documents[found.feature == -1].sum())
@@ -201,7 +201,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", draw:
         # a share of the hash range that holds that many rows on average
         part = (F.col("lang") == lang) & (F.col("draw") < int(min(1.0, most / rows) * (1 << 30)))
         chosen = part if chosen is None else chosen | part
-    sample = (labelled.where(chosen).mapInArrow(_vectors, "lang string, draw long, at binary, counts binary")
+    sample = (labelled.where(chosen).mapInArrow(common.lean(_vectors), "lang string, draw long, at binary, counts binary")
               .toPandas().sort_values(["draw", "lang", "at"], ignore_index=True))
     scratch.remove(scratch.root)
     sample = sample[sample["at"].str.len() > 0]
@@ -246,6 +246,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang: str = "
             p = known.probabilities(*counter(features))
             best = int(p.argmax())
             out.append((known.languages[best], float(p[best])))
+        common.release()
         return pd.DataFrame(out, columns=[lang, score])
 
     kept = [c for c in docs.columns if c.lower() not in (lang.lower(), score.lower())]

@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = Scratch(spark, "near")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.col(text_col)).alias("text_hash"))
-    sketched = scratch.written(text.mapInArrow(_sketch(width), "doc_id long, text_hash long, n_shingles long, k1 long, "
+    sketched = scratch.written(text.mapInArrow(common.lean(_sketch(width)), "doc_id long, text_hash long, n_shingles long, k1 long, "
                                                        "k2 long, bands array<long>")
                        .withColumn("rid", F.monotonically_increasing_id()), "sketch")
     rows = sketched.drop("bands")
@@ -235,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = scratch.written(star.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                             .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
                             .select("a", "b", "sa", "sb")
-                            .mapInArrow(_confirm(percent), "a long, b long"), "links")
+                            .mapInArrow(common.lean(_confirm(percent)), "a long, b long"), "links")
     found = components(links, scratch)
     links = links.unionByName(_rest(scratch, inside, found, sets, percent))
     found = components(links, scratch)
@@ -263,7 +263,7 @@ def _sets_of(scratch: Scratch, text: DataFrame, where: DataFrame, width: int) ->
     try:
         found = text.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text").join(where.where("node >= 0"), "id")
         return scratch.written(found.select("node", "k1", "k2", "text")
-                               .mapInArrow(_full_sets(width), "node long, shingles binary")
+                               .mapInArrow(common.lean(_full_sets(width)), "node long, shingles binary")
                                .dropDuplicates(["node"]), "sets")
     finally:
         conf.set(name, before)

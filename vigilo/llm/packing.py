@@ -192,4 +192,4 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     common.ship(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(_pack(tokenizer, spaced, end_id, with_ids), _SCHEMA + ", ids array<int>" * with_ids)
+    return slim.mapInArrow(common.lean(_pack(tokenizer, spaced, end_id, with_ids)), _SCHEMA + ", ids array<int>" * with_ids)

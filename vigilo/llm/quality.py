@@ -205,7 +205,7 @@ def train(docs: DataFrame, text_col: str = "text", draw: Column | None = None) -
     common.ship(docs.sparkSession)
     texts = docs.select(F.col(text_col).alias("text"),
                         F.pmod(draw if draw is not None else F.xxhash64(text_col), F.lit(1 << 30)).alias("draw"))
-    found = (texts.select("text").mapInArrow(_codes, "code long, texts long")
+    found = (texts.select("text").mapInArrow(common.lean(_codes), "code long, texts long")
              .groupBy("code").agg(F.sum("texts").alias("texts")).toPandas().sort_values("code"))  # at most 3**8 rows
     total = int(found.texts.sum())
     if not total:
@@ -213,7 +213,7 @@ def train(docs: DataFrame, text_col: str = "text", draw: Column | None = None) -
     labels = estimate(found.code.to_numpy(), found.texts.to_numpy(float))
     part = int(min(1.0, SAMPLE / total) * (1 << 30))
     sample = (texts.where(F.col("draw") < part).select("text")
-              .mapInArrow(_examples, "code long, at binary, x binary").toPandas()
+              .mapInArrow(common.lean(_examples), "code long, at binary, x binary").toPandas()
               .sort_values(["code", "at", "x"], ignore_index=True))
     if not len(sample):
         return None
@@ -259,6 +259,7 @@ def score(docs: DataFrame, scorer: Scorer | None, text_col: str = "text") -> Dat
                 else:
                     out.append(("".join("BG-"[v] for v in votes[r]), float(known.labels.posterior[codes[r]]),
                                 known.score(*_vector(w.word[a:b], w.shape[a:b]))))
+        common.release()
         return pd.DataFrame(out, columns=["votes", "posterior", "score"])
 
     made = ("votes", "posterior", "score", "kept")

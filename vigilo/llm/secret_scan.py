@@ -374,7 +374,7 @@ def train(docs: DataFrame, text_col: str = "text", draw=None) -> Field | None:
         part = int(min(1.0, SAMPLE / max(sizes.get(on, 0), 1)) * (1 << 30))
         most = F.when(F.col("cue") == on, F.lit(part)).otherwise(most)
     windows = (drawn.where(F.col("draw") < most).select("text")
-               .mapInArrow(_windows, "shape binary, noise binary, word binary, label binary, file int")
+               .mapInArrow(common.lean(_windows), "shape binary, noise binary, word binary, label binary, file int")
                .toPandas().sort_values(["word", "shape", "noise", "label", "file"], ignore_index=True))
     return fit(windows)
 
@@ -403,7 +403,7 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
                 names=["doc_id", "n_assign", "n_access", "n_hex", "n_crf", "base_sha256", "spans"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, "
+            .mapInArrow(common.lean(run), "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, "
                              "spans string"))
 
 
@@ -433,6 +433,7 @@ def masked(docs: DataFrame, field: Field | None, text_col: str = "text", chars_c
     def clean(texts: pd.Series) -> pd.Series:
         column = pa.array(texts, pa.string(), from_pandas=True)
         found = [mask(text, own) if own else text for _, text, own in _find(shared.value)(column)]
+        common.release()
         return pd.Series(found, index=texts.index, dtype=object).where(texts.notna(), None)
 
     new = common.unused(docs, "_masked")

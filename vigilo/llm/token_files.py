@@ -178,7 +178,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                .withColumn("tie", F.xxhash64("text"))
                .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie"))
     manifest = scratch.written(
-        ordered.select("doc_id", "text").mapInArrow(_write(folder, tokenizer, spaced, end_id),
+        ordered.select("doc_id", "text").mapInArrow(common.lean(_write(folder, tokenizer, spaced, end_id)),
                                                     "part long, seq long, name string, docs long, ids long"), "manifest")
     # one row per partition of the writing job
     parts = scratch.written(manifest.groupBy("part").agg(F.sum("ids").alias("all"))
@@ -214,4 +214,4 @@ def read_tokens(folder: str, manifest: DataFrame) -> DataFrame:
     of the document's ids as little-endian unsigned 32-bit integers.
     """
     files = manifest.select("name", "start").repartition("name")
-    return files.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(common.lean(_read(folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")

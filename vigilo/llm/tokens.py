@@ -18,7 +18,7 @@ from vigilo.llm.common import mix64, powers, text_chunks
 
 #: Text bytes cut at a time, and pieces remembered by a worker.
 CHUNK_BYTES = 2 << 20
-MOST_PIECES = 1 << 21
+MOST_PIECES = 1 << 19
 
 _SPACE, _LETTER, _NUMBER, _OTHER, _ODD = range(5)
 _PLAIN = 0x250
