@@ -329,7 +329,7 @@ def test_label_model_finds_the_bad_labeller():
 
 
 def test_quality_scores(spark, corpus, rows, empty):
-    bad = [(1000 + i, " ".join(w + "###" for w in r.text.split()[:40]).upper()) for i, r in enumerate(rows[:60]) if r.text and r.text.strip()]
+    bad = [(1000 + i, " ".join(w + "###" for w in r.text.split()[:40]).upper()) for i, r in enumerate(rows[:60]) if len(WORD.findall(r.text or "")) >= 20]
     docs = corpus.select("doc_id", "text").unionByName(spark.createDataFrame(bad, "doc_id long, text string"))
     scorer = quality.train(docs, draw=F.xxhash64("doc_id"))
     out = quality.score(docs.withColumn("votes", F.lit(1)), scorer).collect()

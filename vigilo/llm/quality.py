@@ -32,7 +32,8 @@ LABELLERS = (
     ("symbols", 0.06, 0.10),       # symbols a byte
     ("marked words", 0.10, 0.30),  # words ending in two symbols or more
     ("capitals", 0.15, 0.40),      # capitals a letter
-    ("repeats", 0.05, 0.15),       # words equal to the word before
+    ("repeats", 0.02, 0.06),       # words equal to the word before
+    ("commonest", 0.10, 0.20),     # share of the commonest word
     ("bars", 0.02, 0.10),          # words that are a symbol alone
     ("digits", 0.10, 0.25),        # digits a byte
     ("long words", 0.60, 0.75),    # words of more than four bytes
@@ -85,12 +86,17 @@ def look(buf: np.ndarray, offsets: np.ndarray) -> Words:
     same = np.zeros(len(word), bool)
     same[1:] = (word[1:] == word[:-1]) & (row[1:] == row[:-1])
     of = lambda x: np.bincount(row, x, rows)
+    _, one, times = np.unique(word + row.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03), return_index=True,
+                              return_counts=True)
+    commonest = np.zeros(rows)
+    np.maximum.at(commonest, row[one], times)
     per = lambda x: np.add.reduceat(x.astype(np.int64), begin)
-    words, length = np.maximum(of(np.ones(len(word))), 1), np.maximum(of(size), 1)
+    # a few odd words of a short text say little: shares are of 20 words or 100 bytes at least
+    words, length = np.maximum(of(np.ones(len(word))), 20), np.maximum(of(size), 100)
     capital, small = per(kind == 65), per(kind == 97)
     marked = symbol[end] & (size > 1) & symbol[np.maximum(end - 1, 0)]
-    measures = np.stack([of(per(symbol)) / length, of(marked) / words, of(capital) / np.maximum(of(capital + small), 1),
-                         of(same) / words, of(per(symbol) == size) / words, of(per(kind == 48)) / length,
+    measures = np.stack([of(per(symbol)) / length, of(marked) / words, of(capital) / np.maximum(of(capital + small), 80),
+                         of(same) / words, commonest / words, of(per(symbol) == size) / words, of(per(kind == 48)) / length,
                          of(size > 4) / words, of(size) / words], axis=1)
     return Words(first, word, shape, measures)
 
@@ -130,8 +136,9 @@ class Labels:
 def estimate(codes: np.ndarray, counts: np.ndarray) -> Labels:
     """Expectation maximisation over vote patterns and how many texts have them."""
     votes = patterns(codes)
-    calls = np.stack([(votes == v).sum(axis=1) for v in (BAD, GOOD)], axis=1)
-    q = (calls[:, GOOD] + 0.5) / (calls.sum(axis=1) + 1)  # at first the majority
+    # at first every bad call counts against a text: a good one sets off few labellers,
+    # a bad one has no reason to set off the most of them
+    q = np.where((votes == NONE).all(axis=1), 0.5, 0.95 * 0.4 ** (votes == BAD).sum(axis=1))
     onehot = np.eye(3)[votes]
     prior, chances = 0.5, np.full((len(LABELLERS), 2, 3), 1 / 3)
     for _ in range(EM_ROUNDS):
@@ -206,7 +213,7 @@ def train(docs: DataFrame, text_col: str = "text", draw: Column | None = None) -
     texts = docs.select(F.col(text_col).alias("text"),
                         F.pmod(draw if draw is not None else F.xxhash64(text_col), F.lit(1 << 30)).alias("draw"))
     found = (texts.select("text").mapInArrow(common.lean(_codes), "code long, texts long")
-             .groupBy("code").agg(F.sum("texts").alias("texts")).toPandas().sort_values("code"))  # at most 3**8 rows
+             .groupBy("code").agg(F.sum("texts").alias("texts")).toPandas().sort_values("code"))  # at most 3**9 rows
     total = int(found.texts.sum())
     if not total:
         return None
@@ -243,7 +250,7 @@ def score(docs: DataFrame, scorer: Scorer | None, text_col: str = "text") -> Dat
     """
     spark = docs.sparkSession
     common.ship(spark)
-    shared = spark.sparkContext.broadcast(scorer)  # 2 * 2**BITS weights and 3**8 posteriors
+    shared = spark.sparkContext.broadcast(scorer)  # 2 * 2**BITS weights and 3**9 posteriors
 
     @F.pandas_udf("votes string, posterior double, score double")
     def run(texts: pd.Series) -> pd.DataFrame:
