@@ -143,3 +143,34 @@ def test_views_with_cached_kpis(spark):
     total = spark.sql("SELECT SUM(nb_mesures) FROM vue_dashboard_patient").first()[0]
     assert n1 == n4 > 0
     assert total == spark.sql("SELECT COUNT(*) FROM mesures_patients").first()[0]
+
+
+def test_emptied_day_and_ingested_signals(spark, workdir):
+    """A day recomputed from an input in which nothing qualifies any more has no rows left, in
+    any table; signals kept by day give the same tables; a day has few files."""
+    from vigilo.plans.batch_job import KPI_TABLES
+    obs = files.scan_observations(spark, sample("observations.csv"))
+    signals = obs.select(
+        *[F.regexp_replace("capteur_id", "^CAP", "CAPT").alias(c) if c == "capteur_id"
+          else normalise_patient_id(F.col(c)).alias(c) if c == "patient_id" else F.col(c)
+          for c in [f.name for f in schemas.SIGNALS.fields]])
+    later = F.when(F.col("mesure_id") > "RT_00048", F.lit("2025-03-05")).otherwise(F.col("date"))
+    two_days = signals.withColumn("date", later).repartition(12)
+    patients = files.scan_patients(spark, sample("patients.csv"))
+    sensors = files.scan_sensors(spark, sample("sensors.csv"))
+    out, store = os.path.join(workdir, "out"), os.path.join(workdir, "signals")
+    files.ingest_signals(two_days, store)
+    ingested = files.scan_ingested_signals(spark, store)
+    assert ingested.exceptAll(two_days).count() == 0 and ingested.count() == two_days.count()
+    batch_job.run(spark, patients, ingested, sensors, out)
+    day = os.path.join(out, "mesures_patients", "date_mesure=2025-03-05")
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) <= 2
+    spoilt = two_days.withColumn("qualite_signal", F.lit("mauvais"))
+    files.ingest_signals(spoilt, store, ["2025-03-05"])
+    batch_job.run(spark, patients, files.scan_ingested_signals(spark, store), sensors, out, days=["2025-03-05"])
+    for table in ["mesures_patients", "_patient_day_stats", *KPI_TABLES]:
+        days = {str(r[0]) for r in spark.read.parquet(f"{out}/{table}").select("date_mesure").distinct().collect()}
+        assert days == {"2025-03-04"}, table
+    counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{out}/comptages").collect()}
+    for table, n in counts.items():
+        assert n == spark.read.parquet(f"{out}/{table}").count() > 0

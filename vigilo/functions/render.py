@@ -17,7 +17,7 @@ def js_number(x: Column) -> Column:
     d = x.cast("double")
     whole = (d == F.floor(d)) & (F.abs(d) < 1e15)
     shortest = d.cast("string")      # may have an exponent: 1.23456789E7
-    plain = F.rtrim(F.lit("0"), shortest.try_cast("decimal(38,18)").cast("string"))
+    plain = F.rtrim(shortest.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
     return (F.when(whole, d.cast("long").cast("string"))
             .when(shortest.contains("E") & (F.abs(d) >= 1e-6) & (F.abs(d) < 1e15), plain)
             .otherwise(shortest))

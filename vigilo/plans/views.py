@@ -35,6 +35,15 @@ ALERT_SUMMARY_VIEW = "vue_alertes_resume"
 ALERT_STATS_VIEW = "vue_alertes_par_signal"
 
 
+_cached: list[DataFrame] = []
+
+
+def release() -> None:
+    """Give up what ``register(..., cache_kpis=True)`` keeps; the views stay and recompute."""
+    while _cached:
+        _cached.pop().unpersist()
+
+
 def register(spark: SparkSession, patients: DataFrame | None = None, signals: DataFrame | None = None,
              sensors: DataFrame | None = None, alert_history: DataFrame | None = None,
              cache_kpis: bool = False) -> list[str]:
@@ -55,6 +64,7 @@ def register(spark: SparkSession, patients: DataFrame | None = None, signals: Da
         stats = kpis.patient_day_stats(enriched)
         if cache_kpis:
             stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+            _cached.append(stats)
         for name, build in KPI_VIEWS.items():
             view(name, build(stats))
     if alert_history is not None:
