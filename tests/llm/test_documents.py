@@ -389,3 +389,16 @@ def test_packer_fills_long_windows_from_shorter_tiers():
     assert windows[1] == (0, [(300, 0, 4), (212, 0, 5)]) and packer.held == 0
     assert packer.add(9, 2 * 4096 + 3) == [[(4096, 0, 9)], [(4096, 4096, 9)]]
     assert list(packer.rest()) == [(2, [(2, 8192, 9)]), (1, [(1, 8194, 9)])]
+
+
+def test_unknown_script_is_rejected_and_short_texts_stay(spark):
+    import random
+    r = random.Random(8)
+    sets = {"aa": "abcdefg", "bb": "hijklmn", "cc": "opqrstu", "dd": "vwxyzäö"}
+    text = lambda lang, n: " ".join("".join(r.choice(sets[lang]) for _ in range(r.randint(2, 6))) for _ in range(n))
+    docs = [(i, text(lang, r.randint(10, 60)), lang) for i in range(400) for lang in [list(sets)[i % 4]]]
+    more = [(1000, "漢字" * 80, None), (1001, text("aa", 1), None), (1002, text("aa", 20) + " " + text("cc", 20), None)]
+    df = spark.createDataFrame(docs + more, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    kept = {x.doc_id for x in langid.accepted(df, model).collect()}
+    assert kept == {i for i, _, _ in docs} | {1001, 1002}

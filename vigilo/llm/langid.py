@@ -254,15 +254,19 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang: str = "
     return docs.select(*kept, run(F.col(text_col)).alias(made)).select(*kept, f"{made}.{lang}", f"{made}.{score}")
 
 
-#: A document is rejected below this probability (and without a letter).
-LEAST_SCORE = 0.4
+#: A document is rejected below this probability, or so many times that of a blind guess if
+#: that is less (and without a letter).
+LEAST_SCORE, BLIND = 0.3, 1.2
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` in some language of the model: those whose calibrated probability
-    is at least ``LEAST_SCORE``; a model without languages accepts every text with a letter."""
+    """The rows of ``docs`` in some language of the model: those with a letter whose likeliest
+    language stands out from a blind guess. Short and mixed texts do, a text that shares hardly
+    a feature with the model doesn't. A model of fewer than four languages can't tell and one
+    without languages neither: they accept every text with a letter."""
     if not model.languages:
         return docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
     names = common.unused(docs, "_lang"), common.unused(docs, "_score")
+    least = min(LEAST_SCORE, BLIND / len(model.languages))
     found = predict(docs, model, lang=names[0], score=names[1])
-    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= LEAST_SCORE)).select(*docs.columns)
+    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*docs.columns)
