@@ -246,3 +246,16 @@ def test_forced_skew_split_for_join_then_group(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_rank_over_many_partitions(spark, workdir):
+    """The ranks are gapless and every row is there where the full rows and the order
+    columns alone would be coalesced to different partitions."""
+    n = 150_000
+    df = (spark.range(n, numPartitions=8)
+          .select((F.col("id") * 7919 % n).alias("key"), F.sha2(F.col("id").cast("string"), 512).alias("wide")))
+    catalog.ranked(df, [F.col("key").desc()]).write.parquet(f"{workdir}/ranked")
+    out = spark.read.parquet(f"{workdir}/ranked")
+    assert out.columns == ["key", "wide", "position"]
+    assert out.count() == n
+    assert out.filter(F.col("position") != n - F.col("key")).isEmpty()

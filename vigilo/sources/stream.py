@@ -13,6 +13,7 @@ from pyspark.sql.types import FloatType, IntegerType
 
 from vigilo import schemas
 from vigilo.functions.vitals import DEFAULT_SOURCE
+from vigilo.session import fresh_path
 
 TOPIC = "mesures-patients"
 # Bounds of one micro-batch: Kafka records, and bytes of replayed files.
@@ -97,15 +98,25 @@ def decode_messages(records: DataFrame) -> DataFrame:
 def with_row_index(df: DataFrame, name: str) -> DataFrame:
     """Sequential 0-based position in scan order, computed without a single-task
     window: count rows per partition, prefix-sum the (few) partition counts,
-    add the offset inside each partition."""
-    tagged = df.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_mid", F.monotonically_increasing_id())
-    starts = (tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-              .select("_part", "_first",
-                      (F.sum("_n").over(_by_part()) - F.col("_n")).alias("_start")))
-    return (tagged.join(starts, "_part")
-            .withColumn(name, F.col("_start") + F.col("_mid") - F.col("_first"))
-            .drop("_part", "_mid", "_first", "_start"))
+    add the offset inside each partition.
+
+    The rows are written with their partition and place first, and counted from the
+    written table: a second evaluation of ``df`` (with fewer columns, or after AQE
+    coalesced otherwise) need not have the same partitions."""
+    spark = df.sparkSession
+    tagged = _stored(df.withColumn("_mid", F.monotonically_increasing_id()), fresh_path(spark, "indexed"))
+    part = F.shiftright("_mid", 33)        # the id holds partition and place in it
+    starts = _stored(tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+                     .select("_part", (F.sum("_n").over(_by_part()) - F.col("_n")).alias("_start")),
+                     fresh_path(spark, "indexed-starts"))          # one row per partition
+    return (tagged.withColumn("_part", part).join(starts, "_part")
+            .withColumn(name, F.col("_start") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+            .select(*df.columns, name))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _by_part():
