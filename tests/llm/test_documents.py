@@ -224,6 +224,27 @@ def test_encoder_equals_library(rows, name, spaced):
     fuzz()
 
 
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_added_tokens_as_the_file_has_them(spark, name, spaced):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = tokens.tokenizer_path(name)
+    library = Tokenizer.from_file(path)     # as the file is, nothing switched
+    texts = ["end <|endoftext|> start", "plain text", "<|endoftext|>", "a<|startoftext|><|endoftext|>b", "", None,
+             "x <|endof", "text|> y", "A <|ENDOFTEXT|> b", "\u65e5 <|endoftext|> \u0000", " <|endoftext|><|endoftext|>  it's", "tail"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    end = library.token_to_id("<|endoftext|>")
+    assert end in want[0] and end not in want[8]
+    (lo, hi, ids, at), = tokens.Encoder(path, spaced).encode(pa.array(texts, pa.string()))
+    assert (lo, hi) == (0, len(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    if spaced:
+        out = token_files.read_tokens(*token_files.write_tokens(docs, path)).collect()
+        assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in out} == {
+            k: (len(x) + 1, zlib.crc32(np.array(x + [0], "<u4"))) for k, x in enumerate(want)}
+
+
 @pytest.mark.parametrize("ends", [[], [1], [1, 1, 1], [5, 9, 9, 4000], list(range(3, 3000, 7))])
 def test_elias_fano(ends):
     index = token_files.EliasFano.of(np.array(ends, np.int64))

@@ -3,7 +3,8 @@
 A byte-level BPE never merges across the pieces its pre-tokenizer cuts, so a text's ids are
 its pieces' ids one after the other. Texts of plain characters (ASCII and Latin letters) are
 cut for a whole batch with array operations, and pieces not met before are encoded by the
-tokenizers library; any other text goes to the library whole.
+tokenizers library; any other text, and any that holds an added token of the file
+(``<|endoftext|>``), goes to the library whole.
 """
 
 from __future__ import annotations
@@ -49,7 +50,10 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        self.added = [x.content.encode() if spaced else x.content.encode().lower() for x in added]
+        # added tokens that a search of the bytes could miss: every text goes to the library
+        self.never_plain = any(x.normalized or not x.content.isascii() for x in added)
         self.spaced = spaced
         self.kinds = _classes()
         self.lower = _lower()
@@ -80,6 +84,10 @@ class Encoder:
         odd = np.flatnonzero(kind == _ODD)
         rows = len(offsets) - 1
         strange = np.unique(np.searchsorted(bound, odd, "right") - 1) if len(odd) else odd
+        if self.never_plain:
+            strange = np.arange(rows)
+        elif marked := self._added_at(raw):
+            strange = np.union1d(strange, np.searchsorted(offsets, marked, "right") - 1)
         if len(strange):
             plain = np.ones(rows, bool)
             plain[strange] = False
@@ -94,6 +102,19 @@ class Encoder:
             return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts])))
         return self._plain(chars, kind, bound)
 
+    def _added_at(self, raw: bytes) -> list[int]:
+        """Where strings of added tokens begin, in any case if case is dropped; the library
+        decides what they are."""
+        if not self.spaced:
+            raw = raw.lower()
+        out = []
+        for content in self.added:
+            at = raw.find(content)
+            while at >= 0:
+                out.append(at)
+                at = raw.find(content, at + 1)
+        return out
+
     def _plain(self, chars: np.ndarray, kind: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(chars)
         if not n:
