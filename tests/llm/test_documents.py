@@ -189,6 +189,28 @@ def test_loose_groups_are_whole(spark):
     assert len(set(want)) < 300
 
 
+def test_full_sets_with_null_ids(spark, monkeypatch):
+    """As many texts are read for full sets as are wanted, where all ids are null."""
+    import random
+    r = random.Random(3)
+    seen, real = spark.sparkContext.accumulator(0), near_dedup._full_sets
+
+    def counted(width):
+        def run(batches):
+            for batch in batches:
+                seen.add(len(batch))
+                yield from real(width)([batch])
+        return run
+    monkeypatch.setattr(near_dedup, "_full_sets", counted)
+    texts = []
+    for _ in range(30):
+        words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(80)]
+        texts += [" ".join(words), " ".join(words[:-1] + ["changed"])]
+    df = spark.createDataFrame([(None, t) for t in texts + texts[:1] * 50], "doc_id long, text string").repartition(3)
+    assert near_dedup.near_duplicates(df, width=4).count() == len(texts) + 50
+    assert seen.value == len(texts)
+
+
 def test_keep_one(corpus, rows):
     out = near_dedup.keep_one(corpus, near_dedup.near_duplicates(corpus)).collect()
     ids = Counter(r.doc_id for r in out)

@@ -229,8 +229,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = (star.select(F.explode(F.array("a", "b")).alias("node"))
               .union(inside.where("size > 2").select("node")).distinct())
     where = scratch.written(nodes.join(wanted, "node", "left_semi")
-                            .join(rows.select(F.col("rid").alias("node"), "doc_id"), "node")
-                            .select("node", F.coalesce("doc_id", F.lit(-1)).alias("id"), "k1", "k2"), "wanted")
+                            .join(rows.select(F.col("rid").alias("node"), "doc_id", "text_hash"), "node")
+                            .select("node", F.coalesce("doc_id", F.lit(-1)).alias("id"), "text_hash", "k1", "k2"), "wanted")
     sets = _sets_of(scratch, text, where, width)
     links = scratch.written(star.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                             .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -253,15 +253,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _sets_of(scratch: Scratch, text: DataFrame, where: DataFrame, width: int) -> DataFrame:
     """The full shingle sets of the nodes in ``where``, made again from their texts.
 
-    Only texts that may be wanted are shuffled: Spark's runtime Bloom filter of the ids
-    (bounded by its own settings) drops the others at the scan. Ids are only a way to find
-    the texts: a set counts if its key is the node's.
+    Only texts that may be wanted are shuffled: Spark's runtime Bloom filter of ids and text
+    hashes (bounded by its own settings) drops the others at the scan. Rows with equal id and
+    text are one row before they are joined, so a node meets only its own text, however many
+    ids are null or equal. Both are only a way to find the texts: a set counts if its key is
+    the node's.
     """
     conf, name = scratch.spark.conf, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
     before = conf.get(name)
     conf.set(name, "1b")
     try:
-        found = text.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text").join(where.where("node >= 0"), "id")
+        once = (text.groupBy(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text_hash")
+                .agg(F.first("text").alias("text")))
+        found = once.join(where.where("node >= 0"), ["id", "text_hash"])
         return scratch.written(found.select("node", "k1", "k2", "text")
                                .mapInArrow(common.lean(_full_sets(width)), "node long, shingles binary")
                                .dropDuplicates(["node"]), "sets")
