@@ -16,9 +16,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the least id. Words
-    shingled by five, a similarity of 0.8 or more."""
-    return near_dedup.keep_one(docs, near_dedup.near_duplicates(docs))
+    """One document of each near-duplicate group stays: the one with the least id (null last),
+    then the least text hash. Words shingled by five, a similarity of 0.8 or more."""
+    return near_dedup.keep_one(docs, near_dedup.near_duplicates(docs, with_root=True))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

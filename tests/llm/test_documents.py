@@ -220,6 +220,27 @@ def test_keep_one(corpus, rows):
     assert set(ids) == {r.doc_id for r, g in zip(rows, _groups(rows, sets)) if r.doc_id == g}
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    import random
+
+    import corpus_pipeline
+    r = random.Random(4)
+
+    def group():
+        words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(80)]
+        return " ".join(words), " ".join(words[:-1] + ["changed"])
+    nulls, ids, other, mixed, single = group(), group(), group(), group(), group()[0]
+    rows = ([(None, t) for t in nulls] + [(7, t) for t in ids] + [(7, t) for t in other] + [(None, mixed[0]), (9, mixed[1])]
+            + [(None, single)] * 3 + [(None, " "), (None, None), (7, "")])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    assert Counter(x.text for x in out if x.text in nulls).total() == 1
+    assert Counter(x.text for x in out if x.text in ids).total() == 1
+    assert Counter(x.text for x in out if x.text in other).total() == 1
+    assert [x.doc_id for x in out if x.text in mixed] == [9]
+    assert sum(x.text == single for x in out) == 1 and len(out) == 8
+
+
 # ------------------------------------------------------------------ tokens
 
 @pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])

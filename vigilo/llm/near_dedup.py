@@ -187,8 +187,10 @@ def _across(percent: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, text_hash, n_shingles, component_id, kept``.
+                    width: int = 5, percent: int = 80, with_root: bool = False) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, text_hash, n_shingles, component_id, kept``;
+    ``with_root`` adds ``root``, a number of the group that holds with null and repeated ids
+    too (null without shingles).
 
     Two rows are linked if ``100 * |A & B| >= percent * |A | B|`` for their shingle sets.
     ``component_id`` is the least id reachable by links, ``kept`` marks the row with that id.
@@ -243,11 +245,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = (nodes.join(found, "node", "left").withColumn("root", root)
              .groupBy("root").agg(F.min("least").alias("component_id")))
     grouped = scratch.written(nodes.join(found, "node", "left").withColumn("root", root)
-                      .join(least, "root").select("k1", "k2", "component_id"), "grouped")
+                      .join(least, "root").select("k1", "k2", "component_id", "root"), "grouped")
     out = rows.join(grouped, ["k1", "k2"], "left").select(
         "doc_id", "text_hash", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return scratch.finish(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("doc_id").eqNullSafe(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("kept"),
+        *(["root"] if with_root else []))
+    return scratch.finish(out)
 
 
 def _sets_of(scratch: Scratch, text: DataFrame, where: DataFrame, width: int) -> DataFrame:
@@ -301,17 +305,31 @@ def _rest(scratch: Scratch, inside: DataFrame, found: DataFrame, sets: DataFrame
 
 
 def keep_one(docs: DataFrame, result: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``result`` of :func:`near_duplicates` doesn't keep;
-    of repeated rows (same id and text) that are not blank one stays."""
+    """``docs`` with one row of each group of ``result`` of :func:`near_duplicates`, the first by
+    id (null last) and text hash, one of repeated rows (same id and text); blank rows all stay.
+
+    Groups are told apart by ``root``. A result without it names them by their least id alone,
+    so all its kept rows stay but repeated ones."""
     key = ["doc_id", "text_hash"]
     scratch = Scratch(docs.sparkSession, "near-keep")
-    result = scratch.written(result.select(*key, "kept", "n_shingles"), "result")
+    if "root" in result.columns:
+        result = scratch.written(result.select(*key, "root", "n_shingles"), "result")
+        order = F.struct(F.col("doc_id").isNull().alias("none"), *key)
+        first = (result.where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("m"))
+                 .select(F.col("m.doc_id").alias("w_id"), F.col("m.text_hash").alias("w_hash")))
+        # by row and not by group, so that a hot group's rows don't meet in one task
+        counted = scratch.written(result.where("n_shingles > 0").groupBy(*key).count()
+                                  .join(scratch.written(first, "first"),
+                                        F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left")
+                                  .select(*key, "count", F.col("w_hash").isNotNull().alias("kept")), "counted")
+    else:
+        counted = scratch.written(result.where("n_shingles > 0").groupBy(*key, "kept").count(), "counted")
     mark = common.unused(docs, "_text_hash")
     marked = docs.withColumn(mark, F.xxhash64("text"))
     same = [F.col("doc_id").eqNullSafe(F.col("r_id")), F.col(mark) == F.col("r_hash")]
     named = lambda df: df.select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
-    gone = scratch.written(named(result.where("not kept")).distinct(), "gone")
-    twice = scratch.written(named(result.where("kept and n_shingles > 0").groupBy(*key).count().where("count > 1")), "twice")
+    gone = scratch.written(named(counted.where("not kept")), "gone")
+    twice = scratch.written(named(counted.where("kept and count > 1")), "twice")
     stay = marked.join(gone, same, "left_anti")
     if twice.isEmpty():
         return stay.drop(mark)
