@@ -306,3 +306,22 @@ def test_stateful_counters_restart_from_checkpoint(spark, workdir):
                          trigger="availableNow").awaitTermination()
     c = jobs.read_counters(spark, out).first()
     assert (c["alertes_total"], c["patients_surveilles"]) == (len(sd.alerts()), sd.monitored())   # state restored, not recounted
+
+
+def test_ids_of_a_failed_batch_are_not_taken_for_replays(spark, workdir, monkeypatch):
+    """The alert write fails and the stream restarts with a reset checkpoint (a new run)."""
+    import pytest
+    wire = _wire_parts(spark, parts=1)[0]
+    patients = files.scan_patients(spark, sample("patients.csv"))
+    out, write = os.path.join(workdir, "out"), jobs._write_partition
+
+    def failing(df, out, table, *place):
+        if table == "alertes":
+            raise OSError("no alerts today")
+        write(df, out, table, *place)
+    monkeypatch.setattr(jobs, "_write_partition", failing)
+    with pytest.raises(OSError):
+        jobs.process_batch(wire, 0, out, ref.THRESHOLD_ROWS, patients, run_id="1", dedup=True)
+    monkeypatch.setattr(jobs, "_write_partition", write)
+    jobs.process_batch(wire, 0, out, ref.THRESHOLD_ROWS, patients, run_id="2", dedup=True)
+    assert jobs.read_output(spark, out, "alertes").count() == len(sd.alerts())

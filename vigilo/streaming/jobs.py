@@ -96,13 +96,14 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thre
             "comptages": msgs.sparkSession.range(1).select(
                 F.lit(batch_id).cast("long").alias("lot"), F.lit(n).cast("long").alias("nb_mesures")),
         }
-        if dedup:
-            outputs[SEEN] = msgs.filter(F.col("mesure_id").isNotNull()).select("mesure_id", day_of().alias("jour"))
         # independent outputs are submitted together so they share the executors
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
             done = [pool.submit(_write_partition, df, out, name, batch_id, run_id) for name, df in outputs.items()]
             for f in done:
                 f.result()   # re-raise a failed write: the batch is then replayed whole
+        if dedup:   # last: ids stored without their alerts would make another run drop these
+            _write_partition(msgs.filter(F.col("mesure_id").isNotNull()).select("mesure_id", day_of().alias("jour")),
+                             out, SEEN, batch_id, run_id)
     finally:
         msgs.unpersist()
 
