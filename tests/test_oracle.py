@@ -4,7 +4,7 @@ driver runs the same comparison at sf0.01)."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL_SF
+from sample_data import SMALL_SF
 from tools.check_oracle import compare, duck_connection
 
 # the training-data queries have their own tests

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL_SF
+from sample_data import SMALL_SF
 from vigilo.operators import alerts as al
 from vigilo.operators import enrich, kpis
 from vigilo.plans import catalog
