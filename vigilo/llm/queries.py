@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.llm import (embedding_dedup, langid, mixing, near_dedup, packing, quality, secret_scan, sharding,
+from vigilo.llm import (align, centroids, embedding_dedup, langid, mixing, near_dedup, packing, quality, secret_scan, sharding,
                         token_files, tokens, topk_search)
 from vigilo.llm.common import documents, embeddings
 
@@ -66,13 +66,45 @@ def op10_norm_bucketed_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(embeddings(spark, sf_dir))
 
 
+def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.link_counts(documents(spark, sf_dir), tokens.tokenizer_path("byte_bpe_50k.json"),
+                             tokens.tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_incremental_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ftrl_language_id, op2_feistel_sharding, op3_crf_secret_scan, op4_minhash_near_dedup, op5_elias_fano_tokens, op6_p_stable_embedding_dedup,
         op7_exponential_key_mixing, op8_weak_label_quality, op9_hierarchical_packing, op10_norm_bucketed_top_k,
+        op12_galloping_alignment, op13_incremental_centroids,
     )
 }
 
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """The rounds of the centroid clustering unrolled: assignment ``a<r>``, centroids ``c<r>``."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+            SELECT r, min(d) AS distance, CAST(arg_min(k, (d, k)) AS INTEGER) AS cluster
+            FROM (SELECT v.r, c.k, CAST(list_dot_product(v.e, v.e) - 2 * list_dot_product(v.e, c.e)
+                                        + list_dot_product(c.e, c.e) AS BIGINT) AS d FROM v, c{r} c)
+            GROUP BY r)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+            SELECT c.k, coalesce(m.e, c.e) AS e
+            FROM c{r} c LEFT JOIN (
+                SELECT cluster, list(x ORDER BY i) AS e FROM (
+                    SELECT a.cluster, i, floor(sum(v.e[i]) / count(*)) AS x
+                    FROM a{r} a JOIN v ON v.r = a.r CROSS JOIN range(1, 65) g(i) GROUP BY a.cluster, i)
+                GROUP BY cluster) m ON m.cluster = c.k)""")
+    return ", ".join(steps)
+
+
 #: The other queries hash with functions that DuckDB lacks, tokenise, sample or train models;
 #: tests hold them against brute force.
 ORACLE: dict[str, str] = {
@@ -92,4 +124,19 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM t WHERE rank <= 10
     """,
+    "op13_incremental_centroids": f"""
+        WITH v AS MATERIALIZED (
+            SELECT vec_id, row_number() OVER () AS r, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, e) - 1 AS k, e
+            FROM (SELECT sha256('3:' || vec_id) AS h, e FROM v ORDER BY h, e LIMIT 8)
+        ), {_centroid_rounds(10)}
+        SELECT v.vec_id, a.cluster, a.distance,
+               CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.distance) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string([CAST(x AS BIGINT) FOR x IN c.e], ',')) AS centroid_sha256
+        FROM a10 a JOIN v ON v.r = a.r JOIN c10 c ON c.k = a.cluster
+    """,
 }
