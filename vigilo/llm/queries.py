@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilo.llm import (align, centroids, embedding_dedup, langid, mixing, near_dedup, packing, quality, secret_scan, sharding,
+from vigilo.llm import (align, centroids, embedding_dedup, exact_dedup, langid, mixing, near_dedup, packing, quality, secret_scan, sharding,
                         token_files, tokens, topk_search)
 from vigilo.llm.common import documents, embeddings
 
@@ -66,6 +66,10 @@ def op10_norm_bucketed_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(embeddings(spark, sf_dir))
 
 
+def op11_polynomial_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(documents(spark, sf_dir))
+
+
 def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.link_counts(documents(spark, sf_dir), tokens.tokenizer_path("byte_bpe_50k.json"),
                              tokens.tokenizer_path("piece_bpe_32k.model"))
@@ -79,7 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ftrl_language_id, op2_feistel_sharding, op3_crf_secret_scan, op4_minhash_near_dedup, op5_elias_fano_tokens, op6_p_stable_embedding_dedup,
         op7_exponential_key_mixing, op8_weak_label_quality, op9_hierarchical_packing, op10_norm_bucketed_top_k,
-        op12_galloping_alignment, op13_incremental_centroids,
+        op11_polynomial_exact_dedup, op12_galloping_alignment, op13_incremental_centroids,
     )
 }
 
@@ -124,6 +128,13 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM t WHERE rank <= 10
     """,
+    "op11_polynomial_exact_dedup": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+               sha256(t) AS text_sha256
+        FROM d WINDOW same AS (PARTITION BY t)
+    """,
     "op13_incremental_centroids": f"""
         WITH v AS MATERIALIZED (
             SELECT vec_id, row_number() OVER () AS r, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
