@@ -10,7 +10,7 @@ from sample_data import sample
 from vigilo import schemas
 from vigilo.functions.ids import normalise_patient_id
 from vigilo.plans import batch_job
-from vigilo.sources import files
+from vigilo.sources import files, versions
 from vigilo.streaming import app, jobs
 
 
@@ -25,15 +25,15 @@ def test_batch_job_on_sample(spark, workdir):
     out = os.path.join(workdir, "out")
     batch_job.main(["--patients", sample("patients.csv"), "--signals", sig_dir,
                     "--sensors", sample("sensors.csv"), "--out", out])
-    counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{out}/comptages").collect()}
+    counts = {r["table_name"]: r["nb_lignes"] for r in batch_job.read(spark, out, "comptages").collect()}
     groups = len(sd.kpis())
     assert counts == {"mesures_patients": len(sd.kept()), "kpi1_moyennes_vitaux": groups, "kpi2_hypertension": groups,
                       "kpi3_stabilite_cardiaque": groups, "kpi4_oxygenation": groups}
-    view = {r["patient_id"]: r for r in spark.read.parquet(f"{out}/vue_dashboard_patient").collect()}
+    view = {r["patient_id"]: r for r in batch_job.read(spark, out, "vue_dashboard_patient").collect()}
     for patient, want in sd.kpis().items():
         assert view[patient]["niveau_oxygenation"] == want["niveau_oxygenation"]
         assert view[patient]["classification_oms"] == want["classification_oms"]
-    assert len(spark.read.parquet(f"{out}/mesures_patients").columns) == 36
+    assert len(batch_job.read(spark, out, "mesures_patients").columns) == 36
 
 
 def test_streaming_app_replays_observation_files(spark, workdir):
@@ -97,7 +97,7 @@ def test_batch_job_recomputes_only_given_days(spark, workdir):
 
     def view(out):
         return {(r["patient_id"], r["date_mesure"]): r.asDict()
-                for r in spark.read.parquet(f"{out}/vue_dashboard_patient").collect()}
+                for r in batch_job.read(spark, out, "vue_dashboard_patient").collect()}
 
     inc, ref_out = os.path.join(workdir, "inc"), os.path.join(workdir, "ref")
     batch_job.run(spark, patients, two_days, sensors, inc)
@@ -109,8 +109,8 @@ def test_batch_job_recomputes_only_given_days(spark, workdir):
     day1 = lambda v: {k: x for k, x in v.items() if str(k[1]) == "2025-03-04"}
     assert day1(after) == day1(before) and day1(after)
     assert after == rebuilt
-    counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{inc}/comptages").collect()}
-    ref_counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{ref_out}/comptages").collect()}
+    counts = {r["table_name"]: r["nb_lignes"] for r in batch_job.read(spark, inc, "comptages").collect()}
+    ref_counts = {r["table_name"]: r["nb_lignes"] for r in batch_job.read(spark, ref_out, "comptages").collect()}
     assert counts == ref_counts
 
 
@@ -163,14 +163,14 @@ def test_emptied_day_and_ingested_signals(spark, workdir):
     ingested = files.scan_ingested_signals(spark, store)
     assert ingested.exceptAll(two_days).count() == 0 and ingested.count() == two_days.count()
     batch_job.run(spark, patients, ingested, sensors, out)
-    day = os.path.join(out, "mesures_patients", "date_mesure=2025-03-05")
+    day = os.path.join(versions.folders(spark, f"{out}/mesures_patients")[0], "date_mesure=2025-03-05")
     assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) <= 2
     spoilt = two_days.withColumn("qualite_signal", F.lit("mauvais"))
     files.ingest_signals(spoilt, store, ["2025-03-05"])
     batch_job.run(spark, patients, files.scan_ingested_signals(spark, store), sensors, out, days=["2025-03-05"])
     for table in ["mesures_patients", "_patient_day_stats", *KPI_TABLES]:
-        days = {str(r[0]) for r in spark.read.parquet(f"{out}/{table}").select("date_mesure").distinct().collect()}
+        days = {str(r[0]) for r in batch_job.read(spark, out, table).select("date_mesure").distinct().collect()}
         assert days == {"2025-03-04"}, table
-    counts = {r["table_name"]: r["nb_lignes"] for r in spark.read.parquet(f"{out}/comptages").collect()}
+    counts = {r["table_name"]: r["nb_lignes"] for r in batch_job.read(spark, out, "comptages").collect()}
     for table, n in counts.items():
-        assert n == spark.read.parquet(f"{out}/{table}").count() > 0
+        assert n == batch_job.read(spark, out, table).count() > 0

@@ -17,8 +17,10 @@ as between the two original jobs); the shared patient-day aggregation is
 written once as well, and every KPI table and the view are projections of it.
 Tables are partitioned by day; ``--days`` recomputes only those days and
 replaces only their partitions (a day without rows any more loses its
-partition). Each write is a single committed Spark job,
-so a lost executor only reruns its tasks.
+partition). Each write is a single Spark job (a lost executor only reruns its
+tasks) that makes a new version of its table, published by one atomic entry when
+it has ended: a run that fails leaves every table it didn't finish as it was.
+``read`` gives the newest version of a table, ``register`` all of them as views.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from vigilo import schemas
 from vigilo.operators import enrich, kpis
-from vigilo.sources import files
+from vigilo.sources import files, versions
 
 VIEW = "vue_dashboard_patient"
 KPI_TABLES = {
@@ -40,6 +44,8 @@ KPI_TABLES = {
     VIEW: kpis.dashboard_view,
 }
 
+COUNTS = StructType([StructField("table_name", StringType()), StructField("nb_lignes", LongType())])
+
 
 def run(spark: SparkSession, patients: DataFrame, signals: DataFrame, sensors: DataFrame,
         out: str, fmt: str = "parquet", days: list[str] | None = None) -> dict[str, str]:
@@ -58,26 +64,26 @@ def run(spark: SparkSession, patients: DataFrame, signals: DataFrame, sensors: D
     some = lambda df: df if days is None else df.filter(F.col(day).isin(days))
 
     paths = {"mesures_patients": f"{out}/mesures_patients"}
-    files.write_table(enrich.enriched(signals, sensors, patients), paths["mesures_patients"],
-                      partition_by=day, only=days)
+    files.replace_table(enrich.enriched(signals, sensors, patients), paths["mesures_patients"],
+                        partition_by=day, only=days)
     stored = some(files.scan_enriched(spark, paths["mesures_patients"]))          # partition pruning
 
     stats_path = f"{out}/_patient_day_stats"
     new_stats = kpis.patient_day_stats(stored)
-    files.write_table(new_stats, stats_path, partition_by=day, only=days)
+    files.replace_table(new_stats, stats_path, partition_by=day, only=days)
     stats = some(files.read_table(spark, stats_path, new_stats.schema))
 
     counted = {"mesures_patients": files.scan_enriched(spark, paths["mesures_patients"])}
     for name, build in KPI_TABLES.items():
         paths[name] = f"{out}/{name}"
         table = build(stats)
-        files.write_table(table, paths[name], fmt=fmt, partition_by=day, only=days)
+        files.replace_table(table, paths[name], fmt=fmt, partition_by=day, only=days)
         if name != VIEW:
             counted[name] = read_kpi_table(spark, paths[name], table.schema, fmt)
     paths["comptages"] = f"{out}/comptages"
-    files.write_table(kpis.stored_counts(counted), paths["comptages"], fmt=fmt)
+    files.replace_table(kpis.stored_counts(counted), paths["comptages"], fmt=fmt)
     if fmt != "parquet":
-        files.write_table(stored, f"{out}/mesures_patients_texte", fmt=fmt, partition_by=day, only=days)
+        files.replace_table(stored, f"{out}/mesures_patients_texte", fmt=fmt, partition_by=day, only=days)
     return paths
 
 
@@ -87,8 +93,28 @@ def read_kpi_table(spark: SparkSession, path: str, schema, fmt: str = "parquet")
         return files.read_table(spark, path, schema)
     # the partition column stands in the folder names, not in the lines
     lines = [f for f in schema.fields if f.name != "date_mesure"] + [schema["date_mesure"]]
-    return files.read_delimited(spark, path, type(schema)(lines), ";", False,
-                                null_value=files.TEXT_NULL).select(*schema.fieldNames())
+    return versions.read(spark, path, schema, load=lambda r, folder: r.schema(type(schema)(lines)).option("sep", ";")
+                         .option("header", False).option("nullValue", files.TEXT_NULL).csv(folder))
+
+
+def read(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The newest version of a stored Parquet table of :func:`run`."""
+    return files.read_table(spark, f"{out.rstrip('/')}/{name}", table_schemas(spark)[name])
+
+
+def table_schemas(spark: SparkSession) -> dict:
+    stats = kpis.patient_day_stats(spark.createDataFrame([], schemas.ENRICHED))
+    found = {"mesures_patients": schemas.ENRICHED, "_patient_day_stats": stats.schema}
+    found |= {name: build(stats).schema for name, build in KPI_TABLES.items()}
+    return found | {"comptages": COUNTS}
+
+
+def register(spark: SparkSession, out: str) -> list[str]:
+    """The newest versions of the stored tables as temporary views of the same names."""
+    names = [n for n in table_schemas(spark) if not n.startswith("_")]
+    for name in names:
+        read(spark, out, name).createOrReplaceTempView(name)
+    return names
 
 
 def main(argv: list[str] | None = None) -> None:

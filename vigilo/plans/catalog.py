@@ -200,7 +200,7 @@ def batch_job_view(spark, sf) -> DataFrame:
 
 def batch_job_counts(spark, sf) -> DataFrame:
     """Row counts of the tables that the batch job stored."""
-    return spark.read.parquet(_batch_job(spark, sf)["comptages"])
+    return files.read_table(spark, _batch_job(spark, sf)["comptages"], batch_job.COUNTS)
 
 
 # ------------------------------------------------------------------ presentation orders

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vigilo import schemas
 from vigilo.operators.quality import drop_header_rows
-from vigilo.session import remove
+from vigilo.sources import versions
 
 
 # Null marker of stored text tables (Hive's text default), so '' and null stay distinct.
@@ -57,39 +57,44 @@ def scan_enriched(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     """A Parquet table read with its declared schema: partition values keep their
     declared type (no inference) and columns come back in declared order."""
+    if versions.is_versioned(spark, path):
+        return versions.read(spark, path, schema)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def _save(writer, path: str, fmt: str) -> None:
+    if fmt == "parquet":
+        writer.parquet(path)
+    else:
+        writer.option("sep", ";").option("header", False).option("nullValue", TEXT_NULL).csv(path)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: str | None = None, only: list[str] | None = None) -> None:
-    """Persist a result (K1, K2). ``fmt='text'`` writes ``;``-separated rows with no header.
+                partition_by: str | None = None) -> None:
+    """Persist a result (K1). ``fmt='text'`` writes ``;``-separated rows with no header.
 
     ``partition_by`` lays the table out in one folder per value (a day), so a
     reader filtering on it prunes the other folders; rows of a day are brought
     together first (``rebalance``: large days are split by size, small ones
-    merged), so a day has few files however many tasks write. With ``only``
-    (partition values) an overwrite replaces just those partitions: one that
-    has no rows any more is removed, the others stay as they are.
+    merged), so a day has few files however many tasks write.
     """
-    if partition_by:
-        w = df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
-        if only is not None:
-            for value in only:
-                remove(df.sparkSession, f"{path}/{partition_by}={value}")
-            w = w.option("partitionOverwriteMode", "dynamic")
-    else:
-        w = df.write.mode(mode)
-    if fmt == "parquet":
-        w.parquet(path)
-    else:
-        w.option("sep", ";").option("header", False).option("nullValue", TEXT_NULL).csv(path)
+    w = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
+    _save(w.mode(mode), path, fmt)
+
+
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None,
+                  only: list[str] | None = None) -> int:
+    """Drop and create as (K2): ``df`` becomes the next version of the table, published by one
+    atomic entry after it is written; a failed write leaves the table as it was. With ``only``
+    (partition values) just those partitions are replaced, one without rows any more is gone."""
+    return versions.replace(df, path, partition_by, only, write=lambda w, folder: _save(w, folder, fmt))
 
 
 def ingest_signals(signals: DataFrame, path: str, days: list[str] | None = None) -> None:
     """Measurements (as scanned from text) kept as Parquet by day, so that a later run on some
     days reads those days only. ``days``: replace only these."""
-    write_table(signals.filter(F.col("date").isin(days)) if days is not None else signals, path,
-                partition_by="date", only=days)
+    replace_table(signals.filter(F.col("date").isin(days)) if days is not None else signals, path,
+                  partition_by="date", only=days)
 
 
 def scan_ingested_signals(spark: SparkSession, path: str) -> DataFrame:
