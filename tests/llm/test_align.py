@@ -1,0 +1,128 @@
+"""Cross-tokenizer alignment against the libraries themselves."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from vigilo.llm import align, tokens
+
+A, B = (tokens.tokenizer_path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+ODD = ["<|endoftext|> in text <s></s><unk>", "a ▁b", "▁", " lead", "trail  ", "a\n\n  b\n c\td\r\n", "\n", "  ", "a \n b", " \n\n ", "x" * 5000,
+       "tab\there\x00nul", "日本語 \U0001f600\U0001f600 mixed ﬁ é é", "1234567890 12 3", "we're they'LL don't", "\xa0nbsp　wide"]
+
+
+def libraries():
+    import sentencepiece
+    from tokenizers import Tokenizer
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=B)
+    keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(x): x for x in keep}
+    byte.update({chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in keep)})
+    spell_a = {i: bytes(byte[c] for c in t) for t, i in a.get_vocab().items() if all(c in byte for c in t)}
+
+    def spell_b(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+
+    def both(text):
+        if not text:
+            return [], [], [], []
+        x, y = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        sx, sy = [spell_a[i] for i in x], [spell_b(i) for i in y]
+        if not b"".join(sx) == b"".join(sy) == (" " + text).encode():
+            return [], [], [], []
+        return x, y, np.cumsum([len(s) for s in sx]).tolist(), np.cumsum([len(s) for s in sy]).tolist()
+    return both
+
+
+@pytest.fixture(scope="module")
+def both():
+    return libraries()
+
+
+def brute(texts, both) -> list[tuple]:
+    rows, counts = [], Counter()
+    for doc_id, text in texts:
+        x, y, ex, ey = both(text)
+        where = {e: i for i, e in enumerate(ey)}
+        groups, links, i, j = [], [], 0, 0
+        for n, e in enumerate(ex):
+            if e in where:
+                m = where[e]
+                groups.append(",".join(map(str, x[i:n + 1])) + "|" + ",".join(map(str, y[j:m + 1])))
+                i, j = n + 1, m + 1
+                links.append((x[n], y[m]))
+        counts.update(links)
+        sha = hashlib.sha256(";".join(groups).encode()).hexdigest() if x else ""
+        rows.append((doc_id, len(x), len(y), len(groups), links, sha))
+    best = defaultdict(int)
+    for (_, q), n in counts.items():
+        best[q] = max(best[q], n)
+    return sorted(((d, n, m, g, len(links), sum(counts[p] == best[p[1]] for p in links), sum(counts[p] for p in links), sha)
+                   for d, n, m, g, links, sha in rows), key=repr)
+
+
+@pytest.fixture(scope="module")
+def texts(spark, corpus):
+    odd = spark.createDataFrame([(900 + i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
+    return corpus.select("doc_id", "text", "lang", "score").unionByName(odd, allowMissingColumns=True)
+
+
+@pytest.mark.parametrize("share_bits", [align.SHARE_BITS, 4, 0])
+def test_counts_equal_brute_force(texts, both, share_bits):
+    """Whatever part of the pairs is broadcast."""
+    found = align.link_counts(texts, A, B, share_bits=share_bits)
+    assert found.columns == COLUMNS
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == brute([(r.doc_id, r.text) for r in texts.collect()], both)
+
+
+def test_small_blocks_give_the_same(texts, both, monkeypatch):
+    rows = [r.text for r in texts.select("text").limit(60).collect()] + ODD
+    import pyarrow as pa
+    first, second = align._side(A), align._side(B)
+    for size in (1, 500, 1 << 20):
+        monkeypatch.setattr(align, "BLOCK_BYTES", size)
+        at = 0
+        for x in align.blocks(pa.array(rows, pa.string()), first, second):
+            assert x.lo == at
+            at = x.hi
+            for r in range(x.hi - x.lo):
+                a, b, _, _ = both(rows[x.lo + r])
+                assert x.a[x.a_at[r]:x.a_at[r + 1]].tolist() == a and x.b[x.b_at[r]:x.b_at[r + 1]].tolist() == b
+        assert at == len(rows)
+
+
+def test_overlaps_and_cuts(texts, both):
+    for r in align.align(texts.where("doc_id >= 880 or doc_id < 20"), A, B).collect():
+        x, y = r.a_ids, r.b_ids
+        text = next(t.text for t in texts.where(f"doc_id = {r.doc_id}").collect())
+        _, _, ex, ey = both(text)
+        shared = sorted(set(ex) & set(ey))
+        assert r.a_cuts == [ex.index(e) + 1 for e in shared] and r.b_cuts == [ey.index(e) + 1 for e in shared]
+        begin = lambda ends, i: ends[i - 1] if i else 0
+        for i in range(len(x)):
+            mine = [j for j in range(len(y)) if begin(ey, j) < ex[i] and ey[j] > begin(ex, i)]
+            assert (r.first_overlap[i], r.last_overlap[i]) == (mine[0], mine[-1])
+
+
+@given(st.lists(st.lists(st.integers(0, 400), max_size=60, unique=True), min_size=1, max_size=6),
+       st.lists(st.lists(st.integers(0, 400), max_size=60, unique=True), min_size=6, max_size=6))
+def test_gallop_intersects(left, right):
+    a, b = [sorted(x) for x in left], [sorted(x) for x in right[:len(left)]]
+    at = lambda lists: np.cumsum([0, *map(len, lists)])
+    flat = lambda lists: np.array([v + 1000 * i for i, x in enumerate(lists) for v in x], np.int64)
+    ia, ib = align.common_ends(flat(a), at(a), flat(b), at(b))
+    want = sorted(set(flat(a).tolist()) & set(flat(b).tolist()))
+    assert flat(a)[ia].tolist() == want and flat(b)[ib].tolist() == want
+
+
+def test_empty_table(empty):
+    assert align.link_counts(empty, A, B).count() == 0
+    assert align.align(empty, A, B).count() == 0
