@@ -38,6 +38,7 @@ from vigilo.operators import alerts as al
 from vigilo.operators import profiles
 from vigilo.session import remove
 from vigilo.sources.stream import decode_messages
+from vigilo.streaming.seen import Seen, day_of
 
 BATCH_INTERVAL = "5 seconds"
 
@@ -83,8 +84,11 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thre
     if profile is None:
         profile = profiles.profile_lookup(patients)
     msgs = decode_messages(batch) if "value" in batch.columns else batch
+    store, replays = Seen(msgs.sparkSession, out), None
     if dedup:
-        msgs = without_replays(msgs, out, run_id, batch_id)
+        msgs = msgs.persist()       # decoded once for the ids and the rows
+        arrived = msgs
+        msgs, replays = without_replays(msgs, store, run_id, batch_id)
     msgs = msgs.persist()
     try:
         n = msgs.count()   # fills the cache once; the outputs then read it
@@ -102,47 +106,29 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, thresholds: al.Thre
             for f in done:
                 f.result()   # re-raise a failed write: the batch is then replayed whole
         if dedup:   # last: ids stored without their alerts would make another run drop these
-            _write_partition(msgs.filter(F.col("mesure_id").isNotNull()).select("mesure_id", day_of().alias("jour")),
-                             out, SEEN, batch_id, run_id)
+            store.remember(msgs.filter(F.col("mesure_id").isNotNull()).select("mesure_id", day_of().alias("jour")),
+                           run_id, batch_id)
     finally:
         msgs.unpersist()
+        if dedup:
+            replays.unpersist()
+            arrived.unpersist()
 
 
-# Ids of the measurements handled so far, by day: what replays are recognised by.
-SEEN = "mesures_vues"
-_SEEN_SCHEMA = "mesure_id string, jour string, run_id string, batch_id long"
-
-
-def day_of() -> Column:
-    return F.coalesce(F.substring("timestamp", 1, 10), F.lit(""))
-
-
-def without_replays(msgs: DataFrame, out: str, run_id: str, batch_id: int) -> DataFrame:
+def without_replays(msgs: DataFrame, store: Seen, run_id: str, batch_id: int) -> tuple[DataFrame, DataFrame]:
     """Messages without those whose measurement was handled before (T10), in this batch or in
-    another one of ``out``. One of several deliveries stays, however late it comes; messages
-    without a measurement id all stay. The ids stored by this very batch don't count, so a
-    replayed batch gives the same rows. Ids are stored by day and only days that occur in
-    the batch are read."""
-    spark = msgs.sparkSession
+    another one; and the replays found (cached; the caller releases them). One of several
+    deliveries stays, however late it comes; messages without a measurement id all stay. The
+    ids stored by this very batch don't count, so a replayed batch gives the same rows."""
     with_id = F.col("mesure_id").isNotNull()
     day = "_jour"
     named = msgs.withColumn(day, day_of())
     rest = named.filter(~with_id)
     once = named.filter(with_id).dropDuplicates(["mesure_id", day])
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{SEEN}")
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        seen = (spark.read.schema(_SEEN_SCHEMA).parquet(f"{out}/{SEEN}")
-                .filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id)))
-        days = [r[0] for r in once.select(day).distinct().limit(MOST_DAYS + 1).collect()]
-        if len(days) <= MOST_DAYS:      # else the batch spans so many days that all are read
-            seen = seen.filter(F.col("jour").isin(days))
-        seen = seen.select(F.col("mesure_id").alias("_vue"), F.col("jour").alias("_vue_jour"))
-        once = once.join(seen, (F.col("mesure_id") == F.col("_vue")) & (F.col(day) == F.col("_vue_jour")), "left_anti")
-    return once.unionByName(rest).drop(day)
-
-
-#: Days of a batch that are listed to prune the stored ids.
-MOST_DAYS = 400
+    replays = store.replays(named.filter(with_id).select("mesure_id", F.col(day).alias("jour")).distinct(), run_id, batch_id)
+    seen = replays.select(F.col("mesure_id").alias("_vue"), F.col("jour").alias("_vue_jour"))
+    once = once.join(seen, (F.col("mesure_id") == F.col("_vue")) & (F.col(day) == F.col("_vue_jour")), "left_anti")
+    return once.unionByName(rest).drop(day), replays
 
 
 def batch_updates(valid: DataFrame, thresholds: al.Thresholds, profile: DataFrame) -> DataFrame:
@@ -177,7 +163,7 @@ def _folder(out: str, table: str, batch_id: int, run_id: str) -> str:
 
 def _write_partition(df: DataFrame, out: str, table: str, batch_id: int, run_id: str = "0") -> None:
     """Overwrite the batch's folder of a table (idempotent on replay)."""
-    by = {"alertes": "date_alerte", SEEN: "jour"}.get(table)
+    by = {"alertes": "date_alerte"}.get(table)
     if by:   # rows of a day together: files by size, not one per task and day
         df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(_folder(out, table, batch_id, run_id))
     else:
