@@ -31,6 +31,9 @@ SHARE_BITS = 20
 #: Distinct pairs a task counts before it hands them on.
 MOST_PAIRS = 1 << 20
 
+#: Text bytes aligned at a time; a longer text is a block of its own.
+BLOCK_BYTES = 1 << 19
+
 _NEWLINE, _BLANK = 10, 32
 
 
@@ -120,16 +123,16 @@ class _Ids:
 class _Pieces:
     """A sentencepiece model behind the calls that the encoder makes.
 
-    A text that doesn't begin with a blank has no blank in front here: it is encoded after a
-    line feed, which no piece holds and nothing merges with."""
+    The model adds a blank to what it is given. A whole text has it already and is given
+    without; a part of a text is given after a line feed, which no piece holds and nothing
+    merges with, and the ids of that blank and line feed are left out."""
 
-    def __init__(self, model):
-        self.model = model
+    def __init__(self, model, whole: bool):
+        self.model, self.whole = model, whole
 
     def encode_batch_fast(self, texts, add_special_tokens=False):
-        inner = [t[1:] if t[0] == " " else "\n" + t for t in texts]
-        found = self.model.encode(inner, num_threads=1)
-        return [_Ids(ids if t[0] == " " else ids[2:]) for t, ids in zip(texts, found)]
+        inner = [t[1:] if self.whole else "\n" + t for t in texts]
+        return [_Ids(ids if self.whole else ids[2:]) for ids in self.model.encode(inner, num_threads=1)]
 
 
 class PieceEncoder(tokens.Encoder):
@@ -141,13 +144,13 @@ class PieceEncoder(tokens.Encoder):
     def __init__(self, path: str):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.tokenizer = _Pieces(self.model)
         self.added, self.spaced, self.never_plain = [], True, False
         self.kinds = np.zeros(tokens._PLAIN + 1, np.uint8)
         self.lower = None
         pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
         # fixed value: the mark that stands for a blank in pieces
         self.whole = any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        self.tokenizer = _Pieces(self.model, self.whole)
         self._forget()
 
     def _cut(self, chars: np.ndarray, kind: np.ndarray, bound: np.ndarray) -> np.ndarray:
@@ -200,8 +203,8 @@ class Side:
         self.flat = np.frombuffer(b"".join(known), np.uint8)
         names = [str(i).encode() for i in range(len(known))]
         self.digits = np.array([len(x) for x in names], np.int64)
-        wide = int(self.digits.max(initial=1)) + 1
-        self.names = np.frombuffer(b"".join(x.ljust(wide) for x in names), np.uint8).reshape(-1, wide)
+        # eight bytes an id, handled as one number: up to seven digits and the mark after them
+        self.names = np.frombuffer(b"".join(x.ljust(8) for x in names), np.uint64)
 
     def spell(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the tokens one after the other."""
@@ -229,28 +232,36 @@ class Block:
 
 
 def blocks(texts: pa.Array, first: Side, second: Side) -> Iterator[Block]:
-    """Both tokenizers over a blank and each text, aligned."""
+    """Both tokenizers over a blank and each text, aligned; a block at a time is held."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        before = int(upto[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, before + BLOCK_BYTES, "right")))
+        yield _block(texts.slice(lo, hi - lo), lo, first, second)
+        lo = hi
+
+
+def _block(texts: pa.Array, start: int, first: Side, second: Side) -> Block:
     given = pc.fill_null(texts.cast(pa.large_string()), "")
-    empty = pc.equal(pc.binary_length(given), 0).to_numpy(zero_copy_only=False)
-    spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), given, pa.scalar("", pa.large_string()))
-    for lo, hi, buf, offsets in common.text_chunks(spaced, tokens.CHUNK_BYTES):
-        size = np.diff(offsets)
-        made = [side.encoder._chunk(buf, offsets) for side in (first, second)]
-        good = ~empty[lo:hi]
-        for side, (ids, at) in zip((first, second), made):
-            spelt = np.concatenate(([0], np.cumsum(side.size[ids])))[at]
-            good &= np.diff(spelt) == size
-        for side, (ids, at) in zip((first, second), made):
-            wrong = np.flatnonzero(side.spell(ids[np.repeat(good, np.diff(at))]) != buf[np.repeat(good, size)])
-            good[np.searchsorted(np.cumsum(np.where(good, size, 0)), wrong, "right")] = False
-        parts = []
-        for side, (ids, at) in zip((first, second), made):
-            kept = ids[np.repeat(good, np.diff(at))].astype(np.int64)
-            at = np.concatenate(([0], np.cumsum(np.where(good, np.diff(at), 0))))
-            parts += [kept, at, np.cumsum(side.size[kept])]
-        yield Block(lo, hi, *parts)
+    good = np.asarray(pc.greater(pc.binary_length(given), 0).to_numpy(zero_copy_only=False)).copy()
+    blank, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+    spaced = pc.binary_join_element_wise(blank, given, nothing)
+    (_, _, buf, offsets), = common.text_chunks(spaced, 1 << 62)
+    size = np.diff(offsets)
+    made = [side.encoder._chunk(buf, offsets) for side in (first, second)]
+    for side, (ids, at) in zip((first, second), made):
+        good &= np.diff(np.concatenate(([0], np.cumsum(side.size[ids])))[at]) == size
+    for side, (ids, at) in zip((first, second), made):
+        wrong = np.flatnonzero(side.spell(ids[np.repeat(good, np.diff(at))]) != buf[np.repeat(good, size)])
+        good[np.searchsorted(np.cumsum(np.where(good, size, 0)), wrong, "right")] = False
+    parts = []
+    for side, (ids, at) in zip((first, second), made):
+        kept = ids[np.repeat(good, np.diff(at))].astype(np.int64)
+        parts += [kept, np.concatenate(([0], np.cumsum(np.where(good, np.diff(at), 0)))), np.cumsum(side.size[kept])]
+    return Block(start, start + len(texts), *parts)
 
 
 def spelled_groups(block: Block, first: Side, second: Side) -> list[bytes]:
@@ -258,26 +269,36 @@ def spelled_groups(block: Block, first: Side, second: Side) -> list[bytes]:
     n, m = len(block.a), len(block.b)
     a_cut, b_cut = block.ia + 1, block.ib + 1
     # a token stands after the tokens before it and those of the other side in earlier groups
-    group_a = np.searchsorted(block.ia, np.arange(n))
-    group_b = np.searchsorted(block.ib, np.arange(m))
+    group_a, group_b = _ended_before(block.ia, n), _ended_before(block.ib, m)
     at_a = np.arange(n) + np.concatenate(([0], b_cut))[group_a]
-    at_b = np.arange(m) + a_cut[group_b] if m else np.zeros(0, np.int64)
+    at_b = np.arange(m) + a_cut[group_b]
     mark_a = np.full(n, ord(","), np.uint8)
     mark_b = np.full(m, ord(","), np.uint8)
     mark_a[block.ia], mark_b[block.ib] = ord("|"), ord(";")
-    wide = max(first.names.shape[1], second.names.shape[1])
-    cells = np.zeros((n + m, wide), np.uint8)
-    length = np.empty(n + m, np.int64)
-    for side, ids, at, mark in ((first, block.a, at_a, mark_a), (second, block.b, at_b, mark_b)):
-        w = side.names.shape[1]
-        cells[at, :w] = side.names[ids]
-        length[at] = side.digits[ids]
-        cells[at, side.digits[ids]] = mark
-    flat = cells[np.arange(wide) <= length[:, None]].tobytes()
+    names, length = np.empty(n + m, np.uint64), np.empty(n + m, np.int64)
+    for side, ids, at in ((first, block.a, at_a), (second, block.b, at_b)):
+        names[at], length[at] = side.names[ids], side.digits[ids]
+    cells = names.view(np.uint8).reshape(-1, 8)
+    cells[at_a, length[at_a]], cells[at_b, length[at_b]] = mark_a, mark_b
+    flat = cells[np.arange(8) <= length[:, None]].tobytes()
     ends = np.concatenate(([0], np.cumsum(length + 1)))[block.a_at + block.b_at].tolist()
     return [flat[x: max(y - 1, x)] for x, y in zip(ends, ends[1:])]
 
 
+def _ended_before(ends: np.ndarray, n: int) -> np.ndarray:
+    """Per number below ``n`` how many of the rising ``ends`` are less."""
+    mark = np.zeros(n + 1, np.int64)
+    mark[ends + 1] = 1
+    return np.cumsum(mark)[:n]
+
+
+def _narrow(ids: np.ndarray, at: np.ndarray, vocabulary: int) -> pa.Array:
+    """Ids of each row as bytes, two an id where the vocabulary allows it."""
+    wide = 2 if vocabulary <= 1 << 16 else 4
+    raw = pa.py_buffer(np.ascontiguousarray(ids.astype(f"<u{wide}")))
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer((at * wide).astype(np.int64)), raw]).cast(pa.binary())
+
+
 def _lists(flat: np.ndarray, at: np.ndarray, kind=pa.int32()) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat, kind))
 
@@ -332,16 +353,23 @@ def _digest(path_a: str, path_b: str):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(x.lo, x.hi - x.lo), pa.array(np.diff(x.a_at)), pa.array(np.diff(x.b_at)),
                      pa.array(np.diff(x.group_at)), pa.array(sha, pa.string()),
-                     _lists(x.a[x.ia], x.group_at), _lists(x.b[x.ib], x.group_at)],
+                     _narrow(x.a[x.ia], x.group_at, len(first.size)), _narrow(x.b[x.ib], x.group_at, len(second.size))],
                     names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "link_a", "link_b"])
     return run
 
 
 def _links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Row number and pair of each link of a batch."""
-    a, b = batch.column("link_a"), batch.column("link_b")
-    row = np.repeat(np.arange(len(batch)), np.diff(a.offsets.to_numpy()))
-    return row, _pair(a.flatten().to_numpy().astype(np.int64), b.flatten().to_numpy().astype(np.int64))
+    many = batch.column("n_groups").to_numpy()
+    total = int(many.sum())
+    ids = []
+    for name in ("link_a", "link_b"):
+        column = batch.column(name)
+        _, offsets, data = column.buffers()
+        at = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1]
+        raw = np.frombuffer(data, np.uint8)[at[0]: at[-1]] if total else np.zeros(0, np.uint8)
+        ids.append(raw.view(f"<u{len(raw) // total if total else 2}").astype(np.int64))
+    return np.repeat(np.arange(len(batch)), many), _pair(*ids)
 
 
 def _counts(batches):
@@ -421,9 +449,9 @@ def link_counts(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         .mapInArrow(common.lean(_digest(path_a, path_b)),
                     "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, "
-                    "link_a array<int>, link_b array<int>")
+                    "link_a binary, link_b binary")
         .withColumn("rid", F.monotonically_increasing_id()), "rows")
-    links = rows.select("rid", "link_a", "link_b")
+    links = rows.select("rid", "n_groups", "link_a", "link_b")
     b_id = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
     counted = scratch.written(links.mapInArrow(common.lean(_counts), "pair long, links long")
                               .groupBy("pair").agg(F.sum("links").alias("links")), "pairs")
