@@ -4,7 +4,8 @@ DataFrame functions only. Every source gets a word target by weight, capped at `
 times its own words, with the excess shared again by weight. A source's documents are taken
 whole as many times as its words fit into the target (complete epochs); the rest of the
 target is a weighted sample without replacement: exponential keys ``-ln(u) / weight`` in
-rising order, prefix-summed up to the budget.
+rising order, prefix-summed up to the budget. Rows with equal keys (copies) are ordered by a
+hash of their place in the files, so that a budget can end between copies.
 """
 
 from __future__ import annotations
@@ -13,13 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vigilo.llm import located
 from vigilo.llm.common import Scratch, unused
 
 #: Weights of the sources in code point order, repeating; null is the last source.
 WEIGHTS = (5, 2, 1)
 MOST = 3
-#: Rows of a source per prefix-summed cell of keys.
-CELL_ROWS = 20_000
+#: Rows that are sorted one by one, and parts into which a range of keys is cut until the budget
+#: ends in a part of no more rows.
+CELL_ROWS, PARTS = 20_000, 1000
 # Symbols that prose hardly has.
 SYMBOLS = "#$%&*|<>{}[]\\^~`=+_@"
 
@@ -43,17 +46,23 @@ def quality_weight(text: Column) -> Column:
 
 def _keyed(docs: DataFrame, names: dict[str, str], id_col: str, text_col: str, source_col: str,
            seed: int, weight: Column | None) -> DataFrame:
-    """``docs`` plus source key, size, sampling key, cell position and tie-breakers."""
+    """``docs`` (of :func:`located.scanned`) plus source, size, sampling key and tie-breaker."""
     text = F.col(text_col)
     of = lambda c: F.col(names[c])
-    by = docs.withColumns({
+    file, row = located.names(docs)
+    by = located.place(docs).withColumns({
         names["source"]: F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")),
         names["size"]: word_count(text),
-        names["hash"]: F.xxhash64(text),
-    })
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), of("hash"), F.lit(seed)), 11) + F.lit(0.5)) / F.lit(2.0 ** 53)
+        names["key"]: _uniform(F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text), F.lit(seed))),
+        names["tie"]: _uniform(F.xxhash64(file, row)),
+    }).drop(file, row)
     w = F.greatest(F.coalesce(weight if weight is not None else quality_weight(text), F.lit(0.0)), F.lit(1e-6))
-    return by.withColumn(names["key"], -F.log(u) / w)
+    return by.withColumn(names["key"], -F.log(of("key")) / w)
+
+
+def _uniform(hashed: Column) -> Column:
+    """A hash as a number above 0 and below 1."""
+    return (F.shiftrightunsigned(hashed, 11) + F.lit(0.5)) / F.lit(2.0 ** 53)
 
 
 def _targets(narrow: DataFrame, scratch: Scratch) -> DataFrame:
@@ -77,37 +86,62 @@ def _targets(narrow: DataFrame, scratch: Scratch) -> DataFrame:
     size = F.col("source_size")
     out = (shared.withColumn("target", F.least(F.col("cap"), F.coalesce(share, F.lit(float("inf"))) * F.col("w")))
            .withColumn("epochs", F.when(size > 0, F.least(F.floor(F.col("target") / size), F.lit(MOST))).otherwise(0).cast("int"))
-           .withColumn("budget", F.greatest(F.col("target") - F.col("epochs") * size, F.lit(0.0)))
-           .withColumn("cells", F.ceil(F.col("rows") / F.lit(CELL_ROWS)).cast("long")))
-    return scratch.written(out.select("source", "source_size", "target", "epochs", "budget", "cells")
+           .withColumn("budget", F.greatest(F.col("target") - F.col("epochs") * size, F.lit(0.0))))
+    return scratch.written(out.select("source", "source_size", "target", "epochs", "budget", "rows")
                            .coalesce(1), "targets")
 
 
 def _cuts(narrow: DataFrame, targets: DataFrame, scratch: Scratch) -> DataFrame:
-    """Per source the last place of the fractional selection in the order of the keys.
+    """Per source the last place (key, tie) of the fractional selection.
 
-    The key range of a source is dealt into cells; only the cell in which the budget ends
-    is sorted row by row, so a source of any size spreads over tasks.
+    A source's range of keys is cut into ``PARTS`` equal parts; the part in which the budget
+    ends is the next range, and where all its keys are equal (copies) its ties are cut. Only a
+    range of at most ``CELL_ROWS`` rows is sorted row by row, so a source of any size, weights
+    or repeated rows spreads over tasks. A range has one row per source.
     """
-    placed = (narrow.join(targets.select("source", "budget", "cells"), "source").where("budget > 0")
-              .withColumn("cell", _cell(F.col("key"), F.col("cells"))))
-    sums = scratch.written(placed.groupBy("source", "cell").agg(F.sum("size").alias("words"),
-                                                               F.first("budget").alias("budget")), "cells")
-    upto = F.sum("words").over(Window.partitionBy("source").orderBy("cell"))
-    ends = (sums.withColumn("upto", upto).where("upto > budget")
-            .groupBy("source").agg(F.min(F.struct("cell", (F.col("upto") - F.col("words")).alias("before"))).alias("end"))
-            .select("source", F.col("end.cell").alias("cell"), F.col("end.before").alias("before")))
-    ends = scratch.written(ends.coalesce(1), "ends")
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "hash").rowsBetween(Window.unboundedPreceding, 0)
+    own = narrow.join(targets.where("budget > 0").select("source", "budget"), "source")
+    ranges = scratch.written(
+        own.groupBy("source").agg(F.first("budget").alias("budget"), F.lit(0).cast("long").alias("before"), *_bounds())
+        .where("words > budget").coalesce(1), "range")
+    while True:
+        large = (F.col("rows") > CELL_ROWS) & ((F.col("high") > F.col("low")) | (F.col("high_tie") > F.col("low_tie")))
+        if ranges.where(large).isEmpty():
+            break
+        ranges = scratch.written(_ending(_within(narrow, ranges), ranges).coalesce(1), "range")
+    order = Window.partitionBy("source").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, 0)
     middle = F.col("before") + F.sum("size").over(order) - F.col("size") / 2
-    last = (placed.join(ends, ["source", "cell"]).withColumn("middle", middle).where("middle <= budget")
-            .groupBy("source").agg(F.max(F.struct("key", "doc_id", "hash")).alias("cut")))
-    return scratch.written(targets.join(ends.drop("before"), "source", "left").join(last, "source", "left")
-                           .coalesce(1), "cuts")
+    last = (_within(narrow, ranges).withColumn("middle", middle).withColumn("place", F.struct("key", "tie"))
+            .groupBy("source").agg(F.min("place").alias("first"),
+                                   F.max(F.when(F.col("middle") <= F.col("budget"), F.col("place"))).alias("cut")))
+    return scratch.written(targets.join(last, "source", "left").coalesce(1), "cuts")
+
+
+def _bounds() -> list[Column]:
+    return [F.sum("size").alias("words"), F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"),
+            F.min("tie").alias("low_tie"), F.max("tie").alias("high_tie")]
+
+
+def _within(narrow: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows in the range of their source."""
+    inside = F.col("key").between(F.col("low"), F.col("high")) & (
+        (F.col("low") < F.col("high")) | F.col("tie").between(F.col("low_tie"), F.col("high_tie")))
+    return narrow.join(ranges, "source").where(inside)
 
 
-def _cell(key: Column, cells: Column) -> Column:
-    return F.floor((1 - F.exp(-key)) * cells).cast("long")
+def _ending(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The part of each range in which the budget ends, as a range."""
+    def part(value: str, low: str, high: str) -> Column:
+        share = (F.col(value) - F.col(low)) / F.greatest(F.col(high) - F.col(low), F.lit(1e-300))
+        return F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")
+    number = F.when(F.col("low") < F.col("high"), part("key", "low", "high")).otherwise(part("tie", "low_tie", "high_tie"))
+    parts = rows.select("source", "size", "key", "tie", "budget", "before", number.alias("part")).groupBy("source", "part").agg(
+        F.first("budget").alias("budget"), F.first("before").alias("start"), *_bounds())
+    # at most PARTS rows a source
+    upto = F.col("start") + F.sum("words").over(Window.partitionBy("source").orderBy("part"))
+    whole = parts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("words")).where("upto > budget")
+    fields = [c for c in ranges.columns if c != "source"]
+    return (whole.groupBy("source").agg(F.min(F.struct("part", *fields)).alias("m"))
+            .select("source", *[F.col(f"m.{c}").alias(c) for c in fields]))
 
 
 def _with_copies(keyed: DataFrame, cuts: DataFrame, names: dict[str, str], id_col: str, name: str) -> DataFrame:
@@ -116,15 +150,14 @@ def _with_copies(keyed: DataFrame, cuts: DataFrame, names: dict[str, str], id_co
     of = lambda c: F.col(names[c])
     cut = lambda c: F.col("_mix_cut_" + c)
     cuts = cuts.select(*[F.col(c).alias("_mix_cut_" + c) for c in cuts.columns])
-    here = _cell(of("key"), cut("cells"))
-    place = F.struct(of("key").alias("key"), F.col(id_col).cast("long").alias("doc_id"), of("hash").alias("hash"))
-    chosen = (cut("budget") > 0) & (cut("cell").isNull() | (here < cut("cell"))
-                                    | ((here == cut("cell")) & (place <= cut("cut"))))
+    place = F.struct(of("key").alias("key"), of("tie").alias("tie"))
+    # without a range the budget holds all rows
+    chosen = (cut("budget") > 0) & (cut("first").isNull() | (place < cut("first")) | (place <= cut("cut")))
     return (keyed.join(cuts, of("source") == cut("source"))
             .withColumn(name, cut("epochs") + F.coalesce(chosen, F.lit(False)).cast("int")))
 
 
-_PLAIN = {c: c for c in ("source", "size", "hash", "key")}
+_PLAIN = {c: c for c in ("source", "size", "key", "tie")}
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -133,8 +166,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     ``weight`` is the quality weight of a row (default: :func:`quality_weight` of its text).
     The document in which a budget ends is taken if more than half of it fits. Null and blank
-    texts have size 0; a null source is a source of its own; rows with equal id and text are
-    taken alike; an empty table gives an empty result. Reruns agree: keys are hashes.
+    texts have size 0; a null source is a source of its own; of rows with equal id and text as
+    many are taken as fit; an empty table gives an empty result. Reruns agree: keys are hashes.
     """
     narrow, cuts, scratch = _plan(docs, id_col, text_col, source_col, seed, weight)
     out = _with_copies(narrow, cuts, _PLAIN, "doc_id", "copies")
@@ -147,9 +180,10 @@ def _plan(docs, id_col, text_col, source_col, seed, weight):
     scratch = Scratch(docs.sparkSession, "mix")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(source_col).alias("from"), *([weight.alias("weight")] if weight is not None else []))
+    slim = located.scanned(slim, scratch)
     narrow = scratch.written(
         _keyed(slim, _PLAIN, "doc_id", "text", "from", seed, None if weight is None else F.col("weight"))
-        .select("doc_id", "source", "size", "hash", "key"), "keyed")
+        .select("doc_id", "source", "size", "key", "tie"), "keyed")
     targets = _targets(narrow, scratch)
     return narrow, _cuts(narrow, targets, scratch), scratch
 
@@ -160,6 +194,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
     Texts never move: the second pass over ``docs`` only meets one small row per source.
     """
+    docs = located.scanned(docs, Scratch(docs.sparkSession, "mix-input"))
     _, cuts, _ = _plan(docs, id_col, text_col, source_col, seed, weight)
     names = {c: unused(docs, "_mix_" + c) for c in _PLAIN}
     keyed = _keyed(docs, names, id_col, text_col, source_col, seed, weight)
