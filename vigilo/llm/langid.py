@@ -27,6 +27,7 @@ BITS = 18
 #: Training documents that are fitted, per language and in all (the bound of the sample,
 #: met on average: rows are drawn by a hash).
 SAMPLE, SAMPLE_ALL = 1000, 8000
+MOST_LANGUAGES = 512
 EPOCHS = 3
 #: Follow-the-regularised-leader: step size, its offset, and the two penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.3, 0.05
@@ -175,8 +176,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", draw:
     """A model of the labelled rows of ``docs``.
 
     Document frequencies count all of them; the weights see about ``SAMPLE`` rows of each
-    language, drawn by the hash ``draw`` (default: of the text; pass one that tells copies
-    apart where they may be many). Rows with a null text, label
+    language, drawn by the hash ``draw`` (default: of the text), and never more than twice
+    ``SAMPLE_ALL`` rows: rows with equal hashes count once. Labels beyond the ``MOST_LANGUAGES``
+    commonest aren't learned. Rows with a null text, label
     or no letter teach nothing; without any label the model knows no language.
     """
     spark = docs.sparkSession
@@ -186,7 +188,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", draw:
     labelled = (docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
                             F.pmod(draw, F.lit(1 << 30)).alias("draw"))
                 .where("text is not null and lang is not null"))
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row per language
+    most_common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in most_common.collect()}
     if not sizes:
         return Model()
     found = (labelled.select("text").mapInArrow(common.lean(_frequencies), "feature long, documents long")
@@ -201,7 +204,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", draw:
         # a share of the hash range that holds that many rows on average
         part = (F.col("lang") == lang) & (F.col("draw") < int(min(1.0, most / rows) * (1 << 30)))
         chosen = part if chosen is None else chosen | part
-    sample = (labelled.where(chosen).mapInArrow(common.lean(_vectors), "lang string, draw long, at binary, counts binary")
+    drawn = common.bounded_sample(labelled.where(chosen), "draw", 2 * SAMPLE_ALL, scratch)
+    sample = (drawn.mapInArrow(common.lean(_vectors), "lang string, draw long, at binary, counts binary")
               .toPandas().sort_values(["draw", "lang", "at"], ignore_index=True))
     scratch.remove(scratch.root)
     sample = sample[sample["at"].str.len() > 0]

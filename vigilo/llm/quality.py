@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.llm import common
-from vigilo.llm.common import mix64, powers, text_chunks, word_hashes
+from vigilo.llm.common import Scratch, mix64, powers, text_chunks, word_hashes
 
 BAD, GOOD, NONE = 0, 1, 2
 #: Documents whose posteriors train the scorer (the bound of the sample, met on average).
@@ -207,7 +207,8 @@ class Scorer:
 
 def train(docs: DataFrame, text_col: str = "text", draw: Column | None = None) -> Scorer | None:
     """The scorer of ``docs``: vote patterns are counted over all texts, the linear scorer is
-    fitted to about ``SAMPLE`` of them, drawn by the hash ``draw`` (default: of the text).
+    fitted to about ``SAMPLE`` of them (twice that at most; rows with equal hashes count once),
+    drawn by the hash ``draw`` (default: of the text).
     None if no text has a word."""
     common.ship(docs.sparkSession)
     texts = docs.select(F.col(text_col).alias("text"),
@@ -219,9 +220,11 @@ def train(docs: DataFrame, text_col: str = "text", draw: Column | None = None) -
         return None
     labels = estimate(found.code.to_numpy(), found.texts.to_numpy(float))
     part = int(min(1.0, SAMPLE / total) * (1 << 30))
-    sample = (texts.where(F.col("draw") < part).select("text")
-              .mapInArrow(common.lean(_examples), "code long, at binary, x binary").toPandas()
+    scratch = Scratch(docs.sparkSession, "quality")
+    drawn = common.bounded_sample(texts.where(F.col("draw") < part), "draw", 2 * SAMPLE, scratch)
+    sample = (drawn.select("text").mapInArrow(common.lean(_examples), "code long, at binary, x binary").toPandas()
               .sort_values(["code", "at", "x"], ignore_index=True))
+    scratch.remove(scratch.root)
     if not len(sample):
         return None
     rows = [(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32).astype(float)) for a, x in zip(sample["at"], sample.x)]

@@ -15,7 +15,7 @@ from vigilo.llm.common import documents, embeddings
 def op1_ftrl_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("held_out", langid.held_out(F.col("doc_id")))
     learned = docs.where("not held_out").select("text", "lang", "doc_id")
-    model = langid.train(learned, draw=F.xxhash64("doc_id"))
+    model = langid.train(learned, draw=F.xxhash64("doc_id", "text"))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
@@ -31,7 +31,7 @@ def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_crf_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return secret_scan.scan(docs, secret_scan.train(docs, draw=F.xxhash64("doc_id")))
+    return secret_scan.scan(docs, secret_scan.train(docs, draw=F.xxhash64("doc_id", "text")))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op7_exponential_key_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return quality.score(docs, quality.train(docs, draw=F.xxhash64("doc_id"))).drop("text")
+    return quality.score(docs, quality.train(docs, draw=F.xxhash64("doc_id", "text"))).drop("text")
 
 
 def op9_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
