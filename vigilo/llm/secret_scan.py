@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilo.llm import common
-from vigilo.llm.common import mix64, powers, text_chunks
+from vigilo.llm.common import Scratch, mix64, powers, text_chunks
 
 # The patterns of the base spans and their order.
 KINDS = ("assign", "access", "hex", "crf")
@@ -332,7 +332,7 @@ def decode(tokens: Tokens, rows: int, field: Field) -> np.ndarray:
 
 
 def _find(field: Field | None):
-    """Per text all spans: base spans, and the field's that overlap none of them."""
+    """Per text all spans: base spans, and the field's that lie in none of them."""
     def run(column: pa.Array):
         for lo, texts, chars, bound, spans in _chunks(column):
             if field is not None and len(chars):
@@ -345,7 +345,7 @@ def _find(field: Field | None):
                         e += 1
                     row = int(tokens.row[s])
                     a, b = int(tokens.begin[s] - bound[row]), int(tokens.end[e - 1] - bound[row])
-                    if all(b <= x[0] or a >= x[2] for x in spans[row] if x[1] != 3):
+                    if not any(x[0] <= a and b <= x[2] for x in spans[row] if x[1] != 3):
                         spans[row].append((a, 3, b, a))
             for r, own in enumerate(spans):
                 yield lo + r, texts[r], sorted(own)
@@ -358,7 +358,9 @@ def _text_of(spans) -> str:
 
 def train(docs: DataFrame, text_col: str = "text", draw=None) -> Field | None:
     """A field fitted to the base spans of a sample of ``docs``: about ``SAMPLE`` documents
-    with a cue of a secret and as many without, drawn by the hash ``draw``. Without any base
+    with a cue of a secret and as many without, drawn by the hash ``draw``, twice that at most
+    (rows with equal hashes count once), and of a long document ``WINDOWS`` windows of ``SPAN``
+    tokens. Without any base
     span in it there is nothing to learn, and the result is None."""
     common.ship(docs.sparkSession)
     text = F.col(text_col)
@@ -373,9 +375,11 @@ def train(docs: DataFrame, text_col: str = "text", draw=None) -> Field | None:
     for on in (True, False):
         part = int(min(1.0, SAMPLE / max(sizes.get(on, 0), 1)) * (1 << 30))
         most = F.when(F.col("cue") == on, F.lit(part)).otherwise(most)
-    windows = (drawn.where(F.col("draw") < most).select("text")
-               .mapInArrow(common.lean(_windows), "shape binary, noise binary, word binary, label binary, file int")
+    scratch = Scratch(docs.sparkSession, "secrets")
+    sample = common.bounded_sample(drawn.where(F.col("draw") < most), "draw", 4 * SAMPLE, scratch)
+    windows = (sample.select("text").mapInArrow(common.lean(_windows), "shape binary, noise binary, word binary, label binary, file int")
                .toPandas().sort_values(["word", "shape", "noise", "label", "file"], ignore_index=True))
+    scratch.remove(scratch.root)
     return fit(windows)
 
 
