@@ -168,15 +168,16 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     ``name, docs, ids, start`` with ``start`` the ids in the files before it. Null ids come
     first, null and empty texts are just ``end_id``, rows with equal ids are ordered by their
     text's hash, other columns are ignored, and an empty table gives an empty manifest.
-    A range partitioning spreads the ids; equal ids are spread by their text's hash.
+    A range partitioning spreads the ids; equal ids are spread by their text's hash, equal rows
+    by their place.
     """
     spark = docs.sparkSession
     common.ship(spark)
     scratch = Scratch(spark, "tokens")
     folder = f"{scratch.root}-files"
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-               .withColumn("tie", F.xxhash64("text"))
-               .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie"))
+               .withColumn("tie", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+               .repartitionByRange("doc_id", "tie", "place").sortWithinPartitions("doc_id", "tie", "place"))
     manifest = scratch.written(
         ordered.select("doc_id", "text").mapInArrow(common.lean(_write(folder, tokenizer, spaced, end_id)),
                                                     "part long, seq long, name string, docs long, ids long"), "manifest")
@@ -213,5 +214,6 @@ def read_tokens(folder: str, manifest: DataFrame) -> DataFrame:
     ``start`` counts the ids of all documents before it; the checksum is the unsigned crc32
     of the document's ids as little-endian unsigned 32-bit integers.
     """
-    files = manifest.select("name", "start").repartition("name")
+    # a number given is not coalesced: a task reads few files, however small the manifest is
+    files = manifest.select("name", "start").repartition(max(1, manifest.count()), "name")
     return files.mapInArrow(common.lean(_read(folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")
