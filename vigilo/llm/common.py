@@ -102,8 +102,9 @@ def with_row_number(df: DataFrame, order: list[str], name: str, scratch: Scratch
     count per partition is prefix-summed; the rows themselves never meet in one task.
     """
     mid = unused(df, "_at")
-    ranged = (df.repartitionByRange(*[F.col(c) for c in order])
-              .sortWithinPartitions(*order)
+    # rows equal in all of ``order`` are spread by their place in the input
+    ranged = (df.withColumn(mid, F.monotonically_increasing_id())
+              .repartitionByRange(*order, mid).sortWithinPartitions(*order, mid)
               .withColumn(mid, F.monotonically_increasing_id()))
     table = scratch.written(ranged, "ordered")
     part = F.shiftright(F.col(mid), 33)
@@ -120,6 +121,16 @@ def with_row_number(df: DataFrame, order: list[str], name: str, scratch: Scratch
     return numbered, int(total)
 
 
+def bounded_sample(rows: DataFrame, draw: str, most: int, scratch: Scratch) -> DataFrame:
+    """The rows with the ``most`` least values of ``draw``, one of those with equal values (so
+    repeated rows count once); written. The bound holds whatever the values are."""
+    # equal ones are merged before they are shuffled; dealt to tasks again, as the sample is small
+    once = scratch.written(rows.dropDuplicates([draw]).repartition(32, draw), "drawn")
+    # narrow, and at most that many
+    found = once.select(draw).orderBy(draw).limit(most + 1).agg(F.count("*").alias("n"), F.max(draw).alias("last")).first()
+    return once.where(F.col(draw) < found["last"]) if found["n"] > most else once
+
+
 def release() -> None:
     """Gives freed memory back to the system; C libraries keep it otherwise, and a worker
     process lives through many tasks."""
