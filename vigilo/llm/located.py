@@ -60,7 +60,7 @@ def _list_name(file: str, block: int) -> str:
 def write_lists(marks: DataFrame, folder: str) -> None:
     """Writes ``marks(file, row, value)`` as lists. A list holds its file's name, so that two
     files whose lists would have the same name are noticed."""
-    def write(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def write(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         from pyarrow import fs
         file, block = key
         store, root = fs.FileSystem.from_uri(folder)
