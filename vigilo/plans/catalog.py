@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigilo import schemas
@@ -24,7 +24,7 @@ from vigilo.sources import files
 from vigilo.sources import reference_tables as ref
 from vigilo.sources import stream as st
 from vigilo.sources import testdata as td
-from vigilo.streaming import jobs
+from vigilo.streaming import jobs, live, metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +123,79 @@ def stream_latest_state(spark, sf) -> DataFrame:
     return profiles.flat_updates(upd)
 
 
+def stream_latest_state_resumed(spark, sf) -> DataFrame:
+    """The events in two deliveries, the checkpoint lost between them: the state goes on from
+    what is stored (T9)."""
+    out = fresh_path(spark, "resumed-stream")
+    for k in (0, 1):
+        mine = _wire_stream(spark, sf).where(F.pmod(F.xxhash64("value"), F.lit(2)) == k)
+        jobs.resumable_state_stream(mine, out, f"{out}/_checkpoint-{k}", trigger="availableNow").awaitTermination()
+    last = jobs.read_latest_messages(spark, out)
+    return profiles.flat_updates(profiles.patient_updates(al.with_alerts(last, ref.THRESHOLD_ROWS), td.patients(spark, sf),
+                                                          salt_buckets=1))
+
+
+#: Into how many deliveries the events are dealt where several batches matter; by the last
+#: digit of the measurement's id they hold a tenth, two, three and four tenths.
+DELIVERIES = 4
+
+
+def _delivery() -> Column:
+    last = F.substring("mesure_id", -1, 1).cast("int")
+    return F.when(last == 0, 0).when(last <= 2, 1).when(last <= 5, 2).otherwise(3)
+
+
+def _deliver(spark, sf, folder: str, k: int) -> DataFrame:
+    """Writes delivery ``k`` to ``folder`` as wire records; the stream of all files there."""
+    records = st.encode_messages(td.observations(spark, sf).where(_delivery() == k))
+    records.write.mode("append").parquet(folder)
+    return st.file_stream(spark, folder, "key string, value string")
+
+
+def _live(spark, sf) -> live.Snapshot:
+    """The live view over the deliveries, read at its newest entry."""
+    out = fresh_path(spark, "live-stream")
+    for k in range(DELIVERIES):
+        live.live_stream(_deliver(spark, sf, f"{out}/_in", k), f"{out}/live", f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
+                         trigger="availableNow").awaitTermination()
+    return live.Snapshot(spark, f"{out}/live", ref.THRESHOLD_ROWS)
+
+
+def stream_delivery_counts(spark, sf) -> DataFrame:
+    """Measurements of the micro-batches as the running query reports them (A13), summed over
+    the batches of each delivery."""
+    out = fresh_path(spark, "counted-stream")
+    listener = metrics.BatchCounts(spark)
+    spark.streams.addListener(listener)
+    profile, ends = jobs.prepare_profile(td.patients(spark, sf)), []
+    try:
+        for k in range(DELIVERIES):
+            query = jobs.alert_stream(_deliver(spark, sf, f"{out}/_in", k), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
+                                      profile=profile, trigger="availableNow", counts=listener)
+            query.awaitTermination()
+            listener.wait(query)
+            ends.append(metrics.read_counts(spark, f"{out}/{jobs.COUNTS}").agg(F.max("lot")).first()[0])
+    finally:
+        profile.unpersist()
+        spark.streams.removeListener(listener)
+    counts = metrics.read_counts(spark, f"{out}/{jobs.COUNTS}")
+    delivery = F.lit(DELIVERIES - 1)
+    for k in range(DELIVERIES - 2, -1, -1):
+        delivery = F.when(F.col("lot") <= ends[k], k).otherwise(delivery)
+    return (counts.groupBy(delivery.alias("livraison")).agg(F.sum("nb_mesures").alias("nb_mesures"),
+                                                            F.sum("nb_rejets").alias("nb_rejets")))
+
+
+def stream_published(spark, sf) -> DataFrame:
+    """Observations published as messages keyed by patient (K3, T8), with the rank of each
+    among those of its patient as they were published."""
+    out = fresh_path(spark, "published")
+    events = st.file_stream(spark, f"{sf.rstrip('/')}/events.parquet*", td.SOURCE_SCHEMAS["events"])
+    jobs.publish_stream(td.events_as_observations(events), out, f"{out}/_checkpoint", trigger="availableNow").awaitTermination()
+    order = Window.partitionBy("key").orderBy("run_id", "batch_id", "partition", "position")
+    return jobs.read_published(spark, out).select("key", "value", F.row_number().over(order).cast("long").alias("rang"))
+
+
 def stream_monitor_counters(spark, sf) -> DataFrame:
     out = fresh_path(spark, "counters-stream")
     jobs.counters_stream(_wire_stream(spark, sf), out, f"{out}/_checkpoint", ref.THRESHOLD_ROWS,
@@ -309,6 +382,12 @@ QUERIES: dict[str, Query] = {
     "stream_alerts_dedup": stream_alerts_dedup,
     "stream_patient_updates": stream_patient_updates,
     "stream_latest_state": stream_latest_state,
+    "stream_latest_state_resumed": stream_latest_state_resumed,
+    "stream_recent_alerts": lambda s, sf: _live(s, sf).alerts(),
+    "stream_alert_log": lambda s, sf: _live(s, sf).alerts(monitor.LOG_LINES),
+    "stream_replay": lambda s, sf: _live(s, sf).replay(td.patients(s, sf)),
+    "stream_delivery_counts": stream_delivery_counts,
+    "stream_published": stream_published,
     "stream_batch_counts": stream_batch_counts,
     "stream_monitor_counters": stream_monitor_counters,
 }

@@ -26,10 +26,12 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vigilo import schemas
@@ -37,7 +39,8 @@ from vigilo.functions.ids import normalise_patient_id
 from vigilo.operators import alerts as al
 from vigilo.operators import profiles
 from vigilo.session import remove
-from vigilo.sources.stream import decode_messages
+from vigilo.sources.stream import decode_messages, encode_messages
+from vigilo.streaming.metrics import BatchCounts, observed
 from vigilo.streaming.seen import Seen, day_of
 
 BATCH_INTERVAL = "5 seconds"
@@ -177,23 +180,34 @@ def write_alert_history(history: DataFrame, out: str, batch_id: int, run_id: str
 
 def alert_stream(records: DataFrame, out: str, checkpoint: str, thresholds: al.Thresholds,
                  patients: DataFrame | None = None, trigger: str | None = BATCH_INTERVAL,
-                 profile: DataFrame | None = None, dedup: bool = False) -> StreamingQuery:
+                 profile: DataFrame | None = None, dedup: bool = False, counts: BatchCounts | None = None) -> StreamingQuery:
     """Start the alert job on a stream of wire records (or decoded messages).
     Pass ``patients`` (prepared here and released when the query ends) or a
     ``profile`` from ``prepare_profile`` (released by the caller). ``dedup``
-    leaves out measurements that are delivered again."""
+    leaves out measurements that are delivered again. With ``counts`` (a listener of the
+    session) the measurements of every batch are stored as it reports them (A13)."""
     own = prepare_profile(patients) if profile is None else None
     used = own if profile is None else profile
     run = run_id_of(records.sparkSession, checkpoint)
+    if counts is not None:
+        records = observed(decode_messages(records) if "value" in records.columns else records)
     w = (records.writeStream
          .foreachBatch(lambda b, i: process_batch(b, i, out, thresholds, profile=used, run_id=run, dedup=dedup))
          .option("checkpointLocation", checkpoint))
+    if counts is not None:
+        name = f"alertes-{run}"
+        counts.watch(name, f"{out}/{COUNTS}/run_id={run}")
+        w = w.queryName(name)
     query = _trigger(w, trigger).start()
     if own is not None:
         threading.Thread(target=_release_after, args=(query, own), daemon=True).start()
     return query
 
 
+#: Folder of the counts that a listener stores.
+COUNTS = "lots"
+
+
 def _release_after(query: StreamingQuery, profile: DataFrame) -> None:
     try:
         query.awaitTermination()
@@ -311,3 +325,121 @@ def read_counters(spark: SparkSession, out: str) -> DataFrame:
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
     return last.agg(total("alertes_total"), total("alertes_critiques"), total("alertes_warning"),
                     F.count("patient_id").alias("patients_surveilles"))
+
+
+# ------------------------------------------------------------------ latest state that survives a reset
+
+# What runs in Python workers is made inside functions: it is then sent to them whole, and they
+# need none of this package.
+
+def latest_processor() -> StatefulProcessor:
+    """Keeps the latest message of a patient and emits it when it changes. The state is one
+    message a patient; it starts from a stored snapshot where there is one."""
+    schema, names = schemas.MESSAGE, schemas.MESSAGE.fieldNames()
+    at = [names.index(c) for c in ("timestamp", "mesure_id")]
+
+    def order(message) -> tuple:
+        # as max_by orders: missing values first
+        return tuple((message[i] is not None, message[i] or "") for i in at)
+
+    class Latest(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getValueState("last", schema)
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 - Spark's names
+            newest = max((tuple(r[n] for n in names) for r in rows), key=order)
+            held = self.last.get() if self.last.exists() else None
+            if held is None or order(held) < order(newest):
+                self.last.update(newest)
+                yield Row(**dict(zip(["patient_key", *names], (key[0], *newest))))
+
+        def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+            self.last.update(tuple(initialState[n] for n in names))
+
+        def close(self) -> None:
+            pass
+
+    return Latest()
+
+
+def latest_of_batches():
+    """A function that keeps the latest message of each patient in every Arrow batch: a patient
+    with a third of all messages sends one row a batch to its state, not all of them."""
+    keys = [(c, "ascending") for c in ("patient_key", "timestamp", "mesure_id")]
+
+    def run(batches):
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if len(rows):
+                rows = rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start"))
+                key = rows.column("patient_key").combine_chunks()
+                last = pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_pylist() + [True]
+                yield from rows.filter(pa.array(last)).to_batches()
+
+    return run
+
+
+def resumable_state_stream(records: DataFrame, out: str, checkpoint: str,
+                           trigger: str | None = BATCH_INTERVAL) -> StreamingQuery:
+    """The latest-message job (A11, T9) on Spark's arbitrary stateful operator. Under a new
+    checkpoint its state starts from what ``out`` holds (all runs before, compacted or not), so
+    after a reset it goes on as if never interrupted: messages older than the stored ones change
+    and write nothing. State and snapshot have one row per patient."""
+    spark = records.sparkSession
+    msgs = decode_messages(records) if "value" in records.columns else records
+    names = schemas.MESSAGE.fieldNames()
+    keyed = msgs.filter(al.is_valid(msgs)).select(normalise_patient_id(F.col("patient_id")).alias("patient_key"), *names)
+    keyed = keyed.filter(F.col("patient_key").isNotNull())
+    row = StructType([StructField("patient_key", StringType()), *schemas.MESSAGE.fields])
+    stored = _snapshot(spark, out).select(*row.fieldNames())
+    changed = (keyed.mapInArrow(latest_of_batches(), row).groupBy("patient_key")
+               .transformWithState(latest_processor(), row, "Update", "None", initialState=stored.groupBy("patient_key")))
+    run = run_id_of(spark, checkpoint)
+
+    def sink(b: DataFrame, i: int) -> None:
+        _write_partition(b, out, "latest", i, run)
+
+    w = changed.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def _snapshot(spark: SparkSession, out: str) -> DataFrame:
+    """One row per patient of the stored state, empty if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/latest")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return _latest_rows(_read_state(spark, out, "latest"), "latest")
+    return spark.createDataFrame([], StructType([StructField("patient_key", StringType()), *schemas.MESSAGE.fields]))
+
+
+# ------------------------------------------------------------------ publishing messages in order
+
+def publish_stream(observations: DataFrame, out: str, checkpoint: str, partitions: int = 32,
+                   trigger: str | None = BATCH_INTERVAL, sink=None) -> StreamingQuery:
+    """Publishes observations as wire records keyed by patient (K3, T8). All records of a key
+    are in one of ``partitions`` partitions, in the order of time; a batch published again
+    replaces itself. ``sink(records, run, batch)`` writes (default: files below
+    ``<out>/messages``; a broker's writer takes the same ``key`` and ``value``)."""
+    run = run_id_of(observations.sparkSession, checkpoint)
+    write = sink or (lambda records, run, batch: _write_partition(records, out, "messages", batch, run))
+    w = (observations.writeStream.foreachBatch(lambda b, i: write(ordered_records(b, partitions), run, i))
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
+def ordered_records(observations: DataFrame, partitions: int) -> DataFrame:
+    """``key, value, partition, position``: encoded messages dealt by key; within a partition
+    ``position`` rises in the order of key and time. The records of a key are one run."""
+    time = F.from_json("value", schemas.MESSAGE)
+    dealt = (encode_messages(observations).withColumn("_m", F.struct(time["timestamp"], time["mesure_id"]))
+             .repartition(partitions, "key").sortWithinPartitions("key", "_m"))
+    place = F.monotonically_increasing_id()
+    return dealt.withColumn("_at", place).select(
+        "key", "value", F.shiftright("_at", 33).cast("int").alias("partition"),
+        F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("position"))
+
+
+def read_published(spark: SparkSession, out: str) -> DataFrame:
+    """The published records with their place: ``run_id, batch_id, partition, position`` order the
+    records of a key as they were published."""
+    schema = "key string, value string, partition int, position long, run_id string, batch_id long"
+    return spark.read.schema(schema).parquet(f"{out}/messages")
