@@ -40,6 +40,7 @@ from vigilo.operators import alerts as al
 from vigilo.operators import profiles
 from vigilo.session import remove
 from vigilo.sources.stream import decode_messages, encode_messages
+from vigilo.streaming import history
 from vigilo.streaming.metrics import BatchCounts, observed
 from vigilo.streaming.seen import Seen, day_of
 
@@ -242,11 +243,20 @@ def read_output(spark: SparkSession, out: str, table: str) -> DataFrame:
     if table in DATE_PARTITIONED:
         schema = DATE_PARTITIONED[table][1]
         full = StructType(schema.fields + _PLACE)
+        if history.is_compacted(spark, f"{out}/{table}"):
+            return history.read(spark, f"{out}/{table}", full).select(*schema.fieldNames())
         # partition values come back last; restore the declared column order
         return spark.read.schema(full).parquet(f"{out}/{table}").select(*schema.fieldNames())
     return spark.read.parquet(f"{out}/{table}").drop("run_id", "batch_id")
 
 
+def compact_history(spark: SparkSession, out: str, target: int = history.TARGET) -> int:
+    """Packs the small files of each day of the alert history (K6); files made. Run it now and
+    then, also beside the stream."""
+    column, schema = DATE_PARTITIONED["alertes"]
+    return history.compact(spark, f"{out}/alertes", StructType(schema.fields + _PLACE), column, target)
+
+
 def _latest_rows(rows: DataFrame, table: str) -> DataFrame:
     """The row that counts for each key of a state table, with its run and batch."""
     key, order = STATE_TABLES[table]
