@@ -1,5 +1,7 @@
 """Plan equivalences and plan shapes."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from sample_data import SMALL_SF
@@ -259,3 +261,34 @@ def test_rank_over_many_partitions(spark, workdir):
     assert out.columns == ["key", "wide", "position"]
     assert out.count() == n
     assert out.filter(F.col("position") != n - F.col("key")).isEmpty()
+
+
+def test_counts_of_stored_tables_come_from_footers(spark, workdir):
+    from vigilo import schemas
+    from vigilo.sources import files, versions
+    path = f"{workdir}/t"
+    enriched = catalog._enriched(spark, SMALL_SF)
+    files.replace_table(enriched, path, partition_by="date_mesure")
+    day = enriched.select(F.min("date_mesure")).first()[0]
+    files.replace_table(enriched.where(F.col("date_mesure") == day).limit(3), path, partition_by="date_mesure", only=[day])
+    own = files.footer_session(spark)
+    counts = kpis.stored_counts({"t": versions.scans(own, path, schemas.ENRICHED)})
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 2 and "ReadSchema: struct<count(*)" in plan.replace("`", "")
+    want = files.read_table(spark, path, schemas.ENRICHED)
+    assert counts.first()["nb_lignes"] == want.count() == enriched.where(F.col("date_mesure") != day).count() + 3
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != own.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_plan_choice_by_density(spark):
+    """Sparse input: join, then group; dense input: aggregate first. The same table either way."""
+    s, c, p = td.signals(spark, SMALL_SF), td.sensors(spark, SMALL_SF), td.patients(spark, SMALL_SF)
+    one_day = s.withColumn("date", F.lit("2025-01-01")).withColumn("patient_id", F.concat(F.lit("PAT000"), F.pmod(F.hash("mesure_id"), F.lit(7)) + 1))
+    sparse, dense = kpis.readings_per_patient_day(s), kpis.readings_per_patient_day(one_day)
+    assert sparse < kpis.DENSE <= dense
+    for signals, first in ((s, False), (one_day, True)):
+        chosen = kpis.patient_day_stats_from_sources(signals, c, p, aggregate_first=None)
+        fixed, other = (kpis.patient_day_stats_from_sources(signals, c, p, aggregate_first=x) for x in (first, not first))
+        shape = lambda df: re.findall(r"^[\s+\-:*()\d]*([A-Z]\w+)", df._jdf.queryExecution().sparkPlan().toString(), re.M)
+        assert shape(chosen) == shape(fixed) != shape(other)
+        assert _rows(kpis.all_kpis(chosen)) == _rows(kpis.all_kpis(other))

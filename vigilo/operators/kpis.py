@@ -103,15 +103,30 @@ def patient_day_stats(enriched_df: DataFrame) -> DataFrame:
     return enriched_df.groupBy(*GROUP_KEYS).agg(*_stats_aggs())
 
 
+#: Measurements per patient and day from which aggregating before the join shuffles less
+#: (measured: 2.3 times more at 2, 2.4 times less at 40; the middle of the two on a log scale).
+DENSE = 9.0
+
+
+def readings_per_patient_day(signals: DataFrame) -> float:
+    """Measurements per patient and day, from a distinct-count sketch: one pass over two
+    columns with one small sketch per task, no shuffle of rows."""
+    n, groups = signals.agg(F.count(F.lit(1)), F.approx_count_distinct(F.struct("patient_id", "date"), rsd=0.05)).first()
+    return n / max(groups, 1)
+
+
 def patient_day_stats_from_sources(signals: DataFrame, sensors: DataFrame,
-                                   patients: DataFrame, aggregate_first: bool = True) -> DataFrame:
+                                   patients: DataFrame, aggregate_first: bool | None = True) -> DataFrame:
     """Patient-day statistics straight from the sources.
 
-    ``aggregate_first`` (default): measurements are reduced to (patient, day)
+    ``aggregate_first=None`` chooses by ``readings_per_patient_day`` (a job now).
+    ``True`` (default): measurements are reduced to (patient, day)
     states before any shuffle and only those meet the patient table — the plan for
     dense telemetry and hot patients. ``False``: join, then group by the five keys
     (one shuffle of raw rows, which suits sparse data: a few readings per
     patient-day; measured in PLANS.md). Both give the same table."""
+    if aggregate_first is None:
+        aggregate_first = readings_per_patient_day(signals) >= DENSE
     if not aggregate_first:
         return patient_day_stats(enrich.enriched(signals, sensors, patients))
     per_day = (enrich.measurements_for_kpis(signals, sensors)
@@ -269,10 +284,18 @@ def table_row_counts(stats: DataFrame, enriched_df: DataFrame | None = None) ->
     return out
 
 
-def stored_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each stored table, labelled (A12, U1): a table that wasn't written shows."""
+def stored_counts(tables: dict[str, list[DataFrame]]) -> DataFrame:
+    """Row count of each stored table, labelled (A12, U1): a table that wasn't written shows.
+
+    A table is given as its scans (one per write that counts), each counted by itself: with a
+    session of ``files.footer_session`` the counts come from the Parquet footers."""
     out = None
-    for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(name).alias("table_name"), "nb_lignes")
-        out = one if out is None else out.unionByName(one)
+    for name, scans in tables.items():
+        counts = None
+        for df in scans:
+            one = df.agg(F.count(F.lit(1)).alias("n"))
+            counts = one if counts is None else counts.unionByName(one)
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("nb_lignes"))
+        row = total.select(F.lit(name).alias("table_name"), "nb_lignes")
+        out = row if out is None else out.unionByName(row)
     return out

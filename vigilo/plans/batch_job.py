@@ -73,13 +73,15 @@ def run(spark: SparkSession, patients: DataFrame, signals: DataFrame, sensors: D
     files.replace_table(new_stats, stats_path, partition_by=day, only=days)
     stats = some(files.read_table(spark, stats_path, new_stats.schema))
 
-    counted = {"mesures_patients": files.scan_enriched(spark, paths["mesures_patients"])}
+    footers = files.footer_session(spark)
+    counted = {"mesures_patients": versions.scans(footers, paths["mesures_patients"], schemas.ENRICHED)}
     for name, build in KPI_TABLES.items():
         paths[name] = f"{out}/{name}"
         table = build(stats)
         files.replace_table(table, paths[name], fmt=fmt, partition_by=day, only=days)
         if name != VIEW:
-            counted[name] = read_kpi_table(spark, paths[name], table.schema, fmt)
+            counted[name] = (versions.scans(footers, paths[name], table.schema) if fmt == "parquet"
+                             else [read_kpi_table(footers, paths[name], table.schema, fmt)])
     paths["comptages"] = f"{out}/comptages"
     files.replace_table(kpis.stored_counts(counted), paths["comptages"], fmt=fmt)
     if fmt != "parquet":
@@ -93,8 +95,8 @@ def read_kpi_table(spark: SparkSession, path: str, schema, fmt: str = "parquet")
         return files.read_table(spark, path, schema)
     # the partition column stands in the folder names, not in the lines
     lines = [f for f in schema.fields if f.name != "date_mesure"] + [schema["date_mesure"]]
-    return versions.read(spark, path, schema, load=lambda r, folder: r.schema(type(schema)(lines)).option("sep", ";")
-                         .option("header", False).option("nullValue", files.TEXT_NULL).csv(folder))
+    return versions.read(spark, path, schema, load=lambda r, folders: r.schema(type(schema)(lines)).option("sep", ";")
+                         .option("header", False).option("nullValue", files.TEXT_NULL).csv(folders))
 
 
 def read(spark: SparkSession, out: str, name: str) -> DataFrame:

@@ -101,6 +101,16 @@ def scan_ingested_signals(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, schemas.SIGNALS)
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which a count of a Parquet table comes from the
+    files' footers (aggregate push-down of the version 2 source): no column is read."""
+    own = spark.newSession()
+    version1 = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in version1 if s.strip() != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
 def load_optional(spark: SparkSession, path: str | None, schema, reader=None) -> DataFrame:
     """A dimension that may be missing (profiles, centres: T7): an empty DataFrame of
     the right schema when the path does not exist or cannot be read."""
