@@ -11,19 +11,19 @@ from vigilo.llm.common import Scratch, documents
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are in no language known from the labelled ones go."""
-    model = langid.train(docs.select("text", "lang", "doc_id"), draw=F.xxhash64("doc_id"))
+    model = langid.train(docs.select("text", "lang", "doc_id"), draw=F.xxhash64("doc_id", "text"))
     return langid.accepted(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the least id (null last),
     then the least text hash. Words shingled by five, a similarity of 0.8 or more."""
-    return near_dedup.keep_one(docs, near_dedup.near_duplicates(docs, with_root=True))
+    return near_dedup.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are masked; every document stays."""
-    return secret_scan.masked(docs, secret_scan.train(docs, draw=F.xxhash64("doc_id")))
+    return secret_scan.masked(docs, secret_scan.train(docs, draw=F.xxhash64("doc_id", "text")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

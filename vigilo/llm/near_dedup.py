@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilo.llm import common
+from vigilo.llm import common, located
 from vigilo.llm.common import Scratch, mix64
 from vigilo.llm.components import components
 
@@ -99,7 +99,7 @@ def _set_key(shingles: np.ndarray) -> tuple[int, int]:
     return int(pair[0]), int(pair[1])
 
 
-def _sketch(width: int):
+def _sketch(width: int, named: list[str]):
     def run(batches):
         for batch in batches:
             n, k1, k2, keys = [], [], [], []
@@ -110,9 +110,9 @@ def _sketch(width: int):
                 k2.append(y)
                 keys.append(band_keys(signature(s)).astype(np.int64) if len(s) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()),
+                [*(batch.column(c) for c in named), pa.array(n, pa.int64()),
                  pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "n_shingles", "k1", "k2", "bands"])
+                names=[*named, "n_shingles", "k1", "k2", "bands"])
     return run
 
 
@@ -190,7 +190,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     width: int = 5, percent: int = 80, with_root: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text_hash, n_shingles, component_id, kept``;
     ``with_root`` adds ``root``, a number of the group that holds with null and repeated ids
-    too (null without shingles).
+    too (null without shingles), and the row's place (``file``, ``row``) in ``docs``, which
+    must then be of :func:`located.scanned`.
 
     Two rows are linked if ``100 * |A & B| >= percent * |A | B|`` for their shingle sets.
     ``component_id`` is the least id reachable by links, ``kept`` marks the row with that id.
@@ -202,10 +203,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     common.ship(spark)
     scratch = Scratch(spark, "near")
+    place = ["file", "row"] if with_root else []
+    if with_root:
+        named = dict(zip(place, located.names(docs)))
+        docs = located.place(docs)
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                       F.xxhash64(F.col(text_col)).alias("text_hash"))
-    sketched = scratch.written(text.mapInArrow(common.lean(_sketch(width)), "doc_id long, text_hash long, n_shingles long, k1 long, "
-                                                       "k2 long, bands array<long>")
+                       F.xxhash64(F.col(text_col)).alias("text_hash"), *[F.col(named[c]).alias(c) for c in place])
+    sketched = scratch.written(text.mapInArrow(common.lean(_sketch(width, ["doc_id", "text_hash", *place])),
+                                               "doc_id long, text_hash long, " + ("file string, row long, " if place else "")
+                                               + "n_shingles long, k1 long, k2 long, bands array<long>")
                        .withColumn("rid", F.monotonically_increasing_id()), "sketch")
     rows = sketched.drop("bands")
     nodes = scratch.written(rows.where("n_shingles > 0").groupBy("k1", "k2")
@@ -250,7 +256,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "text_hash", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.col("doc_id").eqNullSafe(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("kept"),
-        *(["root"] if with_root else []))
+        *(["root", *place] if with_root else []))
     return scratch.finish(out)
 
 
@@ -304,34 +310,18 @@ def _rest(scratch: Scratch, inside: DataFrame, found: DataFrame, sets: DataFrame
             .applyInPandas(_across(percent), "a long, b long"))
 
 
-def keep_one(docs: DataFrame, result: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of ``result`` of :func:`near_duplicates`, the first by
-    id (null last) and text hash, one of repeated rows (same id and text); blank rows all stay.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the first by id (null last), text
+    hash and place; rows without shingles all stay.
 
-    Groups are told apart by ``root``. A result without it names them by their least id alone,
-    so all its kept rows stay but repeated ones."""
-    key = ["doc_id", "text_hash"]
+    The row that stays is found on narrow rows: one partial minimum per group and task, then
+    an anti-join on places, in which no key occurs twice. The others are dropped by the tasks
+    that scan them, so texts aren't shuffled. ``docs`` that isn't read from files as it stands is
+    written first."""
     scratch = Scratch(docs.sparkSession, "near-keep")
-    if "root" in result.columns:
-        result = scratch.written(result.select(*key, "root", "n_shingles"), "result")
-        order = F.struct(F.col("doc_id").isNull().alias("none"), *key)
-        first = (result.where("n_shingles > 0").groupBy("root").agg(F.min(order).alias("m"))
-                 .select(F.col("m.doc_id").alias("w_id"), F.col("m.text_hash").alias("w_hash")))
-        # by row and not by group, so that a hot group's rows don't meet in one task
-        counted = scratch.written(result.where("n_shingles > 0").groupBy(*key).count()
-                                  .join(scratch.written(first, "first"),
-                                        F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left")
-                                  .select(*key, "count", F.col("w_hash").isNotNull().alias("kept")), "counted")
-    else:
-        counted = scratch.written(result.where("n_shingles > 0").groupBy(*key, "kept").count(), "counted")
-    mark = common.unused(docs, "_text_hash")
-    marked = docs.withColumn(mark, F.xxhash64("text"))
-    same = [F.col("doc_id").eqNullSafe(F.col("r_id")), F.col(mark) == F.col("r_hash")]
-    named = lambda df: df.select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
-    gone = scratch.written(named(counted.where("not kept")), "gone")
-    twice = scratch.written(named(counted.where("kept and count > 1")), "twice")
-    stay = marked.join(gone, same, "left_anti")
-    if twice.isEmpty():
-        return stay.drop(mark)
-    once = stay.join(twice, same, "left_semi").dropDuplicates(["doc_id", mark])
-    return stay.join(twice, same, "left_anti").unionByName(once).drop(mark)
+    docs = located.scanned(docs, scratch)
+    rows = (near_duplicates(docs, id_col, text_col, width, percent, with_root=True).where("n_shingles > 0")
+            .select("root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "file", "row").alias("m")))
+    first = rows.groupBy("root").agg(F.min("m").alias("m")).select("m.file", "m.row")
+    gone = rows.select("m.file", "m.row").join(first, ["file", "row"], "left_anti")
+    return located.without(docs, gone, scratch)
