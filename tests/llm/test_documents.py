@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vigilo.llm import langid, mixing, near_dedup, packing, quality, secret_scan, sharding, token_files, tokens
+from vigilo.llm import common, langid, mixing, near_dedup, packing, quality, secret_scan, sharding, token_files, tokens
+from vigilo.llm.common import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -212,7 +213,7 @@ def test_full_sets_with_null_ids(spark, monkeypatch):
 
 
 def test_keep_one(corpus, rows):
-    out = near_dedup.keep_one(corpus, near_dedup.near_duplicates(corpus)).collect()
+    out = near_dedup.keep_one(corpus).collect()
     ids = Counter(r.doc_id for r in out)
     assert ids[7] == 1 and ids[5] == 1 and not any(ids[300 + i] for i in range(30)) and ids[400] == ids[401] == 1
     assert out[0].asDict().keys() == rows[0].asDict().keys()
@@ -466,3 +467,100 @@ def test_unknown_script_is_rejected_and_short_texts_stay(spark):
     model = langid.train(df)
     kept = {x.doc_id for x in langid.accepted(df, model).collect()}
     assert kept == {i for i, _, _ in docs} | {1001, 1002}
+
+
+# ------------------------------------------------------------------ hot rows, bounded samples
+
+def _taken(out):
+    taken = Counter()
+    for r in out:
+        taken[r.target] += r.taken
+    return taken
+
+
+def test_mix_cuts_copies_one_by_one(spark, monkeypatch):
+    """A third of a source is one repeated row with a null id; the budget ends wherever."""
+    monkeypatch.setattr(mixing, "CELL_ROWS", 50)
+    hot = "again and " * 50
+    docs = [(None, hot, "a")] * 700 + [(i, "w " * (5 + i % 40), "a") for i in range(1400)] + [(5000 + i, "x " * 30, "b") for i in range(4000)]
+    for seed in range(3):
+        df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+        out = mixing.plan_mix(df, seed=seed).collect()
+        assert len(out) == len(docs)
+        for target, words in _taken(out).items():
+            assert abs(words - target) <= 100
+        times = Counter(r.copies for r in out if r.doc_id is None)
+        assert max(times) - min(times) <= 1
+        mixed = Counter(r.text for r in mixing.mixed(df, seed=seed).collect())
+        assert sum(len(t.split()) * n for t, n in mixed.items()) == sum(r.taken for r in out)
+
+
+def test_mix_ranges_end_small_for_low_weights(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CELL_ROWS", 60)
+    sizes, sorted_rows = [], mixing._within
+
+    def noted(narrow, ranges):
+        sizes.append(max([r["rows"] for r in ranges.collect()], default=0))
+        return sorted_rows(narrow, ranges)
+    monkeypatch.setattr(mixing, "_within", noted)
+    df = spark.createDataFrame([(i, "w " * 10, "b") for i in range(9000)] + [(20000 + i, "w " * 10, "a") for i in range(2000)],
+                               "doc_id long, text string, source string")
+    out = mixing.plan_mix(df, weight=F.lit(0.05)).collect()
+    assert sizes[0] >= 2000 and sizes[-1] <= 60
+    for target, words in _taken(out).items():
+        assert abs(words - target) <= 10
+
+
+def test_samples_are_bounded_with_null_ids_and_repeated_rows(spark, monkeypatch):
+    """50,000 rows without ids, half of them one text."""
+    seen = []
+    bounded = common.bounded_sample
+
+    def noted(rows, draw, most, scratch):
+        out = bounded(rows, draw, most, scratch)
+        seen.append((out.count(), most))
+        return out
+    monkeypatch.setattr(common, "bounded_sample", noted)
+    words = F.concat_ws(" ", *[F.concat(F.lit(f"word{k}x"), (F.col("id") * (k + 3) % 997).cast("string")) for k in range(8)],
+                        F.lit("password = Zx81abcDEF99"))
+    df = (spark.range(50_000).withColumn("text", F.when(F.col("id") % 2 == 0, F.lit("the same password = Zx81abcDEF99 again")).otherwise(words))
+          .select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit("xx").alias("lang")))
+    draw = F.xxhash64("doc_id", "text")
+    langid.train(df, draw=draw)
+    quality.train(df, draw=draw)
+    secret_scan.train(df, draw=draw)
+    assert [m for _, m in seen] == [2 * langid.SAMPLE_ALL, 2 * quality.SAMPLE, 4 * secret_scan.SAMPLE]
+    assert all(n <= 1.3 * most for (n, _), most in zip(seen, (langid.SAMPLE, quality.SAMPLE, 2 * secret_scan.SAMPLE)))
+
+
+def test_bounded_sample_holds_for_any_draws(spark):
+    rows = spark.range(5000).withColumn("draw", F.col("id") % 900)
+    out = common.bounded_sample(rows, "draw", 100, Scratch(spark, "sample")).collect()
+    assert sorted(r.draw for r in out) == list(range(100))
+    assert common.bounded_sample(rows, "draw", 900, Scratch(spark, "sample")).count() == 900
+    assert common.bounded_sample(rows.limit(0), "draw", 5, Scratch(spark, "sample")).count() == 0
+
+
+def test_hot_equal_rows_are_spread(spark):
+    """A third of the rows equal: no task has many more than its share, slots stay gapless."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("doc_id"))
+    scratch = Scratch(spark, "numbers")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered, n = common.with_row_number(df, ["doc_id"], "number", scratch)
+        most = max(r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert n == 30_000 and sorted(r.number for r in numbered.collect()) == list(range(30_000))
+    stored = spark.read.parquet(f"{scratch.root}/1-ordered")
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 0.45 * 30_000 and most
+
+
+def test_token_files_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "SEGMENT_DOCS", 50)
+    df = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    folder, manifest = token_files.write_tokens(df, tokens.tokenizer_path("byte_bpe_50k.json"))
+    read = token_files.read_tokens(folder, manifest)
+    tasks = {r[0] for r in read.select(F.spark_partition_id()).distinct().collect()}
+    assert manifest.count() >= 40 and len(tasks) >= 15 and read.count() == 2000

@@ -112,6 +112,44 @@ def _centroid_rounds(rounds: int) -> str:
 #: The other queries hash with functions that DuckDB lacks, tokenise, sample or train models;
 #: tests hold them against brute force.
 ORACLE: dict[str, str] = {
+    # brute force: all pairs that share a shingle
+    "op4_minhash_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS MATERIALIZED (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+            FROM words
+        ), flat AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS x, doc_id AS root FROM sets
+            UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.x
+        ), least AS (SELECT x, min(root) AS component_id FROM reach GROUP BY x)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+        FROM sets s JOIN least l ON l.x = s.doc_id
+    """,
+    "op6_p_stable_embedding_dedup": """
+        WITH RECURSIVE v AS MATERIALIZED (
+            SELECT vec_id, row_number() OVER () AS r, [CAST(x AS DOUBLE) FOR x IN embedding] AS e,
+                   embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+                   AND len([x FOR x IN embedding IF x <> 0]) > 0 AS fit
+            FROM embeddings
+        ), links AS MATERIALIZED (
+            SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.r <> b.r AND a.fit AND b.fit AND len(a.e) = len(b.e)
+            WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.95
+        ), reach AS (
+            SELECT r AS x, vec_id AS root FROM v
+            UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.x
+        ), least AS (SELECT x, min(root) AS component_id FROM reach GROUP BY x),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+        FROM v JOIN least l ON l.x = v.r LEFT JOIN counts c ON c.a = v.r
+    """,
     "op10_norm_bucketed_top_k": """
         WITH v AS (
             SELECT vec_id, row_number() OVER () AS r,
