@@ -11,7 +11,8 @@ from vigilo import schemas
 from vigilo.functions.ids import normalise_patient_id
 from vigilo.plans import batch_job
 from vigilo.sources import files, versions
-from vigilo.streaming import app, jobs
+from vigilo.sources.reference_tables import THRESHOLD_ROWS
+from vigilo.streaming import app, jobs, live
 
 
 def test_batch_job_on_sample(spark, workdir):
@@ -50,6 +51,10 @@ def test_streaming_app_replays_observation_files(spark, workdir):
     upd = jobs.read_output(spark, f"{out}/alertes_job", "patient_updates")
     assert upd.filter("ville = 'Inconnue'").count() == 0
     assert jobs.read_latest_messages(spark, f"{out}/etat").count() == sd.monitored()
+    app.compact(spark, out)
+    assert jobs.read_output(spark, f"{out}/alertes_job", "alertes").count() == len(sd.alerts())
+    view = live.Snapshot(spark, f"{out}/direct", THRESHOLD_ROWS)
+    assert view.latest_messages().count() == sd.monitored() and view.alerts().count() == min(100, len(sd.alerts()))
     c = jobs.read_counters(spark, f"{out}/compteurs_job").first()
     assert (c["alertes_total"], c["patients_surveilles"]) == (len(sd.alerts()), sd.monitored())
 

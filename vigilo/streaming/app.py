@@ -3,13 +3,16 @@
     python -m vigilo.streaming.app --bootstrap HOST:9092 --patients P --out DIR
     python -m vigilo.streaming.app --source-dir DIR --source-format csv ...   (replay files)
 
-Starts three queries on the same source, each with its own checkpoint below
+Starts four queries on the same source, each with its own checkpoint below
 ``--checkpoint`` (default: ``<spark.checkpoint.dir>/vigilo-stream``):
 
 * alerts          alert history, patient updates, rejects, per-batch counts
 * latest state    latest message per patient (stateful, update mode)
+                  with ``--resumable`` on the stateful operator that starts from the stored state
 * counters        cumulative alert counters per patient (stateful, update mode)
+* live view       recent alerts and latest states, committed together batch by batch
 
+Every ``--compact-minutes`` the stored tables are compacted beside the queries.
 The patient profile is read once at start (CSV with header, or Parquet).
 """
 
@@ -23,7 +26,7 @@ from vigilo import schemas
 from vigilo.session import shared_dir
 from vigilo.sources import files, stream
 from vigilo.sources.reference_tables import THRESHOLD_ROWS
-from vigilo.streaming import jobs
+from vigilo.streaming import jobs, live
 
 
 def source(spark: SparkSession, a) -> DataFrame:
@@ -63,10 +66,19 @@ def start(spark: SparkSession, a) -> list:
     q_alerts = jobs.alert_stream(source(spark, a), f"{a.out}/alertes_job", f"{ck}/alertes",
                                  rules, patients_table(spark, a.patients), trigger=trigger,
                                  dedup=a.dedup)
-    q_state = jobs.latest_state_stream(source(spark, a), f"{a.out}/etat", f"{ck}/etat", trigger=trigger)
+    latest = jobs.resumable_state_stream if a.resumable else jobs.latest_state_stream
+    q_state = latest(source(spark, a), f"{a.out}/etat", f"{ck}/etat", trigger=trigger)
     q_count = jobs.counters_stream(source(spark, a), f"{a.out}/compteurs_job", f"{ck}/compteurs",
                                    rules, trigger=trigger)
-    return [q_alerts, q_state, q_count]
+    q_live = live.live_stream(source(spark, a), f"{a.out}/direct", f"{ck}/direct", rules, trigger=trigger)
+    return [q_alerts, q_state, q_count, q_live]
+
+
+def compact(spark: SparkSession, out: str) -> None:
+    """Compacts what the queries have stored so far; they may go on meanwhile."""
+    jobs.compact_history(spark, f"{out}/alertes_job")
+    jobs.compact_state(spark, f"{out}/etat", "latest")
+    jobs.compact_state(spark, f"{out}/compteurs_job", "compteurs")
 
 
 def parse(argv: list[str] | None = None):
@@ -87,6 +99,8 @@ def parse(argv: list[str] | None = None):
     ap.add_argument("--trigger", default=jobs.BATCH_INTERVAL,
                     help="processing-time interval, or availableNow")
     ap.add_argument("--dedup", action="store_true", help="leave out measurements delivered again")
+    ap.add_argument("--resumable", action="store_true", help="latest state that goes on after a lost checkpoint")
+    ap.add_argument("--compact-minutes", type=float, default=60.0, help="time between compactions")
     return ap.parse_args(argv)
 
 
@@ -97,8 +111,10 @@ def main(argv: list[str] | None = None) -> None:
     if a.trigger == "availableNow":
         for q in queries:
             q.awaitTermination()
+        compact(spark, a.out)
     else:
-        spark.streams.awaitAnyTermination()
+        while not spark.streams.awaitAnyTermination(int(60 * a.compact_minutes)):
+            compact(spark, a.out)
 
 
 if __name__ == "__main__":

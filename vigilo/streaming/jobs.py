@@ -253,6 +253,8 @@ def read_output(spark: SparkSession, out: str, table: str) -> DataFrame:
 def compact_history(spark: SparkSession, out: str, target: int = history.TARGET) -> int:
     """Packs the small files of each day of the alert history (K6); files made. Run it now and
     then, also beside the stream."""
+    if not _exists(spark, f"{out}/alertes"):
+        return 0
     column, schema = DATE_PARTITIONED["alertes"]
     return history.compact(spark, f"{out}/alertes", StructType(schema.fields + _PLACE), column, target)
 
@@ -271,6 +273,11 @@ STATE_TABLES = {
 }
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def _read_state(spark: SparkSession, out: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{out}/{table}").withColumn("run_id", F.col("run_id").cast("string"))
 
@@ -282,6 +289,8 @@ def compact_state(spark: SparkSession, out: str, table: str) -> None:
     are removed afterwards: at every moment the readers find at least one copy of each row,
     and copies don't matter to them. Run it now and then beside the stream: it doesn't touch
     the newest batch, which may still be written."""
+    if not _exists(spark, f"{out}/{table}"):
+        return
     rows = _read_state(spark, out, table)
     # one row per folder
     places = sorted((r[0], r[1]) for r in rows.select("run_id", "batch_id").distinct().collect())
@@ -415,8 +424,7 @@ def resumable_state_stream(records: DataFrame, out: str, checkpoint: str,
 
 def _snapshot(spark: SparkSession, out: str) -> DataFrame:
     """One row per patient of the stored state, empty if there is none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/latest")
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if _exists(spark, f"{out}/latest"):
         return _latest_rows(_read_state(spark, out, "latest"), "latest")
     return spark.createDataFrame([], StructType([StructField("patient_key", StringType()), *schemas.MESSAGE.fields]))
 

@@ -88,9 +88,12 @@ class Seen:
                  .select("mesure_id", "jour", "segment").persist())
         try:
             hit = [(r.jour, r.segment) for r in maybe.select("jour", "segment").distinct().collect()]
+            if not hit:
+                return ids.limit(0)
             found = self._read("ids", _IDS, hit).join(maybe, ["jour", "segment", "mesure_id"]).select("mesure_id", "jour")
-            # kept, since the filters' answer is released here; only ids that did occur
-            return found.distinct().persist()
+            found = found.distinct().persist()      # only ids that did occur
+            found.count()                           # while the filters' answer is at hand
+            return found
         finally:
             maybe.unpersist()
 
