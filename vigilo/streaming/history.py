@@ -54,10 +54,19 @@ def is_compacted(spark: SparkSession, table: str) -> bool:
 
 def read(spark: SparkSession, table: str, schema) -> DataFrame:
     """The table as of the newest entry, with ``run_id`` and ``batch_id`` in ``schema``."""
-    names = sorted(_counting(spark, table))
-    if not names:
+    there, counting = _by_batch(_files(spark, table)), _by_batch(_counting(spark, table))
+    # a batch's folder as a whole where all of its files count
+    paths = [p for folder, own in sorted(counting.items()) for p in ([folder] if own == there[folder] else own)]
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", table).parquet(*[f"{table}/{f}" for f in names])
+    return spark.read.schema(schema).option("basePath", table).parquet(*[f"{table}/{p}" for p in paths])
+
+
+def _by_batch(names) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for name in sorted(names):
+        out.setdefault("/".join(name.split("/")[:2]), []).append(name)
+    return out
 
 
 def _place(name: str) -> tuple[str, int]:
