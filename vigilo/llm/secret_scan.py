@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -412,6 +413,8 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
 
 
 MASK = "[SECRET]"
+#: Texts that are masked at a time.
+SLICE = 512
 
 
 def mask(text: str, spans) -> str:
@@ -433,12 +436,15 @@ def masked(docs: DataFrame, field: Field | None, text_col: str = "text", chars_c
     common.ship(spark)
     shared = spark.sparkContext.broadcast(field)
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        column = pa.array(texts, pa.string(), from_pandas=True)
-        found = [mask(text, own) if own else text for _, text, own in _find(shared.value)(column)]
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        parts, find = [pa.array([], pa.string())], _find(shared.value)
+        for lo in range(0, len(texts), SLICE):      # few texts at a time are Python strings
+            column = texts.slice(lo, SLICE).cast(pa.string())
+            found = [mask(text, own) if own else text for _, text, own in find(column)]
+            parts.append(pc.if_else(pc.is_valid(column), pa.array(found, pa.string()), pa.scalar(None, pa.string())))
         common.release()
-        return pd.Series(found, index=texts.index, dtype=object).where(texts.notna(), None)
+        return pa.concat_arrays(parts)
 
     new = common.unused(docs, "_masked")
     done = docs.withColumn(new, clean(text_col))
