@@ -57,3 +57,19 @@ def test_restart_from_the_same_checkpoint(spark, workdir):
     assert jobs.read_latest_messages(spark, out).count() == sd.monitored()
     jobs.compact_state(spark, out, "latest")
     assert jobs.read_latest_messages(spark, out).agg(F.countDistinct("patient_id")).first()[0] == sd.monitored()
+
+
+def test_session_with_the_default_state_store(spark, workdir):
+    parts, out = _wire_parts(spark, 2), os.path.join(workdir, "out")
+    plain, key = spark.newSession(), "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain.conf.set(key, default)        # as in a session made without this package's settings
+    for i in range(2):
+        folder = os.path.join(workdir, str(i))
+        _write_part(folder, 0, parts[i])
+        _run(plain, folder, out, "ck")
+        assert plain.conf.get(key) == default
+    messages = files.scan_observations(spark, sample("observations.csv")).select(*schemas.MESSAGE.fieldNames())
+    want = sorted(map(tuple, monitor.latest_messages(messages).select(*schemas.MESSAGE.fieldNames()).collect()))
+    got = jobs.read_latest_messages(plain, out).select(*schemas.MESSAGE.fieldNames())
+    assert sorted(map(tuple, got.collect())) == want and len(want) == sd.monitored()

@@ -21,9 +21,11 @@ and ``compact_state`` replaces older batches by one snapshot.
 
 from __future__ import annotations
 
+import contextlib
 import threading
 import time
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
@@ -419,7 +421,31 @@ def resumable_state_stream(records: DataFrame, out: str, checkpoint: str,
         _write_partition(b, out, "latest", i, run)
 
     w = changed.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    with store_with_column_families(spark):
+        return _trigger(w, trigger).start()
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PROVIDERS = "org.apache.spark.sql.execution.streaming.state."
+_starting = threading.Lock()
+
+
+@contextlib.contextmanager
+def store_with_column_families(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside use RocksDB where the session has Spark's default state store: the
+    arbitrary stateful operator needs column families, which the default lacks. A query keeps
+    the settings it started with; those of the session come back, and another store that was
+    chosen stays."""
+    with _starting:     # the setting is the session's: two queries starting at once must not undo each other's
+        before = spark.conf.get(_PROVIDER, f"{_PROVIDERS}HDFSBackedStateStoreProvider")
+        if before != f"{_PROVIDERS}HDFSBackedStateStoreProvider":
+            yield
+            return
+        spark.conf.set(_PROVIDER, f"{_PROVIDERS}RocksDBStateStoreProvider")
+        try:
+            yield
+        finally:
+            spark.conf.set(_PROVIDER, before)
 
 
 def _snapshot(spark: SparkSession, out: str) -> DataFrame:
