@@ -73,3 +73,29 @@ def test_session_with_the_default_state_store(spark, workdir):
     want = sorted(map(tuple, monitor.latest_messages(messages).select(*schemas.MESSAGE.fieldNames()).collect()))
     got = jobs.read_latest_messages(plain, out).select(*schemas.MESSAGE.fieldNames())
     assert sorted(map(tuple, got.collect())) == want and len(want) == sd.monitored()
+
+
+def test_messages_without_a_patient_are_one_patients(spark, workdir):
+    names, out = schemas.MESSAGE.fieldNames(), os.path.join(workdir, "out")
+    rows = [("m1", None, "2025-01-02T08:00"), ("m2", None, "2025-01-02T09:00"), ("m3", "7", "2025-01-02T07:00"),
+            ("m4", None, "2025-01-02T08:30"), ("m5", None, "2025-01-03T08:00")]
+    for i, part in enumerate((rows[:4], rows[4:])):      # with a new checkpoint each
+        message = F.to_json(F.struct(*[F.col(c) if c in ("mesure_id", "patient_id", "timestamp") else F.lit(None).cast(schemas.MESSAGE[c].dataType).alias(c)
+                                       for c in names]))
+        folder = os.path.join(workdir, str(i))
+        _write_part(folder, 0, spark.createDataFrame(part, "mesure_id string, patient_id string, timestamp string")
+                    .select(F.col("patient_id").alias("key"), message.alias("value")))
+        _run(spark, folder, out, "ck")
+        got = sorted((r["mesure_id"], r["patient_id"]) for r in jobs.read_latest_messages(spark, out).collect())
+        assert [r[0] for r in got] == [["m2", "m3"], ["m3", "m5"]][i]
+        _write_part(os.path.join(workdir, "again"), i, spark.read.json(os.path.join(folder, "in", "*")))
+    before = spark.read.parquet(os.path.join(out, "latest")).count()
+    _run(spark, os.path.join(workdir, "again"), out, "ck")      # the state without a patient was stored too
+    assert spark.read.parquet(os.path.join(out, "latest")).count() == before == 3
+
+
+def test_batches_keep_messages_without_a_patient():
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"patient_key": ["p1", None, None, "p1"], "timestamp": ["3", "1", "2", "4"], "mesure_id": list("abcd")})
+    out = pa.Table.from_batches(list(jobs.latest_of_batches()([batch]))).to_pylist()
+    assert sorted(r["mesure_id"] for r in out) == ["c", "d"]

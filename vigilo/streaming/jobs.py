@@ -393,7 +393,8 @@ def latest_of_batches():
             rows = pa.Table.from_batches([batch])
             if len(rows):
                 rows = rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start"))
-                key = rows.column("patient_key").combine_chunks()
+                # as numbers: messages without a patient are one patient's, as in a grouping
+                key = rows.column("patient_key").combine_chunks().dictionary_encode(null_encoding="encode").indices
                 last = pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_pylist() + [True]
                 yield from rows.filter(pa.array(last)).to_batches()
 
@@ -410,7 +411,6 @@ def resumable_state_stream(records: DataFrame, out: str, checkpoint: str,
     msgs = decode_messages(records) if "value" in records.columns else records
     names = schemas.MESSAGE.fieldNames()
     keyed = msgs.filter(al.is_valid(msgs)).select(normalise_patient_id(F.col("patient_id")).alias("patient_key"), *names)
-    keyed = keyed.filter(F.col("patient_key").isNotNull())
     row = StructType([StructField("patient_key", StringType()), *schemas.MESSAGE.fields])
     stored = _snapshot(spark, out).select(*row.fieldNames())
     changed = (keyed.mapInArrow(latest_of_batches(), row).groupBy("patient_key")
